@@ -102,9 +102,26 @@ def ddl_type(col: SourceColumn) -> str:
 def map_type(col: SourceColumn) -> T.DataType:
     """Spark data type of a source column (text widths are not enforced here)."""
     ddl = ddl_type(col)
+    if ddl.startswith("DECIMAL"):
+        p, s = ddl[len("DECIMAL("):-1].split(",")
+        return T.DecimalType(int(p), int(s))
     if ddl.startswith(("VARCHAR", "CHAR")):
         return T.StringType()
-    return T._parse_datatype_string(ddl.lower())
+    return _SIMPLE[ddl]
+
+
+_SIMPLE = {
+    "STRING": T.StringType(),
+    "SMALLINT": T.ShortType(),
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "DOUBLE": T.DoubleType(),
+    "FLOAT": T.FloatType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
+    "BOOLEAN": T.BooleanType(),
+    "BINARY": T.BinaryType(),
+}
 
 
 def source_schema(columns: list[SourceColumn]) -> T.StructType:

@@ -54,5 +54,8 @@ def append_day(
     batch = stamp(where_opt(source, pred), run_ts)
     if idempotent and not mark.empty:
         gone = drop_day(date_col, mark.day)
-        return LoadPlan(kept=raw.where(~gone), batch=batch, kind="predicate", delete_pred=gone)
+        return LoadPlan(
+            kept=raw.where(~gone), batch=batch, kind="predicate", delete_pred=gone,
+            delete_days=(date_col, mark.day, mark.day),
+        )
     return LoadPlan(kept=raw, batch=batch, kind="append")

@@ -108,6 +108,10 @@ class LoadPlan:
     delete_keys: list[str] = field(default_factory=list)
     delete_pred: Column | None = None
     delete_ids: DataFrame | None = None
+    # (column, first day, last day): every row the delete can reach has its
+    # ``column`` day in this range -- lets a day-partitioned sink rewrite only
+    # those days instead of scanning the table.
+    delete_days: tuple | None = None
 
     def result(self) -> DataFrame:
         """The new raw table as one DataFrame (kept UNION ALL batch)."""

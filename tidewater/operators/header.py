@@ -31,7 +31,7 @@ class HeaderRef:
 
 def capture_header_marks(
     refs: Iterable[HeaderRef],
-    read_raw: Callable[[str], DataFrame],
+    read_raw: Callable[[HeaderRef], DataFrame],
 ) -> dict[HeaderRef, Mark | Exception]:
     """Read every needed header mark before any write of the run.
 
@@ -40,13 +40,14 @@ def capture_header_marks(
     cannot be read yields its exception as the value: only the line tables that
     depend on it fail, not the whole run (trap 11 fix). An empty raw header
     yields ``Mark.none()`` -- captured, and meaning "load every line" (trap 10).
+    ``read_raw(ref)`` returns the raw header rows that can hold the mark.
     """
     marks: dict[HeaderRef, Mark | Exception] = {}
     for ref in refs:
         if ref in marks:
             continue
         try:
-            raw = read_raw(ref.table)
+            raw = read_raw(ref)
             marks[ref] = (
                 read_composite_mark(raw, ref.date_col, ref.time_col)
                 if ref.time_col

@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 
-from tidewater.functions.predicates import drop_today
+from tidewater.functions.predicates import INGEST_COL, drop_today
 from tidewater.operators.common import LoadPlan, stamp
 
 
@@ -28,8 +28,12 @@ def daily_snapshot(raw: DataFrame, source: DataFrame, run_ts: datetime | str) ->
     with the run time. Twice on one day replaces that day's rows; other days
     are history and are never touched. One ``run_ts`` per run keeps a run that
     crosses midnight on one day (trap 23 fix)."""
-    gone = drop_today(_run_day(run_ts))
-    return LoadPlan(kept=raw.where(~gone), batch=stamp(source, run_ts), kind="predicate", delete_pred=gone)
+    day = _run_day(run_ts)
+    gone = drop_today(day)
+    return LoadPlan(
+        kept=raw.where(~gone), batch=stamp(source, run_ts), kind="predicate", delete_pred=gone,
+        delete_days=(INGEST_COL, day, day),
+    )
 
 
 def initial_full(

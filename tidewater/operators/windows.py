@@ -112,7 +112,8 @@ def load_windows(
     Re-running gives the same table."""
     batch = stamp(assign_windows(source, col, windows, months).drop("window_no"), run_ts)
     gone = F.coalesce(window_number(col, windows, months).isNotNull(), F.lit(False))
-    return LoadPlan(kept=raw.where(~gone), batch=batch, kind="predicate", delete_pred=gone)
+    days = (col, windows[0].start, windows[-1].end) if windows else None
+    return LoadPlan(kept=raw.where(~gone), batch=batch, kind="predicate", delete_pred=gone, delete_days=days)
 
 
 def window_counts(batch: DataFrame, windows: list[Window], out: str = "window_no") -> DataFrame:
