@@ -22,7 +22,7 @@ SRC = "k int, d date, t int, v string"
 
 
 def _rows(df, cols=("k", "d", "t", "v")):
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
 
 
 def test_composite_append_twice_adds_nothing(spark):
@@ -39,7 +39,7 @@ def test_day_append_duplicates_boundary_but_idempotent_does_not(spark):
     plain = append_day(raw, src, "d", "2024-01-02 00:00:00").result()
     assert plain.count() == 4  # day D1 read again
     idem = append_day(raw, src, "d", "2024-01-02 00:00:00", idempotent=True).result()
-    assert _rows(idem) == [(1, D1, 5, "a"), (2, D2, 6, "b"), (9, None, 1, "n")]
+    assert _rows(idem) == sorted([(1, D1, 5, "a"), (2, D2, 6, "b"), (9, None, 1, "n")], key=repr)
     again = append_day(idem, src, "d", "2024-01-02 00:00:00", idempotent=True).result()
     assert _rows(again) == _rows(idem)
 

@@ -7,6 +7,7 @@ fails is logged and skipped; the others go on.
 
 from __future__ import annotations
 
+import time
 import traceback
 import uuid
 from collections.abc import Callable, Iterable
@@ -47,6 +48,7 @@ class RunResult:
     finished_at: datetime | None = None
     rows: dict[str, int] = field(default_factory=dict)
     failures: dict[str, str] = field(default_factory=dict)
+    seconds: dict[str, float] = field(default_factory=dict)
 
     @property
     def ok(self) -> bool:
@@ -205,6 +207,7 @@ def initial_load(
 def _run_one(spark, spec, root, audit, result, run_ts, make_plan, read_source, create: bool) -> None:
     table = RawTable(spark, root, spec.name)
     args = (result.run_id, spec.name, spec.strategy, spec.frequency)
+    t0 = time.perf_counter()
     try:
         source = _source(spec, read_source)
         if create:
@@ -222,3 +225,5 @@ def _run_one(spark, spec, root, audit, result, run_ts, make_plan, read_source, c
         result.failures[spec.name] = f"{type(exc).__name__}: {exc}"
         if audit:
             audit.error(*args, message=traceback.format_exc())
+    finally:
+        result.seconds[spec.name] = round(time.perf_counter() - t0, 3)

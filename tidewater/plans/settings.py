@@ -43,6 +43,7 @@ class TableSpec:
     initial: InitialLoad = field(default_factory=InitialLoad)
     frequency: str = "daily"
     buckets: int = 64
+    period_grain: str = "month"
 
     def __post_init__(self):
         if self.strategy not in STRATEGIES:
@@ -56,6 +57,8 @@ class TableSpec:
             raise ValueError(f"{self.name}: upsert needs keys")
         if self.strategy == BY_HEADER and not (self.header_table and self.header_mark_col and self.doc_key):
             raise ValueError(f"{self.name}: replace_by_header needs header_table, header_mark_col and doc_key")
+        if self.period_grain not in ("day", "month"):
+            raise ValueError(f"{self.name}: period_grain must be 'day' or 'month'")
         m = self.initial.months
         if m is not None and int(m) < 1:
             raise ValueError(f"{self.name}: initial window months must be >= 1, got {m}")
@@ -73,7 +76,7 @@ class TableSpec:
         if self.strategy == SNAPSHOT:
             return Layout("day", day_col="_ingested_at")
         if self.strategy == APPEND:
-            return Layout("day", day_col=self.mark_col)
+            return Layout("day", day_col=self.mark_col, grain=self.period_grain)
         return Layout()
 
 
@@ -107,4 +110,5 @@ def spec_from_mapping(name: str, cfg: Mapping) -> TableSpec:
         initial=InitialLoad(_d(ini.get("start")), _d(ini.get("end")), ini.get("months")),
         frequency=cfg.get("frequency") or "daily",
         buckets=int(cfg.get("buckets") or 64),
+        period_grain=cfg.get("period_grain") or "month",
     )

@@ -37,7 +37,7 @@ from tidewater.session import ensure_checkpoint_dir
 
 META_FILE = "_tidewater.json"
 BUCKET_COL = "_bucket"
-DAY_COL = "_day"
+DAY_COL = "_period"
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 _KEY_WIDTH = {
     T.ByteType: 8, T.ShortType: 8, T.IntegerType: 8, T.LongType: 8, T.DateType: 8,
@@ -50,7 +50,10 @@ class Layout:
     """How a raw table is partitioned.
 
     ``bucket``: ``_bucket = pmod(xxhash64(keys), buckets)`` for keyed loads.
-    ``day``: ``_day = to_date(day_col)`` for day / window / snapshot loads.
+    ``day``: ``_period`` = the day (``grain="day"``) or the first day of the
+    month (``grain="month"``) of ``day_col``, for day / window / snapshot
+    loads. Monthly periods keep the partition count low for tables that
+    span years; daily periods suit snapshots, where one day is a whole copy.
     ``none``: a single unpartitioned directory.
     """
 
@@ -58,17 +61,26 @@ class Layout:
     keys: list[str] = field(default_factory=list)
     buckets: int = 64
     day_col: str | None = None
+    grain: str = "day"
 
     @property
     def column(self) -> str | None:
         return {"bucket": BUCKET_COL, "day": DAY_COL}.get(self.kind)
 
     def to_json(self) -> dict:
-        return {"kind": self.kind, "keys": self.keys, "buckets": self.buckets, "day_col": self.day_col}
+        return {"kind": self.kind, "keys": self.keys, "buckets": self.buckets, "day_col": self.day_col,
+                "grain": self.grain}
+
+    def period(self, d: date) -> date:
+        """Partition value of a day."""
+        return d.replace(day=1) if self.grain == "month" else d
 
     @staticmethod
     def from_json(d: dict) -> "Layout":
-        return Layout(d.get("kind", "none"), list(d.get("keys") or []), int(d.get("buckets") or 64), d.get("day_col"))
+        return Layout(
+            d.get("kind", "none"), list(d.get("keys") or []), int(d.get("buckets") or 64), d.get("day_col"),
+            d.get("grain") or "day",
+        )
 
 
 def _jvm_fs(spark: SparkSession, path: str):
@@ -185,7 +197,8 @@ class RawTable:
             cols = [F.col(k).cast(self.schema[k].dataType) for k in (keys_from or layout.keys)]
             return F.pmod(F.xxhash64(*cols), F.lit(layout.buckets)).cast("int")
         if layout.kind == "day":
-            return F.to_date(F.col(layout.day_col))
+            day = F.to_date(F.col(layout.day_col))
+            return F.trunc(day, "MM") if layout.grain == "month" else day
         return None
 
     def _conform(self, df: DataFrame) -> DataFrame:
@@ -211,7 +224,8 @@ class RawTable:
         col = self.layout.column
         if col and col in df.columns:
             metrics.append(F.collect_set(col).alias("parts"))
-        df.observe(obs, *metrics).write.mode("overwrite").parquet(path)
+        out = df.hint("rebalance", col) if col and col in df.columns else df
+        out.observe(obs, *metrics).write.mode("overwrite").parquet(path)
         self._staged_paths.append(path)
         got = obs.get
         staged = self.spark.read.schema(df.schema).parquet(path)
@@ -267,7 +281,8 @@ class RawTable:
         if plan.kind == "predicate" and layout.kind == "day" and plan.delete_days is not None:
             dcol, lo, hi = plan.delete_days
             if dcol.upper() == layout.day_col.upper():
-                reach = [p for p in self._partition_values() if p is not None and lo <= p <= hi]
+                lo_p, hi_p = layout.period(lo), layout.period(hi)
+                reach = [p for p in self._partition_values() if p is not None and lo_p <= p <= hi_p]
                 touched = sorted(set(reach) | {p for p in parts if p is not None}, key=str)
                 has_null = any(p is None for p in parts)
                 scope = current.where(F.col(DAY_COL).isin(touched)) if touched else current.limit(0)
@@ -315,7 +330,9 @@ class RawTable:
         """Dynamic-overwrite the touched partitions with kept + staged rows,
         then drop touched partitions that ended up empty."""
         col = self.layout.column
-        new = kept.unionByName(staged)
+        # rebalance: AQE cuts the output into advisory-size partitions per
+        # period/bucket (a hot one is split), so few files per partition
+        new = kept.unionByName(staged).hint("rebalance", col)
         obs = Observation(f"rewrite_{uuid.uuid4().hex[:8]}")
         (
             new.observe(obs, F.collect_set(col).alias("parts"))
