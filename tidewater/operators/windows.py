@@ -79,11 +79,12 @@ def window_number(col: str | Column, windows: list[Window], months: int) -> Colu
     ends = F.array(*[F.lit(w.end) for w in windows])
     n = len(windows)
     m = (F.year(d) - s0.year) * 12 + (F.month(d) - s0.month)
+    # integer division of a possibly negative month count, clamped to a valid window
     k0 = F.greatest(F.least(F.floor(m / F.lit(int(months))).cast("int"), F.lit(n - 1)), F.lit(0))
-    k = F.when(d < F.element_at(starts, k0 + 1), k0 - 1).otherwise(k0)
-    idx = F.greatest(k, F.lit(0)) + 1  # always a valid 1-based index
-    ok = (k >= 0) & (d >= F.element_at(starts, idx)) & (d <= F.element_at(ends, idx))
-    return F.when(ok, k + 1)
+    prev = F.greatest(k0, F.lit(1))  # 1-based index of window k0-1, always valid
+    in_k0 = (d >= F.element_at(starts, k0 + 1)) & (d <= F.element_at(ends, k0 + 1))
+    in_prev = (k0 >= 1) & (d >= F.element_at(starts, prev)) & (d <= F.element_at(ends, prev))
+    return F.when(in_k0, k0 + 1).when(in_prev, k0)
 
 
 def assign_windows(df: DataFrame, col: str, windows: list[Window], months: int, out: str = "window_no") -> DataFrame:
