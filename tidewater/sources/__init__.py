@@ -1,0 +1 @@
+"""Sources (readers) and sinks (raw table, audit log)."""

@@ -144,9 +144,19 @@ class RawTable:
         return json.loads(_read_text(self.spark, f"{self.path}/{META_FILE}"))
 
     def _save_meta(self, schema: T.StructType, layout: Layout) -> None:
-        text = json.dumps({"schema": json.loads(schema.json()), "layout": layout.to_json()})
+        values = self._meta().get("values", {}) if self.exists() else {}
+        text = json.dumps({"schema": json.loads(schema.json()), "layout": layout.to_json(), "values": values})
         _write_text(self.spark, f"{self.path}/{META_FILE}", text)
 
+    def meta_value(self, key: str):
+        """A small value kept with the table (e.g. a stream's last epoch)."""
+        return self._meta().get("values", {}).get(key)
+
+    def set_meta_value(self, key: str, value) -> None:
+        meta = self._meta()
+        meta.setdefault("values", {})[key] = value
+        _write_text(self.spark, f"{self.path}/{META_FILE}", json.dumps(meta))
+
     @property
     def schema(self) -> T.StructType:
         """Data columns including ``_ingested_at`` (not the partition column)."""
