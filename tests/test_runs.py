@@ -99,7 +99,10 @@ def test_initial_then_incremental(spark, scratch):
     assert t["sup"].read().count() == 2 * v2["sup"].count()
     assert _bag(t["lines"].read(), LINE_COLS) == want_lines
 
+    before = sorted(map(tuple, audit.state().collect()))
+    audit.compact(files=1)
     st = audit.state()
+    assert sorted(map(tuple, st.collect())) == before
     assert st.count() == 3 * 5  # three audited runs (the window re-run was not audited)
     assert audit.history().count() == 3 and audit.errors().count() == 0
     assert audit.last_run().count() == 5

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,20 @@ class AuditLog:
     def error(self, run_id, table, strategy, frequency, message: str, at=None) -> None:
         self._log(run_id, table, strategy, frequency, A.ERROR, message=message, at=at)
 
+    def compact(self, files: int | None = None) -> None:
+        """Rewrite the event log into few files (events are appended one small
+        file each). Written beside the log, then swapped in by two renames."""
+        from tidewater.sources.sink import _delete, _rename
+
+        tag = uuid.uuid4().hex
+        fresh, old = f"{self.path}.new-{tag}", f"{self.path}.old-{tag}"
+        ev = self.events()
+        ev = ev.repartition(files) if files else ev.hint("rebalance")
+        ev.write.mode("overwrite").parquet(fresh)
+        _rename(self.spark, self.path, old)
+        _rename(self.spark, fresh, self.path)
+        _delete(self.spark, old)
+
     def events(self) -> DataFrame:
         return self.spark.read.schema(A.EVENT_SCHEMA).parquet(self.path)
 

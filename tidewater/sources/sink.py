@@ -135,6 +135,7 @@ class RawTable:
         self.path = f"{self.root}/{name}"
         self.broadcast_bytes = DEFAULT_BROADCAST_BYTES
         self._staged_paths: list[str] = []
+        self.last_write: DataFrame | None = None
 
     # -- catalog ------------------------------------------------------------
     def exists(self) -> bool:
@@ -343,6 +344,7 @@ class RawTable:
         # rebalance: AQE cuts the output into advisory-size partitions per
         # period/bucket (a hot one is split), so few files per partition
         new = kept.unionByName(staged).hint("rebalance", col)
+        self.last_write = new  # kept for plan inspection (explain)
         obs = Observation(f"rewrite_{uuid.uuid4().hex[:8]}")
         (
             new.observe(obs, F.collect_set(col).alias("parts"))
