@@ -47,3 +47,50 @@ def test_readers(spark):
         "\"UpdateDate\" >= '2024-01-01' AND \"UpdateDate\" <= '2024-03-31'",
         "\"UpdateDate\" >= '2024-04-01' AND \"UpdateDate\" <= '2024-06-30'",
     ]
+
+
+class SqlSource:
+    """A source that evaluates pushed SQL itself (Spark SQL stands in for the
+    source database), shaped like ``JdbcSource``."""
+
+    quote = "`"
+
+    def __init__(self, spark, frames):
+        self.spark, self.calls = spark, []
+        for name, df in frames.items():
+            df.createOrReplaceTempView(f"src_{name}")
+
+    def __call__(self, name):
+        return self.spark.table(f"src_{name}")
+
+    def lines_in(self, name, doc_key, header, header_key, header_where):
+        self.calls.append(header_where)
+        return self.spark.sql(
+            f"SELECT * FROM src_{name} WHERE `{doc_key}` IN (SELECT `{header_key}` FROM src_{header} WHERE {header_where})"
+        )
+
+
+def test_header_semi_join_pushed_into_source(spark, scratch):
+    from datetime import datetime
+
+    from tidewater.plans import fixtures as fx
+    from tidewater.plans.runs import incremental_load, initial_load
+
+    specs = [
+        TableSpec("hdr", "append", mark_col="updatedate", mark_time_col="updatets"),
+        TableSpec("lines", "replace_by_header", header_table="hdr", header_mark_col="updatedate",
+                  header_mark_time_col="updatets", doc_key="docentry", buckets=4),
+    ]
+    v1 = {"hdr": fx.header_raw(spark, SF).drop("_ingested_at"), "lines": fx.lines_raw(spark, SF).drop("_ingested_at")}
+    v2 = {"hdr": fx.header_source(spark, SF), "lines": fx.lines_source(spark, SF)}
+    results = []
+    for label, make in (("plain", lambda: v2.__getitem__), ("pushed", lambda: SqlSource(spark, v2))):
+        root = f"{scratch}/{label}"
+        assert initial_load(spark, specs, v1.__getitem__, root, run_ts=datetime(2024, 1, 1)).ok
+        reader = make()
+        assert incremental_load(spark, specs, reader, root, run_ts=datetime(2024, 1, 2)).ok
+        if label == "pushed":
+            assert reader.calls and "`updatedate` >" in reader.calls[0]
+        lines = RawTable(spark, root, "lines").read()
+        results.append(sorted(tuple(r) for r in lines.drop("_ingested_at").collect()))
+    assert results[0] == results[1]

@@ -77,6 +77,18 @@ def drop_today(run_day: date | str, ingest_col: str | Column = INGEST_COL) -> Co
     return F.coalesce(F.to_date(_c(ingest_col)) == _day(run_day), F.lit(False))
 
 
+def mark_sql(mark: Mark, date_col: str, time_col: str | None = None, quote: str = '"') -> str | None:
+    """F1/F2/F3 as SQL text for a source that evaluates the predicate itself
+    (a JDBC subquery); ``None`` for an empty mark."""
+    if mark.empty:
+        return None
+    d, day = f"{quote}{date_col}{quote}", mark.day.isoformat()
+    if mark.composite:
+        t = f"{quote}{time_col}{quote}"
+        return f"({d} > '{day}' OR ({d} = '{day}' AND {t} > {int(mark.time or 0)}))"
+    return f"{d} >= '{day}'"
+
+
 def where_opt(df, pred: Column | None):
     """Apply an optional predicate (F3: ``None`` keeps every row)."""
     return df if pred is None else df.where(pred)

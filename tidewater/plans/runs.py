@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.marks import Mark, read_composite_mark, read_day_mark
+from tidewater.functions.predicates import mark_sql
 from tidewater.operators import (
     HeaderRef,
     LoadPlan,
@@ -109,6 +110,15 @@ def incremental_plan(
         if mark is None:
             raise RuntimeError(f"header mark of {spec.header_table} was not captured before the run")
         headers = read_source(spec.header_table)
+        where = mark_sql(mark, spec.header_mark_col, spec.header_mark_time_col,
+                         quote=getattr(read_source, "quote", '"'))
+        if where is not None and hasattr(read_source, "lines_in"):
+            # the source evaluates the semi-join itself; the plan's own semi-join stays for exactness
+            source = scan_projected(
+                read_source.lines_in(spec.name, spec.doc_key, spec.header_table,
+                                     spec.header_key or spec.doc_key, where),
+                list(spec.columns),
+            )
         return replace_by_header(
             raw, source, headers, mark, doc_key=spec.doc_key, header_date_col=spec.header_mark_col,
             run_ts=run_ts, header_key=spec.header_key, header_time_col=spec.header_mark_time_col,

@@ -42,6 +42,53 @@ class JdbcSplit:
     partitions: int
 
 
+class JdbcSource:
+    """S1/S2 over JDBC: one relation per name, fetched ``FETCH_SIZE`` rows at a
+    time. A table listed in ``splits`` is read by ``partitions`` tasks in
+    parallel ranges of its split column instead of one cursor.
+
+    ``lines_in`` pushes a header-driven semi-join into the source database as
+    ``doc IN (SELECT key FROM header WHERE <mark predicate>)``: Spark does not
+    push a join into a JDBC scan, so without it every line would cross the
+    network on every run.
+    """
+
+    def __init__(self, spark: SparkSession, url: str, schema: str | None = None,
+                 options: dict[str, str] | None = None, splits: dict[str, JdbcSplit] | None = None,
+                 quote: str = '"'):
+        self.spark, self.url, self.schema, self.quote = spark, url, schema, quote
+        self.options = dict(options or {})
+        self.splits = dict(splits or {})
+
+    def ident(self, name: str) -> str:
+        q = self.quote
+        return f"{q}{name.replace(q, q + q)}{q}"
+
+    def relation(self, name: str) -> str:
+        return f"{self.ident(self.schema)}.{self.ident(name)}" if self.schema else self.ident(name)
+
+    def _reader(self, dbtable: str, split: JdbcSplit | None):
+        r = (self.spark.read.format("jdbc").option("url", self.url)
+             .option("dbtable", dbtable).option("fetchsize", FETCH_SIZE))
+        for k, v in self.options.items():
+            r = r.option(k, v)
+        if split is not None:
+            r = (r.option("partitionColumn", split.column).option("lowerBound", split.lower)
+                 .option("upperBound", split.upper).option("numPartitions", split.partitions))
+        return r
+
+    def __call__(self, name: str) -> DataFrame:
+        return self._reader(self.relation(name), self.splits.get(name)).load()
+
+    def lines_in(self, name: str, doc_key: str, header: str, header_key: str, header_where: str) -> DataFrame:
+        """Lines whose document id is among the headers matching ``header_where``."""
+        sub = (
+            f"SELECT * FROM {self.relation(name)} WHERE {self.ident(doc_key)} IN "
+            f"(SELECT {self.ident(header_key)} FROM {self.relation(header)} WHERE {header_where})"
+        )
+        return self._reader(f"({sub}) lines_in", self.splits.get(name)).load()
+
+
 def jdbc_source(
     spark: SparkSession,
     url: str,
@@ -49,27 +96,9 @@ def jdbc_source(
     options: dict[str, str] | None = None,
     splits: dict[str, JdbcSplit] | None = None,
     quote: str = '"',
-) -> SourceReader:
-    """S1/S2 over JDBC: one relation per name, fetched ``FETCH_SIZE`` rows at a
-    time. A table listed in ``splits`` is read by ``partitions`` tasks in
-    parallel ranges of its split column instead of one cursor."""
-
-    def read(name: str) -> DataFrame:
-        rel = f"{quote}{schema}{quote}.{quote}{name}{quote}" if schema else f"{quote}{name}{quote}"
-        r = spark.read.format("jdbc").option("url", url).option("dbtable", rel).option("fetchsize", FETCH_SIZE)
-        for k, v in (options or {}).items():
-            r = r.option(k, v)
-        s = (splits or {}).get(name)
-        if s is not None:
-            r = (
-                r.option("partitionColumn", s.column)
-                .option("lowerBound", s.lower)
-                .option("upperBound", s.upper)
-                .option("numPartitions", s.partitions)
-            )
-        return r.load()
-
-    return read
+) -> JdbcSource:
+    """A :class:`JdbcSource` (callable as ``name -> DataFrame``)."""
+    return JdbcSource(spark, url, schema, options, splits, quote)
 
 
 def window_predicates(col: str, windows: list[Window], quote: str = '"') -> list[str]:
