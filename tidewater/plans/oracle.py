@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from tidewater.operators.windows import make_windows
 from tidewater.plans import fixtures as fx
-from tidewater.plans.queries import HEADER_WINDOW, HISTORY, RELOAD_WINDOW
+from tidewater.plans.queries import HEADER_WINDOW, HISTORY, LEGACY, RELOAD_WINDOW
 
 H = fx.with_ctes(fx.HEADER_CTES)
 HL = fx.with_ctes(fx.HEADER_CTES, fx.LINES_CTES)
@@ -21,8 +21,9 @@ NEWER = "(h.updatedate > wm.d or (h.updatedate = wm.d and h.updatets > wm.t))"
 HDR_COLS = "docentry, cardcode, doctotal, updatedate, updatets"
 
 
-def _values(start, end, months) -> str:
-    rows = ", ".join(f"({w.number}, DATE '{w.start}', DATE '{w.end}')" for w in make_windows(start, end, months))
+def _values(start, end, months, legacy_end=False) -> str:
+    wins = make_windows(start, end, months, legacy_end=legacy_end)
+    rows = ", ".join(f"({w.number}, DATE '{w.start}', DATE '{w.end}')" for w in wins)
     return f"(values {rows}) w(window_no, window_start, window_end)"
 
 
@@ -111,6 +112,34 @@ SQL: dict[str, str] = {
         "select docentry, cardcode, updatedate, updatets, _ingested_at, cast(null as double) \"DocTotal\" from hdr_raw "
         f"union all select docentry, cardcode, updatedate, updatets, {RUN}, doctotal from hdr_new"
     ),
+    "semi_by_header": HL + (
+        f"select l.* from lines_src l where l.docentry in (select h.docentry from hdr_all h, wm where {NEWER})"
+    ),
+    "newest_per_line_key": (
+        "select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
+        "l_returnflag, l_linestatus, l_shipdate from (select *, row_number() over (partition by l_orderkey, l_linenumber "
+        "order by l_shipdate desc nulls last, l_partkey desc nulls last, l_suppkey desc nulls last, "
+        "l_quantity desc nulls last, l_extendedprice desc nulls last, l_discount desc nulls last, "
+        "l_tax desc nulls last, l_returnflag desc nulls last, l_linestatus desc nulls last) rn "
+        "from lineitem where l_orderkey is not null and l_linenumber is not null) where rn = 1 "
+        "union all select * from lineitem where l_orderkey is null or l_linenumber is null"
+    ),
+    "typed_projection_lines": (
+        "select cast(l_orderkey as bigint) l_orderkey, cast(l_linenumber as smallint) l_linenumber, "
+        "cast(l_quantity as decimal(15,2)) l_quantity, cast(l_extendedprice as decimal(15,2)) l_extendedprice, "
+        "cast(l_discount as decimal(4,2)) l_discount, cast(l_tax as double) l_tax, "
+        "cast(l_returnflag as varchar) l_returnflag, cast(l_linestatus as varchar) l_linestatus, "
+        "cast(l_shipdate as timestamp) l_shipdate from lineitem"
+    ),
+    "initial_full_upsert": H.rstrip("\n") + (
+        f", b as (select h.*, {RUN} _ingested_at from hdr_all h)\n"
+        "select * from hdr_raw r where not exists (select 1 from b where b.docentry = r.docentry)\n"
+        "union all select * from b"
+    ),
+    "assign_windows_legacy": fx.with_ctes(fx.HEADER_CTES) + (
+        f"select h.docentry, h.updatedate, w.window_no from hdr_plain h join {_values(*LEGACY, legacy_end=True)} "
+        "on h.updatedate between w.window_start and w.window_end"
+    ),
     "audit_state": A + "select * from state",
     "audit_last_run": A + (
         "select \"table\", strategy, \"rows\", date_diff('second', started_at, ended_at) \"seconds\", status, started_at "

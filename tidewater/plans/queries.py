@@ -36,6 +36,8 @@ from tidewater.operators import (
     upsert,
     window_counts,
 )
+from tidewater.functions.marks import Mark
+from tidewater.operators.common import newest_per_key, semi_by_key
 from tidewater.operators.schema import align_to
 from tidewater.plans import fixtures as fx
 
@@ -50,7 +52,21 @@ ORDERS_METADATA = [
     SourceColumn("o_orderpriority", "NVARCHAR", 15, None, 6),
     SourceColumn("o_comment", "NVARCHAR", 79, None, 7),
 ]
+LINES_METADATA = [
+    SourceColumn("l_orderkey", "BIGINT", None, None, 1),
+    SourceColumn("l_linenumber", "TINYINT", None, None, 2),
+    SourceColumn("l_quantity", "DECIMAL", 15, 2, 3),
+    SourceColumn("l_extendedprice", "DECIMAL", 15, 2, 4),
+    SourceColumn("l_discount", "SMALLDECIMAL", 4, 2, 5),
+    SourceColumn("l_tax", "DOUBLE", None, None, 6),
+    SourceColumn("l_returnflag", "NCHAR", 1, None, 7),
+    SourceColumn("l_linestatus", "ST_MEMO", None, None, 8),
+    SourceColumn("l_shipdate", "SECONDDATE", None, None, 9),
+    SourceColumn("l_comment", "NVARCHAR", 44, None, 10),
+]
+LINE_KEY = ["l_orderkey", "l_linenumber"]
 HISTORY = ("1995-01-01", "2001-08-01", 3)
+LEGACY = ("1995-01-01", "2001-07-01", 3)
 RELOAD_WINDOW = ("1999-01-01", "2001-08-01", 3)
 HEADER_WINDOW = ("1999-01-01", "1999-12-31", 3)
 DAY1_TS = "2024-01-02 10:00:00"
@@ -202,6 +218,36 @@ def q_evolve_schema(spark: SparkSession, sf: str) -> DataFrame:
     return grown.unionByName(stamp(align_to(grown.schema, new), fx.RUN_TS), allowMissingColumns=True)
 
 
+def q_semi_by_header(spark: SparkSession, sf: str) -> DataFrame:
+    src, raw = _hdr(spark, sf)
+    mark = read_composite_mark(raw, "updatedate", "updatets")
+    changed = src.where(newer_than_composite("updatedate", "updatets", mark))
+    return semi_by_key(fx.lines_source(spark, sf), changed, "docentry", "docentry")
+
+
+def q_newest_per_line_key(spark: SparkSession, sf: str) -> DataFrame:
+    li = fx.table(spark, sf, "lineitem")
+    return newest_per_key(li, LINE_KEY, ["l_shipdate"])
+
+
+def q_typed_projection_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return typed_projection(fx.table(spark, sf, "lineitem"), LINES_METADATA)
+
+
+def q_initial_full_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    src, raw = _hdr(spark, sf)
+    plan = upsert(raw, src, ["docentry"], "updatedate", fx.RUN_TS, time_col="updatets", mark=Mark.none(True))
+    return plan.result()
+
+
+def q_assign_windows_legacy(spark: SparkSession, sf: str) -> DataFrame:
+    start, end, months = LEGACY
+    wins = make_windows(start, end, months, legacy_end=True)
+    return assign_windows(fx.header_plain(spark, sf), "updatedate", wins, months).select(
+        "docentry", "updatedate", "window_no"
+    )
+
+
 def _state(spark, sf):
     return audit_state(fx.audit_events(spark, sf))
 
@@ -250,6 +296,11 @@ REGISTRY = {
     "load_window_by_header": q_load_window_by_header,
     "initial_full": q_initial_full,
     "evolve_schema": q_evolve_schema,
+    "semi_by_header": q_semi_by_header,
+    "newest_per_line_key": q_newest_per_line_key,
+    "typed_projection_lines": q_typed_projection_lines,
+    "initial_full_upsert": q_initial_full_upsert,
+    "assign_windows_legacy": q_assign_windows_legacy,
     "audit_state": q_audit_state,
     "audit_last_run": q_audit_last_run,
     "audit_history": q_audit_history,
