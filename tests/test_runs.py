@@ -106,6 +106,20 @@ def test_initial_then_incremental(spark, scratch):
     assert st.count() == 3 * 5  # three audited runs (the window re-run was not audited)
     assert audit.history().count() == 3 and audit.errors().count() == 0
     assert audit.last_run().count() == 5
+    # the monitoring queries as plain SQL over the views
+    audit.create_views("mon")
+    sql_last = spark.sql(
+        "SELECT `table`, strategy, `rows`, unix_seconds(cast(ended_at as timestamp)) - "
+        "unix_seconds(cast(started_at as timestamp)) AS seconds, status, started_at FROM mon_state "
+        "WHERE run_id = (SELECT run_id FROM mon_state ORDER BY started_at DESC, run_id DESC LIMIT 1)"
+    )
+    assert sorted(map(tuple, sql_last.collect())) == sorted(map(tuple, audit.last_run().collect()))
+    sql_hist = spark.sql(
+        "SELECT run_id, MIN(started_at) AS started_at, MAX(ended_at) AS finished_at, "
+        "CAST(SUM(`rows`) AS BIGINT) AS total_rows, COUNT(*) AS tables, "
+        "CAST(SUM(CASE WHEN status = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS errors FROM mon_state GROUP BY run_id"
+    )
+    assert sorted(map(tuple, sql_hist.collect())) == sorted(map(tuple, audit.history().collect()))
 
 
 def test_failing_table_is_isolated_and_logged(spark, scratch):

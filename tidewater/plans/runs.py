@@ -37,7 +37,7 @@ from tidewater.operators import (
 )
 from tidewater.plans.settings import APPEND, BY_HEADER, FULL_RELOAD, SNAPSHOT, UPSERT, TableSpec
 from tidewater.sources.audit_log import AuditLog
-from tidewater.sources.sink import DAY_COL, RawTable
+from tidewater.sources.sink import DAY_COL, RawTable, ensure_root
 
 SourceReader = Callable[[str], DataFrame]
 
@@ -122,6 +122,7 @@ def incremental_plan(
         return replace_by_header(
             raw, source, headers, mark, doc_key=spec.doc_key, header_date_col=spec.header_mark_col,
             run_ts=run_ts, header_key=spec.header_key, header_time_col=spec.header_mark_time_col,
+            delete_from=spec.delete_from,
         )
     if spec.strategy == SNAPSHOT:
         return daily_snapshot(raw, source, run_ts)
@@ -136,9 +137,15 @@ def incremental_load(
     audit: AuditLog | None = None,
     frequency: str | None = None,
     run_ts: datetime | None = None,
+    header_marks: dict | None = None,
 ) -> RunResult:
     """R2: frequency filter, header marks captured first (P1), then each table
-    in order: evolve schema, log start, load, log result."""
+    in order: evolve schema, log start, load, log result.
+
+    ``header_marks`` lets the caller supply a line table's header mark (for
+    example the one its last successful load used), so header changes made
+    while a line load failed or ran less often are not skipped (trap 13).
+    """
     run_ts = run_ts or datetime.now()
     selected = by_frequency(specs, frequency)
     result = RunResult(str(uuid.uuid4()), run_ts)
@@ -146,9 +153,12 @@ def incremental_load(
         HeaderRef(s.header_table, s.header_mark_col, s.header_mark_time_col)
         for s in selected if s.strategy == BY_HEADER
     ]
+    supplied = dict(header_marks or {})
     header_marks = capture_header_marks(
-        refs, lambda ref: mark_scope(_existing(RawTable(spark, root, ref.table)), ref.date_col)
+        [r for r in refs if r not in supplied],
+        lambda ref: mark_scope(_existing(RawTable(spark, root, ref.table)), ref.date_col),
     )
+    header_marks.update(supplied)
     for spec in selected:
         _run_one(spark, spec, root, audit, result, run_ts, lambda t, s: incremental_plan(
             spec, t, s, read_source, run_ts, header_marks), read_source, create=False)
@@ -206,6 +216,7 @@ def initial_load(
     """Per table in order: create if missing, evolve, log start, load, log result."""
     run_ts = run_ts or datetime.now()
     today = today or run_ts.date()
+    ensure_root(spark, root)
     result = RunResult(str(uuid.uuid4()), run_ts)
     for spec in specs:
         _run_one(spark, spec, root, audit, result, run_ts, lambda t, s: initial_plan(

@@ -44,6 +44,7 @@ class TableSpec:
     frequency: str = "daily"
     buckets: int = 64
     period_grain: str = "month"
+    delete_from: str = "lines"
 
     def __post_init__(self):
         if self.strategy not in STRATEGIES:
@@ -57,6 +58,8 @@ class TableSpec:
             raise ValueError(f"{self.name}: upsert needs keys")
         if self.strategy == BY_HEADER and not (self.header_table and self.header_mark_col and self.doc_key):
             raise ValueError(f"{self.name}: replace_by_header needs header_table, header_mark_col and doc_key")
+        if self.delete_from not in ("lines", "headers"):
+            raise ValueError(f"{self.name}: delete_from must be 'lines' or 'headers'")
         if self.period_grain not in ("day", "month"):
             raise ValueError(f"{self.name}: period_grain must be 'day' or 'month'")
         m = self.initial.months
@@ -111,4 +114,5 @@ def spec_from_mapping(name: str, cfg: Mapping) -> TableSpec:
         frequency=cfg.get("frequency") or "daily",
         buckets=int(cfg.get("buckets") or 64),
         period_grain=cfg.get("period_grain") or "month",
+        delete_from=cfg.get("delete_from") or "lines",
     )

@@ -52,6 +52,12 @@ class AuditLog:
         _rename(self.spark, fresh, self.path)
         _delete(self.spark, old)
 
+    def create_views(self, prefix: str = "audit") -> None:
+        """Temp views ``{prefix}_events`` and ``{prefix}_state`` so the
+        monitoring queries can also be written as plain Spark SQL."""
+        self.events().createOrReplaceTempView(f"{prefix}_events")
+        self.state().createOrReplaceTempView(f"{prefix}_state")
+
     def events(self) -> DataFrame:
         return self.spark.read.schema(A.EVENT_SCHEMA).parquet(self.path)
 

@@ -125,6 +125,14 @@ def _rename(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"rename {src} -> {dst} failed")
 
 
+def ensure_root(spark: SparkSession, root: str) -> str:
+    """Create the raw layer's root folder if absent (idempotent)."""
+    fs, p, _ = _jvm_fs(spark, root)
+    if not fs.exists(p):
+        fs.mkdirs(p)
+    return root
+
+
 class RawTable:
     """One raw table at ``root/name``."""
 
@@ -195,6 +203,10 @@ class RawTable:
             return T.StructType(s.fields + [T.StructField(DAY_COL, T.DateType(), True)])
         return s
 
+    def create_view(self, name: str | None = None) -> None:
+        """A temp view over the table, for SQL users."""
+        self.read().createOrReplaceTempView(name or self.name)
+
     def read(self, with_partition: bool = False) -> DataFrame:
         """The table as a DataFrame, declared schema applied (new columns NULL
         on old files); partition filters prune directories."""
