@@ -169,3 +169,21 @@ def test_emptied_partition_is_dropped(spark, scratch):
     assert t.read().count() == 2
     t.publish(daily_snapshot(t.read(), src.limit(0), "2024-01-02 11:00:00"))
     assert t.read().count() == 1  # today's partition emptied and removed
+
+
+def test_metadata_types_the_source(spark, scratch):
+    from tidewater.functions.typemap import SourceColumn
+
+    spec = spec_from_mapping("nat", {
+        "strategy": "full_reload", "columns": ["n_name", "N_NATIONKEY"],
+        "metadata": [{"name": "n_nationkey", "type": "TINYINT", "position": 1},
+                     {"name": "n_name", "type": "NVARCHAR", "length": 25, "position": 2}],
+    })
+    assert spec.metadata[0] == SourceColumn("n_nationkey", "TINYINT", None, None, 1)
+    nat = spark.read.parquet(f"{SF}/nation.parquet")
+    res = initial_load(spark, [spec], {"nat": nat}.__getitem__, f"{scratch}/raw")
+    assert res.ok, res.failures
+    t = RawTable(spark, f"{scratch}/raw", "nat")
+    assert [f.name for f in t.schema.fields] == ["n_name", "n_nationkey", "_ingested_at"]  # configured order
+    assert t.schema["n_nationkey"].dataType.simpleString() == "smallint"
+    assert t.read().count() == 25

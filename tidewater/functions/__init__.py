@@ -13,6 +13,7 @@ from tidewater.functions.predicates import (
     drop_today,
     drop_window,
     in_window,
+    mark_sql,
     newer_than,
     newer_than_composite,
     newer_than_day,
@@ -29,6 +30,7 @@ __all__ = [
     "drop_window",
     "in_window",
     "map_type",
+    "mark_sql",
     "newer_than",
     "newer_than_composite",
     "newer_than_day",

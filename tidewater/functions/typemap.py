@@ -158,3 +158,18 @@ def typed_projection(df: DataFrame, columns: list[SourceColumn]) -> DataFrame:
     if not exprs:
         raise ValueError("no metadata column is present in the data")
     return df.select(*exprs)
+
+
+def cast_columns(df: DataFrame, columns: list[SourceColumn]) -> DataFrame:
+    """S8 keeping ``df``'s column order (the configured order, T4): columns
+    with a metadata row are cast to their mapped type, others stay as read."""
+    meta = {c.name.upper(): c for c in columns}
+    exprs = []
+    for name in df.columns:
+        m = meta.get(name.upper())
+        if m is None:
+            exprs.append(F.col(name))
+            continue
+        src = F.date_format(F.col(name), "HH:mm:ss") if str(m.type_name).upper() == "TIME" else F.col(name)
+        exprs.append(src.cast(map_type(m)).alias(name))
+    return df.select(*exprs)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.marks import Mark, read_composite_mark, read_day_mark
 from tidewater.functions.predicates import mark_sql
+from tidewater.functions.typemap import cast_columns
 from tidewater.operators import (
     HeaderRef,
     LoadPlan,
@@ -83,7 +84,12 @@ def read_mark(table: RawTable, date_col: str, time_col: str | None) -> Mark:
 
 
 def _source(spec: TableSpec, read_source: SourceReader) -> DataFrame:
-    return scan_projected(read_source(spec.name), list(spec.columns))
+    """S1 + S7/S8: configured columns in configured order, cast by the type map
+    when the spec carries source metadata."""
+    df = scan_projected(read_source(spec.name), list(spec.columns))
+    if spec.metadata:
+        df = cast_columns(df, list(spec.metadata))
+    return df
 
 
 def incremental_plan(

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date
 
+from tidewater.functions.typemap import SourceColumn
 from tidewater.sources.sink import Layout
 
 APPEND, UPSERT, BY_HEADER, FULL_RELOAD, SNAPSHOT = (
@@ -45,6 +46,8 @@ class TableSpec:
     buckets: int = 64
     period_grain: str = "month"
     delete_from: str = "lines"
+    # source catalog rows (S7); when given, the source is cast by the type map
+    metadata: tuple[SourceColumn, ...] = ()
 
     def __post_init__(self):
         if self.strategy not in STRATEGIES:
@@ -115,4 +118,8 @@ def spec_from_mapping(name: str, cfg: Mapping) -> TableSpec:
         buckets=int(cfg.get("buckets") or 64),
         period_grain=cfg.get("period_grain") or "month",
         delete_from=cfg.get("delete_from") or "lines",
+        metadata=tuple(
+            SourceColumn(m["name"], m["type"], m.get("length"), m.get("scale"), m.get("position"))
+            for m in (cfg.get("metadata") or ())
+        ),
     )
