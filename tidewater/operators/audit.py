@@ -49,18 +49,23 @@ def audit_event(
 
 
 def seconds_between(a: Column, b: Column) -> Column:
-    """Whole-second boundaries crossed from ``a`` to ``b`` (0.9 s -> 1.1 s is 1)."""
-    return F.unix_seconds(b.cast("timestamp")) - F.unix_seconds(a.cast("timestamp"))
+    """Whole-second boundaries crossed from ``a`` to ``b`` (0.9 s -> 1.1 s is 1).
+
+    Both ends are cut to the second first; on zone-free timestamps this is
+    independent of the session time zone.
+    """
+    return F.timestamp_diff("SECOND", F.date_trunc("second", a), F.date_trunc("second", b))
 
 
 def audit_state(events: DataFrame) -> DataFrame:
     """One row per (run, table): first event time, latest status and its data.
 
     ``max(struct(event_at, terminal, ...))`` picks the latest event with a
-    partial aggregate per task -- no sort, and a run or table holding a large
-    share of events is merged inside each task before the shuffle. On equal
-    times a terminal event outranks the start event. The message is cut to
-    4,000 characters (X7).
+    partial aggregate per task (sort-based, as the buffer is a struct), so a
+    run or table holding a large share of events is merged inside each task
+    before the shuffle -- no window over a whole group. On equal times a
+    terminal event outranks the start event. The message is cut to 4,000
+    characters (X7).
     """
     terminal = F.when(F.col("status") == RUNNING, 0).otherwise(1)
     last = F.max(

@@ -74,7 +74,8 @@ def newest_per_key(batch: DataFrame, keys: list[str], order: list[str]) -> DataF
     time), ties broken by every other column, all descending, NULLs last.
 
     Done as ``groupBy(keys).agg(max(struct(order..., rest...)))``: partial
-    aggregation collapses a hot key inside each task before the shuffle, so a
+    (sort-based) aggregation collapses a hot key inside each task before the
+    shuffle, so a
     key holding a third of the batch never lands whole in one task. Rows with
     a NULL in a key column are not the same key as anything (SQL equality) and
     pass through unmerged, as they would be inserted by the reference.
