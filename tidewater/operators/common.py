@@ -48,11 +48,16 @@ def delete_by_key(
 ) -> DataFrame:
     """Raw rows whose key (every column equal) is not in ``keys_from``.
 
-    A ``left_anti`` join: duplicate keys on the right are harmless, and a NULL
-    in any key column never matches, so NULL-key rows are always kept.
+    A ``left_anti`` join; a NULL in any key column never matches, so NULL-key
+    rows are always kept. Unless the key side is broadcast, it is made
+    distinct first: the aggregate's hash partitioning is the join's own, so no
+    extra exchange, and a key repeated across a third of the batch collapses
+    map-side instead of being buffered whole by one join task.
     """
     raw_keys = raw_keys or keys
     right = keys_from.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    if not broadcast:
+        right = right.distinct()
     cond = [raw[rk] == right[f"__k{i}"] for i, rk in enumerate(raw_keys)]
     return raw.join(maybe_broadcast(right, broadcast), cond, "left_anti")
 
