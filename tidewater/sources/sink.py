@@ -274,15 +274,16 @@ class RawTable:
         col = layout.column
         batch = self._conform(plan.batch)
         part = {col: self._partition_expr(layout)} if col else None
-        staged, rows, parts = self._stage(batch, part)
 
+        # Append and whole-table loads use the batch once: one write, counted
+        # on the way. Only rewrites (batch needed for its keys and partitions
+        # first, then again for the union) stage it.
         if plan.kind == "append":
-            w = staged.write.mode("append")
-            (w.partitionBy(col) if col else w).parquet(self.path)
-            return rows
+            return self._append_rows(batch.withColumn(col, part[col]) if col else batch)
         if plan.kind == "overwrite":
-            self._swap_in(staged)
-            return rows
+            return self._swap_in(batch.withColumn(col, part[col]) if col else batch)
+
+        staged, rows, parts = self._stage(batch, part)
 
         current = self.read(with_partition=True)
         if plan.kind == "keyed" and layout.kind == "bucket" and [k.upper() for k in plan.delete_keys] == [
@@ -325,10 +326,20 @@ class RawTable:
         self._swap_in(new.withColumn(col, self._partition_expr(layout)) if col else new)
         return rows
 
-    def _append_rows(self, df: DataFrame) -> None:
+    def _counted(self, df: DataFrame):
+        """``df`` rebalanced on the partition column and observed for its row
+        count; returns the frame to write and the ``Observation``."""
+        col = self.layout.column
+        obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
+        out = df.hint("rebalance", col) if col else df
+        return out.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+    def _append_rows(self, df: DataFrame) -> int:
         col = self.layout.column
-        w = df.write.mode("append")
+        out, obs = self._counted(df)
+        w = out.write.mode("append")
         (w.partitionBy(col) if col else w).parquet(self.path)
+        return int(obs.get.get("rows", 0))
 
     def _partition_values(self) -> list:
         """Partition values present on storage (a directory listing, no scan)."""
@@ -371,18 +382,21 @@ class RawTable:
                 _delete(self.spark, f"{self.path}/{col}={p}")
         return rows
 
-    def _swap_in(self, df: DataFrame) -> None:
-        """Write the whole new table beside the old one, then swap by renames."""
+    def _swap_in(self, df: DataFrame) -> int:
+        """Write the whole new table beside the old one, then swap by renames;
+        returns the rows written."""
         meta = _read_text(self.spark, f"{self.path}/{META_FILE}")
         tag = uuid.uuid4().hex
         fresh, old = f"{self.root}/.{self.name}.new-{tag}", f"{self.root}/.{self.name}.old-{tag}"
         col = self.layout.column
-        w = df.write.mode("overwrite")
+        out, obs = self._counted(df)
+        w = out.write.mode("overwrite")
         (w.partitionBy(col) if col else w).parquet(fresh)
         _write_text(self.spark, f"{fresh}/{META_FILE}", meta)
         _rename(self.spark, self.path, old)
         _rename(self.spark, fresh, self.path)
         _delete(self.spark, old)
+        return int(obs.get.get("rows", 0))
 
     def truncate(self) -> None:
         """Empty the table (schema and layout kept)."""
