@@ -22,6 +22,11 @@ def stamp(df: DataFrame, run_ts: datetime | str, col: str = INGEST_COL) -> DataF
     return df.withColumn(col, ts_literal(run_ts))
 
 
+def empty_like(df: DataFrame) -> DataFrame:
+    """No rows, same schema (folded by the optimizer to an empty relation)."""
+    return df.where(F.lit(False))
+
+
 def union_all(kept: DataFrame, batch: DataFrame) -> DataFrame:
     """Kept rows then the batch, matched by name; a column on one side only
     comes back NULL on the other (schema growth, S6)."""

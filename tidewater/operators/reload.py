@@ -7,13 +7,13 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 
 from tidewater.functions.predicates import INGEST_COL, drop_today
-from tidewater.operators.common import LoadPlan, stamp
+from tidewater.operators.common import LoadPlan, empty_like, stamp
 
 
 def full_reload(raw: DataFrame | None, source: DataFrame, run_ts: datetime | str) -> LoadPlan:
     """The raw table becomes the whole source (published atomically by the sink)."""
     batch = stamp(source, run_ts)
-    kept = raw.limit(0) if raw is not None else batch.limit(0)
+    kept = empty_like(raw if raw is not None else batch)
     return LoadPlan(kept=kept, batch=batch, kind="overwrite")
 
 
@@ -51,5 +51,5 @@ def initial_full(
     if not raw_is_empty:
         raise ValueError("initial full load into a non-empty append table would duplicate rows")
     batch = stamp(source, run_ts)
-    kept = raw if raw is not None else batch.limit(0)
+    kept = raw if raw is not None else empty_like(batch)
     return LoadPlan(kept=kept, batch=batch, kind="append")

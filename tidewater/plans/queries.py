@@ -37,7 +37,7 @@ from tidewater.operators import (
     window_counts,
 )
 from tidewater.functions.marks import Mark
-from tidewater.operators.common import newest_per_key, semi_by_key
+from tidewater.operators.common import empty_like, newest_per_key, semi_by_key
 from tidewater.operators.schema import align_to
 from tidewater.plans import fixtures as fx
 
@@ -164,7 +164,7 @@ def q_full_reload(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_snapshot_two_days(spark: SparkSession, sf: str) -> DataFrame:
     src = fx.table(spark, sf, "supplier")
-    empty = stamp(src, fx.PREV_TS).limit(0)
+    empty = empty_like(stamp(src, fx.PREV_TS))
     r1 = daily_snapshot(empty, src, DAY1_TS).result()
     r1b = daily_snapshot(r1, src, fx.RUN2_TS).result()
     day2 = src.withColumn("s_acctbal", F.col("s_acctbal") + F.lit(1.0))
@@ -198,7 +198,7 @@ def q_load_window_by_header(spark: SparkSession, sf: str) -> DataFrame:
     wins = make_windows(start, end, months)
     src = fx.header_source(spark, sf)
     lines = fx.lines_source(spark, sf)
-    empty = stamp(lines, fx.PREV_TS).limit(0)
+    empty = empty_like(stamp(lines, fx.PREV_TS))
     once = load_window_by_header(empty, lines, src, "docentry", "updatedate", wins, months, fx.RUN_TS).result()
     return load_window_by_header(once, lines, src, "docentry", "updatedate", wins, months, fx.RUN2_TS).result()
 

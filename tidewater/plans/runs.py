@@ -207,7 +207,7 @@ def initial_plan(
             raw, source, read_source(spec.header_table), Mark.none(), doc_key=spec.doc_key,
             header_date_col=spec.header_mark_col, run_ts=run_ts, header_key=spec.header_key,
         )
-    return initial_full(raw, source, run_ts, raw_is_empty=raw.limit(1).count() == 0)
+    return initial_full(raw, source, run_ts, raw_is_empty=raw.isEmpty())
 
 
 def initial_load(

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions.predicates import INGEST_COL
-from tidewater.operators.common import LoadPlan, delete_by_key
+from tidewater.operators.common import LoadPlan, delete_by_key, empty_like
 from tidewater.operators.schema import align_to, missing_columns
 from tidewater.session import ensure_checkpoint_dir
 
@@ -296,7 +296,7 @@ class RawTable:
                 ids = align_to(self.schema, ids).select(*layout.keys)
                 staged_ids, n_ids, id_parts = self._stage(ids, {BUCKET_COL: self._partition_expr(layout)})
             touched = sorted(set(parts) | set(id_parts))
-            scope = current.where(F.col(BUCKET_COL).isin(touched)) if touched else current.limit(0)
+            scope = current.where(F.col(BUCKET_COL).isin(touched)) if touched else empty_like(current)
             kept = delete_by_key(
                 scope, staged_ids, layout.keys, broadcast=self._small(n_ids, layout.keys) or None
             )
@@ -309,7 +309,7 @@ class RawTable:
                 reach = [p for p in self._partition_values() if p is not None and lo_p <= p <= hi_p]
                 touched = sorted(set(reach) | {p for p in parts if p is not None}, key=str)
                 has_null = any(p is None for p in parts)
-                scope = current.where(F.col(DAY_COL).isin(touched)) if touched else current.limit(0)
+                scope = current.where(F.col(DAY_COL).isin(touched)) if touched else empty_like(current)
                 kept = scope.where(~plan.delete_pred)
                 if has_null:  # NULL-day rows of the batch are simply appended
                     self._append_rows(staged.where(F.col(DAY_COL).isNull()))
