@@ -187,3 +187,34 @@ def test_metadata_types_the_source(spark, scratch):
     assert [f.name for f in t.schema.fields] == ["n_name", "n_nationkey", "_ingested_at"]  # configured order
     assert t.schema["n_nationkey"].dataType.simpleString() == "smallint"
     assert t.read().count() == 25
+
+
+def test_kept_mark_equals_a_fresh_scan(spark, scratch):
+    from tidewater.functions.marks import top_value
+    from tidewater.plans.runs import read_mark
+
+    root = f"{scratch}/raw"
+    specs = [
+        TableSpec("hdr", "append", mark_col="updatedate", mark_time_col="updatets",
+                  initial=InitialLoad(date(1995, 1, 1), date(2001, 12, 31), 12)),
+        TableSpec("cust", "upsert", keys=("c_custkey",), mark_col="upd", mark_time_col="updts", buckets=4),
+    ]
+    cust = fx.table(spark, SF, "customer")
+    v1 = {"hdr": fx.header_raw(spark, SF).drop("_ingested_at"),
+          "cust": cust.withColumn("upd", F.lit(date(2024, 1, 1))).withColumn("updts", F.lit(None).cast("int"))}
+    v2 = {"hdr": fx.header_source(spark, SF),
+          "cust": v1["cust"].withColumn("updts", F.when(F.col("c_custkey") % 3 == 0, F.lit(5)))}
+    v3 = {"hdr": v2["hdr"], "cust": v2["cust"].withColumn(
+        "upd", F.when(F.col("c_custkey") % 4 == 0, F.lit(date(2024, 3, 1))).otherwise(F.col("upd")))}
+    assert initial_load(spark, specs, v1.__getitem__, root, run_ts=datetime(2024, 1, 1)).ok
+    for i, v in enumerate((v2, v2, v3), 2):
+        res = incremental_load(spark, specs, v.__getitem__, root, run_ts=datetime(2024, 1, i))
+        assert res.ok, res.failures
+        for name, d, t in (("hdr", "updatedate", "updatets"), ("cust", "upd", "updts")):
+            table = RawTable(spark, root, name)
+            found, kept = table.cached_top(d, t)
+            scanned = top_value(table.read(), d, t)
+            if found:
+                assert kept == scanned, (i, name, kept, scanned)
+            assert read_mark(table, d, t) is not None
+    assert RawTable(spark, root, "cust").cached_top("upd", "updts")[0]  # kept across keyed loads

@@ -29,7 +29,7 @@ def append_composite(
     mark = mark if mark is not None else read_composite_mark(raw, date_col, time_col)
     pred = None if mark.empty else newer_than_composite(date_col, time_col, mark)
     batch = stamp(where_opt(source, pred), run_ts)
-    return LoadPlan(kept=raw, batch=batch, kind="append")
+    return LoadPlan(kept=raw, batch=batch, kind="append", mark=(date_col, time_col, mark))
 
 
 def append_day(
@@ -58,4 +58,4 @@ def append_day(
             kept=raw.where(~gone), batch=batch, kind="predicate", delete_pred=gone,
             delete_days=(date_col, mark.day, mark.day),
         )
-    return LoadPlan(kept=raw, batch=batch, kind="append")
+    return LoadPlan(kept=raw, batch=batch, kind="append", mark=(local_col, None, mark))

@@ -123,6 +123,9 @@ class LoadPlan:
     # ``column`` day in this range -- lets a day-partitioned sink rewrite only
     # those days instead of scanning the table.
     delete_days: tuple | None = None
+    # (date column, time column or None, mark that selected the batch): lets
+    # the sink keep the table's newest mark up to date without a scan
+    mark: tuple | None = None
 
     def result(self) -> DataFrame:
         """The new raw table as one DataFrame (kept UNION ALL batch)."""

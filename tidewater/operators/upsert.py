@@ -39,4 +39,7 @@ def upsert(
         batch = newest_per_key(batch, keys, [date_col] + ([time_col] if time_col else []))
     batch = stamp(batch, run_ts)
     kept = delete_by_key(raw, batch, keys, broadcast=broadcast)
-    return LoadPlan(kept=kept, batch=batch, kind="keyed", delete_keys=list(keys), delete_ids=batch)
+    return LoadPlan(
+        kept=kept, batch=batch, kind="keyed", delete_keys=list(keys), delete_ids=batch,
+        mark=(date_col, time_col, mark),
+    )

@@ -17,7 +17,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.marks import Mark, read_composite_mark, read_day_mark
+from tidewater.functions.marks import Mark, mark_from_top, top_value
 from tidewater.functions.predicates import mark_sql
 from tidewater.functions.typemap import cast_columns
 from tidewater.operators import (
@@ -79,8 +79,13 @@ def mark_scope(table: RawTable, col: str) -> DataFrame:
 
 
 def read_mark(table: RawTable, date_col: str, time_col: str | None) -> Mark:
-    scope = mark_scope(table, date_col)
-    return read_composite_mark(scope, date_col, time_col) if time_col else read_day_mark(scope, date_col)
+    """The table's newest mark: kept in its metadata by earlier publishes when
+    they could keep it exact, else one aggregate over ``mark_scope`` (then kept)."""
+    found, top = table.cached_top(date_col, time_col)
+    if not found:
+        top = top_value(mark_scope(table, date_col), date_col, time_col)
+        table.cache_top(date_col, time_col, top)
+    return mark_from_top(top, time_col is not None)
 
 
 def _source(spec: TableSpec, read_source: SourceReader) -> DataFrame:

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.functions.marks import mark_from_top, top_expr, top_from_json, top_max, top_to_json
 from tidewater.functions.predicates import INGEST_COL
 from tidewater.operators.common import LoadPlan, delete_by_key, empty_like
 from tidewater.operators.schema import align_to, missing_columns
@@ -243,7 +244,7 @@ class RawTable:
         for k, v in (extra or {}).items():
             df = df.withColumn(k, v)
         obs = Observation(f"stage_{uuid.uuid4().hex[:8]}")
-        metrics = [F.count(F.lit(1)).alias("rows")]
+        metrics = [F.count(F.lit(1)).alias("rows"), *self._mark_metrics(df)]
         col = self.layout.column
         if col and col in df.columns:
             metrics.append(F.collect_set(col).alias("parts"))
@@ -251,6 +252,8 @@ class RawTable:
         out.observe(obs, *metrics).write.mode("overwrite").parquet(path)
         self._staged_paths.append(path)
         got = obs.get
+        if "top" in got and not getattr(self, "_got", None):
+            self._got = {"top": got["top"]}
         staged = self.spark.read.schema(df.schema).parquet(path)
         return staged, int(got.get("rows", 0)), list(got.get("parts") or [])
 
@@ -262,9 +265,14 @@ class RawTable:
 
     def publish(self, plan: LoadPlan) -> int:
         """Apply a load plan to the table; return the rows inserted."""
+        self._mark_cols = plan.mark[:2] if plan.mark is not None else None
+        self._got: dict = {}
         try:
-            return self._publish(plan)
+            rows = self._publish(plan)
+            self._after_publish(plan, self._got)
+            return rows
         finally:
+            self._mark_cols = None
             for p in self._staged_paths:
                 _delete(self.spark, p)
             self._staged_paths.clear()
@@ -328,18 +336,68 @@ class RawTable:
 
     def _counted(self, df: DataFrame):
         """``df`` rebalanced on the partition column and observed for its row
-        count; returns the frame to write and the ``Observation``."""
+        count (and the batch's newest mark); returns the frame and ``Observation``."""
         col = self.layout.column
         obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
         out = df.hint("rebalance", col) if col else df
-        return out.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+        return out.observe(obs, F.count(F.lit(1)).alias("rows"), *self._mark_metrics(df)), obs
+
+    # -- newest mark kept with the table ----------------------------------------
+    _mark_cols: tuple | None = None
+
+    def _mark_metrics(self, df: DataFrame) -> list:
+        mc = self._mark_cols
+        if mc and mc[0] in df.columns and (mc[1] is None or mc[1] in df.columns):
+            return [top_expr(mc[0], mc[1]).alias("top")]
+        return []
+
+    @staticmethod
+    def _mark_key(date_col: str, time_col: str | None) -> str:
+        return f"mark:{date_col.upper()}|{(time_col or '').upper()}"
+
+    def cached_top(self, date_col: str, time_col: str | None):
+        """(found, raw newest (d, t)) kept by earlier publishes."""
+        values = self._meta().get("values", {})
+        key = self._mark_key(date_col, time_col)
+        return (key in values), top_from_json(values.get(key))
+
+    def cache_top(self, date_col: str, time_col: str | None, top) -> None:
+        self.set_meta_value(self._mark_key(date_col, time_col), top_to_json(top))
+
+    def _after_publish(self, plan: LoadPlan, got: dict) -> None:
+        """Keep the newest mark exact without a scan where the load allows it;
+        drop every other cached mark (it may have moved)."""
+        meta = self._meta()
+        values = {k: v for k, v in meta.get("values", {}).items() if not k.startswith("mark:")}
+        if plan.mark is not None and "top" in got:
+            d, t, basis = plan.mark
+            key = self._mark_key(d, t)
+            old_known = key in meta.get("values", {})
+            old = top_from_json(meta.get("values", {}).get(key))
+            batch_top = got.get("top")
+            batch_top = None if batch_top is None else (batch_top["d"], batch_top["t"])
+            new = None
+            if plan.kind == "overwrite":
+                new = (True, batch_top)
+            elif plan.kind == "append" and old_known:
+                new = (True, top_max(old, batch_top))
+            elif plan.kind == "keyed" and old_known and basis is not None and not basis.empty \
+                    and mark_from_top(old, t is not None) == basis:
+                # every batch row is at or past the old newest mark, so deleting
+                # rows of batch keys cannot leave an older newest row behind
+                new = (True, top_max(old, batch_top))
+            if new is not None:
+                values[key] = top_to_json(new[1])
+        meta["values"] = values
+        _write_text(self.spark, f"{self.path}/{META_FILE}", json.dumps(meta))
 
     def _append_rows(self, df: DataFrame) -> int:
         col = self.layout.column
         out, obs = self._counted(df)
         w = out.write.mode("append")
         (w.partitionBy(col) if col else w).parquet(self.path)
-        return int(obs.get.get("rows", 0))
+        self._got = dict(obs.get)
+        return int(self._got.get("rows", 0))
 
     def _partition_values(self) -> list:
         """Partition values present on storage (a directory listing, no scan)."""
@@ -396,7 +454,8 @@ class RawTable:
         _rename(self.spark, self.path, old)
         _rename(self.spark, fresh, self.path)
         _delete(self.spark, old)
-        return int(obs.get.get("rows", 0))
+        self._got = dict(obs.get)
+        return int(self._got.get("rows", 0))
 
     def truncate(self) -> None:
         """Empty the table (schema and layout kept)."""
