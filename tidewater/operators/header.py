@@ -31,7 +31,8 @@ class HeaderRef:
 
 def capture_header_marks(
     refs: Iterable[HeaderRef],
-    read_raw: Callable[[HeaderRef], DataFrame],
+    read_raw: Callable[[HeaderRef], DataFrame] | None = None,
+    mark_of: Callable[[HeaderRef], Mark] | None = None,
 ) -> dict[HeaderRef, Mark | Exception]:
     """Read every needed header mark before any write of the run.
 
@@ -40,13 +41,18 @@ def capture_header_marks(
     cannot be read yields its exception as the value: only the line tables that
     depend on it fail, not the whole run (trap 11 fix). An empty raw header
     yields ``Mark.none()`` -- captured, and meaning "load every line" (trap 10).
-    ``read_raw(ref)`` returns the raw header rows that can hold the mark.
+    ``read_raw(ref)`` returns the raw header rows that can hold the mark;
+    ``mark_of(ref)``, when given, returns the mark directly (a sink that keeps
+    marks in table metadata).
     """
     marks: dict[HeaderRef, Mark | Exception] = {}
     for ref in refs:
         if ref in marks:
             continue
         try:
+            if mark_of is not None:
+                marks[ref] = mark_of(ref)
+                continue
             raw = read_raw(ref)
             marks[ref] = (
                 read_composite_mark(raw, ref.date_col, ref.time_col)

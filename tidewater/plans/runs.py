@@ -167,7 +167,7 @@ def incremental_load(
     supplied = dict(header_marks or {})
     header_marks = capture_header_marks(
         [r for r in refs if r not in supplied],
-        lambda ref: mark_scope(_existing(RawTable(spark, root, ref.table)), ref.date_col),
+        mark_of=lambda ref: read_mark(_existing(RawTable(spark, root, ref.table)), ref.date_col, ref.time_col),
     )
     header_marks.update(supplied)
     for spec in selected:

@@ -145,6 +145,37 @@ class RawTable:
         self.broadcast_bytes = DEFAULT_BROADCAST_BYTES
         self._staged_paths: list[str] = []
         self.last_write: DataFrame | None = None
+        self._recover()
+
+    def _recover(self) -> None:
+        """Finish a whole-table swap cut short by a crash.
+
+        The new copy (data and metadata) is complete before the first rename,
+        so a run that died between the renames is rolled forward; leftovers of
+        either side are then removed.
+        """
+        fs, root, jvm = _jvm_fs(self.spark, self.root)
+        if not fs.exists(root):
+            return
+        fresh, old = [], []
+        for st in fs.listStatus(root):
+            n = st.getPath().getName()
+            if n.startswith(f".{self.name}.new-"):
+                fresh.append(st.getPath().toString())
+            elif n.startswith(f".{self.name}.old-"):
+                old.append(st.getPath().toString())
+        if not fresh and not old:
+            return
+        if not _path_exists(self.spark, self.path):
+            done = [f for f in fresh if _path_exists(self.spark, f"{f}/{META_FILE}")]
+            if done:
+                _rename(self.spark, done[0], self.path)
+                fresh.remove(done[0])
+            elif old:  # nothing new was complete: put the old copy back
+                _rename(self.spark, old[0], self.path)
+                old.remove(old[0])
+        for p in fresh + old:
+            _delete(self.spark, p)
 
     # -- catalog ------------------------------------------------------------
     def exists(self) -> bool:
