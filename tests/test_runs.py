@@ -239,3 +239,42 @@ def test_swap_cut_short_is_rolled_forward(spark, scratch):
     import os
 
     assert not [n for n in os.listdir(root) if n.startswith(".nat.")]
+
+
+def test_reference_vocabulary_settings():
+    from tidewater.plans.settings import specs_from_yaml
+
+    text = """
+HDR:
+  tipo: tabela
+  estrategia: incremental_append
+  chave_primaria: [DocEntry]
+  coluna_watermark: UpdateDate
+  coluna_watermark_ts: UpdateTS
+  coluna_watermark_local: _ingestao_em
+  carga_inicial: {inicio: "2023-01-01", fim: null, janela_meses: 3}
+  colunas: [DocEntry, UpdateDate, UpdateTS]
+LIN:
+  estrategia: incremental_via_cabecalho
+  chave_primaria: [DocEntry, LineNum]
+  tabela_cabecalho: HDR
+  coluna_watermark_cabecalho: UpdateDate
+  coluna_watermark_cabecalho_ts: UpdateTS
+STK:
+  estrategia: snapshot_diario
+  frequencia: semanal
+REF:
+  chave_primaria: [ID]
+"""
+    hdr, lin, stk, ref = specs_from_yaml(text)
+    assert (hdr.strategy, hdr.mark_col, hdr.mark_time_col, hdr.local_mark_col) == (
+        "append", "UpdateDate", "UpdateTS", "_ingested_at")
+    assert hdr.initial.start == date(2023, 1, 1) and hdr.initial.months == 3 and hdr.columns[0] == "DocEntry"
+    assert (lin.strategy, lin.doc_key, lin.header_table, lin.header_mark_time_col) == (
+        "replace_by_header", "DocEntry", "HDR", "UpdateTS")
+    assert (stk.strategy, stk.frequency) == ("daily_snapshot", "weekly")
+    assert ref.strategy == "full_reload" and ref.frequency == "daily"
+    import pytest
+
+    with pytest.raises(ValueError):
+        specs_from_yaml("X:\n  estrategia: mystery\n")

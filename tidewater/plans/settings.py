@@ -123,3 +123,68 @@ def spec_from_mapping(name: str, cfg: Mapping) -> TableSpec:
             for m in (cfg.get("metadata") or ())
         ),
     )
+
+
+# The reference's configuration vocabulary, mapped to ours, so an
+# existing table configuration can be loaded as is.
+#   keys:       tipo, estrategia, chave_primaria, coluna_watermark,
+#               coluna_watermark_ts, coluna_watermark_local, append_idempotente,
+#               tabela_cabecalho, coluna_watermark_cabecalho,
+#               coluna_watermark_cabecalho_ts, colunas, carga_inicial
+#               (inicio, fim, janela_meses), frequencia
+#   strategies: incremental_append, incremental_upsert, incremental_via_cabecalho,
+#               full_reload, snapshot_diario
+#   frequencies: diaria, semanal
+#   ingest column: _ingestao_em
+#   document key of header-driven lines: DocEntry
+REFERENCE_STRATEGIES = {
+    "incremental_append": APPEND,
+    "incremental_upsert": UPSERT,
+    "incremental_via_cabecalho": BY_HEADER,
+    "full_reload": FULL_RELOAD,
+    "snapshot_diario": SNAPSHOT,
+}
+REFERENCE_FREQUENCIES = {"diaria": "daily", "semanal": "weekly"}
+REFERENCE_INGEST_COL = "_ingestao_em"
+REFERENCE_DOC_KEY = "DocEntry"
+
+
+def spec_from_reference(name: str, cfg: Mapping) -> TableSpec:
+    """A spec from one table entry written in the reference's vocabulary.
+
+    A missing strategy is a full reload (as there); an unknown one raises. The
+    reference's ingest column maps to ``_ingested_at``; header-driven lines use
+    the reference's fixed document key unless ``doc_key`` is given.
+    """
+    strategy = cfg.get("estrategia") or "full_reload"
+    if strategy not in REFERENCE_STRATEGIES:
+        raise ValueError(f"{name}: unknown strategy {strategy!r}")
+    local = cfg.get("coluna_watermark_local")
+    ini = cfg.get("carga_inicial") or {}
+    mapped = {
+        "strategy": REFERENCE_STRATEGIES[strategy],
+        "columns": cfg.get("colunas") or [],
+        "keys": cfg.get("chave_primaria") or [],
+        "mark_col": cfg.get("coluna_watermark"),
+        "mark_time_col": cfg.get("coluna_watermark_ts"),
+        "local_mark_col": "_ingested_at" if local == REFERENCE_INGEST_COL else local,
+        "idempotent": cfg.get("append_idempotente", False),
+        "header_table": cfg.get("tabela_cabecalho"),
+        "header_mark_col": cfg.get("coluna_watermark_cabecalho"),
+        "header_mark_time_col": cfg.get("coluna_watermark_cabecalho_ts"),
+        "doc_key": cfg.get("doc_key") or (REFERENCE_DOC_KEY if strategy == "incremental_via_cabecalho" else None),
+        "initial": {"start": ini.get("inicio"), "end": ini.get("fim"), "months": ini.get("janela_meses")},
+        "frequency": REFERENCE_FREQUENCIES.get(cfg.get("frequencia") or "diaria", cfg.get("frequencia")),
+    }
+    return spec_from_mapping(name, mapped)
+
+
+def specs_from_yaml(text: str, reference_vocabulary: bool = True) -> list[TableSpec]:
+    """Table specs, in file order, from YAML text (needs PyYAML)."""
+    try:
+        import yaml
+    except ImportError as exc:  # pragma: no cover - optional dependency
+        raise RuntimeError("PyYAML is needed to read YAML settings") from exc
+    data = yaml.safe_load(text) or {}
+    build = spec_from_reference if reference_vocabulary else spec_from_mapping
+    return [build(name, cfg or {}) for name, cfg in data.items()]
