@@ -278,3 +278,15 @@ REF:
 
     with pytest.raises(ValueError):
         specs_from_yaml("X:\n  estrategia: mystery\n")
+
+
+def test_window_slices_give_the_same_table(spark, scratch):
+    v1 = {"hdr": fx.header_raw(spark, SF).drop("_ingested_at")}
+    out = []
+    for label, per_job in (("one", None), ("sliced", 5)):
+        spec = TableSpec("hdr", "append", mark_col="updatedate", mark_time_col="updatets",
+                         initial=InitialLoad(date(1995, 1, 1), date(2001, 12, 31), 3, per_job))
+        res = initial_load(spark, [spec], v1.__getitem__, f"{scratch}/{label}", run_ts=datetime(2024, 1, 1))
+        assert res.ok, res.failures
+        out.append((res.rows["hdr"], _bag(RawTable(spark, f"{scratch}/{label}", "hdr").read(), HDR_COLS)))
+    assert out[0] == out[1] and out[0][0] == v1["hdr"].count()

@@ -186,20 +186,27 @@ def _existing(table: RawTable) -> RawTable:
 def initial_plan(
     spec: TableSpec, table: RawTable, source: DataFrame, read_source: SourceReader,
     run_ts: datetime, today: date,
-) -> LoadPlan:
+):
     """R1 choice for one table: windows on the table's own mark, windows on the
     header's mark, else a whole load whose re-run rule follows the strategy."""
     ini = spec.initial
     raw = table.read()
-    if ini.start and ini.months and spec.mark_col:
-        wins = make_windows(ini.start, ini.end or today, ini.months)
-        return load_windows(raw, source, spec.mark_col, wins, ini.months, run_ts)
-    if ini.start and ini.months and spec.header_table and spec.header_mark_col:
+    if ini.start and ini.months and (spec.mark_col or (spec.header_table and spec.header_mark_col)):
         wins = make_windows(ini.start, ini.end or today, ini.months)
-        return load_window_by_header(
-            raw, source, read_source(spec.header_table), spec.doc_key, spec.header_mark_col,
-            wins, ini.months, run_ts, header_key=spec.header_key,
-        )
+        step = ini.windows_per_job or max(len(wins), 1)
+        slices = [wins[i:i + step] for i in range(0, len(wins), step)]
+
+        def plans():  # built one at a time, each after the previous slice is published
+            for part in slices:
+                if spec.mark_col:
+                    yield load_windows(table.read(), source, spec.mark_col, part, ini.months, run_ts)
+                else:
+                    yield load_window_by_header(
+                        table.read(), source, read_source(spec.header_table), spec.doc_key,
+                        spec.header_mark_col, part, ini.months, run_ts, header_key=spec.header_key,
+                    )
+
+        return plans()
     if spec.strategy == FULL_RELOAD:
         return full_reload(raw, source, run_ts)
     if spec.strategy == UPSERT:
@@ -249,7 +256,9 @@ def _run_one(spark, spec, root, audit, result, run_ts, make_plan, read_source, c
         table.add_missing_columns(source.schema)
         if audit:
             audit.start(*args)
-        rows = table.publish(make_plan(table, source))
+        planned = make_plan(table, source)
+        plans = [planned] if isinstance(planned, LoadPlan) else planned
+        rows = sum(table.publish(p) for p in plans)
         result.rows[spec.name] = rows
         if audit:
             audit.success(*args, rows=rows)

@@ -24,6 +24,9 @@ class InitialLoad:
     start: date | None = None
     end: date | None = None
     months: int | None = None
+    # publish every N windows (None: all windows in one pass). Each slice is
+    # its own job and commit, so a failure loses at most one slice of work.
+    windows_per_job: int | None = None
 
 
 @dataclass(frozen=True)
@@ -113,7 +116,8 @@ def spec_from_mapping(name: str, cfg: Mapping) -> TableSpec:
         header_mark_time_col=cfg.get("header_mark_time_col"),
         doc_key=cfg.get("doc_key"),
         header_key=cfg.get("header_key"),
-        initial=InitialLoad(_d(ini.get("start")), _d(ini.get("end")), ini.get("months")),
+        initial=InitialLoad(_d(ini.get("start")), _d(ini.get("end")), ini.get("months"),
+                            ini.get("windows_per_job")),
         frequency=cfg.get("frequency") or "daily",
         buckets=int(cfg.get("buckets") or 64),
         period_grain=cfg.get("period_grain") or "month",
