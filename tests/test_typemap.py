@@ -73,3 +73,12 @@ def test_column_match_is_case_insensitive_ordered_and_strict_when_empty():
     assert match_columns(["a", "b"], []) == ["a", "b"]
     with pytest.raises(ValueError):
         match_columns(["a"], ["x"])
+
+
+def test_time_as_text_from_timestamp_or_text(spark):
+    df = spark.sql(
+        "select timestamp_ntz'2024-01-01 10:11:12' a, timestamp_ntz'2024-01-01 10:11:12.5' b, '07:08:09' c"
+    )
+    cols = [SourceColumn(n, "TIME", position=i) for i, n in enumerate("abc")]
+    row = typed_projection(df, cols).collect()[0]
+    assert (row.a, row.b, row.c) == ("10:11:12", "10:11:12.500000", "07:08:09")

@@ -124,6 +124,17 @@ _SIMPLE = {
 }
 
 
+def _time_text(df: DataFrame, name: str):
+    """TIME as 'HH:mm:ss[.ffffff]' text: formatted from a timestamp (JDBC
+    reads TIME as one), passed through when the source already gives text."""
+    c = F.col(name)
+    if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType)):
+        return F.when(F.date_format(c, "SSSSSS") == "000000", F.date_format(c, "HH:mm:ss")).otherwise(
+            F.date_format(c, "HH:mm:ss.SSSSSS")
+        )
+    return c.cast("string")
+
+
 def source_schema(columns: list[SourceColumn]) -> T.StructType:
     """Ordered ``StructType``; every raw column is nullable."""
     return T.StructType([T.StructField(c.name, map_type(c), True) for c in columns])
@@ -153,7 +164,7 @@ def typed_projection(df: DataFrame, columns: list[SourceColumn]) -> DataFrame:
             continue
         src = F.col(present[c.name.upper()])
         if str(c.type_name).upper() == "TIME":
-            src = F.date_format(src, "HH:mm:ss")
+            src = _time_text(df, present[c.name.upper()])
         exprs.append(src.cast(map_type(c)).alias(c.name))
     if not exprs:
         raise ValueError("no metadata column is present in the data")
@@ -170,6 +181,6 @@ def cast_columns(df: DataFrame, columns: list[SourceColumn]) -> DataFrame:
         if m is None:
             exprs.append(F.col(name))
             continue
-        src = F.date_format(F.col(name), "HH:mm:ss") if str(m.type_name).upper() == "TIME" else F.col(name)
+        src = _time_text(df, name) if str(m.type_name).upper() == "TIME" else F.col(name)
         exprs.append(src.cast(map_type(m)).alias(name))
     return df.select(*exprs)
