@@ -82,3 +82,14 @@ def test_time_as_text_from_timestamp_or_text(spark):
     cols = [SourceColumn(n, "TIME", position=i) for i, n in enumerate("abc")]
     row = typed_projection(df, cols).collect()[0]
     assert (row.a, row.b, row.c) == ("10:11:12", "10:11:12.500000", "07:08:09")
+
+
+def test_declared_width_is_enforced(spark):
+    df = spark.createDataFrame([("abc",), ("abcdef",)], "v string")
+    ok = typed_projection(df, [SourceColumn("v", "NVARCHAR", 6, position=1)])
+    assert sorted(r.v for r in ok.collect()) == ["abc", "abcdef"]
+    too_long = typed_projection(df, [SourceColumn("v", "NVARCHAR", 5, position=1)])
+    with pytest.raises(Exception, match="longer than 5"):
+        too_long.collect()
+    loose = typed_projection(df, [SourceColumn("v", "NVARCHAR", 5, position=1)], enforce_width=False)
+    assert loose.count() == 2

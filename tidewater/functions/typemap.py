@@ -124,6 +124,28 @@ _SIMPLE = {
 }
 
 
+def declared_width(col: SourceColumn) -> int | None:
+    """Declared text width (VARCHAR(n) / CHAR(n)), or None when unbounded."""
+    ddl = ddl_type(col)
+    if ddl.startswith(("VARCHAR(", "CHAR(")):
+        return int(ddl[ddl.index("(") + 1:-1])
+    return None
+
+
+def _typed(df: DataFrame, name: str, meta: SourceColumn, enforce_width: bool):
+    """One column cast by the type map; text longer than its declared width
+    fails the load, as an insert into the declared column would."""
+    if str(meta.type_name).upper() == "TIME":
+        out = _time_text(df, name)
+    else:
+        out = F.col(name).cast(map_type(meta))
+    width = declared_width(meta) if enforce_width else None
+    if width is not None:
+        msg = f"value longer than {width} characters in column {meta.name}"
+        out = F.when(F.length(out) > width, F.raise_error(F.lit(msg))).otherwise(out)
+    return out.alias(meta.name)
+
+
 def _time_text(df: DataFrame, name: str):
     """TIME as 'HH:mm:ss[.ffffff]' text: formatted from a timestamp (JDBC
     reads TIME as one), passed through when the source already gives text."""
@@ -153,7 +175,7 @@ def match_columns(available: list[str], configured: list[str]) -> list[str]:
     return found
 
 
-def typed_projection(df: DataFrame, columns: list[SourceColumn]) -> DataFrame:
+def typed_projection(df: DataFrame, columns: list[SourceColumn], enforce_width: bool = True) -> DataFrame:
     """One ``select`` that keeps the metadata's columns, in position order,
     cast to their mapped types. Metadata rows absent in ``df`` are dropped."""
     ordered = sorted(columns, key=lambda c: (c.position is None, c.position or 0))
@@ -162,16 +184,13 @@ def typed_projection(df: DataFrame, columns: list[SourceColumn]) -> DataFrame:
     for c in ordered:
         if c.name.upper() not in present:
             continue
-        src = F.col(present[c.name.upper()])
-        if str(c.type_name).upper() == "TIME":
-            src = _time_text(df, present[c.name.upper()])
-        exprs.append(src.cast(map_type(c)).alias(c.name))
+        exprs.append(_typed(df, present[c.name.upper()], c, enforce_width))
     if not exprs:
         raise ValueError("no metadata column is present in the data")
     return df.select(*exprs)
 
 
-def cast_columns(df: DataFrame, columns: list[SourceColumn]) -> DataFrame:
+def cast_columns(df: DataFrame, columns: list[SourceColumn], enforce_width: bool = True) -> DataFrame:
     """S8 keeping ``df``'s column order (the configured order, T4): columns
     with a metadata row are cast to their mapped type, others stay as read."""
     meta = {c.name.upper(): c for c in columns}
@@ -181,6 +200,5 @@ def cast_columns(df: DataFrame, columns: list[SourceColumn]) -> DataFrame:
         if m is None:
             exprs.append(F.col(name))
             continue
-        src = _time_text(df, name) if str(m.type_name).upper() == "TIME" else F.col(name)
-        exprs.append(src.cast(map_type(m)).alias(name))
+        exprs.append(_typed(df, name, m, enforce_width).alias(name))
     return df.select(*exprs)
