@@ -182,12 +182,19 @@ class RawTable:
         return _path_exists(self.spark, f"{self.path}/{META_FILE}")
 
     def _meta(self) -> dict:
-        return json.loads(_read_text(self.spark, f"{self.path}/{META_FILE}"))
+        """The table's metadata, read once and then kept until this object
+        writes it again (``publish`` refreshes it first)."""
+        if getattr(self, "_meta_cache", None) is None:
+            self._meta_cache = json.loads(_read_text(self.spark, f"{self.path}/{META_FILE}"))
+        return json.loads(json.dumps(self._meta_cache))
+
+    def _write_meta(self, meta: dict) -> None:
+        _write_text(self.spark, f"{self.path}/{META_FILE}", json.dumps(meta))
+        self._meta_cache = meta
 
     def _save_meta(self, schema: T.StructType, layout: Layout) -> None:
         values = self._meta().get("values", {}) if self.exists() else {}
-        text = json.dumps({"schema": json.loads(schema.json()), "layout": layout.to_json(), "values": values})
-        _write_text(self.spark, f"{self.path}/{META_FILE}", text)
+        self._write_meta({"schema": json.loads(schema.json()), "layout": layout.to_json(), "values": values})
 
     def meta_value(self, key: str):
         """A small value kept with the table (e.g. a stream's last epoch)."""
@@ -196,7 +203,7 @@ class RawTable:
     def set_meta_value(self, key: str, value) -> None:
         meta = self._meta()
         meta.setdefault("values", {})[key] = value
-        _write_text(self.spark, f"{self.path}/{META_FILE}", json.dumps(meta))
+        self._write_meta(meta)
 
     @property
     def schema(self) -> T.StructType:
@@ -296,6 +303,7 @@ class RawTable:
 
     def publish(self, plan: LoadPlan) -> int:
         """Apply a load plan to the table; return the rows inserted."""
+        self._meta_cache = None  # re-read: another job may have changed the table
         self._mark_cols = plan.mark[:2] if plan.mark is not None else None
         self._got: dict = {}
         try:
@@ -420,7 +428,7 @@ class RawTable:
             if new is not None:
                 values[key] = top_to_json(new[1])
         meta["values"] = values
-        _write_text(self.spark, f"{self.path}/{META_FILE}", json.dumps(meta))
+        self._write_meta(meta)
 
     def _append_rows(self, df: DataFrame) -> int:
         col = self.layout.column
