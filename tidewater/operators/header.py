@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidewater.functions.marks import Mark, read_composite_mark, read_day_mark
 from tidewater.functions.predicates import newer_than
@@ -76,6 +77,7 @@ def replace_by_header(
     header_time_col: str | None = None,
     delete_from: str = "lines",
     broadcast: bool | None = None,
+    id_range_prefilter: bool = True,
 ) -> LoadPlan:
     """Reload the lines of every header changed since ``header_mark``.
 
@@ -87,6 +89,12 @@ def replace_by_header(
     ``delete_from="lines"`` (the reference's behaviour) takes the delete set
     from the fetched lines, so a changed document that now has no line keeps
     its old lines; ``"headers"`` deletes by changed header instead.
+
+    ``id_range_prefilter`` first reads the changed headers' lowest and highest
+    document id (one small aggregate) and adds ``doc BETWEEN lo AND hi`` to
+    the line scan: a literal range reaches the Parquet scan, whose row-group
+    statistics then skip lines outside it. It only narrows what the semi-join
+    keeps anyway, so the result is unchanged.
     """
     header_key = header_key or doc_key
     pred = newer_than(header_mark, header_date_col, header_time_col)
@@ -95,7 +103,14 @@ def replace_by_header(
         changed = source_headers
     else:
         changed = source_headers.where(pred)
-        batch = semi_by_key(source_lines, changed, doc_key, header_key, broadcast=broadcast)
+        lines = source_lines
+        if id_range_prefilter:
+            lo_hi = changed.agg(F.min(header_key).alias("lo"), F.max(header_key).alias("hi")).first()
+            if lo_hi is None or lo_hi["lo"] is None:
+                lines = source_lines.where(F.lit(False))  # no changed header: no line
+            else:
+                lines = source_lines.where(F.col(doc_key).between(F.lit(lo_hi["lo"]), F.lit(lo_hi["hi"])))
+        batch = semi_by_key(lines, changed, doc_key, header_key, broadcast=broadcast)
     batch = stamp(batch, run_ts)
     if delete_from == "headers":
         kept = delete_by_key(raw_lines, changed, [header_key], broadcast=broadcast, raw_keys=[doc_key])
