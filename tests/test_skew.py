@@ -62,3 +62,30 @@ def test_hot_key_dedupe_is_exact(spark):
     assert rows == raw.select("k").distinct().count()
     best = raw.where("k = 0").orderBy(F.col("d").desc(), F.col("v").desc()).first()
     assert len(hot) == 1 and (hot[0].d, hot[0].v) == (best.d, best.v)
+
+
+def test_hot_period_is_written_by_several_tasks(spark, scratch):
+    import os
+
+    from tidewater.operators import append_composite
+    from tidewater.plans.settings import TableSpec
+    from tidewater.sources.sink import RawTable
+
+    n = 60000
+    src = spark.range(n).select(
+        F.col("id").alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit("2024-01-15").cast("date"))
+        .otherwise(F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 1000).cast("int")))
+        .alias("d"),
+        (F.col("id") % 86400).cast("int").alias("t"),
+        F.sha2(F.col("id").cast("string"), 256).alias("pad"),
+    )
+    table = RawTable(spark, f"{scratch}/raw", "hot")
+    table.create_if_missing(src.schema, TableSpec("hot", "append", mark_col="d", mark_time_col="t").layout())
+    small = dict(SKEW_CONF, **{"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(64 * 1024)})
+    with conf(spark, small):
+        rows = table.publish(append_composite(table.read(), src, "d", "t", "2024-02-01 00:00:00"))
+    assert rows == n and table.read().count() == n
+    hot_dir = f"{scratch}/raw/hot/_period=2024-01-01"
+    files = [f for f in os.listdir(hot_dir) if f.endswith(".parquet")]
+    assert len(files) > 1, files  # the hot month was split across tasks, not written by one
