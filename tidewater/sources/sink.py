@@ -1,22 +1,24 @@
-"""The raw table: a partitioned Parquet directory plus a small schema file.
-
-Writes follow one rule: the batch is staged once (materialised under the
-shared ``spark.checkpoint.dir``, counted on the way by an ``Observation``),
-and the table then changes in one Spark write:
-
-* ``append``     -> the staged batch is appended (files appear at job commit);
-* ``keyed``      -> only the hash buckets the batch touches are rewritten
-                    (dynamic partition overwrite), with the keyed delete as an
-                    anti-join against the staged keys;
-* ``predicate``  -> only the day partitions the delete can reach are
-                    rewritten, without scanning other days;
+"""The raw table: a partitioned Parquet directory plus a small metadata file.
+
+Each publish is one Spark write, counted on the way by an ``Observation``:
+
+* ``append``     -> the batch is appended (files appear at job commit);
 * ``overwrite``  -> the new table is written beside the old one and swapped in
-                    by two renames.
+                    by two renames (rolled forward if a crash cuts it short);
+* ``keyed``      -> the batch is staged once under the shared
+                    ``spark.checkpoint.dir``; only the hash buckets it touches
+                    are read and rewritten (dynamic partition overwrite), the
+                    keyed delete being an anti-join against the staged keys,
+                    broadcast when their measured size allows;
+* ``predicate``  -> likewise staged; only the periods the delete can reach are
+                    rewritten, found by a directory listing, not a scan.
 
 Partitions whose new content is empty are dropped explicitly: a dynamic
 overwrite alone would leave their old rows in place. Reads and writes of the
 same table in one job are safe because Spark's commit protocol moves files
 only after every task has finished; a lost executor just re-runs its tasks.
+The metadata file holds the declared schema (it only grows), the layout, and
+the table's newest mark where the publishes could keep it exact.
 """
 
 from __future__ import annotations
