@@ -1,8 +1,9 @@
 """Run drivers: initial load (R1) and incremental load (R2).
 
-The driver loop only sequences tables; every table's work is Spark jobs (one
-small mark aggregate, one staging write, one publish write). A table that
-fails is logged and skipped; the others go on.
+The driver loop only sequences tables; every table's work is Spark jobs: a
+mark read (from the table's metadata, else one small aggregate), then one
+write, or a staging write plus a partition-scoped rewrite. A table that fails
+is logged and skipped; the others go on, and the result lists every failure.
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ SourceReader = Callable[[str], DataFrame]
 
 @dataclass
 class RunResult:
+    """Outcome of one run: rows and seconds per table, and failures by table."""
+
     run_id: str
     started_at: datetime
     finished_at: datetime | None = None
