@@ -94,3 +94,37 @@ def test_header_semi_join_pushed_into_source(spark, scratch):
         lines = RawTable(spark, root, "lines").read()
         results.append(sorted(tuple(r) for r in lines.drop("_ingested_at").collect()))
     assert results[0] == results[1]
+
+
+class WindowedSource(SqlSource):
+    """Shaped like ``JdbcSource``: reads history one partition per window."""
+
+    def __init__(self, spark, frames):
+        super().__init__(spark, frames)
+        self.window_reads = []
+
+    def read_windows(self, name, col, windows):
+        from functools import reduce
+
+        self.window_reads.append((name, len(windows)))
+        parts = [
+            self.spark.table(f"src_{name}").where(f"`{col}` >= '{w.start}' AND `{col}` <= '{w.end}'") for w in windows
+        ]
+        return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def test_history_read_one_task_per_window(spark, scratch):
+    from datetime import datetime
+
+    from tidewater.plans import fixtures as fx
+    from tidewater.plans.runs import initial_load
+    from tidewater.plans.settings import InitialLoad
+
+    hdr = fx.header_raw(spark, SF).drop("_ingested_at")
+    spec = TableSpec("hdr", "append", mark_col="updatedate", mark_time_col="updatets",
+                     initial=InitialLoad(date(1995, 1, 1), date(2001, 12, 31), 12, 3))
+    reader = WindowedSource(spark, {"hdr": hdr})
+    res = initial_load(spark, [spec], reader, f"{scratch}/raw", run_ts=datetime(2024, 1, 1))
+    assert res.ok, res.failures
+    assert reader.window_reads == [("hdr", 3), ("hdr", 3), ("hdr", 1)]
+    assert RawTable(spark, f"{scratch}/raw", "hdr").read().count() == hdr.count()

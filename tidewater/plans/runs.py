@@ -94,7 +94,11 @@ def read_mark(table: RawTable, date_col: str, time_col: str | None) -> Mark:
 def _source(spec: TableSpec, read_source: SourceReader) -> DataFrame:
     """S1 + S7/S8: configured columns in configured order, cast by the type map
     when the spec carries source metadata."""
-    df = scan_projected(read_source(spec.name), list(spec.columns))
+    return _typed_source(spec, read_source(spec.name))
+
+
+def _typed_source(spec: TableSpec, raw_source: DataFrame) -> DataFrame:
+    df = scan_projected(raw_source, list(spec.columns))
     if spec.metadata:
         df = cast_columns(df, list(spec.metadata))
     return df
@@ -202,7 +206,10 @@ def initial_plan(
         def plans():  # built one at a time, each after the previous slice is published
             for part in slices:
                 if spec.mark_col:
-                    yield load_windows(table.read(), source, spec.mark_col, part, ini.months, run_ts)
+                    src = source
+                    if hasattr(read_source, "read_windows"):  # one source task per window
+                        src = _typed_source(spec, read_source.read_windows(spec.name, spec.mark_col, part))
+                    yield load_windows(table.read(), src, spec.mark_col, part, ini.months, run_ts)
                 else:
                     yield load_window_by_header(
                         table.read(), source, read_source(spec.header_table), spec.doc_key,

@@ -80,6 +80,13 @@ class JdbcSource:
     def __call__(self, name: str) -> DataFrame:
         return self._reader(self.relation(name), self.splits.get(name)).load()
 
+    def read_windows(self, name: str, col: str, windows: list[Window]) -> DataFrame:
+        """A history read split one task per window (JDBC ``predicates``): all
+        windows are fetched in parallel in one job."""
+        props = {"fetchsize": str(FETCH_SIZE), **{k: str(v) for k, v in self.options.items()}}
+        preds = window_predicates(col, windows, self.quote)
+        return self.spark.read.jdbc(self.url, self.relation(name), predicates=preds, properties=props)
+
     def lines_in(self, name: str, doc_key: str, header: str, header_key: str, header_where: str) -> DataFrame:
         """Lines whose document id is among the headers matching ``header_where``."""
         sub = (
