@@ -89,3 +89,18 @@ def test_hot_period_is_written_by_several_tasks(spark, scratch):
     hot_dir = f"{scratch}/raw/hot/_period=2024-01-01"
     files = [f for f in os.listdir(hot_dir) if f.endswith(".parquet")]
     assert len(files) > 1, files  # the hot month was split across tasks, not written by one
+
+
+def test_null_key_third_of_rows_kept_and_split(spark):
+    raw = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None).cast("long")).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("v"),
+    )
+    batch = spark.range(0, 3000, 7).select(F.col("id").alias("k"))
+    with conf(spark, SKEW_CONF):
+        kept = delete_by_key(raw, batch, ["k"])
+        got = kept.collect()
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert sum(1 for r in got if r.k is None) == 10000  # NULL keys never match, all kept
+    assert len(got) == raw.where("k is null or k % 7 <> 0 or k >= 3000").count()
+    assert "skew=true" in plan, plan
