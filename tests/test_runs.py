@@ -290,3 +290,22 @@ def test_window_slices_give_the_same_table(spark, scratch):
         assert res.ok, res.failures
         out.append((res.rows["hdr"], _bag(RawTable(spark, f"{scratch}/{label}", "hdr").read(), HDR_COLS)))
     assert out[0] == out[1] and out[0][0] == v1["hdr"].count()
+
+
+def test_cli_runs_with_reference_settings(spark, scratch, capsys):
+    import os
+
+    from tidewater.plans.cli import main
+
+    src = f"{scratch}/src"
+    os.makedirs(src)
+    spark.read.parquet(f"{SF}/nation.parquet").write.parquet(f"{src}/nat.parquet")
+    settings = f"{scratch}/tables.yaml"
+    with open(settings, "w") as f:
+        f.write("nat:\n  estrategia: full_reload\n  frequencia: diaria\nmissing:\n  estrategia: full_reload\n")
+    args = ["--settings", settings, "--parquet-source", src, "--root", f"{scratch}/raw"]
+    assert main(["initial", *args], spark=spark) == 1  # "missing" has no source: reported, others loaded
+    out = capsys.readouterr().out
+    assert "1/2 tables loaded" in out and "missing" in out
+    assert main(["incremental", *args, "--frequency", "weekly"], spark=spark) == 0  # nothing weekly
+    assert RawTable(spark, f"{scratch}/raw", "nat").read().count() == 25
