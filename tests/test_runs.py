@@ -309,3 +309,18 @@ def test_cli_runs_with_reference_settings(spark, scratch, capsys):
     assert "1/2 tables loaded" in out and "missing" in out
     assert main(["incremental", *args, "--frequency", "weekly"], spark=spark) == 0  # nothing weekly
     assert RawTable(spark, f"{scratch}/raw", "nat").read().count() == 25
+
+
+def test_truncate_drops_the_kept_mark(spark, scratch):
+    from tidewater.plans.runs import read_mark
+
+    spec = TableSpec("hdr", "append", mark_col="updatedate", mark_time_col="updatets")
+    v = {"hdr": fx.header_raw(spark, SF).drop("_ingested_at")}
+    root = f"{scratch}/raw"
+    assert initial_load(spark, [spec], v.__getitem__, root, run_ts=datetime(2024, 1, 1)).ok
+    t = RawTable(spark, root, "hdr")
+    assert not read_mark(t, "updatedate", "updatets").empty  # scanned, then kept
+    assert t.cached_top("updatedate", "updatets")[0]
+    t.truncate()
+    assert t.read().count() == 0
+    assert read_mark(RawTable(spark, root, "hdr"), "updatedate", "updatets").empty

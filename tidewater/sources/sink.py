@@ -176,6 +176,12 @@ class RawTable:
             elif old:  # nothing new was complete: put the old copy back
                 _rename(self.spark, old[0], self.path)
                 old.remove(old[0])
+            if self.exists():
+                # the publish that was cut short never updated the kept marks:
+                # drop them so the next read scans
+                meta = self._meta()
+                meta["values"] = {k: v for k, v in meta.get("values", {}).items() if not k.startswith("mark:")}
+                self._write_meta(meta)
         for p in fresh + old:
             _delete(self.spark, p)
 
@@ -499,5 +505,8 @@ class RawTable:
         return int(self._got.get("rows", 0))
 
     def truncate(self) -> None:
-        """Empty the table (schema and layout kept)."""
+        """Empty the table (schema and layout kept, kept marks dropped)."""
         self._swap_in(self.spark.createDataFrame([], self._full_schema()))
+        meta = self._meta()
+        meta["values"] = {k: v for k, v in meta.get("values", {}).items() if not k.startswith("mark:")}
+        self._write_meta(meta)

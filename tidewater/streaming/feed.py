@@ -6,8 +6,12 @@ rows", applied to the raw table through ``foreachBatch`` with the same
 strategy functions and the same sink as the batch runs. ``availableNow``
 processes what is there and stops, so a scheduled job keeps batch semantics.
 
-Exactly once: a micro-batch can be re-delivered after a failure, so the last
-applied epoch is kept in the table's metadata and a repeated epoch is skipped.
+A micro-batch can be re-delivered after a failure, so the last applied
+epoch is kept in the table's metadata and a repeated epoch is skipped. The
+marker is written right after the publish: a crash between the two replays
+that one micro-batch. An upsert replay is harmless (the same keys are
+replaced again); an append replay duplicates it. Use ``upsert`` with a key
+where exactly-once matters.
 """
 
 from __future__ import annotations
