@@ -6,12 +6,13 @@ rows", applied to the raw table through ``foreachBatch`` with the same
 strategy functions and the same sink as the batch runs. ``availableNow``
 processes what is there and stops, so a scheduled job keeps batch semantics.
 
-A micro-batch can be re-delivered after a failure, so the last applied
-epoch is kept in the table's metadata and a repeated epoch is skipped. The
-marker is written right after the publish: a crash between the two replays
-that one micro-batch. An upsert replay is harmless (the same keys are
-replaced again); an append replay duplicates it. Use ``upsert`` with a key
-where exactly-once matters.
+Exactly once: a micro-batch can be re-delivered after a failure. Before a
+publish the epoch and its ingest timestamp are recorded as *pending* in the
+table's metadata; after it the epoch is recorded as *done*. A done epoch is
+skipped. A pending epoch seen again may or may not have landed, so an append
+replaces the rows stamped with that exact timestamp instead of adding them
+again (a whole-table rewrite, but only on this rare replay); an upsert simply
+replaces the same keys again.
 """
 
 from __future__ import annotations
@@ -20,10 +21,13 @@ import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.functions.marks import Mark
+from tidewater.functions.predicates import INGEST_COL
 from tidewater.operators import LoadPlan, stamp, upsert
+from tidewater.operators.common import ts_literal
 from tidewater.session import ensure_checkpoint_dir
 from tidewater.sources.sink import RawTable
 
@@ -54,13 +58,26 @@ def stream_into(
     name = name or f"{table.name}_feed"
     ckpt = checkpoint or f"{ensure_checkpoint_dir(stream.sparkSession)}/streams/{name}-{uuid.uuid4().hex[:8]}"
 
+    key = f"epoch:{name}"
+
     def apply(batch: DataFrame, epoch: int) -> None:
-        done = table.meta_value(f"epoch:{name}")
-        if done is not None and epoch <= int(done):
+        state = table.meta_value(key) or {}
+        if state.get("done") is not None and epoch <= int(state["done"]):
             return
         table.add_missing_columns(batch.schema)
-        table.publish(_plan(table, batch, strategy, keys, mark_col, mark_time_col, datetime.now()))
-        table.set_meta_value(f"epoch:{name}", epoch)
+        pending = state.get("pending")
+        if strategy == "append" and pending and pending["epoch"] == epoch:
+            # a replay: the earlier attempt may have landed; replace its rows
+            run_ts = pending["ts"]
+            gone = F.coalesce(F.col(INGEST_COL) == ts_literal(run_ts), F.lit(False))
+            raw = table.read()
+            plan = LoadPlan(kept=raw.where(~gone), batch=stamp(batch, run_ts), kind="predicate", delete_pred=gone)
+        else:
+            run_ts = datetime.now().isoformat(sep=" ")
+            table.set_meta_value(key, {"done": state.get("done"), "pending": {"epoch": epoch, "ts": run_ts}})
+            plan = _plan(table, batch, strategy, keys, mark_col, mark_time_col, run_ts)
+        table.publish(plan)
+        table.set_meta_value(key, {"done": epoch, "pending": None})
 
     w = stream.writeStream.queryName(name).option("checkpointLocation", ckpt).foreachBatch(apply)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
