@@ -289,6 +289,8 @@ def test_window_slices_give_the_same_table(spark, scratch):
         res = initial_load(spark, [spec], v1.__getitem__, f"{scratch}/{label}", run_ts=datetime(2024, 1, 1))
         assert res.ok, res.failures
         out.append((res.rows["hdr"], _bag(RawTable(spark, f"{scratch}/{label}", "hdr").read(), HDR_COLS)))
+        per_window = res.windows["hdr"]  # A2 per window, observed during the writes
+        assert sorted(per_window) == list(range(1, 29)) and sum(per_window.values()) == res.rows["hdr"]
     assert out[0] == out[1] and out[0][0] == v1["hdr"].count()
 
 

@@ -60,3 +60,11 @@ def test_assignment_matches_brute_force(spark, start, end, months):
         got = {r.i: r.window_no for r in assign_windows(df, "d", wins, months).collect()}
         want = {i: _brute(v, wins) for i, v in enumerate(vals) if _brute(v, wins) is not None}
         assert got == want
+
+
+def test_a_slice_of_windows_keeps_its_numbers(spark):
+    wins = make_windows("2024-01-01", "2024-12-31", 1)
+    part = wins[5:8]  # June..August, numbers 6..8
+    df = spark.createDataFrame([(date(2024, 6, 15),), (date(2024, 8, 31),), (date(2024, 9, 1),)], "d date")
+    got = sorted((r.d, r.window_no) for r in assign_windows(df, "d", part, 1).collect())
+    assert got == [(date(2024, 6, 15), 6), (date(2024, 8, 31), 8)]

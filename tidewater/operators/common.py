@@ -126,6 +126,8 @@ class LoadPlan:
     # (date column, time column or None, mark that selected the batch): lets
     # the sink keep the table's newest mark up to date without a scan
     mark: tuple | None = None
+    # extra aggregates observed on the batch while it is written (name -> Column)
+    observe: dict = field(default_factory=dict)
 
     def result(self) -> DataFrame:
         """The new raw table as one DataFrame (kept UNION ALL batch)."""

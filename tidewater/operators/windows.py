@@ -84,7 +84,8 @@ def window_number(col: str | Column, windows: list[Window], months: int) -> Colu
     prev = F.greatest(k0, F.lit(1))  # 1-based index of window k0-1, always valid
     in_k0 = (d >= F.element_at(starts, k0 + 1)) & (d <= F.element_at(ends, k0 + 1))
     in_prev = (k0 >= 1) & (d >= F.element_at(starts, prev)) & (d <= F.element_at(ends, prev))
-    return F.when(in_k0, k0 + 1).when(in_prev, k0)
+    first = windows[0].number  # a slice of the window list keeps its own numbers
+    return F.when(in_k0, k0 + first).when(in_prev, k0 + (first - 1))
 
 
 def assign_windows(df: DataFrame, col: str, windows: list[Window], months: int, out: str = "window_no") -> DataFrame:
@@ -114,7 +115,18 @@ def load_windows(
     batch = stamp(assign_windows(source, col, windows, months).drop("window_no"), run_ts)
     gone = F.coalesce(window_number(col, windows, months).isNotNull(), F.lit(False))
     days = (col, windows[0].start, windows[-1].end) if windows else None
-    return LoadPlan(kept=raw.where(~gone), batch=batch, kind="predicate", delete_pred=gone, delete_days=days)
+    return LoadPlan(
+        kept=raw.where(~gone), batch=batch, kind="predicate", delete_pred=gone, delete_days=days,
+        observe=window_metrics(col, windows, months),
+    )
+
+
+def window_metrics(col: str, windows: list[Window], months: int) -> dict:
+    """A2 per window as observed metrics: ``window_<n>`` = rows of the batch in
+    window n, counted during the write itself (one ``count_if`` per window,
+    as many as the parameters give)."""
+    n = window_number(col, windows, months)
+    return {f"window_{w.number}": F.count_if(n == F.lit(w.number)) for w in windows}
 
 
 def window_counts(batch: DataFrame, windows: list[Window], out: str = "window_no") -> DataFrame:

@@ -54,6 +54,7 @@ class RunResult:
     rows: dict[str, int] = field(default_factory=dict)
     failures: dict[str, str] = field(default_factory=dict)
     seconds: dict[str, float] = field(default_factory=dict)
+    windows: dict[str, dict[int, int]] = field(default_factory=dict)  # A2 per window
 
     @property
     def ok(self) -> bool:
@@ -268,7 +269,15 @@ def _run_one(spark, spec, root, audit, result, run_ts, make_plan, read_source, c
             audit.start(*args)
         planned = make_plan(table, source)
         plans = [planned] if isinstance(planned, LoadPlan) else planned
-        rows = sum(table.publish(p) for p in plans)
+        rows = 0
+        for p in plans:
+            rows += table.publish(p)
+            per_window = {
+                int(k.split("_", 1)[1]): int(v)
+                for k, v in (table.last_metrics or {}).items() if k.startswith("window_")
+            }
+            if per_window:
+                result.windows.setdefault(spec.name, {}).update(per_window)
         result.rows[spec.name] = rows
         if audit:
             audit.success(*args, rows=rows)

@@ -147,6 +147,7 @@ class RawTable:
         self.broadcast_bytes = DEFAULT_BROADCAST_BYTES
         self._staged_paths: list[str] = []
         self.last_write: DataFrame | None = None
+        self._got: dict = {}
         self._recover()
 
     def _recover(self) -> None:
@@ -290,7 +291,7 @@ class RawTable:
         for k, v in (extra or {}).items():
             df = df.withColumn(k, v)
         obs = Observation(f"stage_{uuid.uuid4().hex[:8]}")
-        metrics = [F.count(F.lit(1)).alias("rows"), *self._mark_metrics(df)]
+        metrics = [F.count(F.lit(1)).alias("rows"), *self._mark_metrics(df), *self._extra_metrics(df)]
         col = self.layout.column
         if col and col in df.columns:
             metrics.append(F.collect_set(col).alias("parts"))
@@ -298,8 +299,8 @@ class RawTable:
         out.observe(obs, *metrics).write.mode("overwrite").parquet(path)
         self._staged_paths.append(path)
         got = obs.get
-        if "top" in got and not getattr(self, "_got", None):
-            self._got = {"top": got["top"]}
+        if not getattr(self, "_got", None):
+            self._got = dict(got)
         staged = self.spark.read.schema(df.schema).parquet(path)
         return staged, int(got.get("rows", 0)), list(got.get("parts") or [])
 
@@ -313,13 +314,16 @@ class RawTable:
         """Apply a load plan to the table; return the rows inserted."""
         self._meta_cache = None  # re-read: another job may have changed the table
         self._mark_cols = plan.mark[:2] if plan.mark is not None else None
+        self._extra = dict(plan.observe or {})
         self._got: dict = {}
         try:
             rows = self._publish(plan)
             self._after_publish(plan, self._got)
+            self.last_metrics = dict(self._got)
             return rows
         finally:
             self._mark_cols = None
+            self._extra = None
             for p in self._staged_paths:
                 _delete(self.spark, p)
             self._staged_paths.clear()
@@ -387,11 +391,25 @@ class RawTable:
         col = self.layout.column
         obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
         out = df.hint("rebalance", col) if col else df
-        return out.observe(obs, F.count(F.lit(1)).alias("rows"), *self._mark_metrics(df)), obs
+        return out.observe(obs, F.count(F.lit(1)).alias("rows"), *self._mark_metrics(df), *self._extra_metrics(df)), obs
 
     # -- newest mark kept with the table ----------------------------------------
     _mark_cols: tuple | None = None
 
+    _extra: dict | None = None
+    last_metrics: dict | None = None
+
+    def _extra_metrics(self, df: DataFrame) -> list:
+        """The plan's own observed aggregates, once per publish (first write of
+        the batch only; later writes of other frames skip them)."""
+        extra = self._extra or {}
+        if not extra or getattr(self, "_got", None):
+            return []
+        try:
+            return [c.alias(name) for name, c in extra.items() if df.select(c).columns is not None]
+        except Exception:  # noqa: BLE001 - columns not in this frame
+            return []
+
     def _mark_metrics(self, df: DataFrame) -> list:
         mc = self._mark_cols
         if mc and mc[0] in df.columns and (mc[1] is None or mc[1] in df.columns):
@@ -443,8 +461,10 @@ class RawTable:
         out, obs = self._counted(df)
         w = out.write.mode("append")
         (w.partitionBy(col) if col else w).parquet(self.path)
-        self._got = dict(obs.get)
-        return int(self._got.get("rows", 0))
+        got = dict(obs.get)
+        if not self._got:  # only the batch's first write reports its metrics
+            self._got = got
+        return int(got.get("rows", 0))
 
     def _partition_values(self) -> list:
         """Partition values present on storage (a directory listing, no scan)."""
@@ -501,8 +521,10 @@ class RawTable:
         _rename(self.spark, self.path, old)
         _rename(self.spark, fresh, self.path)
         _delete(self.spark, old)
-        self._got = dict(obs.get)
-        return int(self._got.get("rows", 0))
+        got = dict(obs.get)
+        if not self._got:  # only the batch's first write reports its metrics
+            self._got = got
+        return int(got.get("rows", 0))
 
     def truncate(self) -> None:
         """Empty the table (schema and layout kept, kept marks dropped)."""
