@@ -41,4 +41,22 @@ SELECT doc_id, len(w) AS n_words, coalesce(len(g), 0) AS n_removed,
 FROM w LEFT JOIN cuts USING (doc_id)
 """
 
-SQL = {"op3_near_dedup": _OP3, "op5_decontamination": _OP5, "op9_substring_dedup": _OP9}
+_OP1 = rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, {_WORDS.format(text="t")} AS w, list_filter(string_split(t, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS l FROM t),
+n AS (SELECT *, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+  length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
+  length(regexp_replace(t, '\P{{L}}', '', 'g')) AS letters, length(regexp_replace(t, '\P{{Lu}}', '', 'g')) AS upper_letters,
+  len(string_split(t, chr(10))) AS n_lines FROM w),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1))) AS i FROM w)),
+twice AS (SELECT doc_id, x FROM win GROUP BY ALL HAVING count(*) > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS r FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM win JOIN twice USING (doc_id, x)) GROUP BY doc_id),
+f AS (SELECT *, coalesce(r, 0) AS n_repeat_words FROM n LEFT JOIN rep USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR n_symbols * 100 > n_words * 10 OR upper_letters * 100 > letters * 30 OR word_chars > n_words * 15 OR word_chars < n_words * 2
+    OR n_dup_lines * 100 > n_lines * 50) AS kept
+FROM b
+"""
+
+SQL = {"op1_quality_rules": _OP1, "op3_near_dedup": _OP3, "op5_decontamination": _OP5, "op9_substring_dedup": _OP9}

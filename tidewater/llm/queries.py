@@ -10,8 +10,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.llm.columns import text_of
 from tidewater.llm.leaks import leaks
 from tidewater.llm.near_dedup import near_duplicates
+from tidewater.llm.quality_rules import judge, word_statistics
+from tidewater.llm.secrets_scan import described, find_secrets
 from tidewater.llm.shared import table
 from tidewater.llm.substrings import remove_repeats
 from tidewater.llm.tokens import count_tokens, encode_texts
@@ -37,6 +40,13 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return run
 
 
+@_query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = judge(table(spark, sf_dir, "documents")).withColumns(word_statistics(text_of()))
+    out = out.withColumn("base_failed", F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.expr("kept and not base_failed").alias("kept"))
+
+
 @_query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -53,6 +63,20 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=80, words=5)
 
 
+@_query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_secrets(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return out.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(described(F.col("base")), 256).alias("base_sha256"),
+        described(F.col("spans")).alias("spans"),
+    )
+
+
 @_query
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents"), size=13)
