@@ -1,10 +1,10 @@
 """DuckDB SQL with the rows of the queries that SQL can express, over whole tables."""
 
 # words are runs of characters other than 0x20 and 0x09-0x0D
-_WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), w -> w <> '')"
+_WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SHINGLES = """list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-  ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END)"""
+  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)"""
 
 
 def _sets(table: str, key: str) -> str:
@@ -37,13 +37,13 @@ firsts AS (SELECT x, min(doc_id) AS d FROM win GROUP BY x HAVING min(doc_id) < m
 gone AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM win JOIN firsts USING (x) WHERE d < doc_id),
 cuts AS (SELECT doc_id, list(i) AS g FROM gone GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(len(g), 0) AS n_removed,
-  sha256(array_to_string(CASE WHEN g IS NULL THEN w ELSE list_filter(w, (x, i) -> NOT list_contains(g, i)) END, ' ')) AS kept_sha256
+  sha256(array_to_string(CASE WHEN g IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(g, i)) END, ' ')) AS kept_sha256
 FROM w LEFT JOIN cuts USING (doc_id)
 """
 
 _OP1 = rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-w AS (SELECT doc_id, t, {_WORDS.format(text="t")} AS w, list_filter(string_split(t, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS l FROM t),
+w AS (SELECT doc_id, t, {_WORDS.format(text="t")} AS w, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l FROM t),
 n AS (SELECT *, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
   length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
   length(regexp_replace(t, '\P{{L}}', '', 'g')) AS letters, length(regexp_replace(t, '\P{{Lu}}', '', 'g')) AS upper_letters,
