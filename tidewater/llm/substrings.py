@@ -17,8 +17,9 @@ shuffled once and every step reads that one exchange.
 5. A chunk marks the words of windows that start in a smaller doc_id.
 
 A hash that fills a third of all rows leaves a chunk once, so a bucket gets it
-at most once per chunk. Chunks and buckets follow the cluster's own number of
-shuffle partitions. Window hashes have 64 bits.
+at most once per chunk. There are four chunks and one bucket to each of the
+cluster's shuffle partitions, so packed rows are few and large: as many as a
+shuffle has blocks, times four. Window hashes have 64 bits.
 """
 
 from __future__ import annotations
@@ -113,7 +114,7 @@ def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
     if size < PERIOD:
         raise ValueError(f"size must be at least {PERIOD}")
     n = shuffle_partitions(docs.sparkSession)
-    chunks, buckets = 16 * n, 4 * n
+    chunks, buckets = 4 * n, n
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     docs = docs.withColumn("chunk", F.pmod(F.xxhash64(F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.xxhash64("text"))), F.lit(chunks)).cast("int"))
     docs = docs.repartition(n, "chunk")
