@@ -53,10 +53,10 @@ def n_dup_lines(text: Column) -> Column:
     return let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
 
 
-def n_repeat_words(text: Column, size: int = 5) -> Column:
-    """Words inside windows of ``size`` words that stand in the text twice or more, the first included.
+def repeat_words(w: Column, size: int = 5) -> Column:
+    """Of an array of words, those inside windows of ``size`` words that stand there twice or more, the first included.
 
-    Windows are compared by 64-bit hashes. A text without a repeated window is
+    Windows are compared by 64-bit hashes. Words without a repeated window are
     settled by one distinct; otherwise the windows are sorted to find equals
     next to each other, so the work stays near linear in long texts.
     """
@@ -75,9 +75,10 @@ def n_repeat_words(text: Column, size: int = 5) -> Column:
 
         return let(pairs, repeated)
 
-    def of_words(w: Column) -> Column:
-        hashes = F.transform(F.sequence(F.lit(1), F.size(w) - (size - 1)), lambda i: F.xxhash64(F.slice(w, i, size)))
-        some = let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), covered(h)).otherwise(F.lit(0).cast("long")))
-        return F.when(F.size(w) > size, some).otherwise(F.lit(0).cast("long"))
+    hashes = F.transform(F.sequence(F.lit(1), F.size(w) - (size - 1)), lambda i: F.xxhash64(F.slice(w, i, size)))
+    some = let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), covered(h)).otherwise(F.lit(0).cast("long")))
+    return F.when(F.size(w) > size, some).otherwise(F.lit(0).cast("long"))
+
 
-    return let(words(text), of_words)
+def n_repeat_words(text: Column, size: int = 5) -> Column:
+    return let(words(text), lambda w: repeat_words(w, size))

@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.columns import text_of
 from tidewater.llm.leaks import leaks
+from tidewater.llm.licenses import find_licenses
 from tidewater.llm.near_dedup import near_duplicates
+from tidewater.llm.quality_model import score_quality, train
 from tidewater.llm.quality_rules import judge, word_statistics
 from tidewater.llm.secrets_scan import described, find_secrets
 from tidewater.llm.shared import table
 from tidewater.llm.substrings import remove_repeats
 from tidewater.llm.tokens import count_tokens, encode_texts
+from tidewater.llm.url_filter import judge_urls, unigrams
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,11 +61,26 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85, words=5)
 
 
+@_query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_licenses(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=80, words=5)
 
 
+# fixed values: the rules of the registered query
+URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+
+
+@_query
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return judge_urls(pages, URL_RULES, unigrams(pages, "html")).select("page_id", "host", "path", "rule", "verdict")
+
+
 @_query
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = find_secrets(table(spark, sf_dir, "documents"))
@@ -77,6 +95,12 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 @_query
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents"), size=13)
