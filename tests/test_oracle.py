@@ -2,22 +2,24 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.oracle_compare import compare
+from tidewater.plans.oracle import SQL
+from tidewater.plans.queries import REGISTRY
 
 SF = "/root/testdata/sf0.01"
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTRY) == set(SQL)
 
 
 @pytest.fixture(scope="module")
 def results(spark):
-    return compare(spark, SF)
+    return compare(spark, SF, list(REGISTRY))
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_matches_oracle(results, name):
     r = results[name]
     assert "error" not in r, r
