@@ -220,27 +220,6 @@ def test_kept_mark_equals_a_fresh_scan(spark, scratch):
     assert RawTable(spark, root, "cust").cached_top("upd", "updts")[0]  # kept across keyed loads
 
 
-def test_swap_cut_short_is_rolled_forward(spark, scratch):
-    from tidewater.sources.sink import _rename
-
-    root = f"{scratch}/raw"
-    nat = spark.read.parquet(f"{SF}/nation.parquet")
-    assert initial_load(spark, [TableSpec("nat", "full_reload")], {"nat": nat}.__getitem__, root).ok
-    t = RawTable(spark, root, "nat")
-    # simulate a crash after the first rename of a swap: new copy complete, table path gone
-    new_copy = f"{root}/.nat.new-crash"
-    spark.read.parquet(t.path).write.parquet(new_copy)
-    import shutil
-
-    shutil.copy(f"{t.path}/_tidewater.json", f"{new_copy}/_tidewater.json")
-    _rename(spark, t.path, f"{root}/.nat.old-crash")
-    t2 = RawTable(spark, root, "nat")
-    assert t2.exists() and t2.read().count() == 25
-    import os
-
-    assert not [n for n in os.listdir(root) if n.startswith(".nat.")]
-
-
 def test_reference_vocabulary_settings():
     from tidewater.plans.settings import specs_from_yaml
 

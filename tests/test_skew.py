@@ -3,6 +3,7 @@ hot partition of the keyed delete instead of sending it to one task."""
 
 from contextlib import contextmanager
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import delete_by_key, newest_per_key
@@ -91,16 +92,59 @@ def test_hot_period_is_written_by_several_tasks(spark, scratch):
     assert len(files) > 1, files  # the hot month was split across tasks, not written by one
 
 
-def test_null_key_third_of_rows_kept_and_split(spark):
-    raw = spark.range(30000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(None).cast("long")).otherwise(F.col("id")).alias("k"),
-        F.col("id").alias("v"),
+def _stored(df, path):
+    """Written and read back: a scan has no partitioning that could hide an exchange."""
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+@pytest.mark.parametrize("keys", [["k"], ["k", "k2"]])
+def test_hot_key_of_stored_tables_is_split(spark, scratch, keys):
+    raw = _stored(_raw(spark).withColumn("k2", F.lit(1)), f"{scratch}/raw")
+    batch = _stored(spark.range(1, 3000, 7).select(F.col("id").alias("k"), F.lit(1).alias("k2")), f"{scratch}/batch")
+    with conf(spark, SKEW_CONF):
+        kept = delete_by_key(raw, batch, keys)
+        got = kept.count(), kept.where("k = 0").count()
+        rows = kept.collect()
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert len(rows) == got[0] == raw.where("k % 7 <> 1 or k >= 3000").count() and got[1] == 10000
+    assert "skew=true" in plan, plan
+
+
+@pytest.mark.parametrize("keys", [["k"], ["k2", "k"]])
+def test_null_keys_pass_around_the_join(spark, scratch, keys):
+    raw = _stored(
+        spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(None).cast("long")).otherwise(F.col("id")).alias("k"),
+            F.col("id").alias("v"), F.lit(1).alias("k2"),
+        ),
+        f"{scratch}/raw",
     )
-    batch = spark.range(0, 3000, 7).select(F.col("id").alias("k"))
+    batch = _stored(spark.range(0, 3000, 7).select(F.col("id").alias("k"), F.lit(1).alias("k2")), f"{scratch}/batch")
     with conf(spark, SKEW_CONF):
-        kept = delete_by_key(raw, batch, ["k"])
+        kept = delete_by_key(raw, batch.unionByName(batch.select(F.lit(None).cast("long").alias("k"), "k2")), keys)
         got = kept.collect()
         plan = kept._jdf.queryExecution().executedPlan().toString()
     assert sum(1 for r in got if r.k is None) == 10000  # NULL keys never match, all kept
     assert len(got) == raw.where("k is null or k % 7 <> 0 or k >= 3000").count()
-    assert "skew=true" in plan, plan
+    assert "IsNotNull(k)" in plan.replace("isnotnull(k#", "IsNotNull(k)"), plan  # none of them is in the join's exchange
+
+
+def test_keys_are_broadcast_by_their_bytes(spark, scratch):
+    """Few rows of very long keys are not broadcast; the same rows of short keys are."""
+    from tidewater.operators.common import LoadPlan, stamp
+    from tidewater.sources.sink import Layout, RawTable
+
+    for width, joined in ((1000, "SortMergeJoin"), (1, "BroadcastHashJoin")):
+        src = spark.range(400).select(F.concat(F.lpad(F.col("id").cast("string"), 5, "0"), F.repeat(F.lit("x"), width)).alias("k"))
+        table = RawTable(spark, f"{scratch}/raw{width}", "t")
+        table.broadcast_bytes = 100_000
+        table.create_if_missing(src.schema, Layout("bucket", ["k"], 4))
+        for ts in ("2024-01-01 00:00:00", "2024-01-02 00:00:00"):
+            batch = stamp(src, ts)
+            with conf(spark, {k: v for k, v in SKEW_CONF.items() if "Threshold" in k and "Broadcast" in k}):
+                table.publish(LoadPlan(kept=table.read(), batch=batch, kind="keyed", delete_keys=["k"]))
+            with conf(spark, {k: v for k, v in SKEW_CONF.items() if "Broadcast" in k}):
+                plan = table.last_write.select("*")._jdf.queryExecution().executedPlan().toString()
+        assert joined in plan, plan
+        assert table.read().count() == 400

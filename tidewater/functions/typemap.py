@@ -48,88 +48,88 @@ class SourceColumn:
     position: int | None = None
 
 
-def _clamp(v: int, lo: int, hi: int) -> int:
-    return min(max(v, lo), hi)
+@dataclass(frozen=True)
+class MappedType:
+    """What a source column becomes: a Spark type, and for text the width that values must keep."""
+
+    spark: T.DataType
+    width: int | None = None
+    padded: bool = False  # declared with a fixed width
+
+    @property
+    def ddl(self) -> str:
+        """The type as declared, with its width."""
+        if self.width is None:
+            return self.spark.simpleString().upper()
+        return f"{'CHAR' if self.padded else 'VARCHAR'}({self.width})"
+
+
+@dataclass(frozen=True)
+class TextWidth:
+    """How a declared text length becomes a width: the default when missing or
+    0, the most, and whether a longer one is unbounded or cut to the most."""
+
+    default: int
+    most: int
+    padded: bool = False
+
+    def __call__(self, col: SourceColumn) -> MappedType:
+        asked = int(col.length) if col.length else self.default
+        if asked > self.most and not self.padded:
+            return MappedType(T.StringType())
+        return MappedType(T.StringType(), sorted((1, asked, self.most))[1], self.padded)
+
+
+def _decimal(col: SourceColumn) -> MappedType:
+    if col.scale is None:
+        return MappedType(T.DecimalType(*DECIMAL_UNKNOWN_SCALE))
+    digits = sorted((1, int(col.length or 38), 38))[1]
+    return MappedType(T.DecimalType(digits, sorted((0, int(col.scale), digits))[1]))
+
+
+TEXT_RULES = dict.fromkeys(NTEXT_NAMES, TextWidth(NTEXT_DEFAULT, NTEXT_MAX)) | {
+    "VARCHAR": TextWidth(VARCHAR_DEFAULT, VARCHAR_MAX),
+    "NCHAR": TextWidth(1, NCHAR_MAX, padded=True),
+    "CHAR": TextWidth(1, CHAR_MAX, padded=True),
+}
+RULES = TEXT_RULES | dict.fromkeys(DECIMAL_NAMES, _decimal)
+# An unsigned TINYINT (0..255) needs a SMALLINT. Parquet cannot store Spark's
+# TIME type, which stays 'HH:mm:ss[.ffffff]' text.
+PLAIN_TYPES = {
+    T.ShortType(): ("TINYINT", "SMALLINT"),
+    T.IntegerType(): ("INTEGER", "INT"),
+    T.LongType(): ("BIGINT",),
+    T.DoubleType(): ("DOUBLE",),
+    T.FloatType(): ("REAL",),
+    T.DateType(): ("DATE",),
+    T.TimestampNTZType(): ("TIMESTAMP", "SECONDDATE"),
+    T.BooleanType(): ("BOOLEAN",),
+    T.StringType(): ("TIME", *LOB_TEXT_NAMES),
+    T.BinaryType(): BINARY_NAMES,
+}
+_PLAIN = {name: MappedType(kind) for kind, names in PLAIN_TYPES.items() for name in names}
+
+
+def mapped(col: SourceColumn) -> MappedType:
+    """The type map; an unknown type name is unbounded text."""
+    name = str(col.type_name).upper()
+    rule = RULES.get(name)
+    return rule(col) if rule else _PLAIN.get(name, MappedType(T.StringType()))
 
 
 def ddl_type(col: SourceColumn) -> str:
     """Spark DDL type for a source column, with declared text widths."""
-    name = str(col.type_name).upper()
-    n = col.length
-    if name in NTEXT_NAMES:
-        w = int(n or NTEXT_DEFAULT)
-        return "STRING" if w > NTEXT_MAX else f"VARCHAR({max(w, 1)})"
-    if name == "VARCHAR":
-        w = int(n or VARCHAR_DEFAULT)
-        return "STRING" if w > VARCHAR_MAX else f"VARCHAR({max(w, 1)})"
-    if name == "NCHAR":
-        return f"CHAR({_clamp(int(n or 1), 1, NCHAR_MAX)})"
-    if name == "CHAR":
-        return f"CHAR({_clamp(int(n or 1), 1, CHAR_MAX)})"
-    if name in ("TINYINT", "SMALLINT"):
-        # TINYINT at the source is unsigned 0..255; Spark's TINYINT is signed.
-        return "SMALLINT"
-    if name in ("INTEGER", "INT"):
-        return "INT"
-    if name == "BIGINT":
-        return "BIGINT"
-    if name in DECIMAL_NAMES:
-        if col.scale is None:
-            return "DECIMAL(%d,%d)" % DECIMAL_UNKNOWN_SCALE
-        p = _clamp(int(n or 38), 1, 38)
-        s = _clamp(int(col.scale), 0, p)
-        return f"DECIMAL({p},{s})"
-    if name == "DOUBLE":
-        return "DOUBLE"
-    if name == "REAL":
-        return "FLOAT"
-    if name == "DATE":
-        return "DATE"
-    if name == "TIME":
-        # Parquet cannot store Spark's TIME type; keep 'HH:mm:ss[.ffffff]' text.
-        return "STRING"
-    if name in ("TIMESTAMP", "SECONDDATE"):
-        return "TIMESTAMP_NTZ"
-    if name == "BOOLEAN":
-        return "BOOLEAN"
-    if name in LOB_TEXT_NAMES:
-        return "STRING"
-    if name in BINARY_NAMES:
-        return "BINARY"
-    return "STRING"
+    return mapped(col).ddl
 
 
 def map_type(col: SourceColumn) -> T.DataType:
     """Spark data type of a source column (text widths are not enforced here)."""
-    ddl = ddl_type(col)
-    if ddl.startswith("DECIMAL"):
-        p, s = ddl[len("DECIMAL("):-1].split(",")
-        return T.DecimalType(int(p), int(s))
-    if ddl.startswith(("VARCHAR", "CHAR")):
-        return T.StringType()
-    return _SIMPLE[ddl]
-
-
-_SIMPLE = {
-    "STRING": T.StringType(),
-    "SMALLINT": T.ShortType(),
-    "INT": T.IntegerType(),
-    "BIGINT": T.LongType(),
-    "DOUBLE": T.DoubleType(),
-    "FLOAT": T.FloatType(),
-    "DATE": T.DateType(),
-    "TIMESTAMP_NTZ": T.TimestampNTZType(),
-    "BOOLEAN": T.BooleanType(),
-    "BINARY": T.BinaryType(),
-}
+    return mapped(col).spark
 
 
 def declared_width(col: SourceColumn) -> int | None:
     """Declared text width (VARCHAR(n) / CHAR(n)), or None when unbounded."""
-    ddl = ddl_type(col)
-    if ddl.startswith(("VARCHAR(", "CHAR(")):
-        return int(ddl[ddl.index("(") + 1:-1])
-    return None
+    return mapped(col).width
 
 
 def _typed(df: DataFrame, name: str, meta: SourceColumn, enforce_width: bool):

@@ -20,7 +20,7 @@ MESSAGE_MAX = 4000
 
 EVENT_SCHEMA = (
     "run_id string, table string, strategy string, frequency string, "
-    "event_at timestamp_ntz, status string, rows int, message string"
+    "event_at timestamp_ntz, status string, rows bigint, message string"
 )
 
 
@@ -40,7 +40,7 @@ def audit_event(
         raise ValueError(f"unknown audit status {status!r}")
     base = spark.createDataFrame(
         [(run_id, table, strategy, frequency, status, rows, message)],
-        "run_id string, table string, strategy string, frequency string, status string, rows int, message string",
+        "run_id string, table string, strategy string, frequency string, status string, rows bigint, message string",
     )
     return base.select(
         "run_id", "table", "strategy", "frequency",
@@ -57,7 +57,7 @@ def seconds_between(a: Column, b: Column) -> Column:
     return F.timestamp_diff("SECOND", F.date_trunc("second", a), F.date_trunc("second", b))
 
 
-def audit_state(events: DataFrame) -> DataFrame:
+def audit_state(events: DataFrame, messages: bool = True) -> DataFrame:
     """One row per (run, table): first event time, latest status and its data.
 
     ``max(struct(event_at, terminal, ...))`` picks the latest event with a
@@ -65,17 +65,16 @@ def audit_state(events: DataFrame) -> DataFrame:
     run or table holding a large share of events is merged inside each task
     before the shuffle -- no window over a whole group. On equal times a
     terminal event outranks the start event. The message is cut to 4,000
-    characters (X7).
+    characters (X7) before it is aggregated; ``messages=False`` leaves it out,
+    for the queries that do not show it.
     """
     terminal = F.when(F.col("status") == RUNNING, 0).otherwise(1)
-    last = F.max(
-        F.struct(
-            F.col("event_at").alias("at"), terminal.alias("terminal"), "status", "rows",
-            "message", "strategy", "frequency",
-        )
-    )
+    data = [F.col("event_at").alias("at"), terminal.alias("terminal"), F.col("status"), F.col("rows")]
+    if messages:
+        data.append(F.substring("message", 1, MESSAGE_MAX).alias("message"))
+    last = F.max(F.struct(*data, "strategy", "frequency"))
     g = events.groupBy("run_id", "table").agg(F.min("event_at").alias("started_at"), last.alias("l"))
-    return g.select(
+    state = g.select(
         "run_id",
         "table",
         F.col("l.strategy").alias("strategy"),
@@ -84,26 +83,35 @@ def audit_state(events: DataFrame) -> DataFrame:
         F.when(F.col("l.terminal") == 1, F.col("l.at")).alias("ended_at"),
         F.col("l.rows").alias("rows"),
         F.col("l.status").alias("status"),
-        F.substring(F.col("l.message"), 1, MESSAGE_MAX).alias("error_message"),
+        *([F.col("l.message").alias("error_message")] if messages else []),
     )
+    return state
+
 
+def newest_run(events: DataFrame) -> str | None:
+    """The run whose first event of some table is the latest: one scalar, no join.
+
+    The state's start is the first event of a table; within a run these never
+    precede the run's first one, so the newest first event over (run, table)
+    names the run. Ties go to the largest run id.
+    """
+    firsts = events.groupBy("run_id", "table").agg(F.min("event_at").alias("at"))
+    row = firsts.agg(F.max(F.struct("at", "run_id")).alias("m")).first()
+    return None if row is None or row["m"] is None else row["m"]["run_id"]
 
-def last_run(state: DataFrame) -> DataFrame:
+
+def last_run(events: DataFrame) -> DataFrame:
     """Q1: the newest run's tables with strategy, rows, seconds and status, by start.
 
-    The newest run is a global ``max(struct(started_at, run_id))`` -- exactly
-    one row, so broadcasting it is bounded -- joined back on ``run_id``.
+    Only the newest run's events are aggregated to a state; its id is a literal
+    in the scan of the log.
     """
-    newest = state.agg(F.max(F.struct("started_at", "run_id")).alias("m")).select(F.col("m.run_id").alias("run_id"))
-    return (
-        state.join(F.broadcast(newest), "run_id", "left_semi")
-        .select(
-            "table", "strategy", "rows",
-            seconds_between(F.col("started_at"), F.col("ended_at")).alias("seconds"),
-            "status", "started_at",
-        )
-        .orderBy("started_at")
-    )
+    state = audit_state(events.where(F.col("run_id") == F.lit(newest_run(events))), messages=False)
+    return state.select(
+        "table", "strategy", "rows",
+        seconds_between(F.col("started_at"), F.col("ended_at")).alias("seconds"),
+        "status", "started_at",
+    ).orderBy("started_at")
 
 
 def run_history(state: DataFrame) -> DataFrame:

@@ -53,18 +53,24 @@ def delete_by_key(
 ) -> DataFrame:
     """Raw rows whose key (every column equal) is not in ``keys_from``.
 
-    A ``left_anti`` join; a NULL in any key column never matches, so NULL-key
-    rows are always kept. Unless the key side is broadcast, it is made
-    distinct first: the aggregate's hash partitioning is the join's own, so no
-    extra exchange, and a key repeated across a third of the batch collapses
-    map-side instead of being buffered whole by one join task.
+    A ``left_anti`` join. A NULL in any key column never matches, so rows with
+    one pass around the join by a filter and a union, and no NULL group can
+    gather in a task. The key side is used as it is: an aggregate between the
+    exchange and the join would keep AQE from splitting a hot key of ``raw``.
+    Callers whose key side repeats keys make it distinct where they stage it.
     """
     raw_keys = raw_keys or keys
     right = keys_from.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
-    if not broadcast:
-        right = right.distinct()
+    for c in right.columns:
+        right = right.where(F.col(c).isNotNull())
     cond = [raw[rk] == right[f"__k{i}"] for i, rk in enumerate(raw_keys)]
-    return raw.join(maybe_broadcast(right, broadcast), cond, "left_anti")
+    nullable = [rk for rk in raw_keys if raw.schema[raw.columns[[c.upper() for c in raw.columns].index(rk.upper())]].nullable]
+    if not nullable:
+        return raw.join(maybe_broadcast(right, broadcast), cond, "left_anti")
+    known, has_null = raw, F.lit(False)
+    for rk in nullable:
+        known, has_null = known.where(raw[rk].isNotNull()), has_null | raw[rk].isNull()
+    return known.join(maybe_broadcast(right, broadcast), cond, "left_anti").unionByName(raw.where(has_null))
 
 
 def semi_by_key(
@@ -126,8 +132,6 @@ class LoadPlan:
     # (date column, time column or None, mark that selected the batch): lets
     # the sink keep the table's newest mark up to date without a scan
     mark: tuple | None = None
-    # extra aggregates observed on the batch while it is written (name -> Column)
-    observe: dict = field(default_factory=dict)
 
     def result(self) -> DataFrame:
         """The new raw table as one DataFrame (kept UNION ALL batch)."""

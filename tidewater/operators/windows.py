@@ -116,19 +116,10 @@ def load_windows(
     gone = F.coalesce(window_number(col, windows, months).isNotNull(), F.lit(False))
     days = (col, windows[0].start, windows[-1].end) if windows else None
     return LoadPlan(
-        kept=raw.where(~gone), batch=batch, kind="predicate", delete_pred=gone, delete_days=days,
-        observe=window_metrics(col, windows, months),
+        kept=raw.where(~gone), batch=batch, kind="predicate", delete_pred=gone, delete_days=days
     )
 
 
-def window_metrics(col: str, windows: list[Window], months: int) -> dict:
-    """A2 per window as observed metrics: ``window_<n>`` = rows of the batch in
-    window n, counted during the write itself (one ``count_if`` per window,
-    as many as the parameters give)."""
-    n = window_number(col, windows, months)
-    return {f"window_{w.number}": F.count_if(n == F.lit(w.number)) for w in windows}
-
-
 def window_counts(batch: DataFrame, windows: list[Window], out: str = "window_no") -> DataFrame:
     """A2 per window: rows loaded in each window (windows with no row show 0).
 

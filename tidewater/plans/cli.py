@@ -19,7 +19,7 @@ from tidewater.plans.runs import incremental_load, initial_load
 from tidewater.plans.settings import specs_from_yaml
 from tidewater.session import get_session
 from tidewater.sources.audit_log import AuditLog
-from tidewater.sources.readers import jdbc_source, parquet_source
+from tidewater.sources.readers import JdbcSplit, jdbc_source, parquet_source
 
 
 def _args(argv):
@@ -32,6 +32,8 @@ def _args(argv):
     src.add_argument("--jdbc-url", help="JDBC URL of the source database")
     p.add_argument("--jdbc-schema", default=None)
     p.add_argument("--jdbc-option", action="append", default=[], help="key=value, repeatable")
+    p.add_argument("--jdbc-columns-query", default=None,
+                   help="SELECT of table, column, type, length, scale, position over the source catalog")
     p.add_argument("--root", required=True, help="raw layer root folder")
     p.add_argument("--audit", default=None, help="audit log folder (default: <root>/_audit)")
     p.add_argument("--frequency", choices=["daily", "weekly"], default=None)
@@ -47,7 +49,8 @@ def main(argv=None, spark=None) -> int:
         read = parquet_source(spark, a.parquet_source)
     else:
         opts = dict(kv.split("=", 1) for kv in a.jdbc_option)
-        read = jdbc_source(spark, a.jdbc_url, a.jdbc_schema, opts)
+        splits = {s.name: JdbcSplit(*s.split) for s in specs if s.split}
+        read = jdbc_source(spark, a.jdbc_url, a.jdbc_schema, opts, splits, columns_query=a.jdbc_columns_query)
     audit = AuditLog(spark, a.audit or f"{a.root.rstrip('/')}/_audit")
     if a.run == "initial":
         res = initial_load(spark, specs, read, a.root, audit=audit)

@@ -1,15 +1,14 @@
 """DuckDB SQL equal to each registered query, over the same tables.
 
 Written independently of the Spark code: marks as ORDER BY ... LIMIT 1 or
-MAX, keyed deletes as NOT EXISTS, semi-joins as IN, windows as a literal
-VALUES list joined on BETWEEN, latest-event state as ROW_NUMBER.
+MAX, keyed deletes as NOT EXISTS, semi-joins as IN, windows as a recursive
+CTE of month steps joined on BETWEEN, latest-event state as ROW_NUMBER.
 """
 
 from __future__ import annotations
 
-from tidewater.operators.windows import make_windows
 from tidewater.plans import fixtures as fx
-from tidewater.plans.queries import HEADER_WINDOW, HISTORY, LEGACY, RELOAD_WINDOW
+from tidewater.plans.queries import HEADER_WINDOW, HISTORY, LEGACY, MONTH_END, RELOAD_WINDOW
 
 H = fx.with_ctes(fx.HEADER_CTES)
 HL = fx.with_ctes(fx.HEADER_CTES, fx.LINES_CTES)
@@ -22,9 +21,13 @@ HDR_COLS = "docentry, cardcode, doctotal, updatedate, updatets"
 
 
 def _values(start, end, months, legacy_end=False) -> str:
-    wins = make_windows(start, end, months, legacy_end=legacy_end)
-    rows = ", ".join(f"({w.number}, DATE '{w.start}', DATE '{w.end}')" for w in wins)
-    return f"(values {rows}) w(window_no, window_start, window_end)"
+    """The windows from DuckDB's own month arithmetic, each start stepped from the one before."""
+    step, more = f"INTERVAL {months} MONTH", "<" if legacy_end else "<="
+    return (
+        f"(with recursive s(window_no, window_start) as (select 1, DATE '{start}' union all "
+        f"select window_no + 1, cast(window_start + {step} as date) from s where window_start + {step} {more} DATE '{end}') "
+        f"select window_no, window_start, cast(least(window_start + {step} - INTERVAL 1 DAY, DATE '{end}') as date) window_end from s) w"
+    )
 
 
 def _upsert(keys: list[str], newer: str, dedupe_order: str | None = None) -> str:
@@ -93,6 +96,10 @@ SQL: dict[str, str] = {
         f"select h.docentry, h.updatedate, w.window_no from hdr_all h join {_values(*HISTORY)} "
         "on h.updatedate between w.window_start and w.window_end"
     ),
+    "assign_windows_month_end": fx.with_ctes(fx.HEADER_CTES) + (
+        f"select h.docentry, h.updatedate, w.window_no from hdr_all h join {_values(*MONTH_END)} "
+        "on h.updatedate between w.window_start and w.window_end"
+    ),
     "window_counts": fx.with_ctes(fx.HEADER_CTES) + (
         f"select w.window_no, w.window_start, w.window_end, cast(count(h.docentry) as bigint) \"rows\" "
         f"from {_values(*HISTORY)} left join hdr_all h on h.updatedate between w.window_start and w.window_end "
@@ -160,3 +167,28 @@ SQL: dict[str, str] = {
         "from state group by run_id"
     ),
 }
+
+# the same loads through the run drivers and the sink end in the same tables
+SQL |= {
+    "run_append_twice": SQL["append_composite"],
+    "run_upsert": SQL["upsert_composite"],
+    "run_replace_by_header": SQL["replace_by_header"],
+    "run_windows_rerun": SQL["load_window_rerun"],
+    "run_snapshot_days": SQL["snapshot_two_days"],
+    "run_full_reload": SQL["full_reload"],
+    "run_evolve": SQL["evolve_schema"],
+    "run_audit_log": (
+        "select 'nation' \"table\", 'full_reload' strategy, 'daily' frequency, (select count(*) from nation) \"rows\", 'success' status, false has_message "
+        "union all select 'orders', 'append', 'weekly', (select count(*) from orders), 'success', false "
+        "union all select 'missing', 'full_reload', 'daily', null, 'error', true"
+    ),
+    "run_frequency": (
+        f"select 'customer' \"table\", c_custkey k, TIMESTAMP '{fx.PREV_TS}' _ingested_at from customer "
+        f"union all select 'supplier', s_suppkey, {RUN} from supplier"
+    ),
+    "run_window_rows": (
+        f"select w.window_no, cast(count(h.docentry) as bigint) \"rows\" from {_values(*HISTORY)} "
+        "left join (select * from hdr_all) h on h.updatedate between w.window_start and w.window_end group by w.window_no"
+    ),
+}
+SQL["run_window_rows"] = fx.with_ctes(fx.HEADER_CTES) + SQL["run_window_rows"]

@@ -40,6 +40,7 @@ from tidewater.functions.marks import Mark
 from tidewater.operators.common import empty_like, newest_per_key, semi_by_key
 from tidewater.operators.schema import align_to
 from tidewater.plans import fixtures as fx
+from tidewater.plans.sink_queries import SINK_QUERIES
 
 # Parameters of the registered queries.
 SCAN_COLUMNS = ["O_ORDERKEY", "o_orderdate", "o_totalprice", "o_custkey", "o_comment"]
@@ -67,6 +68,7 @@ LINES_METADATA = [
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 HISTORY = ("1995-01-01", "2001-08-01", 3)
 LEGACY = ("1995-01-01", "2001-07-01", 3)
+MONTH_END = ("1995-01-31", "2001-08-01", 1)
 RELOAD_WINDOW = ("1999-01-01", "2001-08-01", 3)
 HEADER_WINDOW = ("1999-01-01", "1999-12-31", 3)
 DAY1_TS = "2024-01-02 10:00:00"
@@ -179,6 +181,14 @@ def q_assign_windows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_assign_windows_month_end(spark: SparkSession, sf: str) -> DataFrame:
+    start, end, months = MONTH_END  # a start on the 31st drifts
+    wins = make_windows(start, end, months)
+    return assign_windows(fx.header_source(spark, sf), "updatedate", wins, months).select(
+        "docentry", "updatedate", "window_no"
+    )
+
+
 def q_window_counts(spark: SparkSession, sf: str) -> DataFrame:
     start, end, months = HISTORY
     wins = make_windows(start, end, months)
@@ -248,8 +258,8 @@ def q_assign_windows_legacy(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _state(spark, sf):
-    return audit_state(fx.audit_events(spark, sf))
+def _state(spark, sf, messages=True):
+    return audit_state(fx.audit_events(spark, sf), messages)
 
 
 def q_audit_state(spark: SparkSession, sf: str) -> DataFrame:
@@ -257,11 +267,11 @@ def q_audit_state(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_audit_last_run(spark: SparkSession, sf: str) -> DataFrame:
-    return last_run(_state(spark, sf))
+    return last_run(fx.audit_events(spark, sf))
 
 
 def q_audit_history(spark: SparkSession, sf: str) -> DataFrame:
-    return run_history(_state(spark, sf))
+    return run_history(_state(spark, sf, messages=False))
 
 
 def q_audit_errors(spark: SparkSession, sf: str) -> DataFrame:
@@ -269,7 +279,7 @@ def q_audit_errors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_run_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return run_summary(_state(spark, sf))
+    return run_summary(_state(spark, sf, messages=False))
 
 
 REGISTRY = {
@@ -291,6 +301,7 @@ REGISTRY = {
     "full_reload": q_full_reload,
     "snapshot_two_days": q_snapshot_two_days,
     "assign_windows": q_assign_windows,
+    "assign_windows_month_end": q_assign_windows_month_end,
     "window_counts": q_window_counts,
     "load_window_rerun": q_load_window_rerun,
     "load_window_by_header": q_load_window_by_header,
@@ -307,3 +318,6 @@ REGISTRY = {
     "audit_errors": q_audit_errors,
     "run_summary": q_run_summary,
 }
+
+# queries that go through the run drivers and the sink
+REGISTRY.update(SINK_QUERIES)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.marks import Mark, mark_from_top, top_value
-from tidewater.functions.predicates import mark_sql
+from tidewater.functions.predicates import INGEST_COL, mark_sql
 from tidewater.functions.typemap import cast_columns
 from tidewater.operators import (
     HeaderRef,
@@ -37,8 +37,11 @@ from tidewater.operators import (
     scan_projected,
     upsert,
 )
+from tidewater.operators.common import ts_literal
+from tidewater.operators.windows import Window, assign_windows
 from tidewater.plans.settings import APPEND, BY_HEADER, FULL_RELOAD, SNAPSHOT, UPSERT, TableSpec
 from tidewater.sources.audit_log import AuditLog
+from tidewater.sources.readers import window_predicates
 from tidewater.sources.sink import DAY_COL, RawTable, ensure_root
 
 SourceReader = Callable[[str], DataFrame]
@@ -93,16 +96,18 @@ def read_mark(table: RawTable, date_col: str, time_col: str | None) -> Mark:
 
 
 def _source(spec: TableSpec, read_source: SourceReader) -> DataFrame:
-    """S1 + S7/S8: configured columns in configured order, cast by the type map
-    when the spec carries source metadata."""
-    return _typed_source(spec, read_source(spec.name))
+    """S1 + S7/S8: configured columns in configured order, cast by the type map."""
+    return _typed_source(spec, read_source(spec.name), read_source)
 
 
-def _typed_source(spec: TableSpec, raw_source: DataFrame) -> DataFrame:
+def _typed_source(spec: TableSpec, raw_source: DataFrame, read_source: SourceReader) -> DataFrame:
+    """The spec's own column metadata decides the types, else what the reader's
+    ``columns_of(name)`` tells; without either the source's types stay."""
     df = scan_projected(raw_source, list(spec.columns))
-    if spec.metadata:
-        df = cast_columns(df, list(spec.metadata))
-    return df
+    metadata = list(spec.metadata)
+    if not metadata and hasattr(read_source, "columns_of"):
+        metadata = list(read_source.columns_of(spec.name))
+    return cast_columns(df, metadata) if metadata else df
 
 
 def incremental_plan(
@@ -133,11 +138,7 @@ def incremental_plan(
                          quote=getattr(read_source, "quote", '"'))
         if where is not None and hasattr(read_source, "lines_in"):
             # the source evaluates the semi-join itself; the plan's own semi-join stays for exactness
-            source = scan_projected(
-                read_source.lines_in(spec.name, spec.doc_key, spec.header_table,
-                                     spec.header_key or spec.doc_key, where),
-                list(spec.columns),
-            )
+            source = _lines_in(spec, read_source, where)
         return replace_by_header(
             raw, source, headers, mark, doc_key=spec.doc_key, header_date_col=spec.header_mark_col,
             run_ts=run_ts, header_key=spec.header_key, header_time_col=spec.header_mark_time_col,
@@ -148,6 +149,12 @@ def incremental_plan(
     return full_reload(raw, source, run_ts)
 
 
+def _lines_in(spec: TableSpec, read_source: SourceReader, where: str) -> DataFrame:
+    """The lines of the headers that satisfy ``where``, selected by the source itself."""
+    key = spec.header_key or spec.doc_key
+    return _typed_source(spec, read_source.lines_in(spec.name, spec.doc_key, spec.header_table, key, where), read_source)
+
+
 def incremental_load(
     spark: SparkSession,
     specs: Iterable[TableSpec],
@@ -201,7 +208,8 @@ def initial_plan(
     raw = table.read()
     if ini.start and ini.months and (spec.mark_col or (spec.header_table and spec.header_mark_col)):
         wins = make_windows(ini.start, ini.end or today, ini.months)
-        step = ini.windows_per_job or max(len(wins), 1)
+        # a bucketed table is rewritten whole by each publish, so it takes all windows at once
+        step = max(len(wins), 1) if table.layout.kind == "bucket" else ini.windows_per_job or max(len(wins), 1)
         slices = [wins[i:i + step] for i in range(0, len(wins), step)]
 
         def plans():  # built one at a time, each after the previous slice is published
@@ -209,11 +217,16 @@ def initial_plan(
                 if spec.mark_col:
                     src = source
                     if hasattr(read_source, "read_windows"):  # one source task per window
-                        src = _typed_source(spec, read_source.read_windows(spec.name, spec.mark_col, part))
+                        src = _typed_source(spec, read_source.read_windows(spec.name, spec.mark_col, part), read_source)
                     yield load_windows(table.read(), src, spec.mark_col, part, ini.months, run_ts)
                 else:
+                    src = source
+                    if hasattr(read_source, "lines_in"):  # the windows' headers select the lines at the source
+                        where = window_predicates(spec.header_mark_col, [Window(0, part[0].start, part[-1].end)],
+                                                  getattr(read_source, "quote", '"'))[0]
+                        src = _lines_in(spec, read_source, where)
                     yield load_window_by_header(
-                        table.read(), source, read_source(spec.header_table), spec.doc_key,
+                        table.read(), src, read_source(spec.header_table), spec.doc_key,
                         spec.header_mark_col, part, ini.months, run_ts, header_key=spec.header_key,
                     )
 
@@ -249,13 +262,31 @@ def initial_load(
     result = RunResult(str(uuid.uuid4()), run_ts)
     for spec in specs:
         _run_one(spark, spec, root, audit, result, run_ts, lambda t, s: initial_plan(
-            spec, t, s, read_source, run_ts, today), read_source, create=True)
+            spec, t, s, read_source, run_ts, today), read_source, create=True, today=today)
     result.finished_at = datetime.now()
     return result
 
 
-def _run_one(spark, spec, root, audit, result, run_ts, make_plan, read_source, create: bool) -> None:
+def window_rows(spec: TableSpec, table: RawTable, read_source: SourceReader, run_ts: datetime, today: date) -> dict[int, int]:
+    """A2: rows that this run loaded in each history window, by one grouped
+    count over the mark column it wrote (for line tables, over document ids
+    joined to their headers' windows). At most one row per window comes back."""
+    ini = spec.initial
+    wins = make_windows(ini.start, ini.end or today, ini.months)
+    mine = table.read().where(F.col(INGEST_COL) == ts_literal(run_ts))
+    if spec.mark_col:
+        counted = assign_windows(mine, spec.mark_col, wins, ini.months).groupBy("window_no").agg(F.count("*").alias("n"))
+    else:
+        headers = assign_windows(read_source(spec.header_table), spec.header_mark_col, wins, ini.months)
+        headers = headers.select(F.col(spec.header_key or spec.doc_key).alias("doc"), "window_no").distinct()
+        docs = mine.groupBy(F.col(spec.doc_key).alias("doc")).agg(F.count("*").alias("n"))
+        counted = docs.join(headers, "doc").groupBy("window_no").agg(F.sum("n").alias("n"))
+    return dict.fromkeys((w.number for w in wins), 0) | {r["window_no"]: r["n"] for r in counted.collect()}
+
+
+def _run_one(spark, spec, root, audit, result, run_ts, make_plan, read_source, create: bool, today=None) -> None:
     table = RawTable(spark, root, spec.name)
+    table.recover()  # this run writes the table next
     args = (result.run_id, spec.name, spec.strategy, spec.frequency)
     t0 = time.perf_counter()
     try:
@@ -269,18 +300,11 @@ def _run_one(spark, spec, root, audit, result, run_ts, make_plan, read_source, c
             audit.start(*args)
         planned = make_plan(table, source)
         plans = [planned] if isinstance(planned, LoadPlan) else planned
-        rows = 0
-        for p in plans:
-            rows += table.publish(p)
-            per_window = {
-                int(k.split("_", 1)[1]): int(v)
-                for k, v in (table.last_metrics or {}).items() if k.startswith("window_")
-            }
-            if per_window:
-                result.windows.setdefault(spec.name, {}).update(per_window)
-        result.rows[spec.name] = rows
+        result.rows[spec.name] = sum(table.publish(p) for p in plans)
+        if plans is planned:  # a history load by windows
+            result.windows[spec.name] = window_rows(spec, table, read_source, run_ts, today)
         if audit:
-            audit.success(*args, rows=rows)
+            audit.success(*args, rows=result.rows[spec.name])
     except Exception as exc:  # noqa: BLE001 - one table's failure must not stop the run
         result.failures[spec.name] = f"{type(exc).__name__}: {exc}"
         if audit:

@@ -49,6 +49,8 @@ class TableSpec:
     buckets: int = 64
     period_grain: str = "month"
     delete_from: str = "lines"
+    # numeric column that splits a JDBC read into parallel ranges: (column, lower, upper, partitions)
+    split: tuple[str, int, int, int] | None = None
     # source catalog rows (S7); when given, the source is cast by the type map
     metadata: tuple[SourceColumn, ...] = ()
 
@@ -95,6 +97,10 @@ def _d(v) -> date | None:
     return date.fromisoformat(str(v))
 
 
+def _split(v) -> tuple[str, int, int, int] | None:
+    return None if not v else (str(v["column"]), int(v["lower"]), int(v["upper"]), int(v["partitions"]))
+
+
 def spec_from_mapping(name: str, cfg: Mapping) -> TableSpec:
     """Build a spec from a plain mapping (e.g. parsed from a config file).
 
@@ -122,6 +128,7 @@ def spec_from_mapping(name: str, cfg: Mapping) -> TableSpec:
         buckets=int(cfg.get("buckets") or 64),
         period_grain=cfg.get("period_grain") or "month",
         delete_from=cfg.get("delete_from") or "lines",
+        split=_split(cfg.get("split")),
         metadata=tuple(
             SourceColumn(m["name"], m["type"], m.get("length"), m.get("scale"), m.get("position"))
             for m in (cfg.get("metadata") or ())

@@ -52,9 +52,9 @@ def get_session(
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) is a scratch
-    folder of our own set, so staging never lands on a machine-local path on a
-    real cluster.
+    A cluster names it. Only on a local master, where driver and tasks are one
+    process, is a scratch folder of our own set when it is unset; elsewhere that
+    would put staged rows on each executor's own disk, so it is an error.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None)
@@ -63,6 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = fallback or os.environ.get("TIDEWATER_SCRATCH") or tempfile.mkdtemp(prefix="tidewater-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

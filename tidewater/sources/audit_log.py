@@ -61,17 +61,17 @@ class AuditLog:
     def events(self) -> DataFrame:
         return self.spark.read.schema(A.EVENT_SCHEMA).parquet(self.path)
 
-    def state(self) -> DataFrame:
-        return A.audit_state(self.events())
+    def state(self, messages: bool = True) -> DataFrame:
+        return A.audit_state(self.events(), messages)
 
     def last_run(self) -> DataFrame:
-        return A.last_run(self.state())
+        return A.last_run(self.events())
 
     def history(self) -> DataFrame:
-        return A.run_history(self.state())
+        return A.run_history(self.state(messages=False))
 
     def errors(self) -> DataFrame:
         return A.error_list(self.state())
 
     def summary(self) -> DataFrame:
-        return A.run_summary(self.state())
+        return A.run_summary(self.state(messages=False))

@@ -11,7 +11,9 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidewater.functions.typemap import SourceColumn
 from tidewater.operators.windows import Window
 
 # The reference moves 10,000 rows per fetch and per insert.
@@ -55,7 +57,8 @@ class JdbcSource:
 
     def __init__(self, spark: SparkSession, url: str, schema: str | None = None,
                  options: dict[str, str] | None = None, splits: dict[str, JdbcSplit] | None = None,
-                 quote: str = '"'):
+                 quote: str = '"', columns_query: str | None = None):
+        self.columns_query = columns_query
         self.spark, self.url, self.schema, self.quote = spark, url, schema, quote
         self.options = dict(options or {})
         self.splits = dict(splits or {})
@@ -80,6 +83,20 @@ class JdbcSource:
     def __call__(self, name: str) -> DataFrame:
         return self._reader(self.relation(name), self.splits.get(name)).load()
 
+    def columns_of(self, name: str) -> list[SourceColumn]:
+        """A table's rows of the source catalog, for the type map; none without a ``columns_query``.
+
+        The query gives table, column, type, length, scale and position, in
+        that order, under any names. A table has few columns, so the rows are
+        bounded.
+        """
+        if not self.columns_query:
+            return []
+        rows = self._reader(f"({self.columns_query}) columns_of", None).load().toDF("t", "name", "type", "length", "scale", "position")
+        number = lambda v: None if v is None else int(v)
+        found = rows.where(F.upper("t") == name.upper()).collect()
+        return [SourceColumn(r["name"], r["type"], number(r["length"]), number(r["scale"]), number(r["position"])) for r in found]
+
     def read_windows(self, name: str, col: str, windows: list[Window]) -> DataFrame:
         """A history read split one task per window (JDBC ``predicates``): all
         windows are fetched in parallel in one job."""
@@ -103,9 +120,10 @@ def jdbc_source(
     options: dict[str, str] | None = None,
     splits: dict[str, JdbcSplit] | None = None,
     quote: str = '"',
+    columns_query: str | None = None,
 ) -> JdbcSource:
     """A :class:`JdbcSource` (callable as ``name -> DataFrame``)."""
-    return JdbcSource(spark, url, schema, options, splits, quote)
+    return JdbcSource(spark, url, schema, options, splits, quote, columns_query)
 
 
 def window_predicates(col: str, windows: list[Window], quote: str = '"') -> list[str]:

@@ -1,24 +1,32 @@
 """The raw table: a partitioned Parquet directory plus a small metadata file.
 
-Each publish is one Spark write, counted on the way by an ``Observation``:
-
-* ``append``     -> the batch is appended (files appear at job commit);
-* ``overwrite``  -> the new table is written beside the old one and swapped in
-                    by two renames (rolled forward if a crash cuts it short);
+A publish has two steps. Spark first writes the new files of the load to a
+fresh folder beside the table, counted on the way by an ``Observation``. A
+commit file in that folder then lists what is to be moved where, and the
+metadata that follows; from then on the load is decided. The moves are renames
+on the driver that can be repeated, so a run that died is completed by the next
+publish (or ``recover``), and one that died before its commit file leaves the
+table as it was. Opening a table changes nothing.
+
+* ``append``     -> the batch's files are added;
+* ``overwrite``  -> the whole content is replaced;
 * ``keyed``      -> the batch is staged once under the shared
                     ``spark.checkpoint.dir``; only the hash buckets it touches
-                    are read and rewritten (dynamic partition overwrite), the
-                    keyed delete being an anti-join against the staged keys,
-                    broadcast when their measured size allows;
-* ``predicate``  -> likewise staged; only the periods the delete can reach are
-                    rewritten, found by a directory listing, not a scan.
-
-Partitions whose new content is empty are dropped explicitly: a dynamic
-overwrite alone would leave their old rows in place. Reads and writes of the
-same table in one job are safe because Spark's commit protocol moves files
-only after every task has finished; a lost executor just re-runs its tasks.
+                    are read and replaced, the keyed delete being an anti-join
+                    against the staged keys, broadcast when their measured
+                    bytes allow;
+* ``predicate``  -> only the periods the delete can reach are replaced, found
+                    by a directory listing, not a scan; nothing is staged.
+
+Into an empty table every load is one plain write. Renames of directories must
+be cheap and atomic (HDFS, or a local or network file system); an object store
+needs a table format instead. One writer per table at a time; a reader that
+lists the table between two moves can see part of them.
+
 The metadata file holds the declared schema (it only grows), the layout, and
-the table's newest mark where the publishes could keep it exact.
+the table's newest mark where the publishes could keep it exact. It is replaced
+by rename. Rows that someone else writes into the folder leave a kept mark
+stale: call ``truncate`` or ``drop_marks`` after such a change.
 """
 
 from __future__ import annotations
@@ -39,15 +47,10 @@ from tidewater.operators.schema import align_to, missing_columns
 from tidewater.session import ensure_checkpoint_dir
 
 META_FILE = "_tidewater.json"
+COMMIT_FILE = "_commit.json"
 BUCKET_COL = "_bucket"
 DAY_COL = "_period"
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-_KEY_WIDTH = {
-    T.ByteType: 8, T.ShortType: 8, T.IntegerType: 8, T.LongType: 8, T.DateType: 8,
-    T.TimestampNTZType: 8, T.TimestampType: 8, T.DoubleType: 8, T.FloatType: 8, T.DecimalType: 16,
-}
-
-
 @dataclass
 class Layout:
     """How a raw table is partitioned.
@@ -99,12 +102,19 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p, _ = _jvm_fs(spark, path)
+    """Write beside ``path``, then rename over it: a reader finds the old text or the new."""
+    part = f"{path}.{uuid.uuid4().hex}.part"
+    fs, p, jvm = _jvm_fs(spark, part)
     out = fs.create(p, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+    context.rename(fs.makeQualified(p), fs.makeQualified(jvm.org.apache.hadoop.fs.Path(path)), over)
 
 
 def _read_text(spark: SparkSession, path: str) -> str:
@@ -124,10 +134,21 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 def _rename(spark: SparkSession, src: str, dst: str) -> None:
     fs, s, jvm = _jvm_fs(spark, src)
-    if not fs.rename(s, jvm.org.apache.hadoop.fs.Path(dst)):
+    target = jvm.org.apache.hadoop.fs.Path(dst)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(s, target):
         raise OSError(f"rename {src} -> {dst} failed")
 
 
+def _children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """(name, is a directory) of the entries that hold data."""
+    fs, p, _ = _jvm_fs(spark, path)
+    if not fs.exists(p):
+        return []
+    found = [(st.getPath().getName(), bool(st.isDirectory())) for st in fs.listStatus(p)]
+    return [(n, d) for n, d in found if not n.startswith(("_", ".")) or n.startswith((f"{BUCKET_COL}=", f"{DAY_COL}="))]
+
+
 def ensure_root(spark: SparkSession, root: str) -> str:
     """Create the raw layer's root folder if absent (idempotent)."""
     fs, p, _ = _jvm_fs(spark, root)
@@ -148,43 +169,68 @@ class RawTable:
         self._staged_paths: list[str] = []
         self.last_write: DataFrame | None = None
         self._got: dict = {}
-        self._recover()
 
-    def _recover(self) -> None:
-        """Finish a whole-table swap cut short by a crash.
+    # -- commits ------------------------------------------------------------
+    def recover(self) -> None:
+        """Complete a commit that was cut short and remove what undecided writes left.
 
-        The new copy (data and metadata) is complete before the first rename,
-        so a run that died between the renames is rolled forward; leftovers of
-        either side are then removed.
+        Called by whoever is about to write (``publish``, ``create_if_missing``,
+        ``truncate``), never on open: another job's running write is not touched
+        by readers.
         """
-        fs, root, jvm = _jvm_fs(self.spark, self.root)
-        if not fs.exists(root):
-            return
-        fresh, old = [], []
-        for st in fs.listStatus(root):
-            n = st.getPath().getName()
-            if n.startswith(f".{self.name}.new-"):
-                fresh.append(st.getPath().toString())
-            elif n.startswith(f".{self.name}.old-"):
-                old.append(st.getPath().toString())
-        if not fresh and not old:
-            return
-        if not _path_exists(self.spark, self.path):
-            done = [f for f in fresh if _path_exists(self.spark, f"{f}/{META_FILE}")]
-            if done:
-                _rename(self.spark, done[0], self.path)
-                fresh.remove(done[0])
-            elif old:  # nothing new was complete: put the old copy back
-                _rename(self.spark, old[0], self.path)
-                old.remove(old[0])
-            if self.exists():
-                # the publish that was cut short never updated the kept marks:
-                # drop them so the next read scans
-                meta = self._meta()
-                meta["values"] = {k: v for k, v in meta.get("values", {}).items() if not k.startswith("mark:")}
-                self._write_meta(meta)
-        for p in fresh + old:
-            _delete(self.spark, p)
+        names = [n for n in self._beside() if n.startswith(f".{self.name}.txn-")]
+        for n in sorted(names):
+            fresh = f"{self.root}/{n}"
+            if _path_exists(self.spark, f"{fresh}/{COMMIT_FILE}"):
+                self._apply(fresh)
+            else:
+                _delete(self.spark, fresh)
+
+    def _beside(self) -> list[str]:
+        fs, p, _ = _jvm_fs(self.spark, self.root)
+        return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+    def _apply(self, fresh: str) -> None:
+        """Carry out a commit file. Every step can be repeated: what has moved already is left."""
+        todo = json.loads(_read_text(self.spark, f"{fresh}/{COMMIT_FILE}"))
+        exists = lambda path: _path_exists(self.spark, path)
+        for name in todo["old"]:
+            if not exists(f"{fresh}/.old/{name}") and exists(f"{self.path}/{name}"):
+                _rename(self.spark, f"{self.path}/{name}", f"{fresh}/.old/{name}")
+        for name in todo["new"]:
+            if exists(f"{fresh}/{name}"):
+                _rename(self.spark, f"{fresh}/{name}", f"{self.path}/{name}")
+        self._write_meta(todo["meta"])
+        _delete(self.spark, fresh)
+
+    def _commit(self, fresh: str, replaced: list[str], meta: dict) -> None:
+        """Decide the load in ``fresh``: entries of the table named in ``replaced`` give way, others gain files."""
+        old = [n for n, _ in _children(self.spark, self.path) if n in set(replaced)]
+        new = []
+        for name, is_dir in _children(self.spark, fresh):
+            if name in replaced or not is_dir or not _path_exists(self.spark, f"{self.path}/{name}"):
+                new.append(name)
+            else:  # a partition that keeps its files: add the new ones to it
+                new += [f"{name}/{f}" for f, _ in _children(self.spark, f"{fresh}/{name}")]
+        _write_text(self.spark, f"{fresh}/{COMMIT_FILE}", json.dumps({"old": old, "new": new, "meta": meta}))
+        self._apply(fresh)
+
+    def _write_fresh(self, df: DataFrame, count: bool) -> str:
+        """Write ``df`` beside the table; with ``count`` its rows and marks are observed."""
+        fresh = f"{self.root}/.{self.name}.txn-{uuid.uuid4().hex}"
+        col = self.layout.column
+        # rebalance: AQE cuts the output into advisory-size partitions per
+        # period/bucket (a hot one is split), so few files per partition
+        out = df.hint("rebalance", col) if col else df
+        obs = Observation(f"write_{uuid.uuid4().hex[:8]}") if count else None
+        if obs is not None:
+            out = out.observe(obs, *self._metrics(df))
+        self.last_write = out  # kept for plan inspection (explain)
+        w = out.write.mode("overwrite")
+        (w.partitionBy(col) if col else w).parquet(fresh)
+        if obs is not None:
+            self._got = dict(obs.get)
+        return fresh
 
     # -- catalog ------------------------------------------------------------
     def exists(self) -> bool:
@@ -226,6 +272,7 @@ class RawTable:
     def create_if_missing(self, data_schema: T.StructType, layout: Layout | None = None) -> bool:
         """Create with every column nullable plus ``_ingested_at``; leave an
         existing table alone. Returns True when created."""
+        self.recover()
         if self.exists():
             return False
         fields = [T.StructField(f.name, f.dataType, True) for f in data_schema.fields if f.name != INGEST_COL]
@@ -283,139 +330,107 @@ class RawTable:
             ]
         )
 
-    def _stage(self, df: DataFrame, extra: dict[str, Column] | None = None) -> tuple[DataFrame, int, list]:
+    def _stage(self, df: DataFrame, extra: dict[str, Column] | None = None) -> tuple[DataFrame, dict]:
         """Materialise ``df`` once in the shared checkpoint folder; return the
-        re-read frame, its row count and its partition values."""
+        re-read frame and what was observed: rows, partition values, bytes of the keys."""
         base = ensure_checkpoint_dir(self.spark)
         path = f"{base}/tidewater-stage/{self.name}-{uuid.uuid4().hex}"
         for k, v in (extra or {}).items():
             df = df.withColumn(k, v)
         obs = Observation(f"stage_{uuid.uuid4().hex[:8]}")
-        metrics = [F.count(F.lit(1)).alias("rows"), *self._mark_metrics(df), *self._extra_metrics(df)]
         col = self.layout.column
-        if col and col in df.columns:
-            metrics.append(F.collect_set(col).alias("parts"))
-        out = df.hint("rebalance", col) if col and col in df.columns else df
-        out.observe(obs, *metrics).write.mode("overwrite").parquet(path)
+        key_bytes = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in self.layout.keys), F.lit(32))
+        df.observe(
+            obs, *self._metrics(df), F.collect_set(col).alias("parts"), F.sum(key_bytes.cast("long")).alias("key_bytes")
+        ).write.mode("overwrite").parquet(path)
         self._staged_paths.append(path)
-        got = obs.get
-        if not getattr(self, "_got", None):
-            self._got = dict(got)
-        staged = self.spark.read.schema(df.schema).parquet(path)
-        return staged, int(got.get("rows", 0)), list(got.get("parts") or [])
-
-    def _small(self, rows: int, keys: list[str]) -> bool:
-        """Is a key set of ``rows`` rows safe to broadcast? Sized from the
-        measured row count and a per-type width (text counted generously)."""
-        width = 32 + sum(_KEY_WIDTH.get(type(self.schema[k].dataType), 64) for k in keys)
-        return rows * width <= self.broadcast_bytes
+        return self.spark.read.schema(df.schema).parquet(path), dict(obs.get)
 
     def publish(self, plan: LoadPlan) -> int:
         """Apply a load plan to the table; return the rows inserted."""
+        self.recover()
         self._meta_cache = None  # re-read: another job may have changed the table
         self._mark_cols = plan.mark[:2] if plan.mark is not None else None
-        self._extra = dict(plan.observe or {})
-        self._got: dict = {}
+        self._got = {}
         try:
-            rows = self._publish(plan)
-            self._after_publish(plan, self._got)
-            self.last_metrics = dict(self._got)
-            return rows
+            fresh, replaced = self._written(plan)
+            self._commit(fresh, replaced, self._meta_after(plan, self._got))
+            return int(self._got.get("rows", 0))
         finally:
             self._mark_cols = None
-            self._extra = None
             for p in self._staged_paths:
                 _delete(self.spark, p)
             self._staged_paths.clear()
 
-    def _publish(self, plan: LoadPlan) -> int:
-        layout = self.layout
-        col = layout.column
+    def _written(self, plan: LoadPlan) -> tuple[str, list[str]]:
+        """Write what the load adds or replaces; return the folder and the entries it replaces."""
+        layout, col = self.layout, self.layout.column
         batch = self._conform(plan.batch)
-        part = {col: self._partition_expr(layout)} if col else None
-
-        # Append and whole-table loads use the batch once: one write, counted
-        # on the way. Only rewrites (batch needed for its keys and partitions
-        # first, then again for the union) stage it.
-        if plan.kind == "append":
-            return self._append_rows(batch.withColumn(col, part[col]) if col else batch)
-        if plan.kind == "overwrite":
-            return self._swap_in(batch.withColumn(col, part[col]) if col else batch)
-
-        staged, rows, parts = self._stage(batch, part)
+        part = {col: self._partition_expr(layout)} if col else {}
+        parted = batch.withColumn(col, part[col]) if col else batch
+        there = [n for n, _ in _children(self.spark, self.path)]
+        if plan.kind in ("append", "overwrite") or not there:
+            return self._write_fresh(parted, count=True), there if plan.kind == "overwrite" else []
 
         current = self.read(with_partition=True)
         if plan.kind == "keyed" and layout.kind == "bucket" and [k.upper() for k in plan.delete_keys] == [
             k.upper() for k in layout.keys
         ]:
-            ids = plan.delete_ids if plan.delete_ids is not None else plan.batch
-            if ids is plan.batch:
-                staged_ids, n_ids, id_parts = staged, rows, parts
-            else:
-                ids = align_to(self.schema, ids).select(*layout.keys)
-                staged_ids, n_ids, id_parts = self._stage(ids, {BUCKET_COL: self._partition_expr(layout)})
-            touched = sorted(set(parts) | set(id_parts))
+            staged, got = self._stage(batch, part)
+            self._got = got
+            ids, seen = staged, got
+            if plan.delete_ids is not None:  # other keys than the batch's, or keys that repeat in it: once each
+                ids = align_to(self.schema, plan.delete_ids) if plan.delete_ids is not plan.batch else staged
+                ids, seen = self._stage(ids.select(*layout.keys).distinct(), {BUCKET_COL: self._partition_expr(layout)})
+            touched = sorted({*(got.get("parts") or []), *(seen.get("parts") or [])})
             scope = current.where(F.col(BUCKET_COL).isin(touched)) if touched else empty_like(current)
-            kept = delete_by_key(
-                scope, staged_ids, layout.keys, broadcast=self._small(n_ids, layout.keys) or None
-            )
-            return self._rewrite(kept, staged, touched, rows)
+            small = int(seen.get("key_bytes") or 0) <= self.broadcast_bytes
+            kept = delete_by_key(scope, ids, layout.keys, broadcast=small or None)
+            new = kept.unionByName(staged)
+            return self._write_fresh(new, count=False), [f"{col}={p}" for p in touched]
 
         if plan.kind == "predicate" and layout.kind == "day" and plan.delete_days is not None:
             dcol, lo, hi = plan.delete_days
             if dcol.upper() == layout.day_col.upper():
                 lo_p, hi_p = layout.period(lo), layout.period(hi)
-                reach = [p for p in self._partition_values() if p is not None and lo_p <= p <= hi_p]
-                touched = sorted(set(reach) | {p for p in parts if p is not None}, key=str)
-                has_null = any(p is None for p in parts)
-                scope = current.where(F.col(DAY_COL).isin(touched)) if touched else empty_like(current)
-                kept = scope.where(~plan.delete_pred)
-                if has_null:  # NULL-day rows of the batch are simply appended
-                    self._append_rows(staged.where(F.col(DAY_COL).isNull()))
-                    staged = staged.where(F.col(DAY_COL).isNotNull())
-                return self._rewrite(kept, staged, touched, rows)
-
-        # Any other combination: recompute the whole table and swap it in.
+                reach = sorted(p for p in self._partition_values() if p is not None and lo_p <= p <= hi_p)
+                scope = current.where(F.col(DAY_COL).isin(reach)) if reach else empty_like(current)
+                return self._write_merged(scope.where(~plan.delete_pred), parted), [f"{col}={p}" for p in reach]
+
+        # Any other combination: recompute the whole table and replace it.
+        bare = current.drop(col) if col else current
         if plan.kind == "keyed":
-            ids = plan.delete_ids if plan.delete_ids is not None else staged
-            kept = delete_by_key(current.drop(col) if col else current, align_to(self.schema, ids), plan.delete_keys)
+            ids = align_to(self.schema, plan.delete_ids if plan.delete_ids is not None else batch)
+            kept = delete_by_key(bare, ids, plan.delete_keys)
         else:
-            kept = (current.drop(col) if col else current).where(~plan.delete_pred)
-        new = kept.unionByName(staged.drop(col) if col else staged)
-        self._swap_in(new.withColumn(col, self._partition_expr(layout)) if col else new)
-        return rows
-
-    def _counted(self, df: DataFrame):
-        """``df`` rebalanced on the partition column and observed for its row
-        count (and the batch's newest mark); returns the frame and ``Observation``."""
+            kept = bare.where(~plan.delete_pred)
+        return self._write_merged(kept.withColumn(col, part[col]) if col else kept, parted), there
+
+    def _write_merged(self, kept: DataFrame, batch: DataFrame) -> str:
+        """Write kept and new rows together; only the new ones are counted."""
+        own = "__new"
+        both = kept.withColumn(own, F.lit(False)).unionByName(batch.withColumn(own, F.lit(True)))
+        fresh = f"{self.root}/.{self.name}.txn-{uuid.uuid4().hex}"
         col = self.layout.column
-        obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
-        out = df.hint("rebalance", col) if col else df
-        return out.observe(obs, F.count(F.lit(1)).alias("rows"), *self._mark_metrics(df), *self._extra_metrics(df)), obs
+        obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")
+        out = (both.hint("rebalance", col) if col else both).observe(obs, *self._metrics(both, F.col(own))).drop(own)
+        self.last_write = out
+        w = out.write.mode("overwrite")
+        (w.partitionBy(col) if col else w).parquet(fresh)
+        self._got = dict(obs.get)
+        return fresh
+
+    def _metrics(self, df: DataFrame, only: Column | None = None) -> list[Column]:
+        """Row count, and the newest mark of the load, of all rows or of those where ``only`` holds."""
+        out = [F.count(F.lit(1) if only is None else F.when(only, 1)).alias("rows")]
+        mc = self._mark_cols
+        if only is None and mc and mc[0] in df.columns and (mc[1] is None or mc[1] in df.columns):
+            out.append(top_expr(mc[0], mc[1]).alias("top"))
+        return out
 
     # -- newest mark kept with the table ----------------------------------------
     _mark_cols: tuple | None = None
 
-    _extra: dict | None = None
-    last_metrics: dict | None = None
-
-    def _extra_metrics(self, df: DataFrame) -> list:
-        """The plan's own observed aggregates, once per publish (first write of
-        the batch only; later writes of other frames skip them)."""
-        extra = self._extra or {}
-        if not extra or getattr(self, "_got", None):
-            return []
-        try:
-            return [c.alias(name) for name, c in extra.items() if df.select(c).columns is not None]
-        except Exception:  # noqa: BLE001 - columns not in this frame
-            return []
-
-    def _mark_metrics(self, df: DataFrame) -> list:
-        mc = self._mark_cols
-        if mc and mc[0] in df.columns and (mc[1] is None or mc[1] in df.columns):
-            return [top_expr(mc[0], mc[1]).alias("top")]
-        return []
-
     @staticmethod
     def _mark_key(date_col: str, time_col: str | None) -> str:
         return f"mark:{date_col.upper()}|{(time_col or '').upper()}"
@@ -429,9 +444,15 @@ class RawTable:
     def cache_top(self, date_col: str, time_col: str | None, top) -> None:
         self.set_meta_value(self._mark_key(date_col, time_col), top_to_json(top))
 
-    def _after_publish(self, plan: LoadPlan, got: dict) -> None:
-        """Keep the newest mark exact without a scan where the load allows it;
-        drop every other cached mark (it may have moved)."""
+    def drop_marks(self) -> None:
+        """Forget the kept marks: the next run scans for them."""
+        meta = self._meta()
+        meta["values"] = {k: v for k, v in meta.get("values", {}).items() if not k.startswith("mark:")}
+        self._write_meta(meta)
+
+    def _meta_after(self, plan: LoadPlan, got: dict) -> dict:
+        """The metadata once the load is in: its newest mark is kept exact where
+        the load allows it without a scan; every other kept mark may have moved and is dropped."""
         meta = self._meta()
         values = {k: v for k, v in meta.get("values", {}).items() if not k.startswith("mark:")}
         if plan.mark is not None and "top" in got:
@@ -454,17 +475,7 @@ class RawTable:
             if new is not None:
                 values[key] = top_to_json(new[1])
         meta["values"] = values
-        self._write_meta(meta)
-
-    def _append_rows(self, df: DataFrame) -> int:
-        col = self.layout.column
-        out, obs = self._counted(df)
-        w = out.write.mode("append")
-        (w.partitionBy(col) if col else w).parquet(self.path)
-        got = dict(obs.get)
-        if not self._got:  # only the batch's first write reports its metrics
-            self._got = got
-        return int(got.get("rows", 0))
+        return meta
 
     def _partition_values(self) -> list:
         """Partition values present on storage (a directory listing, no scan)."""
@@ -485,50 +496,11 @@ class RawTable:
                     out.append(int(v))
         return out
 
-    def _rewrite(self, kept: DataFrame, staged: DataFrame, touched: list, rows: int) -> int:
-        """Dynamic-overwrite the touched partitions with kept + staged rows,
-        then drop touched partitions that ended up empty."""
-        col = self.layout.column
-        # rebalance: AQE cuts the output into advisory-size partitions per
-        # period/bucket (a hot one is split), so few files per partition
-        new = kept.unionByName(staged).hint("rebalance", col)
-        self.last_write = new  # kept for plan inspection (explain)
-        obs = Observation(f"rewrite_{uuid.uuid4().hex[:8]}")
-        (
-            new.observe(obs, F.collect_set(col).alias("parts"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(col)
-            .parquet(self.path)
-        )
-        written = set(obs.get.get("parts") or [])
-        for p in touched:
-            if p not in written:
-                _delete(self.spark, f"{self.path}/{col}={p}")
-        return rows
-
-    def _swap_in(self, df: DataFrame) -> int:
-        """Write the whole new table beside the old one, then swap by renames;
-        returns the rows written."""
-        meta = _read_text(self.spark, f"{self.path}/{META_FILE}")
-        tag = uuid.uuid4().hex
-        fresh, old = f"{self.root}/.{self.name}.new-{tag}", f"{self.root}/.{self.name}.old-{tag}"
-        col = self.layout.column
-        out, obs = self._counted(df)
-        w = out.write.mode("overwrite")
-        (w.partitionBy(col) if col else w).parquet(fresh)
-        _write_text(self.spark, f"{fresh}/{META_FILE}", meta)
-        _rename(self.spark, self.path, old)
-        _rename(self.spark, fresh, self.path)
-        _delete(self.spark, old)
-        got = dict(obs.get)
-        if not self._got:  # only the batch's first write reports its metrics
-            self._got = got
-        return int(got.get("rows", 0))
-
     def truncate(self) -> None:
         """Empty the table (schema and layout kept, kept marks dropped)."""
-        self._swap_in(self.spark.createDataFrame([], self._full_schema()))
+        self.recover()
+        self._meta_cache = None
         meta = self._meta()
         meta["values"] = {k: v for k, v in meta.get("values", {}).items() if not k.startswith("mark:")}
-        self._write_meta(meta)
+        fresh = f"{self.root}/.{self.name}.txn-{uuid.uuid4().hex}"
+        self._commit(fresh, [n for n, _ in _children(self.spark, self.path)], meta)

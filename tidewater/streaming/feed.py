@@ -6,7 +6,9 @@ rows", applied to the raw table through ``foreachBatch`` with the same
 strategy functions and the same sink as the batch runs. ``availableNow``
 processes what is there and stops, so a scheduled job keeps batch semantics.
 
-Exactly once: a micro-batch can be re-delivered after a failure. Before a
+Exactly once: a micro-batch can be re-delivered after a failure. Epochs are
+kept under the id that Spark gives the query in its checkpoint, so a stream
+started on another checkpoint counts its epochs anew. Before a
 publish the epoch and its ingest timestamp are recorded as *pending* in the
 table's metadata; after it the epoch is recorded as *done*. A done epoch is
 skipped. A pending epoch seen again may or may not have landed, so an append
@@ -17,7 +19,7 @@ replaces the same keys again.
 
 from __future__ import annotations
 
-import uuid
+import json
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -28,8 +30,7 @@ from tidewater.functions.marks import Mark
 from tidewater.functions.predicates import INGEST_COL
 from tidewater.operators import LoadPlan, stamp, upsert
 from tidewater.operators.common import ts_literal
-from tidewater.session import ensure_checkpoint_dir
-from tidewater.sources.sink import RawTable
+from tidewater.sources.sink import RawTable, _read_text
 
 
 def _plan(table: RawTable, batch: DataFrame, strategy: str, keys, mark_col, mark_time_col, run_ts) -> LoadPlan:
@@ -54,13 +55,21 @@ def stream_into(
     checkpoint: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Start a streaming load of ``stream`` into ``table``; returns the query."""
-    name = name or f"{table.name}_feed"
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(stream.sparkSession)}/streams/{name}-{uuid.uuid4().hex[:8]}"
+    """Start a streaming load of ``stream`` into ``table``; returns the query.
 
-    key = f"epoch:{name}"
+    Without ``checkpoint`` the stream keeps its progress in a fixed folder
+    beside the table, one for each table and ``name``, so a second start goes
+    on where the first one ended.
+    """
+    name = name or f"{table.name}_feed"
+    ckpt = checkpoint or f"{table.root}/_streams/{table.name}-{name}"
 
     def apply(batch: DataFrame, epoch: int) -> None:
+        # the query id, which Spark writes to the checkpoint before the first batch
+        query_id = json.loads(_read_text(table.spark, f"{ckpt}/metadata"))["id"]
+        key = f"epoch:{name}:{query_id}"
+        table.recover()  # an earlier attempt may have been cut short after its commit file
+        table._meta_cache = None
         state = table.meta_value(key) or {}
         if state.get("done") is not None and epoch <= int(state["done"]):
             return
