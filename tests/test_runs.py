@@ -305,3 +305,60 @@ def test_truncate_drops_the_kept_mark(spark, scratch):
     t.truncate()
     assert t.read().count() == 0
     assert read_mark(RawTable(spark, root, "hdr"), "updatedate", "updatets").empty
+
+
+def test_merge_statement_is_built(spark, scratch):
+    """Built only: no installed table format has a row-level MERGE."""
+    import pytest
+
+    from tidewater.operators.upsert import merge_into
+
+    batch = spark.createDataFrame([(1, "a")], "k int, v string")
+    assert hasattr(merge_into(batch, "lake.db.t", ["k"]), "merge")
+    with pytest.raises(ValueError, match="merge_table"):
+        TableSpec("t", "full_reload", merge_table="lake.db.t")
+    spec = TableSpec("t", "upsert", keys=("k",), mark_col="d", merge_table="no_such_table")
+    res = incremental_load(spark, [spec], lambda name: batch, f"{scratch}/raw")
+    assert "no_such_table" in res.failures["t"]
+
+
+def test_source_catalog_gives_the_types(spark, scratch):
+    """A reader with columns_of types every table, also lines that the source selects."""
+    from tidewater.functions.typemap import SourceColumn
+
+    class Source:
+        quote = '"'
+
+        def __call__(self, name):
+            return spark.read.parquet(f"{SF}/{name}.parquet")
+
+        def columns_of(self, name):
+            return [SourceColumn("n_nationkey", "SMALLINT", None, None, 1), SourceColumn("n_name", "NVARCHAR", 30, None, 2)]
+
+    res = initial_load(spark, [TableSpec("nation")], Source(), f"{scratch}/raw", run_ts=datetime(2024, 1, 1))
+    assert res.ok, res.failures
+    assert RawTable(spark, f"{scratch}/raw", "nation").schema["n_nationkey"].dataType.simpleString() == "smallint"
+
+
+def test_header_windows_are_selected_at_the_source(spark, scratch):
+    asked = []
+    hdr, lines = fx.header_raw(spark, SF).drop("_ingested_at"), fx.lines_raw(spark, SF).drop("_ingested_at")
+
+    class Source:
+        quote = '"'
+
+        def __call__(self, name):
+            return {"hdr": hdr, "lines": lines}[name]
+
+        def lines_in(self, name, doc_key, header, header_key, where):
+            asked.append((name, doc_key, header, header_key, where))
+            return lines.join(hdr.where(where.replace('"', "`")).select(header_key).distinct(), doc_key, "left_semi")
+
+    ini = InitialLoad(date(1995, 1, 1), date(2001, 12, 31), 12)
+    spec = TableSpec("lines", "replace_by_header", header_table="hdr", header_mark_col="updatedate", doc_key="docentry",
+                     initial=ini, buckets=4)
+    res = initial_load(spark, [spec], Source(), f"{scratch}/raw", run_ts=datetime(2024, 1, 1))
+    assert res.ok, res.failures
+    assert [a[:4] for a in asked] == [("lines", "docentry", "hdr", "docentry")] and "1995-01-01" in asked[0][4]
+    got = RawTable(spark, f"{scratch}/raw", "lines").read().count()
+    assert sum(res.windows["lines"].values()) == res.rows["lines"] == got > 0

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidewater.functions.marks import Mark, read_composite_mark, read_day_mark
 from tidewater.functions.predicates import newer_than, where_opt
@@ -40,6 +41,18 @@ def upsert(
     batch = stamp(batch, run_ts)
     kept = delete_by_key(raw, batch, keys, broadcast=broadcast)
     return LoadPlan(
-        kept=kept, batch=batch, kind="keyed", delete_keys=list(keys), delete_ids=batch,
+        kept=kept, batch=batch, kind="keyed", delete_keys=list(keys), delete_ids=None if one_per_key else batch,
         mark=(date_col, time_col, mark),
     )
+
+
+def merge_into(batch: DataFrame, table: str, keys: list[str]):
+    """L4 as one row-level MERGE into a catalog table whose format supports it:
+    matched keys are replaced, others inserted. Returns the writer; ``merge()``
+    runs it. NULL keys never match, so their rows are inserted. No such table
+    format is installed here: only the statement's building is tested."""
+    on = None
+    for k in keys:
+        same = F.col(f"{table}.{k}") == F.col(f"batch.{k}")
+        on = same if on is None else on & same
+    return batch.alias("batch").mergeInto(table, on).whenMatched().updateAll().whenNotMatched().insertAll()

@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.marks import Mark, mark_from_top, top_value
@@ -38,6 +38,7 @@ from tidewater.operators import (
     upsert,
 )
 from tidewater.operators.common import ts_literal
+from tidewater.operators.upsert import merge_into
 from tidewater.operators.windows import Window, assign_windows
 from tidewater.plans.settings import APPEND, BY_HEADER, FULL_RELOAD, SNAPSHOT, UPSERT, TableSpec
 from tidewater.sources.audit_log import AuditLog
@@ -285,6 +286,8 @@ def window_rows(spec: TableSpec, table: RawTable, read_source: SourceReader, run
 
 
 def _run_one(spark, spec, root, audit, result, run_ts, make_plan, read_source, create: bool, today=None) -> None:
+    if spec.merge_table:
+        return _merge_one(spark, spec, audit, result, run_ts, read_source)
     table = RawTable(spark, root, spec.name)
     table.recover()  # this run writes the table next
     args = (result.run_id, spec.name, spec.strategy, spec.frequency)
@@ -311,3 +314,22 @@ def _run_one(spark, spec, root, audit, result, run_ts, make_plan, read_source, c
             audit.error(*args, message=traceback.format_exc())
     finally:
         result.seconds[spec.name] = round(time.perf_counter() - t0, 3)
+
+
+def _merge_one(spark, spec, audit, result, run_ts, read_source) -> None:
+    """An upsert by the table format's own MERGE: the mark is read from the table, the batch merged into it."""
+    args = (result.run_id, spec.name, spec.strategy, spec.frequency)
+    try:
+        raw = spark.table(spec.merge_table)
+        if audit:
+            audit.start(*args)
+        plan = upsert(raw, _source(spec, read_source), list(spec.keys), spec.mark_col, run_ts, time_col=spec.mark_time_col)
+        rows = Observation()
+        merge_into(plan.batch.observe(rows, F.count(F.lit(1)).alias("rows")), spec.merge_table, list(spec.keys)).merge()
+        result.rows[spec.name] = int(rows.get["rows"])
+        if audit:
+            audit.success(*args, rows=result.rows[spec.name])
+    except Exception as exc:  # noqa: BLE001 - one table's failure must not stop the run
+        result.failures[spec.name] = f"{type(exc).__name__}: {exc}"
+        if audit:
+            audit.error(*args, message=traceback.format_exc())

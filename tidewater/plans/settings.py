@@ -51,6 +51,9 @@ class TableSpec:
     delete_from: str = "lines"
     # numeric column that splits a JDBC read into parallel ranges: (column, lower, upper, partitions)
     split: tuple[str, int, int, int] | None = None
+    # upsert by the MERGE of this catalog table's format instead of rewriting
+    # buckets; untested against a live table
+    merge_table: str | None = None
     # source catalog rows (S7); when given, the source is cast by the type map
     metadata: tuple[SourceColumn, ...] = ()
 
@@ -64,6 +67,8 @@ class TableSpec:
             raise ValueError(f"{self.name}: strategy {self.strategy} needs mark_col")
         if self.strategy == UPSERT and not self.keys:
             raise ValueError(f"{self.name}: upsert needs keys")
+        if self.merge_table and self.strategy != UPSERT:
+            raise ValueError(f"{self.name}: merge_table is for upsert")
         if self.strategy == BY_HEADER and not (self.header_table and self.header_mark_col and self.doc_key):
             raise ValueError(f"{self.name}: replace_by_header needs header_table, header_mark_col and doc_key")
         if self.delete_from not in ("lines", "headers"):
@@ -129,6 +134,7 @@ def spec_from_mapping(name: str, cfg: Mapping) -> TableSpec:
         period_grain=cfg.get("period_grain") or "month",
         delete_from=cfg.get("delete_from") or "lines",
         split=_split(cfg.get("split")),
+        merge_table=cfg.get("merge_table"),
         metadata=tuple(
             SourceColumn(m["name"], m["type"], m.get("length"), m.get("scale"), m.get("position"))
             for m in (cfg.get("metadata") or ())
