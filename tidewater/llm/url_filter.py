@@ -19,12 +19,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.shared import staged
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # words that mark unwanted sites, the seed of the labels
 BLOCK_WORDS = frozenset("ads adserver adult bets betting casino cialis malware phishing pills poker porn sex spam tracker track viagra warez xxx".split())
 # words of site names that texts may lack, so that names made of them come apart
 NAME_WORDS = frozenset("best bet blog buy cdn cheap farm free game games home mail mobile news online play shop site store video web win wiki www".split())
 VOCABULARY = 20_000  # words of the unigram model, a bound on what is sent to the workers
+RARE = 1e-6
 LONGEST = 20
 
 
@@ -49,11 +52,17 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tup
 
 
 def unigrams(texts: DataFrame, column: str, vocabulary: int = VOCABULARY) -> dict[str, int]:
-    """Counts of the words of a text column, over all its rows; the ``vocabulary`` most frequent are kept, ties by word."""
-    plain = F.regexp_replace(F.regexp_replace(F.lower(F.col(column)), r"<(script|style)\b.*?</\1>", " "), "<[^>]*>", " ")
+    """Counts of the words of a text column, over all its rows.
+
+    Kept are words that make up RARE or more of all words, which at most 1 / RARE
+    words can, and of these the ``vocabulary`` most frequent, ties by word.
+    """
+    plain = F.regexp_replace(F.regexp_replace(F.lower(F.col(column)), r"(?s)<(script|style)\b.*?</\1>", " "), "<[^>]*>", " ")
     words = texts.select(F.explode(F.regexp_extract_all(plain, F.lit(r"[a-z]+"), F.lit(0))).alias("w"))
-    counts = words.where(F.length("w").between(2, LONGEST)).groupBy("w").agg(F.count("*").alias("n"))
-    return {r["w"]: r["n"] for r in counts.orderBy(F.desc("n"), "w").limit(vocabulary).collect()}
+    counts = staged(words.where(F.length("w").between(2, LONGEST)).groupBy("w").agg(F.count("*").alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    common = counts.where(F.col("n") >= total * RARE)
+    return {r["w"]: r["n"] for r in common.orderBy(F.desc("n"), "w").limit(vocabulary).collect()}
 
 
 class Segmenter:
