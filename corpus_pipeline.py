@@ -25,7 +25,7 @@ from tidewater.llm.near_dedup import near_duplicates
 from tidewater.llm.quality_rules import DEFAULT_RULES, failed_rule, order_rules
 from tidewater.llm.queries import workers_find_library
 from tidewater.llm.secrets_scan import find_secrets, redacted
-from tidewater.llm.shared import staged, table
+from tidewater.llm.shared import staged, table, within
 from tidewater.llm.tokens import encode_texts
 
 
@@ -35,18 +35,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.where(failed_rule(text_of(), order).isNull())
 
 
+#: A list of ids is broadcast up to this many rows (16 MB of numbers), else joined by a shuffle.
+BROADCAST_IDS = 2_000_000
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies: that of the smallest doc_id, and of rows that repeat a doc_id one. A null doc_id stays."""
-    drop = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct()
-    kept = docs.join(drop, F.col("doc_id") == F.col("_dropped"), "left_anti")
-    named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where("doc_id is null"))
+    judged = staged(near_duplicates(docs).where("doc_id is not null").select(F.col("doc_id").alias("_id"), "kept"))
+    dropped = judged.where("not kept").select("_id").distinct()
+    repeated = staged(judged.where("kept").groupBy("_id").count().where("count > 1").select("_id"))
+    once = docs.join(within(dropped.union(repeated), BROADCAST_IDS), F.col("doc_id") == F.col("_id"), "left_anti")
+    again = docs.join(within(repeated, BROADCAST_IDS), F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
+    return once.unionByName(again)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text holds no benchmark item; rows without a doc_id stay."""
-    found = leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("_leak"), "left_anti")
+    found = staged(leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct())
+    return docs.join(within(found, BROADCAST_IDS), F.col("doc_id") == F.col("_leak"), "left_anti")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
