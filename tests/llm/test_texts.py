@@ -28,7 +28,7 @@ def brute_statistics(text):
 
 def test_word_statistics(odd_docs):
     texts = dict(enumerate(odd_texts()))
-    rows = odd_docs.select("doc_id", *[c.alias(f"_{k}") for k, c in word_statistics(text_of()).items()]).collect()
+    rows = odd_docs.select("doc_id", word_statistics(text_of()).alias("s")).select("doc_id", "s.*").collect()
     assert len(rows) == len(texts) + 2
     for r in rows:
         assert tuple(r[1:]) == brute_statistics(texts[6 if r.doc_id is None else r.doc_id])

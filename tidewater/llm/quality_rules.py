@@ -41,14 +41,18 @@ def _odd_length(text: Column) -> Column:
     return let(F.struct(C.word_chars(text).alias("c"), C.n_words(text).alias("n")), lambda x: (x["c"] > x["n"] * 15) | (x["c"] < x["n"] * 2))
 
 
-DEFAULT_RULES = (
+# the rules whose counts the word statistics hold as well
+COUNTED_RULES = (
     Rule("few_words", lambda t: C.n_words(t) < 10),
-    Rule("repeated_words", lambda t: let(t, lambda x: C.n_repeat_words(x) * 100 > C.n_words(x) * 20)),
+    Rule("repeated_words", lambda t: let(C.words(t), lambda w: C.repeat_words(w) * 100 > F.size(w) * 20)),
+)
+SHAPE_RULES = (
     Rule("symbols", lambda t: let(t, lambda x: C.count_of(x, SYMBOLS) * 100 > C.n_words(x) * 10)),
     Rule("upper_case", _shouts),
     Rule("word_length", _odd_length),
     Rule("repeated_lines", lambda t: let(t, lambda x: C.n_dup_lines(x) * 100 > F.size(F.split(x, "\n", -1)) * 50)),
 )
+DEFAULT_RULES = COUNTED_RULES + SHAPE_RULES
 
 
 @dataclass(frozen=True)
@@ -105,11 +109,16 @@ def judge(docs: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES, sample_rows: i
     return docs.withColumn("failed_rule", failed_rule(C.text_of(), order)).withColumn("kept", F.col("failed_rule").isNull())
 
 
-def word_statistics(text: Column) -> dict[str, Column]:
-    return {
-        "n_words": C.n_words(text),
-        "word_chars": C.word_chars(text),
-        "n_symbols": C.count_of(text, SYMBOLS),
-        "n_dup_lines": C.n_dup_lines(text),
-        "n_repeat_words": C.n_repeat_words(text),
-    }
+def word_statistics(text: Column) -> Column:
+    """struct<n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words>; the words are split once."""
+    of_words = let(C.words(text), lambda w: F.struct(F.size(w).cast("long").alias("n"), C.repeat_words(w).alias("r")))
+    return let(
+        of_words,
+        lambda w: F.struct(
+            w["n"].alias("n_words"),
+            C.word_chars(text).alias("word_chars"),
+            C.count_of(text, SYMBOLS).alias("n_symbols"),
+            C.n_dup_lines(text).alias("n_dup_lines"),
+            w["r"].alias("n_repeat_words"),
+        ),
+    )

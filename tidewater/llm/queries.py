@@ -15,7 +15,7 @@ from tidewater.llm.leaks import leaks
 from tidewater.llm.licenses import find_licenses
 from tidewater.llm.near_dedup import near_duplicates
 from tidewater.llm.quality_model import score_quality, train
-from tidewater.llm.quality_rules import judge, word_statistics
+from tidewater.llm.quality_rules import SHAPE_RULES, failed_rule, order_rules, word_statistics
 from tidewater.llm.secrets_scan import described, find_secrets
 from tidewater.llm.shared import table
 from tidewater.llm.substrings import remove_repeats
@@ -45,9 +45,13 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 @_query
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = judge(table(spark, sf_dir, "documents")).withColumns(word_statistics(text_of()))
+    """The counts decide base_failed; the cascade of the other rules runs on the rows that it lets pass."""
+    docs = table(spark, sf_dir, "documents")
+    rules = [m.rule for m in order_rules(docs, SHAPE_RULES)]
+    out = docs.withColumn("s", word_statistics(text_of())).select("doc_id", "text", "s.*")
     out = out.withColumn("base_failed", F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words"))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.expr("kept and not base_failed").alias("kept"))
+    kept = F.when(F.col("base_failed"), False).otherwise(failed_rule(text_of(), rules).isNull())
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"))
 
 
 @_query
