@@ -3,7 +3,10 @@
 from collections import Counter, defaultdict
 
 
+import pytest
+
 from tests.llm.conftest import WORD, odd_texts, shingles
+from tidewater.llm import near_dedup
 from tidewater.llm.components import components
 from tidewater.llm.leaks import leaks
 from tidewater.llm.near_dedup import near_duplicates
@@ -40,8 +43,11 @@ def test_near_duplicates_equal_brute_force(odd_docs):
     assert null.component_id is None and null.kept
 
 
-def test_near_duplicates_of_a_large_group(spark):
+@pytest.mark.parametrize("block,lot", [(512, 4096), (16, 8)])
+def test_near_duplicates_of_a_large_group(spark, monkeypatch, block, lot):
     """More near copies than a block holds, a few stragglers that reach them by one member, and a group of look-alikes below the bound."""
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", block)
+    monkeypatch.setattr(near_dedup, "LOT_ROWS", lot)
     base = [f"b{i}" for i in range(100)]
     texts = {}
     for k in range(700):

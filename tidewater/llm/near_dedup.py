@@ -38,7 +38,7 @@ from tidewater.llm.shared import binary_column, shuffle_partitions, staged, star
 from tidewater.llm.words import mix, shingle_sets, word_hashes
 
 TREES, DEPTH, SEED_TREES = 20, 4, 3
-BLOCK_ROWS = 512
+BLOCK_ROWS, LOT_ROWS = 512, 4096  # rows of a region that a task holds and compares with them, about
 _WIDTH = 2  # bytes kept of a minimum in the forest
 MISS = 1e-5
 MINIMA = 320  # of which one byte each is kept to compare whole signatures
@@ -145,27 +145,31 @@ def _across(classes: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     own = own.select("id", "n_shingles", "tree", "region", F.coalesce("component", "id").alias("comp"))
     mixed = own.groupBy("region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("region")
     rows = staged(own.join(mixed, "region"))
-    # the main component of a region keeps to its blocks; the others are compared with every block
+    # all texts are dealt into blocks; those outside the region's main component are, lot by lot, compared with every block
     parts = rows.groupBy("region", "comp").agg(F.count("*").alias("n"))
-    main = parts.groupBy("region").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"))
+    main = parts.groupBy("region").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("n_main"))
     rows = rows.join(main, "region").join(classes.select("id", "sig", "fine"), "id").withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
-    home = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = rows.select("*", home.alias("block"), F.lit(True).alias("home")).unionByName(
+    rows = rows.withColumn("lots", F.greatest(F.lit(1), F.ceil((F.col("n") - F.col("n_main")) / LOT_ROWS)).cast("int"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    lot = F.pmod(F.xxhash64("id", F.lit(1)), F.col("lots")).cast("int")
+    dealt = rows.select("*", F.col("own").alias("block"), every("lots").alias("lot"), F.lit(True).alias("home")).unionByName(
         rows.where("comp <> main and blocks > 1")
-        .select("*", home.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("home"))
+        .select("*", every("blocks").alias("block"), lot.alias("lot"), F.lit(False).alias("home"))
         .where("block <> own")
-        .drop("own")
     )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sizes, comp, is_main, is_home, tree, sig, fine in _whole_groups(batches, ["region", "block"], cols):
+        for ids, sizes, comp, is_main, is_home, lot, tree, sig, fine in _whole_groups(batches, keys, cols):
             sig = np.frombuffer(b"".join(sig.tolist()), np.uint16).reshape(len(ids), TREES, DEPTH)
             fine = np.frombuffer(b"".join(fine.tolist()), np.uint8).reshape(len(ids), MINIMA)
             for i in range(0, len(ids), 256):
                 x = slice(i, i + 256)
-                # each pair once: in the block of the main component's text, or of the text with the larger id
+                # each pair once: in the block of the main component's text, or of the text with the larger id;
+                # texts of one block meet in its first lot
+                below = ids[x, None] < ids[None, :]
                 other = (comp[x, None] != comp[None, :]) & is_home[None, :]
-                other &= (ids[x, None] < ids[None, :]) | (~is_home[x, None] & is_main[None, :])
+                other &= np.where(is_home[x, None], below & (lot[0] == 0), below | is_main[None, :])
                 other &= np.minimum(sizes[x, None], sizes[None, :]) * 100 >= np.maximum(sizes[x, None], sizes[None, :]) * percent
                 p, q = np.nonzero(other)
                 keep = [np.zeros(0, bool)]
@@ -179,9 +183,9 @@ def _across(classes: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     n = shuffle_partitions(orders.sparkSession)
-    cols = ["id", "n_shingles", "comp", "is_main", "home", "tree", "sig", "fine"]
-    dealt = dealt.withColumn("is_main", F.col("comp") == F.col("main")).select("region", "block", *cols).repartition(n, "region", "block")
-    return dealt.sortWithinPartitions("region", "block").mapInArrow(run, "a long, b long")
+    keys, cols = ["region", "block", "lot"], ["id", "n_shingles", "comp", "is_main", "home", "lot", "tree", "sig", "fine"]
+    dealt = dealt.withColumn("is_main", F.col("comp") == F.col("main")).select("region", "block", *cols).repartition(n, *keys)
+    return dealt.sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
 def _least_equal(percent: int) -> int:
@@ -206,7 +210,10 @@ def _whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str], cols: list
         t = [batch.column(c).to_numpy(zero_copy_only=False) for c in [*keys, *cols]]
         if kept is not None:
             t = [np.concatenate(x) for x in zip(kept, t, strict=True)]
-        bounds = starts_of(mix(t[0].view(np.uint64)) + t[1].astype(np.uint64))
+        key = np.zeros(len(t[0]), np.uint64)
+        for part in t[: len(keys)]:
+            key = mix(key + part.astype(np.int64).view(np.uint64))
+        bounds = starts_of(key)
         for a, b in zip(bounds[:-2], bounds[1:-1], strict=True):
             yield [x[a:b] for x in t[len(keys) :]]
         kept = [x[bounds[-2] :] for x in t]
