@@ -28,7 +28,7 @@ from tidewater.llm.words import span_hashes, spans
 _WHITE = "\t-\r \x85\xa0  -     　"
 _RARE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")  # the same, beyond ASCII
 _MARKS = frozenset(".,;:!?()-")
-MEMORY = 1_500_000  # units kept
+MEMORY = 500_000  # units kept
 
 
 class Memory:
@@ -353,7 +353,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, arrays: bool = False)
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _once(Encoder, path, pattern)
         decimal = [str(i) for i in range(len(coder.coder.bytes))]
-        for part, data, offsets in text_parts(batches, 8 << 20):
+        for part, data, offsets in text_parts(batches, 2 << 20):
             ids, n = coder.encode_batch(data, offsets)
             enc, dec, bounds = [], [], np.concatenate(([0], np.cumsum(n)))
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
@@ -462,7 +462,7 @@ def count_tokens(docs: DataFrame, path: str, pattern: str, limit: int = 512) ->
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _once(Counter, path, pattern)
-        for part, data, offsets in text_parts(batches, 8 << 20):
+        for part, data, offsets in text_parts(batches, 2 << 20):
             n = counter.count_batch(data, offsets)
             if counter.special:
                 for i, text in enumerate(part.column("text")):
