@@ -177,6 +177,20 @@ def test_segmentation():
     assert s.split("cheappills") == ("cheap", "pills") and s.split("therein") == ("there", "in") and s.split("qqq") == ("qqq",)
 
 
+def test_rare_words_of_a_large_vocabulary_count(spark):
+    letters = "bcdfghjklm"
+    words = ["".join(letters[int(c)] for c in f"{i:05d}") for i in range(25_000)]
+    texts = spark.createDataFrame([(" ".join(words[k::50] * 2),) for k in range(50)] + [("quibble",)], "html string")
+    counts = url_filter.unigrams(texts, "html")
+    assert len(counts) == 25_001 and counts["quibble"] == 1
+    urls = [f"https://casinoquibble.example.org/{k}" for k in range(30)] + [f"https://xyzzyvwx.example.org/{k}" for k in range(60)]
+    urls += ["https://quibble.example.org/1", "https://wyvyzzyx.example.org/1"]
+    pages = spark.createDataFrame([*enumerate(urls)], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.judge_urls(pages, (), url_filter.word_counts(texts, "html")).collect()}
+    assert [got[i] for i in (0, 30, 90, 91)] == ["block", "allow", "block", "allow"] and len(got) == len(urls)
+    assert got == {r.page_id: r.verdict for r in url_filter.judge_urls(pages, (), counts).collect()}
+
+
 def test_quality_model_learns_and_compiles(spark, odd_docs, no_docs):
     rng = random.Random(8)
     rows, labels = [], []

@@ -20,7 +20,7 @@ from tidewater.llm.secrets_scan import described, find_secrets
 from tidewater.llm.shared import table
 from tidewater.llm.substrings import remove_repeats
 from tidewater.llm.tokens import count_tokens, encode_texts
-from tidewater.llm.url_filter import judge_urls, unigrams
+from tidewater.llm.url_filter import judge_urls, word_counts
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,7 +82,7 @@ URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/"
 @_query
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return judge_urls(pages, URL_RULES, unigrams(pages, "html")).select("page_id", "host", "path", "rule", "verdict")
+    return judge_urls(pages, URL_RULES, word_counts(pages, "html")).select("page_id", "host", "path", "rule", "verdict")
 
 
 @_query

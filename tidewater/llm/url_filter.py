@@ -11,24 +11,21 @@ word that keeps their company (the "cheap" of "cheappills") gains weight.
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import staged
+from tidewater.llm.shared import staged, within
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # words that mark unwanted sites, the seed of the labels
 BLOCK_WORDS = frozenset("ads adserver adult bets betting casino cialis malware phishing pills poker porn sex spam tracker track viagra warez xxx".split())
 # words of site names that texts may lack, so that names made of them come apart
 NAME_WORDS = frozenset("best bet blog buy cdn cheap farm free game games home mail mobile news online play shop site store video web win wiki www".split())
-VOCABULARY = 20_000  # words of the unigram model, a bound on what is sent to the workers
-RARE = 1e-6
 LONGEST = 20
+BROADCAST_ROWS = 300_000  # words, names and URLs are broadcast up to this many rows, else joined by a shuffle
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -51,41 +48,36 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tup
     return (none, none) if rule is None else (rule, verdict)
 
 
-def unigrams(texts: DataFrame, column: str, vocabulary: int = VOCABULARY) -> dict[str, int]:
-    """Counts of the words of a text column, over all its rows.
-
-    Kept are words that make up RARE or more of all words, which at most 1 / RARE
-    words can, and of these the ``vocabulary`` most frequent, ties by word.
-    """
+def word_counts(texts: DataFrame, column: str) -> DataFrame:
+    """(w, n): how often each word of 2 to LONGEST letters stands in a text column, over all its rows. No word is dropped."""
     plain = F.regexp_replace(F.regexp_replace(F.lower(F.col(column)), r"(?s)<(script|style)\b.*?</\1>", " "), "<[^>]*>", " ")
     words = texts.select(F.explode(F.regexp_extract_all(plain, F.lit(r"[a-z]+"), F.lit(0))).alias("w"))
-    counts = staged(words.where(F.length("w").between(2, LONGEST)).groupBy("w").agg(F.count("*").alias("n")))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    common = counts.where(F.col("n") >= total * RARE)
-    return {r["w"]: r["n"] for r in common.orderBy(F.desc("n"), "w").limit(vocabulary).collect()}
+    return staged(words.where(F.length("w").between(2, LONGEST)).groupBy("w").agg(F.count("*").alias("n")))
+
+
+def unigrams(texts: DataFrame, column: str) -> dict[str, int]:
+    """``word_counts`` on the driver, for small tables."""
+    return {r["w"]: r["n"] for r in word_counts(texts, column).collect()}
 
 
 class Segmenter:
-    """The most likely words of a name, by unigram counts (Viterbi)."""
+    """The most likely words of a name, by unigram counts (Viterbi).
 
-    def __init__(self, counts: dict[str, int]):
-        total = sum(counts.values()) or 1
-        extra = max(10, total // 10_000)  # what a listed word counts at least
-        counts = {**counts, **{w: max(counts.get(w, 0), extra) for w in BLOCK_WORDS | NAME_WORDS}}
-        total = sum(counts.values())
+    ``counts`` are all words of the model, to which the listed words are added;
+    or, if ``total`` is given, those that a name can hold, with ``total`` the
+    sum of the counts of the whole model, listed words included.
+    """
+
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        if total is None:
+            extra = listed_count(sum(counts.values()))
+            counts = {**counts, **{w: max(counts.get(w, 0), extra) for w in BLOCK_WORDS | NAME_WORDS}}
+            total = sum(counts.values())
         self.cost = {w: -math.log(n / total) for w, n in counts.items()}
         # an unknown stretch is cheaper whole than in parts, but dearer than known words
         self.unknown = [0.0, *(math.log(total) + 2.5 * n for n in range(1, LONGEST + 1))]
-        self.memory: dict[str, tuple[str, ...]] = {}
 
     def split(self, name: str) -> tuple[str, ...]:
-        if name not in self.memory:
-            if len(self.memory) >= 50_000:
-                self.memory.clear()
-            self.memory[name] = self._split(name)
-        return self.memory[name]
-
-    def _split(self, name: str) -> tuple[str, ...]:
         best: list[tuple[float, int]] = [(0.0, 0)]
         for i in range(1, len(name) + 1):
             best.append(min((best[j][0] + self.cost.get(name[j:i], self.unknown[i - j]), -j) for j in range(max(0, i - LONGEST), i)))
@@ -96,75 +88,86 @@ class Segmenter:
             i = j
         return tuple(out[::-1])
 
-    def tokens(self, host: str, path: str) -> list[str]:
-        """Words of host and path; numbers are one token, words without a count another. Path words are marked."""
-        out = []
-        for mark, text in (("", host), ("/", path)):
-            for run in re.findall(r"[a-z]+|[0-9]+", text.lower()):
-                if run.isdigit():
-                    out.append(mark + "<number>")
-                else:
-                    out += [mark + (w if w in self.cost else "<other>") for w in self.split(run)]
-        return out
+
+def listed_count(total: int) -> int:
+    """What a listed word counts at least, in a model of ``total`` words."""
+    return max(10, (total or 1) // 10_000)
 
 
-def _word_counts(urls: DataFrame, segmenter: Segmenter) -> dict[str, tuple[int, int]]:
-    """token: (times in unmarked URLs, times in URLs with a marking word), over all URLs; at most two rows a word of the vocabulary."""
+def _splits(names: DataFrame, counts: DataFrame) -> DataFrame:
+    """(run, words): the words of each distinct ``run`` of letters; words without a count are "<other>".
+
+    Of the model only the words that occur inside a name are looked up, so it
+    may be of any size.
+    """
+    extra = listed_count(counts.agg(F.sum("n")).first()[0] or 0)
+    listed = names.sparkSession.createDataFrame([(w, extra) for w in sorted(BLOCK_WORDS | NAME_WORDS)], "w string, n long")
+    model = counts.unionByName(listed).groupBy("w").agg(F.max("n").alias("n"))
+    total = model.agg(F.sum("n")).first()[0]
+    inside = f"flatten(transform(sequence(1, length(run) - 1), i -> transform(sequence(2, least({LONGEST}, length(run) - i + 1)), l -> substring(run, i, l))))"
+    parts = names.where(F.length("run") > 1).select("run", F.explode(F.array_distinct(F.expr(inside))).alias("w"))
+    needed = staged(parts.select("w").distinct().join(model, "w"))
+    known = parts.join(within(needed, BROADCAST_ROWS), "w").select("run", F.struct("w", "n").alias("known"))
+    known = known.unionByName(names.select("run", F.lit(None).cast("struct<w:string,n:bigint>").alias("known")))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: Counter[tuple[str, bool]] = Counter()
-            for host, path in zip(*(batch.column(c).to_pylist() for c in ("host", "path")), strict=True):
-                tokens = segmenter.tokens(host, path)
-                bad = not BLOCK_WORDS.isdisjoint(tokens)
-                counts.update((t, bad) for t in tokens)
-                counts["", bad] += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.bool_()), pa.array([*counts.values()], pa.int64())], ["token", "bad", "n"]
-            )
-
-    rows = urls.select("host", "path").mapInArrow(run, "token string, bad boolean, n long").groupBy("token").agg(
-        F.sum(F.when(~F.col("bad"), F.col("n")).otherwise(0)).alias("good"), F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("bad")
-    )
-    return {r["token"]: (r["good"], r["bad"]) for r in rows.collect()}
-
-
-def _log_odds(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
-    """Multinomial naive Bayes weights with add-one smoothing; "" holds the prior."""
-    docs = counts.get("", (0, 0))
-    words = {t: c for t, c in counts.items() if t}
-    good, bad = (sum(c[k] for c in words.values()) + len(words) + 1 for k in (0, 1))
-    out = {t: math.log((b + 1) / bad) - math.log((g + 1) / good) for t, (g, b) in words.items()}
-    return out | {"": math.log((docs[1] + 1) / (docs[0] + 1))}
-
-
-def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], counts: dict[str, int]) -> DataFrame:
+            out = []
+            for name, words in zip(*(batch.column(c).to_pylist() for c in ("run", "known")), strict=True):
+                have = {x["w"]: x["n"] for x in words}
+                out.append([w if w in have else "<other>" for w in Segmenter(have, total).split(name)])
+            yield pa.RecordBatch.from_arrays([batch.column("run"), pa.array(out, pa.list_(pa.string()))], ["run", "words"])
+
+    return staged(known.groupBy("run").agg(F.collect_list("known").alias("known")).mapInArrow(run, "run string, words array<string>"))
+
+
+def _tokens(pairs: DataFrame, counts: DataFrame) -> DataFrame:
+    """``pairs`` (host, path, n) plus tokens: the words of host and path. Path words are marked; numbers are one token, words without a count another."""
+    runs = lambda c, mark: F.transform(F.regexp_extract_all(F.lower(c), F.lit("[a-z]+|[0-9]+"), F.lit(0)), lambda r: F.struct(F.lit(mark).alias("mark"), r.alias("run")))
+    parts = pairs.select("host", "path", "n", F.posexplode_outer(F.concat(runs("host", ""), runs("path", "/"))).alias("at", "part")).select("host", "path", "n", "at", "part.mark", "part.run")
+    number = F.col("run").rlike("^[0-9]")
+    names = staged(parts.where(~number).select("run").distinct())
+    words = F.when(number, F.array(F.lit("<number>"))).otherwise(F.col("words"))
+    parts = parts.join(within(_splits(names, counts), BROADCAST_ROWS), "run", "left").select("host", "path", "n", "at", F.transform(words, lambda w: F.concat("mark", w)).alias("t"))
+    lists = parts.groupBy("host", "path", "n").agg(F.sort_array(F.collect_list(F.when(F.col("t").isNotNull(), F.struct("at", "t")))).alias("l"))
+    return staged(lists.select("host", "path", "n", F.flatten(F.col("l.t")).alias("tokens")))
+
+
+def _odds(urls: DataFrame) -> DataFrame:
+    """(host, path, odds) of ``urls`` (host, path, n, tokens): multinomial naive Bayes with add-one smoothing, its counts over all of them."""
+    urls = urls.withColumn("bad", F.arrays_overlap("tokens", F.array(*map(F.lit, sorted(BLOCK_WORDS)))))
+    sums = [F.coalesce(F.sum(F.when(side, F.col("n"))), F.lit(0)).alias(name) for name, side in (("good", ~F.col("bad")), ("marked", F.col("bad")))]
+    docs = urls.agg(*sums).first()
+    counts = staged(urls.select("n", "bad", F.explode("tokens").alias("token")).groupBy("token").agg(*sums))
+    total = counts.agg(F.count("*").alias("k"), F.sum("good").alias("good"), F.sum("marked").alias("marked")).first()
+    good, marked = ((total[c] or 0) + total["k"] + 1 for c in ("good", "marked"))
+    weight = F.log((F.col("marked") + 1) / float(marked)) - F.log((F.col("good") + 1) / float(good))
+    weights = within(counts.select("token", weight.alias("weight")), BROADCAST_ROWS)
+    prior = math.log((docs["marked"] + 1) / (docs["good"] + 1))
+    parts = urls.where("host <> ''").select("host", "path", F.posexplode_outer("tokens").alias("at", "token")).join(weights, "token", "left")
+    # added in the order of the tokens, so that a URL always has the same odds
+    lists = parts.groupBy("host", "path").agg(F.sort_array(F.collect_list(F.when(F.col("token").isNotNull(), F.struct("at", "weight")))).alias("l"))
+    return staged(lists.select("host", "path", F.aggregate("l", F.lit(prior), lambda a, x: a + x["weight"]).alias("odds")))
+
+
+def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], counts: dict[str, int] | DataFrame) -> DataFrame:
     """Per row of ``pages`` (page_id, url): page_id, host, path, rule, verdict (block or allow), odds.
 
     ``rules`` are ("domain/path", verdict): a rule fits its domain and all
     subdomains if the path starts with the rule's; the longest wins, and its
     verdict holds. Otherwise naive Bayes decides, and odds has its log odds of
-    block. ``counts`` is the unigram model. A null url, or one without "://",
+    block. ``counts`` is the unigram model, words of 2 to LONGEST letters: a table
+    (w, n), or a dict of a small one. A null url, or one without "://",
     has an empty host and path, fits no rule and is allowed. Rows that repeat
     a page_id are judged each. Other columns are not read. An empty table gives
     an empty result.
     """
     host, path = url_parts(F.col("url"))
     urls = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
-    spark = pages.sparkSession
-    model = spark.sparkContext.broadcast(counts)  # at most VOCABULARY words
-    segmenter = Segmenter(counts)
-    weights = spark.sparkContext.broadcast(_log_odds(_word_counts(urls, segmenter)))
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, odds = Segmenter(model.value), weights.value
-        for batch in batches:
-            out = []
-            for h, p in zip(*(batch.column(c).to_pylist() for c in ("host", "path")), strict=True):
-                out.append(odds[""] + sum(odds.get(t, 0.0) for t in words.tokens(h, p)) if h else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], [*batch.schema.names, "odds"])
-
-    scored = urls.mapInArrow(run, "page_id long, host string, path string, odds double")
+    if isinstance(counts, dict):
+        counts = pages.sparkSession.createDataFrame([*counts.items()], "w string, n long")
+    pairs = staged(urls.groupBy("host", "path").agg(F.count("*").alias("n")))
+    scored = urls.join(within(_odds(_tokens(pairs, counts)), BROADCAST_ROWS), ["host", "path"], "left")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     learned = F.when(F.col("odds") > 0, "block").otherwise("allow")
     return scored.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, learned).alias("verdict"), "odds")
