@@ -130,6 +130,32 @@ def test_licenses(spark, odd_docs, no_docs):
     assert licenses.find_licenses(no_docs).collect() == []
 
 
+MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights"
+BSD = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
+GPL = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or"
+
+
+def test_wrapped_licenses(spark):
+    marked = lambda t, mark: "\n".join(mark + x for x in t.split("\n"))
+    rng = random.Random(6)
+    texts = [
+        MIT,
+        "Some prose.\n\n" + BSD + "\n\nMore.",
+        "/*\n * Copyright of a tool\n *\n" + marked(GPL, " * ") + "\n */\nint x;",
+        marked(MIT + "\n\n" + BSD, "# "),
+        MIT.replace("\n", "\n\n"),
+        prose(rng, 300) + " " + GPL + " " + prose(rng, 300),
+        "\n".join(MIT.replace("\n", " ").split()),
+        "Released under the MIT license.\n" + GPL,
+    ]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    rows = licenses.find_licenses(docs).collect()
+    assert {(r.doc_id, r.paragraph, r.family) for r in rows if r.confirmed} == {
+        (0, 0, "mit"), (1, 2, "bsd"), (2, 3, "gpl"), (3, 0, "mit"), (3, 4, "bsd"), (5, 0, "gpl"), (6, 0, "mit"), (7, 0, "mit"), (7, 1, "gpl"),
+    }
+    assert len(rows) == len({(r.doc_id, r.paragraph) for r in rows}) and {r.doc_id for r in rows if not r.confirmed} <= {4}
+
+
 def test_license_templates_are_told_apart():
     weights, bias = licenses.train()
     for family, notices in licenses.TEMPLATES.items():

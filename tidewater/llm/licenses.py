@@ -18,9 +18,10 @@ import functools
 import re
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.llm.columns import let
 from tidewater.llm.shared import staged
 
 # fixed values: usual notices of each family
@@ -112,6 +113,7 @@ PLAIN = (
 FAMILIES = (*TEMPLATES, "unknown", "none")
 WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 CONFIRM = 0.6
+STRETCH = 2 * max(len(WORD.findall(n)) for notices in TEMPLATES.values() for n in notices)  # words
 _COMMON = frozenset("a all an and any are as by can code except extent following for form forms free has have in is it may met not of on or our possible provided source that the this to use v with without work you file any person be subject our general public".split())
 
 
@@ -194,32 +196,43 @@ def _words(line: Column) -> Column:
     return F.regexp_extract_all(F.lower(line), F.lit(r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*"), F.lit(0))
 
 
-def find_licenses(docs: DataFrame) -> DataFrame:
-    """A row per licence paragraph of ``docs`` (doc_id, text): doc_id, paragraph, family, probability, confirmed.
+def _pairs(words: Column) -> Column:
+    """Neighbouring words, each pair once."""
+    return F.when(F.size(words) > 1, F.array_distinct(F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1), lambda a, b: F.concat_ws(" ", a, b)))).otherwise(
+        F.array().cast("array<string>")
+    )
 
-    A paragraph is a line; ``paragraph`` counts lines from 0. Rows are those
-    whose class is not "none"; family "unknown" is licence text of other terms,
-    or of too little likeness to tell. confirmed says that the words of a
-    template of the family are found there (a share of CONFIRM or more). A null
-    or empty text has no rows. Rows that repeat a doc_id each give their own.
-    Other columns are not read. An empty table gives an empty result.
-    """
-    spark = docs.sparkSession
-    weights, bias = train()
-    keys = sorted({w for g in weights for w in g.split() if w not in _COMMON})
-    known = F.array(*map(F.lit, keys))
-    has_key = lambda line: F.arrays_overlap(_words(line), known)
-    some = docs.select("doc_id", "text").where(has_key(F.col("text")))
-    lines = some.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("paragraph", "line")).where(has_key(F.col("line")))
-    lines = staged(lines)
 
-    # distinct lines are scored once; the model's tables are bounded by the templates
-    distinct = lines.select("line").distinct()
+def _notice_pairs(notice: str) -> list[str]:
+    w = WORD.findall(notice)
+    return sorted({f"{a} {b}" for a, b in zip(w, w[1:], strict=False)})
+
+
+def _pair_shares(pairs: Column) -> dict[str, Column]:
+    """The largest share of a template's word pairs in ``pairs``, for each family."""
+    share = lambda n: F.size(F.array_intersect(pairs, F.array(*map(F.lit, _notice_pairs(n))))) / len(_notice_pairs(n))
+    return {family: F.array_max(F.array(*map(share, notices))) for family, notices in TEMPLATES.items()}
+
+
+def _template_pairs(words: Column) -> Column:
+    """The word pairs of any template that stand in ``words``."""
+    every = sorted({p for notices in TEMPLATES.values() for n in notices for p in _notice_pairs(n)})
+    return F.array_intersect(_pairs(words), F.array(*map(F.lit, every)))
+
+
+def _borne_out(words: Column) -> Column:
+    """Whether a template has CONFIRM of its word pairs in ``words``. What holds for a stretch of a text holds for the text."""
+    return let(_template_pairs(words), lambda pairs: F.greatest(*_pair_shares(pairs).values()) >= CONFIRM)
+
+
+def _scored(distinct: DataFrame) -> DataFrame:
+    """line, family, probability and share (of a template's words) of each of the distinct ``line`` that is not "none"."""
+    weights, bias = train()
     grams = distinct.select("line", _words(F.col("line")).alias("w"))
     runs = lambda n: F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda i: F.array_join(F.slice("w", i, n), " "))).otherwise(F.array().cast("array<string>"))
     grams = grams.select("line", F.explode(F.array_distinct(F.concat(runs(1), runs(2), runs(3)))).alias("gram"))
     schema = "gram string, " + ", ".join(f"z{k} double" for k in range(len(FAMILIES)))
-    model = spark.createDataFrame([(g, *map(float, w)) for g, w in weights.items()], schema)
+    model = distinct.sparkSession.createDataFrame([(g, *map(float, w)) for g, w in weights.items()], schema)
     scored = grams.join(F.broadcast(model), "gram").groupBy("line").agg(*(F.sum(f"z{k}").alias(f"z{k}") for k in range(len(FAMILIES))))
     z = F.array(*(F.col(f"z{k}") + float(bias[k]) for k in range(len(FAMILIES))))
     scored = scored.select("line", z.alias("z")).withColumn("top", F.array_max("z"))
@@ -233,10 +246,79 @@ def find_licenses(docs: DataFrame) -> DataFrame:
     for family, notices in TEMPLATES.items():
         likeness = [F.size(F.array_intersect(have, F.array(*map(F.lit, sorted(set(WORD.findall(n))))))) / len(set(WORD.findall(n))) for n in notices]
         shares = F.when(F.col("family") == family, F.greatest(*likeness) if len(likeness) > 1 else likeness[0]).otherwise(shares)
-    scored = scored.withColumn("share", shares)
+    return scored.withColumn("share", shares).select("line", "family", "probability", "share")
+
+
+def _wrapped_notices(lines: DataFrame, judged: DataFrame) -> DataFrame:
+    """Notices that run over several lines: row, doc_id, paragraph (their first line), last (line), family, probability.
+
+    ``lines`` has all lines of texts that a template bears out. A run of lines
+    ends at a line without a word, as of comment marks alone, and at a line
+    that is confirmed by itself. From the last words of each line (STRETCH at
+    most, twice the longest template) on, the STRETCH words that follow in the
+    run are joined and judged like a line, but by the template's word pairs:
+    a stretch of many words has the single ones by chance.
+    """
+    alone = judged.where("confirmed").select("row", "paragraph", F.lit(True).alias("alone"))
+    lines = lines.select("row", "doc_id", "paragraph", _words(F.col("line")).alias("w")).join(alone, ["row", "paragraph"], "left")
+    ends = F.coalesce("alone", F.lit(False)) | (F.size("w") == 0)
+    lines = lines.withColumn("block", F.sum(ends.cast("long")).over(Window.partitionBy("row").orderBy("paragraph"))).where(~ends)
+    lines = lines.select("row", "doc_id", "paragraph", "block", F.slice("w", 1, STRETCH).alias("head"), F.slice("w", F.greatest(F.size("w") - (STRETCH - 1), F.lit(1)), STRETCH).alias("tail"))
+    # a line of the run has a word or more, so that many lines hold the words that follow
+    following = Window.partitionBy("row", "block").orderBy("paragraph").rowsBetween(1, STRETCH)
+    lines = lines.withColumn("next", F.collect_list("head").over(following)).where(F.size("next") > 0)
+    lines = lines.withColumn("w", F.concat("tail", F.slice(F.flatten("next"), 1, STRETCH)))
+
+    def step(acc: Column, head: Column) -> Column:
+        more = F.struct((acc["words"] + F.size(head)).alias("words"), (acc["lines"] + 1).alias("lines"))
+        return F.when(acc["words"] < STRETCH // 2, more).otherwise(acc)
+
+    start = F.struct(F.lit(0).alias("words"), F.lit(0).alias("lines"))  # the notice may begin at the line's last word
+    last = F.col("paragraph") + F.aggregate("next", start, step, lambda acc: acc["lines"])
+    stretches = staged(lines.where(_borne_out(F.col("w"))).select("row", "doc_id", "paragraph", "block", last.alias("last"), F.array_join("w", " ").alias("line")))
+    scored = _scored(stretches.select("line").distinct()).where("probability >= 0.5").drop("share").withColumn("pairs", _template_pairs(_words(F.col("line"))))
+    share = F.lit(0.0)
+    for family, found in _pair_shares(F.col("pairs")).items():
+        share = F.when(F.col("family") == family, found).otherwise(share)
+    found = stretches.join(scored.withColumn("share", share).where(F.col("share") >= CONFIRM).drop("pairs"), "line")
+    # of the stretches that hold a notice, the last that holds all that is there
+    best = found.groupBy("row", "block", "family").agg(F.max(F.struct("share", "paragraph", "last", "probability", "doc_id")).alias("b"))
+    return best.select("row", "b.doc_id", "b.paragraph", "b.last", "family", "b.probability")
+
+
+def find_licenses(docs: DataFrame) -> DataFrame:
+    """A row per licence paragraph of ``docs`` (doc_id, text): doc_id, paragraph, family, probability, confirmed.
+
+    A paragraph is a line, or a notice that runs over several lines without a
+    blank one between; ``paragraph`` counts lines from 0 and is the first of
+    the notice's. Rows are those whose class is not "none"; family "unknown" is
+    licence text of other terms, or of too little likeness to tell. confirmed
+    says that the words of a template of the family are found there (a share of
+    CONFIRM or more; of the neighbouring pairs of words if over several lines).
+    A notice over several lines has one row a family and run of lines; its
+    lines, as many as hold the longest template, have no unconfirmed rows. A null or empty text has no
+    rows. Rows that repeat a doc_id each give their own. Other columns are not
+    read. An empty table gives an empty result.
+    """
+    weights, _ = train()
+    keys = sorted({w for g in weights for w in g.split() if w not in _COMMON})
+    known = F.array(*map(F.lit, keys))
+    has_key = lambda line: F.arrays_overlap(_words(line), known)
+    some = docs.select("doc_id", "text").where(has_key(F.col("text"))).withColumn("row", F.monotonically_increasing_id())
+    some = some.withColumn("whole", F.col("text").contains("\n") & _borne_out(_words(F.col("text"))))
+    lines = some.select("row", "doc_id", "whole", F.posexplode(F.split("text", "\n", -1)).alias("paragraph", "line")).withColumn("keyed", has_key(F.col("line")))
+    lines = staged(lines.where("whole or keyed"))
+
+    # distinct lines are scored once; the model's tables are bounded by the templates
+    keyed = lines.where("keyed").select("row", "doc_id", "paragraph", "line")
+    scored = _scored(keyed.select("line").distinct())
     # what no template bears out is licence text of unknown terms
     scored = scored.withColumn("confirmed", F.col("share") >= CONFIRM).withColumn("family", F.when((F.col("probability") < 0.5) | (F.col("share") < CONFIRM / 2), F.lit("unknown")).otherwise(F.col("family")))
     scored = scored.withColumn("confirmed", F.col("confirmed") & (F.col("family") != "unknown"))
-    return lines.join(scored.select("line", "family", "probability", "confirmed"), "line").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("paragraph").cast("long").alias("paragraph"), "family", F.round("probability", 4).alias("probability"), "confirmed"
-    )
+    judged = staged(keyed.join(scored, "line").select("row", "doc_id", "paragraph", "family", "probability", "confirmed"))
+
+    notices = staged(_wrapped_notices(lines.where("whole"), judged))
+    inside = notices.select(F.col("row").alias("_row"), F.col("paragraph").alias("_first"), F.col("last").alias("_last"))
+    alone = judged.join(inside, (F.col("row") == F.col("_row")) & F.col("paragraph").between(F.col("_first"), F.col("_last")) & ~F.col("confirmed"), "left_anti")
+    out = alone.unionByName(notices.drop("last").withColumn("confirmed", F.lit(True)))
+    return out.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("paragraph").cast("long").alias("paragraph"), "family", F.round("probability", 4).alias("probability"), "confirmed")
