@@ -64,7 +64,8 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = 80, words: int = 5)
 
     Columns: doc_id, item_id, n_item (shingles of the item), n_shared. A null
     or empty text, and a null id, match nothing. A text of fewer than ``words``
-    words is one shingle, its whole sequence. Rows that repeat an id count
+    words is one shingle, its whole sequence; such an item is found only in a
+    document that equals it, not inside a longer one. Rows that repeat an id count
     once per pair. Other columns are not read. Without documents or items the
     result is empty.
     """
