@@ -3,13 +3,14 @@
 A document's set is its distinct shingles of five lower-cased words. Its
 signature is read in several rotated orders; each order, sorted, is one tree
 of the forest. Two texts whose signatures agree on the first ``DEPTH`` values
-of an order stand in the same region of that tree.
+of an order stand in the same region of that tree; the depth is fixed, so a
+large region is not split by further values.
 
 1. Texts with equal sets are one class (one aggregate on a set fingerprint).
 2. Neighbours in a few sorted orders are compared first. Where texts are dense
-   their neighbours share a long prefix, where they are sparse a short one, so
-   the depth adapts by itself. Each region's members are also compared with its
-   pivot, the text nearest to all. The links are joined to components.
+   their neighbours share a long prefix, where they are sparse a short one. Each
+   region's members are also compared with its pivot, the text nearest to all.
+   The links are joined to components.
 3. In every region of every tree that still holds two components, texts of
    different components are compared. A region that one component fills (a
    large group of near copies) costs one aggregate and no pair. The texts of
