@@ -59,4 +59,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
-SQL = {"op1_quality_rules": _OP1, "op3_near_dedup": _OP3, "op5_decontamination": _OP5, "op9_substring_dedup": _OP9}
+_OP13 = """
+WITH v AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same, list_inner_product(a.q, v.q)::BIGINT AS score
+  FROM v a JOIN v ON a.vec_id <> v.vec_id WHERE a.vec_id % 50 = 0),
+p AS MATERIALIZED (SELECT anchor_id, vec_id, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, (row_number() OVER nearest)::INTEGER AS rank, s.vec_id AS negative_id,
+  p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+WINDOW nearest AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER nearest <= 3
+"""
+
+SQL = {"op1_quality_rules": _OP1, "op3_near_dedup": _OP3, "op5_decontamination": _OP5, "op9_substring_dedup": _OP9, "op13_hard_negatives": _OP13}

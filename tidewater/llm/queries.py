@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.columns import text_of
+from tidewater.llm.hard_negatives import hard_negatives
 from tidewater.llm.leaks import leaks
 from tidewater.llm.licenses import find_licenses
 from tidewater.llm.near_dedup import near_duplicates
@@ -115,3 +116,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return count_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, limit=512)
+
+
+@_query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), label.alias("label"), F.col("embedding").alias("vector"))
+    return hard_negatives(rows, F.col("id") % 50 == 0)
