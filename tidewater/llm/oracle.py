@@ -7,9 +7,9 @@ _SHINGLES = """list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w)
   ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)"""
 
 
-def _sets(table: str, key: str) -> str:
+def _sets(table: str, key: str, shingles: str = _SHINGLES) -> str:
     words = _WORDS.format(text=_LOWER)
-    return f"(SELECT {key}, {_SHINGLES} AS s FROM (SELECT {key}, {words} AS w FROM {table}))"
+    return f"(SELECT {key}, {shingles} AS s FROM (SELECT {key}, {words} AS w FROM {table}))"
 
 
 _OP3 = f"""
@@ -59,6 +59,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+_GRAMS = """list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END)"""
+
+_OP11 = f"""
+WITH RECURSIVE sets AS MATERIALIZED (SELECT doc_id, s, len(s) AS n FROM {_sets("documents", "doc_id", _GRAMS)}),
+sh AS MATERIALIZED (SELECT doc_id, n, unnest(s) AS x FROM sets),
+links AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM sh a JOIN sh b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY ALL HAVING 100 * count(*) >= 90 * (max(a.n) + max(b.n) - count(*))),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM sets UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+comp AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, n AS n_shingles, component_id FROM sets JOIN comp USING (doc_id)
+"""
+
 _OP13 = """
 WITH v AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
     list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
@@ -74,4 +87,7 @@ WINDOW nearest AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.v
 QUALIFY row_number() OVER nearest <= 3
 """
 
-SQL = {"op1_quality_rules": _OP1, "op3_near_dedup": _OP3, "op5_decontamination": _OP5, "op9_substring_dedup": _OP9, "op13_hard_negatives": _OP13}
+SQL = {
+    "op1_quality_rules": _OP1, "op3_near_dedup": _OP3, "op5_decontamination": _OP5, "op9_substring_dedup": _OP9,
+    "op11_ngram_join": _OP11, "op13_hard_negatives": _OP13,
+}

@@ -15,11 +15,13 @@ from tidewater.llm.hard_negatives import hard_negatives
 from tidewater.llm.leaks import leaks
 from tidewater.llm.licenses import find_licenses
 from tidewater.llm.near_dedup import near_duplicates
+from tidewater.llm.ngram_join import ngram_join
 from tidewater.llm.quality_model import score_quality, train
 from tidewater.llm.quality_rules import SHAPE_RULES, failed_rule, order_rules, word_statistics
 from tidewater.llm.secrets_scan import described, find_secrets
 from tidewater.llm.shared import table
 from tidewater.llm.substrings import remove_repeats
+from tidewater.llm.token_alignment import align_tokens
 from tidewater.llm.tokens import count_tokens, encode_texts
 from tidewater.llm.url_filter import judge_urls, word_counts
 
@@ -118,6 +120,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, limit=512)
 
 
+@_query
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"), percent=90, words=3)
+
+
+@_query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path
+    return align_tokens(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), public_tokenizers.PATTERN, path("piece_bpe_32k.model"))
+
+
 @_query
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
