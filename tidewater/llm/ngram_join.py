@@ -8,18 +8,19 @@ two linked sets therefore stand among the first k + c of both, c at a time.
 2. Each set gives its 2k + 1 least gram hashes. Grams that only one class gave
    are counted per class; a class with too many of them has no partner. This is
    exact, takes two aggregates and leaves few classes in most corpora.
-3. The grams of the classes left are counted; (frequency, hash) is the global
-   order. Grams of one class match nothing, and a class with more than k of
-   them goes. Classes that share one of their k + 1 rarest grams may be linked;
-   what these ties connect is a neighbourhood, outside of which no link goes.
-4. A neighbourhood's sets, most frequent grams first, are stored in prefix
-   trees of bounded size. A set goes down a tree once for all sets that share
-   a path, with the overlap so far; a subtree is passed over when the grams that
-   remain on either side cannot reach the bound, or when all its sets are in
-   the set's own component already.
-5. A larger neighbourhood is dealt over several trees, each with the set that
-   is made of the most frequent grams. Where that leaves more than one component,
-   the sets outside the largest one, lot by lot, go down every other tree.
+3. Of the classes left, all grams are counted the same way; a class with more
+   than k grams that no other holds goes.
+4. Linked classes share k + 1 of their 2k + 1 least hashes, so they share one of
+   the rarest of these, by (frequency, hash) over all classes left. What such
+   ties connect is a neighbourhood, outside of which no link goes.
+5. A neighbourhood's sets, in one order of their grams, the most frequent first,
+   are stored in prefix trees of bounded size. A set goes down a tree once for
+   all sets that share a path, with the overlap so far; a subtree is passed over
+   when the grams that remain on either side cannot reach the bound, or when
+   all its sets are in the set's own component already.
+6. A larger neighbourhood is dealt over several trees, each with the set that
+   holds the most frequent grams. Where that leaves more than one component, the
+   sets outside the largest one, lot by lot, go down every other tree.
 
 No link is lost, but one inside a component that is already connected is not
 looked for. Grams are compared by 64-bit hashes.
@@ -41,7 +42,7 @@ from tidewater.llm.words import mix, shingle_sets, word_hashes
 
 TREE_SETS, TREE_GRAMS = 512, 500_000  # sets and grams of a tree, about
 LOT_SETS = 2048  # sets that go down a tree of another block in one task
-BROADCAST_ROWS = 2_000_000  # rows of a few numbers that are broadcast at most
+BROADCAST_ROWS = 500_000  # rows of a few numbers that are broadcast at most
 
 
 def missing(n, percent: int):
@@ -87,7 +88,7 @@ def _candidates(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     given = rows.select(own.alias("f"), F.explode("grams").alias("g")).groupBy("g").agg(F.min("f").alias("f"), F.max("f").alias("last"))
     alone = given.where("f = last").groupBy("f").agg(F.count("*").alias("alone"))
     n = F.col("n_shingles")
-    spare = 2 * _div(n * (100 - percent), 100) + 1 - (_div(_div(n * percent + 99, 100) * (100 - percent), 100) + 1)
+    spare = _spare(n, percent) * 2 + 1 - _need(n, percent)
     some = classes.withColumn("f", own).join(staged(alone), "f", "left").where(F.coalesce("alone", F.lit(0)) <= spare)
     return classes, staged(some.drop("f", "alone"))
 
@@ -96,28 +97,43 @@ def _div(a: Column, b: int) -> Column:
     return F.floor(a / b).cast("long")
 
 
-def _ordered(docs: DataFrame, alive: DataFrame, words: int, percent: int) -> DataFrame:
-    """c, n, the grams that some other class holds too and their frequencies, most frequent first, of classes with k or fewer others."""
+def _spare(n: Column, percent: int) -> Column:
+    """``missing`` of a column of sizes."""
+    return _div(n * (100 - percent), 100)
+
+
+def _need(n: Column, percent: int) -> Column:
+    """``least_shared`` of a column of sizes."""
+    return _spare(_div(n * percent + 99, 100), percent) + 1
+
+
+def _whole_sets(docs: DataFrame, alive: DataFrame, words: int, percent: int) -> DataFrame:
+    """c, n and all grams, by hash, of the classes that lack no more than k of them in all other classes together."""
     need = alive.select(F.col("id").alias("doc_id")).distinct()
     full = gram_sets(docs.join(within(need, BROADCAST_ROWS), "doc_id", "left_semi"), words).drop("doc_id")
-    full = staged(full.join(within(alive.drop("id"), BROADCAST_ROWS), ["f1", "f2", "n_shingles"]).select("c", F.col("n_shingles").alias("n"), "grams"))
-    full = full.dropDuplicates(["c"])
-    grams = staged(full.select("c", "n", F.explode("grams").alias("g")))
-    often = staged(grams.groupBy("g").agg(F.count("*").cast("int").alias("often")).where("often > 1"))
-    met = grams.join(within(often, BROADCAST_ROWS), "g").groupBy("c", "n")
-    met = met.agg(F.sort_array(F.collect_list(F.struct((-F.col("often")).alias("d"), "g"))).alias("s"))  # a text's own grams
-    out = met.select("c", "n", F.col("s.d").alias("d"), F.col("s.g").alias("g"))
-    return staged(out.where(F.col("n") - F.size("g") <= _div(F.col("n") * (100 - percent), 100)))
+    full = full.join(within(alive.drop("id"), BROADCAST_ROWS), ["f1", "f2", "n_shingles"]).select("c", F.col("n_shingles").alias("n"), "grams")
+    full = staged(full)
+    given = full.select("c", F.explode("grams").alias("g")).groupBy("g").agg(F.min("c").alias("c"), F.max("c").alias("last"))
+    alone = given.where("c = last").groupBy("c").agg(F.count("*").alias("alone"))
+    some = full.select("c", "n").distinct().join(alone, "c", "left").where(F.coalesce("alone", F.lit(0)) <= _spare(F.col("n"), percent))
+    return staged(full.join(within(staged(some.select("c")), BROADCAST_ROWS), "c").dropDuplicates(["c"]))
 
 
 def _neighbourhoods(sets: DataFrame, percent: int) -> DataFrame:
-    """(c, hood): classes connected by grams that are among the k + 1 rarest of both."""
-    k = _div(F.col("n") * (100 - percent), 100)
-    first = (k - F.col("n") + F.size("g") + 1).cast("int")  # without those of one class
-    rare = staged(sets.select("c", F.explode(F.slice("g", -F.least(first, F.size("g")), F.least(first, F.size("g")))).alias("g")))
+    """(c, hood, common): classes connected by their rarest grams, and how frequent a class's grams are in the mean."""
+    n = F.col("n")
+    first = staged(sets.select("c", "n", F.explode(F.slice("grams", F.lit(1), (_spare(n, percent) * 2 + 1).cast("int"))).alias("g")))
+    often = staged(first.groupBy("g").agg(F.count("*").alias("often")).where("often > 1"))
+    met = first.join(within(often, BROADCAST_ROWS), "g").groupBy("c", "n")
+    met = met.agg(F.sort_array(F.collect_list(F.struct("often", "g"))).alias("s"))  # some of a text's own grams
+    rarest = F.slice("s", F.lit(1), (F.size("s") - _need(n, percent) + 1).cast("int"))
+    mean = F.aggregate("s", F.lit(0).cast("long"), lambda acc, x: acc + x["often"]) / n
+    met = staged(met.where(F.size("s") >= _need(n, percent)).select("c", mean.alias("common"), rarest.alias("s")))
+    rare = staged(met.select("c", F.explode("s.g").alias("g")))
     least = staged(rare.groupBy("g").agg(F.min("c").alias("m"), F.count("*").alias("rows")).where("rows > 1").drop("rows"))
     ties = rare.join(within(least, BROADCAST_ROWS), "g").where("c <> m").select(F.col("c").alias("a"), F.col("m").alias("b"))
-    return components(ties.distinct()).select(F.col("node").alias("c"), F.col("component").alias("hood"))
+    hoods = components(ties.distinct()).select(F.col("node").alias("c"), F.col("component").alias("hood"))
+    return staged(hoods.join(met.select("c", "common"), "c"))
 
 
 class _Node:
@@ -229,26 +245,26 @@ class Tree:
         return found
 
 
-def _numbered(d: Iterable[np.ndarray], g: Iterable[np.ndarray]) -> list[list[int]]:
-    """The grams of each set as numbers in the order of (frequency, hash), most frequent first."""
-    sizes = [*map(len, g)]
-    if not sum(sizes):
-        return [[] for _ in sizes]
-    d, g = np.concatenate(list(d)).astype(np.int64), np.concatenate(list(g)).astype(np.int64)
-    order = np.lexsort((g, d))
-    new = np.ones(len(order), np.int64)
-    new[1:] = (g[order][1:] != g[order][:-1]) | (d[order][1:] != d[order][:-1])
-    number = np.empty(len(order), np.int64)
-    number[order] = np.cumsum(new)
-    return [x.tolist() for x in np.split(number, np.cumsum(sizes)[:-1])]
+def _numbered(grams: list[np.ndarray]) -> list[list[int]]:
+    """The grams of each set as numbers, the most frequent in these sets first; without those of one set."""
+    sizes = [*map(len, grams)]
+    flat = np.concatenate([*grams, np.zeros(0, np.int64)])
+    values, which, often = np.unique(flat, return_inverse=True, return_counts=True)
+    number = np.empty(len(values), np.int64)
+    number[np.lexsort((values, -often))] = np.arange(len(values))
+    row, number = np.repeat(np.arange(len(sizes)), sizes), number[which]
+    kept = often[which] > 1
+    row, number = row[kept], number[kept]
+    order = np.lexsort((number, row))
+    return [x.tolist() for x in np.split(number[order], np.searchsorted(row, np.arange(1, len(sizes))))]
 
 
 def _met(dealt: DataFrame, keys: list[str], percent: int, among: bool) -> DataFrame:
     """Links (a, b) of the sets of each group: those at home stand in a tree, and those away go down it; with ``among`` also those at home."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c, n, comp, home, d, g in _whole_groups(batches, keys, cols):
-            tree, own = Tree(_numbered(d, g), n.tolist(), comp.tolist(), percent), home.tolist()
+        for c, n, comp, home, grams in _whole_groups(batches, keys, cols):
+            tree, own = Tree(_numbered(grams.tolist()), n.tolist(), comp.tolist(), percent), home.tolist()
             found = []
             for i in np.argsort(~home.astype(bool), kind="stable").tolist():
                 if own[i] and among:
@@ -259,19 +275,18 @@ def _met(dealt: DataFrame, keys: list[str], percent: int, among: bool) -> DataFr
                     found += tree.links(i)
             yield pa.RecordBatch.from_arrays([pa.array(c[[f[k] for f in found]].astype(np.int64)) for k in (0, 1)], ["a", "b"])
 
-    cols = ["c", "n", "comp", "home", "d", "g"]
+    cols = ["c", "n", "comp", "home", "grams"]
     n = shuffle_partitions(dealt.sparkSession)
     return dealt.select(*keys, *cols).repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
 def _links(sets: DataFrame, hoods: DataFrame, percent: int) -> DataFrame:
     """Links that connect what is linked, (a, b), of classes inside each neighbourhood."""
-    mass = F.aggregate("d", F.lit(0).cast("long"), lambda acc, x: acc - x) + F.col("n") - F.size("d")
-    facts = hoods.join(sets.select("c", F.size("g").alias("size"), (mass / F.col("n")).alias("common")), "c")
-    hood = facts.groupBy("hood").agg(F.count("*").alias("m"), F.sum("size").alias("grams"), F.max(F.struct("common", -F.col("c"), "c")).alias("p"))
+    facts = hoods.join(sets.select("c", "n"), "c")
+    hood = facts.groupBy("hood").agg(F.count("*").alias("m"), F.sum("n").alias("grams"), F.max(F.struct("common", -F.col("c"), "c")).alias("p"))
     blocks = F.ceil(F.greatest(F.col("m") / TREE_SETS, F.col("grams") / TREE_GRAMS)).cast("int")
     hood = staged(hood.select("hood", F.col("p.c").alias("pivot"), F.greatest(blocks, F.lit(1)).alias("blocks")))
-    rows = staged(sets.join(hoods, "c").join(within(hood, BROADCAST_ROWS), "hood"))
+    rows = staged(sets.join(within(hoods.drop("common"), BROADCAST_ROWS), "c").join(within(hood, BROADCAST_ROWS), "hood"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
     inside = rows.withColumn("comp", F.col("c")).withColumn("home", F.lit(True))
@@ -309,7 +324,7 @@ def ngram_join(docs: DataFrame, percent: int = 90, words: int = 3) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     least = staged(gram_sets(docs, words, percent))
     classes, alive = _candidates(least, percent)
-    sets = _ordered(docs, alive, words, percent)
+    sets = _whole_sets(docs, alive, words, percent)
     comps = staged(components(_links(sets, _neighbourhoods(sets, percent), percent)))
     named = classes.join(within(comps.withColumnRenamed("node", "c"), BROADCAST_ROWS), "c", "left")
     named = named.withColumn("component", F.coalesce("component", "c"))
