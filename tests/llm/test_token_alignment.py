@@ -106,19 +106,29 @@ def test_rows_without_tokens_repeated_rows_and_null_ids(spark, libraries):
     assert T.align_tokens(df.limit(0), JSON, public_tokenizers.PATTERN, MODEL).collect() == []
 
 
-def test_windows_are_cut_at_space_marked_tokens(libraries):
-    """Every window is found once and remembered under its ids; what it gives is what its ids say."""
-    aligner = T.Aligner(JSON, public_tokenizers.PATTERN, MODEL)
+def test_windows_are_cut_at_space_marked_tokens():
+    """Every window is found once and remembered under its ids."""
     import numpy as np
 
-    rng = random.Random(1)
+    aligner, rng = T.Aligner(JSON, public_tokenizers.PATTERN, MODEL), random.Random(1)
     words = ["hello", "unbelievable", "x1y2", "naïve", "word,"]
     text = " ".join(rng.choice(words) for _ in range(400)).encode()
     got = aligner.batch(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
-    assert len(aligner.known) == len(words)
+    assert len(aligner.memory.keys) == len(words)
     assert got["groups"][0].count(";") + 1 == got["n_groups"][0]
     again = aligner.batch(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
-    assert again["groups"] == got["groups"] and len(aligner.known) == len(words)
+    assert again["groups"] == got["groups"] and len(aligner.memory.keys) == len(words)
+
+
+def test_two_windows_of_one_hash(monkeypatch):
+    """A hash that two windows share is seen by the groups' ends, and the batch is aligned without the memory."""
+    import numpy as np
+
+    text = "one unbelievable two naïve x1y2 three".encode()
+    data, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    want = T.Aligner(JSON, public_tokenizers.PATTERN, MODEL).batch(data, offsets)["groups"]
+    monkeypatch.setattr(T, "_run_hashes", lambda ids, start, end: np.zeros(len(start), np.uint64))
+    assert T.Aligner(JSON, public_tokenizers.PATTERN, MODEL).batch(data, offsets)["groups"] == want
 
 
 def test_a_very_long_word(libraries):

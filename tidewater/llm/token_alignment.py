@@ -9,9 +9,9 @@ groups.
    bounded memory.
 2. Where an A and a B token that open with a space start at the same byte, a
    shared end stands before them. These anchors split a text into windows.
-3. A window is a tuple of A ids and one of B ids. Its groups are found once
-   and remembered under both tuples; the memory is bounded and compares the
-   ids themselves.
+3. A window is a tuple of A ids and one of B ids. The sizes of its groups are
+   found once and remembered, by a hash of both tuples, in a bounded memory;
+   that every group ends at a shared byte is checked on each use.
 4. Each text gives its distinct linked pairs. Spark counts the texts of every
    pair, marks the pairs that are their A id's most frequent, and sums both
    over the links of each text. The table of pairs is broadcast if it was
@@ -27,6 +27,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +35,8 @@ from tidewater.llm.shared import staged, text_parts, within
 from tidewater.llm.tokens import Encoder, Memory, PrefixCoder, Splitter, _byte_letters, _once, _ranges
 from tidewater.llm.words import mix, span_hashes
 
-WINDOWS = 100_000  # window alignments kept by a worker
+WINDOWS = 300_000  # window alignments kept by a worker
+LONG_PIECE = 200  # characters
 BROADCAST_PAIRS = 1_000_000  # rows of the pair table (two numbers and a mark) that are broadcast at most
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -55,9 +57,22 @@ class ByteEncoder(Encoder):
     """Encodes by a byte-level BPE file; special strings inside texts are plain text."""
 
     def __init__(self, path: str, pattern: str):
-        self.coder, self.split, self.memory = PrefixCoder(byte_level_ranks(path)), Splitter(pattern), Memory()
+        ranks = byte_level_ranks(path)
+        self.coder, self.split, self.memory = PrefixCoder(ranks), Splitter(pattern), Memory()
+        self.library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.bytes = self.coder.bytes
 
+    def encode_batch(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per row) of a batch of texts. The library makes the ids of a piece, but its time grows with the square of a long one's length."""
+
+        def of_pieces(pieces: Iterable[str]) -> dict[str, list[int]]:
+            return {p: self.library.encode_ordinary(p) if len(p) < LONG_PIECE else self.coder.encode(p.encode()) for p in pieces}
+
+        flat, sizes, which, per_row = self.split.results(data, offsets, self.memory, of_pieces)
+        n = sizes[which]
+        rows = np.concatenate(([0], np.cumsum(n)))[np.concatenate(([0], np.cumsum(per_row)))]
+        return flat[_ranges((np.cumsum(sizes) - sizes)[which], n)], np.diff(rows)
+
 
 class PieceEncoder:
     """Encodes by a sentencepiece model, texts given behind the space that the model adds."""
@@ -92,23 +107,11 @@ class PieceEncoder:
         return flat[_ranges((np.cumsum(sizes) - sizes)[which], n)], np.diff(rows)
 
 
-def align_window(a: list[int], b: list[int], bytes_a: list[bytes], bytes_b: list[bytes], width: int) -> tuple[str, int, list[int]]:
-    """(the window's groups as text, their number, the linked pairs as a * width + b) of two id tuples with the same bytes."""
-    groups, pairs, i, j = [], [], 0, 0
-    end_a = end_b = 0
-    start_a = start_b = 0
-    while i < len(a):
-        end_a += len(bytes_a[a[i]])
-        i += 1
-        while end_b < end_a:
-            end_b += len(bytes_b[b[j]])
-            j += 1
-        if end_a == end_b:
-            own_a, own_b = a[start_a:i], b[start_b:j]
-            groups.append(f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}")
-            pairs += [x * width + y for x in own_a for y in own_b]
-            start_a, start_b = i, j
-    return ";".join(groups), len(groups), pairs
+def shared_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in both of the byte offsets at which tokens of both end; offsets ascend."""
+    at = np.searchsorted(ends_b, ends_a)
+    same = np.flatnonzero(ends_b[np.minimum(at, len(ends_b) - 1)] == ends_a) if len(ends_b) else np.zeros(0, np.int64)
+    return same, at[same]
 
 
 def _run_hashes(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -125,74 +128,88 @@ class Aligner:
     """Aligns batches of texts; remembers the windows met before."""
 
     def __init__(self, path_a: str, pattern: str, path_b: str):
-        self.a, self.b = ByteEncoder(path_a, pattern), PieceEncoder(path_b)
-        self.lens = [np.array([*map(len, e.bytes)], np.int64) for e in (self.a, self.b)]
-        self.space = [np.array([t[:1] == b" " for t in e.bytes]) for e in (self.a, self.b)]
-        self.width = len(self.b.bytes)
-        self.known: dict[bytes, tuple[str, int, list[int]]] = {}
+        self.coders = (ByteEncoder(path_a, pattern), PieceEncoder(path_b))
+        self.lens = [np.array([*map(len, e.bytes)], np.int64) for e in self.coders]
+        self.space = [np.array([t[:1] == b" " for t in e.bytes]) for e in self.coders]
+        self.width = len(self.coders[1].bytes)
+        # a token's id in the text of the groups: before another one of its group, and at the end of its side
+        self.text = [np.array([f"{i}{mark}" for mark in marks for i in range(len(n))], object) for n, marks in zip(self.lens, (",|", ",;"), strict=True)]
+        self.memory = Memory(WINDOWS)
 
     def batch(self, data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray | list]:
         """Per row: n_a, n_b, n_groups, n_links, text of the groups, and (pairs, times, bounds) of the rows' distinct pairs."""
         full = np.diff(offsets) > 0
         data, offsets = np.insert(data, offsets[:-1], 0x20), offsets + np.arange(len(offsets))
-        ids, counts = zip(*(e.encode_batch(data, offsets) for e in (self.a, self.b)), strict=True)
+        ids, counts = zip(*(e.encode_batch(data, offsets) for e in self.coders), strict=True)
         row = [np.repeat(np.arange(len(full)), n) for n in counts]
         full[row[1][ids[1] < 0]] = False
-        for k in (0, 1):  # rows without tokens go
-            stay = full[row[k]]
-            ids, row = (*ids[:k], ids[k][stay], *ids[k + 1 :]), (*row[:k], row[k][stay], *row[k + 1 :])
-        n_a, n_b = (np.where(full, n, 0) for n in counts)
-        # anchors: tokens of both that open with a space at the same byte; every row opens with one
-        at, place = [], []
-        for k in (0, 1):
-            starts = np.cumsum(self.lens[k][ids[k]]) - self.lens[k][ids[k]]
-            marked = np.flatnonzero(self.space[k][ids[k]])
-            at.append(marked)
-            place.append(starts[marked])
-        _, x, y = np.intersect1d(place[0], place[1], assume_unique=True, return_indices=True)
-        start = (at[0][x], at[1][y])
-        end = tuple(np.append(s[1:], len(i)) if len(s) else s for s, i in zip(start, ids, strict=True))
-        texts, n_groups, pairs, sizes, which = self._windows(ids, start, end)
-        window_row = row[0][start[0]]
-        bounds = np.searchsorted(window_row, np.arange(len(full) + 1))
-        per_row = lambda v: np.diff(np.concatenate(([0], np.cumsum(v[which], dtype=np.int64)))[bounds])
-        strings = [";".join(texts[which[i:j]]) for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
-        links = pairs[_ranges((np.cumsum(sizes) - sizes)[which], sizes[which])]
-        span = len(self.a.bytes) * self.width
-        keys, times = np.unique(np.repeat(window_row, sizes[which]) * span + links, return_counts=True)
+        ids, row = ([x[full[r]] for x, r in zip(part, row, strict=True)] for part in (ids, row))  # rows without tokens go
+        counts = [np.where(full, n, 0) for n in counts]
+        ends = [np.cumsum(n[i]) for n, i in zip(self.lens, ids, strict=True)]
+
+        n_a, n_b = self._groups(ids, ends)
+        to_a, to_b = np.cumsum(n_a), np.cumsum(n_b)
+        from_a, from_b = to_a - n_a, to_b - n_b
+        bounds = np.searchsorted(to_a, np.concatenate(([0], np.cumsum(counts[0]))), "right")  # first group of each row
+        links = n_a * n_b
+        within = _ranges(np.zeros(len(links), np.int64), links)
+        x, y = ids[0][np.repeat(from_a, links) + within // np.repeat(n_b, links)], ids[1][np.repeat(from_b, links) + within % np.repeat(n_b, links)]
+        span = len(self.lens[0]) * self.width
+        of_row = np.repeat(np.arange(len(full)), np.diff(bounds))
+        keys, times = np.unique(np.repeat(of_row, links) * span + (x.astype(np.int64) * self.width + y), return_counts=True)
+
+        cells = np.empty(len(ids[0]) + len(ids[1]), object)  # A and B tokens in the order of the groups' text
+        for k, (own, last, before) in enumerate(((n_a, to_a - 1, from_b), (n_b, to_b - 1, to_a))):
+            closes = np.zeros(len(ids[k]), np.int64)
+            closes[last] = len(self.lens[k])
+            cells[np.arange(len(ids[k])) + np.repeat(before, own)] = self.text[k][ids[k] + closes]
+        cuts = np.concatenate(([0], np.cumsum(counts[0] + counts[1])))
         return {
-            "n_a": n_a, "n_b": n_b, "n_groups": per_row(n_groups), "n_links": per_row(sizes), "groups": strings,
+            "n_a": counts[0], "n_b": counts[1], "n_groups": np.diff(bounds),
+            "n_links": np.diff(np.concatenate(([0], np.cumsum(links)))[bounds]),
+            "groups": ["".join(cells[i:j].tolist())[:-1] for i, j in zip(cuts[:-1], cuts[1:], strict=True)],
             "pairs": keys % span, "times": times, "bounds": np.searchsorted(keys // span, np.arange(len(full) + 1)),
         }
 
-    def _windows(self, ids, start, end):
-        """Of the distinct windows: text, groups, pairs end to end and their number; and which of them each window is."""
-        hashes = mix(_run_hashes(ids[0], start[0], end[0]) + _Q * _run_hashes(ids[1], start[1], end[1]))
-        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        for k in (0, 1):  # windows of one hash must be one tuple of ids
-            own, model = end[k] - start[k], (end[k] - start[k])[first][which]
-            same = (own == model).all() and (ids[k] == ids[k][_ranges(start[k][first][which], model)]).all()
-            if not same:
-                first, which = np.arange(len(hashes)), np.arange(len(hashes))
-        wide = [i.astype(np.int32) for i in ids]
-        raw, spans = [w.tobytes() for w in wide], [(4 * s[first], 4 * e[first]) for s, e in zip(start, end, strict=True)]
-        found, known = [], self.known
-        for i, j, k, m in zip(*(x.tolist() for pair in spans for x in pair), strict=True):
-            key = raw[0][i:j] + b"\xff\xff\xff\xff" + raw[1][k:m]  # -1 is no id
-            got = known.get(key)
-            if got is None:
-                a, b = wide[0][i // 4 : j // 4].tolist(), wide[1][k // 4 : m // 4].tolist()
-                got = align_window(a, b, self.a.bytes, self.b.bytes, self.width)
-                if len(known) >= WINDOWS:
-                    known.clear()
-                if len(key) < 2000:  # long ones hardly come again
-                    known[key] = got
-            found.append(got)
-        texts = np.empty(len(found), object)
-        texts[:] = [f[0] for f in found]
-        sizes = np.array([len(f[2]) for f in found], np.int64)
-        pairs = np.array([p for f in found for p in f[2]], np.int64)
-        return texts, np.array([f[1] for f in found], np.int64), pairs, sizes, which
+    def _groups(self, ids: list[np.ndarray], ends: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """A and B tokens of every group, in order, window by window."""
+        if not len(ids[0]):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # anchors: tokens of both that open with a space at the same byte; every row opens with one
+        marked = [np.flatnonzero(space[i]) for space, i in zip(self.space, ids, strict=True)]
+        places = [e[m] - n[i[m]] for e, m, n, i in zip(ends, marked, self.lens, ids, strict=True)]
+        start = [m[s] for m, s in zip(marked, shared_ends(*places), strict=True)]
+        sizes = [np.diff(np.append(s, len(i))) for s, i in zip(start, ids, strict=True)]
+        hashes = mix(_run_hashes(ids[0], start[0], start[0] + sizes[0]) + _Q * _run_hashes(ids[1], start[1], start[1] + sizes[1]))
+        keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+
+        def compute(new: np.ndarray) -> list[list[int]]:
+            return self._aligned(ends, *(x[first[new]] for x in (*start, *sizes)))
+
+        flat, n = self.memory.results(keys, compute)
+        found = flat[_ranges((np.cumsum(n) - n)[which], n[which])].astype(np.int64)
+        n_a, n_b = found[::2], found[1::2]
+        # a window's answer is one of its own ids only if its groups end at shared bytes; else two tuples have one hash
+        to_a, to_b = np.cumsum(n_a), np.cumsum(n_b)
+        if to_a[-1] != len(ids[0]) or to_b[-1] != len(ids[1]) or (ends[0][to_a - 1] != ends[1][to_b - 1]).any():
+            a, b = shared_ends(*ends)
+            n_a, n_b = np.diff(a, prepend=-1), np.diff(b, prepend=-1)
+        return n_a, n_b
+
+    @staticmethod
+    def _aligned(ends: list[np.ndarray], from_a: np.ndarray, from_b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> list[list[int]]:
+        """Tokens of A and of B in each group, in turn, of each of some windows."""
+        order = np.argsort(from_a, kind="stable")
+        own = [ends[k][_ranges(at[order], n[order])] for k, (at, n) in enumerate(((from_a, size_a), (from_b, size_b)))]
+        a, b = shared_ends(*own)
+        groups = np.column_stack((np.diff(a, prepend=-1), np.diff(b, prepend=-1))).ravel().tolist()
+        each = 2 * np.bincount(np.repeat(np.arange(len(order)), size_a[order])[a], minlength=len(order))
+        out: list[list[int]] = [[]] * len(order)
+        end = 0
+        for k, n in zip(order.tolist(), each.tolist(), strict=True):
+            out[k] = groups[end : end + n]
+            end += n
+        return out
 
 
 def align_tokens(docs: DataFrame, path_a: str, pattern: str, path_b: str, groups: bool = False) -> DataFrame:
