@@ -16,7 +16,7 @@ def spark():
 
     scratch = tempfile.mkdtemp(prefix="tidewater-test-")
     os.environ.setdefault("TIDEWATER_SCRATCH", os.path.join(scratch, "ckpt"))
-    s = get_session("local[4]", app="tidewater-tests", shuffle_partitions=8)
+    s = get_session(os.environ.get("TIDEWATER_TEST_MASTER", "local[4]"), app="tidewater-tests", shuffle_partitions=8)
     yield s
     s.stop()
 

@@ -1,28 +1,19 @@
-"""A publish cut short at any point, then repeated, ends as an unbroken one.
+"""Publishes by Spark's own writer: what fails before the commit changes nothing, and a repeated load ends as an unbroken one."""
 
-Each test breaks one call of the sink (a rename, the commit file, the write
-itself), as a lost driver would, and then runs the load again.
-"""
-
-import json
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import append_composite, full_reload, load_windows, make_windows, upsert
-from tidewater.operators.common import stamp
-from tidewater.sources import sink
+from tidewater.operators.common import LoadPlan, stamp
 from tidewater.sources.audit_log import AuditLog
-from tidewater.sources.sink import Layout, RawTable
+from tidewater.sources.layout import Layout
+from tidewater.sources.sink import RawTable, table_name
 
 T1, T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
 
 
-class Lost(RuntimeError):
-    pass
-
-
 def _source(spark, n, day="2023-01-05"):
     return spark.range(n).select(
         F.col("id").alias("k"),
@@ -45,7 +36,6 @@ LOADS = {
 def _load(table, kind, source, ts):
     from tidewater.plans.runs import read_mark
 
-    table.recover()
     mark = read_mark(table, "d", "t") if kind in ("append", "upsert") else None
     return table.publish(LOADS[kind][1](table.read(), source, ts, mark))
 
@@ -60,62 +50,97 @@ def _rows(table):
     return sorted(tuple(r) for r in table.read().select("k", "d", "t", "_ingested_at").collect())
 
 
-def _break(monkeypatch, name, at):
-    """The call number ``at`` of sink.<name> is never made."""
-    real, calls = getattr(sink, name), []
-
-    def broken(spark, *args):
-        hit = name != "_write_text" or args[0].endswith(sink.COMMIT_FILE)
-        calls.extend([1] * hit)
-        if hit and len(calls) == at:
-            raise Lost(name)
-        return real(spark, *args)
-
-    monkeypatch.setattr(sink, name, broken)
-
-
-@pytest.mark.parametrize("kind", list(LOADS))
-@pytest.mark.parametrize("cut", [("_write_text", 1), ("_rename", 1), ("_rename", 2), ("_rename", 4), ("_delete", 1)])
-def test_a_cut_publish_is_completed_or_undone(spark, scratch, monkeypatch, kind, cut):
+@pytest.mark.parametrize("kind", [k for k in LOADS if k != "reload"])
+def test_a_failed_write_changes_nothing(spark, scratch, kind):
+    """A task fails after others have written; the table stays, and the load run again ends as an unbroken one."""
     first, second = _source(spark, 200), _source(spark, 200).unionByName(_source(spark, 60, "2023-03-20").withColumn("k", F.col("k") + 150))
-    whole = _table(spark, f"{scratch}/whole", kind)
-    _load(whole, kind, first, T1)
+    broken = second.withColumn("t", F.when(F.col("k") == 170, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("t")))
+    whole, table = _table(spark, f"{scratch}/whole", kind), _table(spark, f"{scratch}/cut", kind)
+    for t in (whole, table):
+        _load(t, kind, first, T1)
     _load(whole, kind, second, T2)
-
-    table = _table(spark, f"{scratch}/cut", kind)
-    _load(table, kind, first, T1)
-    with monkeypatch.context() as m:
-        _break(m, *cut)
-        try:
-            _load(table, kind, second, T2)
-        except Lost:
-            pass
-    again = RawTable(spark, f"{scratch}/cut", "x")  # another driver goes on
+    before = _rows(table)
+    with pytest.raises(Exception, match="lost"):
+        _load(table, kind, broken, T2)
+    assert _rows(table) == before
+    again = RawTable(spark, f"{scratch}/cut", "x")
     _load(again, kind, second, T2)
     assert _rows(again) == _rows(whole)
-    assert [n for n in os.listdir(f"{scratch}/cut") if n.startswith(".x.")] == []
 
 
-def test_opening_a_table_leaves_a_running_publish_alone(spark, scratch):
-    table = _table(spark, scratch, "append")
-    _load(table, "append", _source(spark, 50), T1)
-    fresh = table._write_fresh(table._conform(stamp(_source(spark, 5), T2)).withColumn("_period", F.trunc("d", "MM")), count=True)
-    assert RawTable(spark, scratch, "x").read().count() == 50
-    assert os.path.isdir(fresh)
-    RawTable(spark, scratch, "x").recover()  # the next writer clears what was never decided
-    assert not os.path.isdir(fresh)
+def test_only_touched_partitions_are_written(spark, scratch):
+    """Dynamic overwrite by the table's own option, also in a session that says otherwise."""
+    table = _table(spark, scratch, "upsert")
+    _load(table, "upsert", _source(spark, 200), T1)
+    files = lambda: {p: sorted(os.listdir(f"{scratch}/x/{p}")) for p in os.listdir(f"{scratch}/x") if p.startswith("_bucket")}
+    old, mode = files(), spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        one = _source(spark, 1).withColumn("d", F.date_add("d", 500))
+        _load(table, "upsert", one, T2)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    new = files()
+    assert sum(old[p] != new[p] for p in old) == 1 and table.read().count() == 200
+
+
+def test_partitions_left_without_rows_go(spark, scratch):
+    """Deletes without inserts, over buckets and periods; the period of rows without a day stays."""
+    src = _source(spark, 40).unionByName(spark.createDataFrame([(99, None, 1)], "k long, d date, t int"))
+    for kind in ("upsert", "windows"):
+        table = _table(spark, f"{scratch}/{kind}", kind)
+        table.publish(LoadPlan(kept=table.read(), batch=stamp(src, T1), kind="append"))
+        parts = table.partitions()
+        nothing = stamp(src.limit(0), T2)
+        if kind == "upsert":
+            table.publish(LoadPlan(kept=table.read(), batch=nothing, kind="keyed", delete_keys=["k"], delete_ids=src.select("k")))
+            assert len(parts) == 4 and table.read().count() == 0
+        else:
+            table.publish(load_windows(table.read(), src.limit(0), "d", make_windows("2023-01-01", "2023-04-30", 1), 1, T2))
+            assert None in parts and table.partitions() == [None] and table.read().count() == 1
+            table.publish(full_reload(None, src.where("k < 3"), T2))
+            assert table.partitions() == parts[1:2] and table.read().count() == 3
+        assert RawTable(spark, f"{scratch}/{kind}", "x").by_footers().count() == table.read().count()
+
+
+def test_tables_are_in_the_catalog(spark, scratch):
+    """By the layer's own name, with columns added where the source grew; a layer named by a schema needs no folder."""
+    name = "tidewater_" + os.path.basename(os.path.dirname(scratch + "/")).replace("-", "_")
+    try:
+        table = RawTable(spark, name, "Sales Lines")
+        assert not table.exists()
+        assert table.create_if_missing(_source(spark, 1).schema, Layout("bucket", ["k"], 2))
+        assert not table.create_if_missing(_source(spark, 1).schema, Layout("bucket", ["k"], 7)) and table.layout.buckets == 2
+        table.publish(LoadPlan(kept=table.read(), batch=stamp(_source(spark, 5), T1), kind="append"))
+        grown = _source(spark, 9).withColumn("The Note", F.lit("n")).withColumnRenamed("t", "T")
+        assert table.add_missing_columns(grown.schema) == ["The Note"] and table.add_missing_columns(grown.schema) == []
+        table.publish(LoadPlan(kept=table.read(), batch=stamp(grown, T2), kind="keyed", delete_keys=["k"]))
+        got = spark.sql(f"SELECT count(*) n, count(`The Note`) notes FROM {table.table}").first()
+        assert (got.n, got.notes) == (9, 9)
+        assert table.schema.names == ["k", "d", "t", "The Note", "_ingested_at"]
+        assert [r.tableName for r in spark.sql(f"SHOW TABLES IN {name}").collect()] == [table_name("Sales Lines")]
+        assert (table_name("OINV"), table_name("@A") != table_name("_A")) == ("oinv", True)
+    finally:
+        spark.sql(f"DROP SCHEMA IF EXISTS {name} CASCADE")
 
 
-def test_cut_metadata_write_leaves_the_old(spark, scratch, monkeypatch):
-    table = _table(spark, scratch, "append")
-    before = open(f"{table.path}/{sink.META_FILE}").read()
-    with monkeypatch.context() as m:
-        m.setattr(json, "dumps", lambda *a, **k: (_ for _ in ()).throw(Lost()))
-        with pytest.raises(Lost):
-            table.set_meta_value("a", 1)
-    assert open(f"{table.path}/{sink.META_FILE}").read() == before
-    table.set_meta_value("a", 1)
-    assert RawTable(spark, scratch, "x").meta_value("a") == 1
+@pytest.mark.parametrize("kind", list(LOADS))
+def test_a_folder_s_tables_are_found_again(spark, scratch, kind):
+    """A catalog that forgot a layer (here: dropped entries over kept files) takes its tables up, and loads go on."""
+    from tidewater.sources.sink import schema_name
+
+    whole = _table(spark, f"{scratch}/whole", kind)
+    _load(whole, kind, _source(spark, 90), T1)
+    whole.spark.sql(f"DROP SCHEMA IF EXISTS {schema_name(f'{scratch}/again')} CASCADE")
+    os.rename(f"{scratch}/whole", f"{scratch}/again")  # other folder, so no catalog entry
+    table = RawTable(spark, f"{scratch}/again", "x")
+    assert not table.exists() and not table.create_if_missing(_source(spark, 1).schema, LOADS[kind][0])
+    assert table.read().count() == 90 and table.layout == LOADS[kind][0]
+    _load(table, kind, _source(spark, 120, "2023-02-05"), T2)
+    want = {"append": 90 + _source(spark, 120, "2023-02-05").where("d > date'2023-04-04' or d = date'2023-04-04' and t > 623").count()}
+    assert table.read().count() == want.get(kind, table.read().select("k", "d").distinct().count())
+    table.truncate()
+    assert table.read().count() == 0 and table.partitions() == []
 
 
 def test_first_loads_are_one_write(spark, scratch):
@@ -123,8 +148,8 @@ def test_first_loads_are_one_write(spark, scratch):
     for kind in LOADS:
         table = _table(spark, f"{scratch}/{kind}", kind)
         staged = []
-        real = table._stage
-        table._stage = lambda *a, **k: staged.append(1) or real(*a, **k)  # noqa: B023
+        real = table.staged
+        table.staged = lambda *a, **k: staged.append(1) or real(*a, **k)  # noqa: B023
         _load(table, kind, _source(spark, 100), T1)
         assert staged == []
         _load(table, kind, _source(spark, 120), T2)

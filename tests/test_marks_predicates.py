@@ -82,3 +82,12 @@ def test_deletes_never_match_null(spark):
     )
     assert ing.where(~drop_today(D)).count() == 1
     assert ing.where(F.lit(True)).count() == 2
+
+
+@pytest.mark.parametrize("text,day", [
+    ("2024-01-05", D), ("2024-01-05 13:00:00", D), ("20240105", D), ("20240105 x", None), ("2024", None), ("2024-1-5", None), ("20241305", None), (None, None),
+])
+def test_text_marks_are_read_as_days(spark, text, day):
+    from tidewater.functions import to_mark_day
+
+    assert spark.createDataFrame([(text,)], "d string").select(to_mark_day(F.col("d"))).first()[0] == day

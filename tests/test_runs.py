@@ -189,9 +189,9 @@ def test_metadata_types_the_source(spark, scratch):
     assert t.read().count() == 25
 
 
-def test_kept_mark_equals_a_fresh_scan(spark, scratch):
-    from tidewater.functions.marks import top_value
-    from tidewater.plans.runs import read_mark
+def test_mark_from_statistics_equals_a_scan(spark, scratch):
+    from tidewater.functions.marks import mark_from_top, top_value
+    from tidewater.plans.runs import newest_values, read_mark
 
     root = f"{scratch}/raw"
     specs = [
@@ -212,12 +212,66 @@ def test_kept_mark_equals_a_fresh_scan(spark, scratch):
         assert res.ok, res.failures
         for name, d, t in (("hdr", "updatedate", "updatets"), ("cust", "upd", "updts")):
             table = RawTable(spark, root, name)
-            found, kept = table.cached_top(d, t)
-            scanned = top_value(table.read(), d, t)
-            if found:
-                assert kept == scanned, (i, name, kept, scanned)
-            assert read_mark(table, d, t) is not None
-    assert RawTable(spark, root, "cust").cached_top("upd", "updts")[0]  # kept across keyed loads
+            assert read_mark(table, d, t) == mark_from_top(top_value(table.read(), d, t), True), (i, name)
+            assert read_mark(table, d, None) == mark_from_top(top_value(table.read(), d), False)
+            plan = newest_values(table, d)._jdf.queryExecution().executedPlan().toString()
+            assert f"PushedAggregation: [MAX({d})]" in plan, plan
+
+
+def test_marks_without_statistics(spark, scratch):
+    """Text and timestamp marks, also one written 20240105, and a mark that is no date."""
+    import pytest
+
+    from tidewater.plans.runs import read_mark
+
+    rows = [("2024-01-04", datetime(2024, 1, 4, 9), 1), ("20240105", datetime(2024, 1, 5, 8), 2), (None, None, 9), ("2024-01-03", datetime(2024, 1, 5, 8), 7)]
+    src = spark.createDataFrame(rows, "s string, ts timestamp_ntz, t int")
+    table = RawTable(spark, f"{scratch}/raw", "odd")
+    table.create_if_missing(src.schema)
+    assert read_mark(table, "s", "t").empty and read_mark(table, "ts", None).empty
+    from tidewater.operators import full_reload
+
+    table.publish(full_reload(None, src, "2024-02-01 00:00:00"))
+    assert (read_mark(table, "s", "t").day, read_mark(table, "s", "t").time) == (date(2024, 1, 5), 2)
+    assert (read_mark(table, "ts", "t").day, read_mark(table, "ts", "t").time) == (date(2024, 1, 5), 7)
+    table.publish(full_reload(None, src.withColumn("s", F.lit("soon")), "2024-02-01 00:00:00"))
+    with pytest.raises(ValueError, match="not a date"):
+        read_mark(table, "s", None)
+
+
+def test_tables_load_side_by_side(spark, scratch):
+    """Four tables of which two wait for each other finish only if they run at the same time; a line table waits for its header."""
+    import threading
+
+    meet, order = threading.Barrier(2, timeout=120), []
+    hdr, lines = fx.header_raw(spark, SF).drop("_ingested_at"), fx.lines_raw(spark, SF).drop("_ingested_at")
+
+    def read(name):
+        order.append(name)
+        if name in ("nation", "region"):
+            meet.wait()
+        if name == "bad":
+            raise RuntimeError("no source")
+        return {"hdr": hdr, "lines": lines, "badlines": lines}.get(name) or fx.table(spark, SF, name)
+
+    lines_of = lambda name, header: TableSpec(
+        name, "replace_by_header", header_table=header, header_mark_col="updatedate", doc_key="docentry", buckets=4)
+    specs = [lines_of("lines", "hdr"), lines_of("badlines", "bad"), TableSpec("nation"), TableSpec("region"),
+             TableSpec("hdr", "append", mark_col="updatedate"), TableSpec("bad", "append", mark_col="updatedate")]
+    audit = AuditLog(spark, f"{scratch}/audit")
+    res = initial_load(spark, specs, read, f"{scratch}/raw", audit=audit, run_ts=datetime(2024, 1, 1))
+    assert set(res.failures) == {"bad", "badlines"} and "bad, which it follows" in res.failures["badlines"]
+    assert list(res.rows) == ["lines", "nation", "region", "hdr"]  # in the order of the settings
+    assert order.index("hdr") < order.index("lines")
+    assert audit.failures == []
+    states = {r.table: r.status for r in audit.state().collect()}
+    assert states == {"lines": "success", "nation": "success", "region": "success", "hdr": "success", "bad": "error", "badlines": "error"}
+    one = initial_load(spark, specs[2:5], fx_read(spark, hdr), f"{scratch}/one", run_ts=datetime(2024, 1, 1), parallel=1)
+    assert one.ok and one.rows["hdr"] == res.rows["hdr"]
+
+
+def fx_read(spark, hdr):
+    return lambda name: hdr if name == "hdr" else fx.table(spark, SF, name)
 
 
 def test_reference_vocabulary_settings():
@@ -292,19 +346,19 @@ def test_cli_runs_with_reference_settings(spark, scratch, capsys):
     assert RawTable(spark, f"{scratch}/raw", "nat").read().count() == 25
 
 
-def test_truncate_drops_the_kept_mark(spark, scratch):
+def test_truncated_table_has_no_mark(spark, scratch):
     from tidewater.plans.runs import read_mark
 
-    spec = TableSpec("hdr", "append", mark_col="updatedate", mark_time_col="updatets")
-    v = {"hdr": fx.header_raw(spark, SF).drop("_ingested_at")}
+    v = {"hdr": fx.header_raw(spark, SF).drop("_ingested_at"), "nat": fx.table(spark, SF, "nation").withColumn("d", F.lit(date(2024, 1, 1)))}
+    specs = [TableSpec("hdr", "append", mark_col="updatedate", mark_time_col="updatets"), TableSpec("nat")]
     root = f"{scratch}/raw"
-    assert initial_load(spark, [spec], v.__getitem__, root, run_ts=datetime(2024, 1, 1)).ok
-    t = RawTable(spark, root, "hdr")
-    assert not read_mark(t, "updatedate", "updatets").empty  # scanned, then kept
-    assert t.cached_top("updatedate", "updatets")[0]
-    t.truncate()
-    assert t.read().count() == 0
-    assert read_mark(RawTable(spark, root, "hdr"), "updatedate", "updatets").empty
+    assert initial_load(spark, specs, v.__getitem__, root, run_ts=datetime(2024, 1, 1)).ok
+    for name, d in (("hdr", "updatedate"), ("nat", "d")):
+        t = RawTable(spark, root, name)
+        assert not read_mark(t, d, None).empty
+        t.truncate()
+        assert t.read().count() == 0 and t.partitions() == []
+        assert read_mark(RawTable(spark, root, name), d, None).empty
 
 
 def test_merge_statement_is_built(spark, scratch):

@@ -133,7 +133,8 @@ def test_null_keys_pass_around_the_join(spark, scratch, keys):
 def test_keys_are_broadcast_by_their_bytes(spark, scratch):
     """Few rows of very long keys are not broadcast; the same rows of short keys are."""
     from tidewater.operators.common import LoadPlan, stamp
-    from tidewater.sources.sink import Layout, RawTable
+    from tidewater.sources.layout import Layout
+    from tidewater.sources.sink import RawTable
 
     for width, joined in ((1000, "SortMergeJoin"), (1, "BroadcastHashJoin")):
         src = spark.range(400).select(F.concat(F.lpad(F.col("id").cast("string"), 5, "0"), F.repeat(F.lit("x"), width)).alias("k"))

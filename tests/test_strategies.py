@@ -1,7 +1,10 @@
 """Load strategies as pure plans, on literal frames (FIXTURES.md edge cases)."""
 
+import random
 from datetime import date
 
+from pyspark.sql import functions as F
+
 from tidewater.functions import Mark
 from tidewater.operators import (
     HeaderRef,
@@ -128,3 +131,46 @@ def test_evolve_adds_once_case_insensitively(spark):
     grown = evolve_schema(raw, src.schema)
     assert grown.columns == ["Id", "Name", "Price", "price2"]
     assert grown.collect()[0].Price is None
+
+
+def test_id_ranges_hold_every_id_and_leave_out_the_widest_gaps(spark):
+    from tidewater.operators.header import id_ranges
+
+    rng = random.Random(3)
+    for ids in ([5], [5, 6], [-(2**62), 0, 2**62], [1, *range(10**6, 10**6 + 500)], [rng.randrange(10**9) for _ in range(300)], [None, 3, None, 9_000]):
+        df = spark.createDataFrame([(i,) for i in ids], "k long")
+        for most in (1, 2, 16):
+            got = id_ranges(df, "k", most=most)
+            assert 1 <= len(got) <= most and got == sorted(got)
+            assert all(sum(a <= i <= b for a, b in got) == 1 for i in ids if i is not None)
+    df = spark.createDataFrame([(7,), *((i,) for i in range(900_000, 900_100))], "k long")
+    assert id_ranges(df, "k") == [(7, 7), (900_000, 900_099)]
+    assert id_ranges(df.where("k < 0"), "k") == []
+    assert id_ranges(spark.createDataFrame([("b",), ("a",)], "k string"), "k") == [("a", "b")]
+
+
+def test_a_late_change_to_an_old_document_does_not_widen_the_scan(spark, scratch):
+    """One old and many new documents change; the row groups between are not read."""
+    n = 40_000
+    lines = spark.range(0, n, 1, 1).select(F.col("id").alias("doc"), (F.col("id") * 3).alias("v"))
+    lines.write.option("parquet.block.size", 16 * 1024).option("parquet.page.size", 4 * 1024).parquet(f"{scratch}/lines")
+    source = spark.read.parquet(f"{scratch}/lines")
+    headers = spark.range(n).select(
+        F.col("id").alias("doc"),
+        F.when((F.col("id") == 3) | (F.col("id") >= n - 1000), F.lit("2024-02-01")).otherwise(F.lit("2023-01-01")).cast("date").alias("d"),
+    )
+    headers.write.parquet(f"{scratch}/headers")
+    raw = source.withColumn("_ingested_at", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    got = {}
+    for prefilter in (True, False):
+        plan = replace_by_header(raw, source, spark.read.parquet(f"{scratch}/headers"), Mark(date(2024, 1, 1)), "doc", "d",
+                                 "2024-02-02 00:00:00", id_range_prefilter=prefilter)
+        rows = sorted(map(tuple, plan.batch.select("doc", "v").collect()))
+        tree = plan.batch._jdf.queryExecution().executedPlan().toString()
+        got[prefilter] = rows
+        assert ("GreaterThanOrEqual(doc,39000)" in tree and "LessThanOrEqual(doc,3)" in tree) == prefilter, tree
+    assert got[True] == got[False] and len(got[True]) == 1001
+    scanned = source.where("doc between 3 and 3 or doc between 39000 and 39999")
+    assert len(scanned.collect()) == 1001
+    leaf = scanned._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert leaf.metrics().apply("numOutputRows").value() < n / 2  # row groups between the ranges were skipped

@@ -2,13 +2,14 @@
 
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators.windows import make_windows
 from tidewater.plans.settings import TableSpec
-from tidewater.sources.readers import parquet_source, window_predicates
+from tidewater.sources.readers import parquet_source, split_predicates, window_predicates
 from tidewater.sources.sink import RawTable
-from tidewater.streaming import stream_into
+from tidewater.streaming import feed, stream_into
 
 SF = "/root/testdata/sf0.001"
 
@@ -49,6 +50,27 @@ def test_readers(spark):
     ]
 
 
+@pytest.mark.parametrize("kind", ["long", "date", "timestamp_ntz", "timestamp", "double", "decimal(12,2)"])
+def test_splits_of_equal_depth(spark, kind):
+    """A skewed column with NULLs: each row is in one split, and none is much larger than the others."""
+    skewed = (F.pow(F.col("id") / 5000, 6) * 100_000).cast("long")
+    value = skewed if kind in ("long", "double") or kind.startswith("decimal") else F.timestamp_seconds(skewed)
+    df = spark.range(5000).select(F.when(F.col("id") % 50 != 0, value.cast(kind)).alias("My Col"), "id")
+    if kind == "date":
+        df = df.withColumn("My Col", F.when(F.col("My Col").isNotNull(), F.date_add(F.lit(date(2000, 1, 1)), (skewed / 10).cast("int"))))
+    preds = split_predicates(df, "my col", 8, quote="`")
+    assert len(preds) > 4
+    sizes = [df.where(p).count() for p in preds]
+    assert sum(sizes) == 5000 == df.where(" OR ".join(preds)).count()
+    # the least value is over half of all rows of some types: it is a split of its own
+    assert sorted(sizes)[-2] <= 2 * 5000 / 8
+
+
+def test_splits_of_one_value_and_of_none(spark):
+    for df in (spark.range(100).select(F.lit(7).alias("k")), spark.range(100).select(F.lit(None).cast("int").alias("k")), spark.range(0).select(F.col("id").alias("k"))):
+        assert sum(df.where(p).count() for p in split_predicates(df, "k", 4, quote="`")) == df.count()
+
+
 class SqlSource:
     """A source that evaluates pushed SQL itself (Spark SQL stands in for the
     source database), shaped like ``JdbcSource``."""
@@ -130,7 +152,7 @@ def test_history_read_one_task_per_window(spark, scratch):
     assert RawTable(spark, f"{scratch}/raw", "hdr").read().count() == hdr.count()
 
 
-def test_stream_append_replay_is_not_duplicated(spark, scratch):
+def test_stream_append_replay_is_not_duplicated(spark, scratch, monkeypatch):
     src_dir = f"{scratch}/incoming"
     nat = spark.read.parquet(f"{SF}/nation.parquet")
     nat.where("n_nationkey < 10").coalesce(1).write.parquet(f"{src_dir}/f1")
@@ -138,15 +160,14 @@ def test_stream_append_replay_is_not_duplicated(spark, scratch):
     table = RawTable(spark, f"{scratch}/raw", "nat")
     table.create_if_missing(nat.schema, TableSpec("nat", "full_reload").layout())
     ckpt = f"{scratch}/ckpt"
-    real_set = table.set_meta_value
-    calls = {"n": 0}
+    real, calls = feed._record, {"n": 0}
 
-    def crash_after_first_publish(key, value):
+    def crash_after_first_publish(spark, path, status, run_ts):
         # die between the publish of epoch 0 and its "done" marker, once
-        if value.get("done") == 0 and calls["n"] == 0:
+        if status == "done" and calls["n"] == 0:
             calls["n"] += 1
             raise RuntimeError("simulated crash")
-        return real_set(key, value)
+        return real(spark, path, status, run_ts)
 
     def run():
         stream = spark.readStream.schema(nat.schema).option("maxFilesPerTrigger", 1).parquet(f"{src_dir}/*")
@@ -156,10 +177,9 @@ def test_stream_append_replay_is_not_duplicated(spark, scratch):
         except Exception:  # noqa: BLE001 - the simulated crash stops the query
             pass
 
-    table.set_meta_value = crash_after_first_publish
+    monkeypatch.setattr(feed, "_record", crash_after_first_publish)
     run()
     assert calls["n"] == 1 and table.read().count() == 10  # epoch 0 landed, marker missing
-    table.set_meta_value = real_set
     run()  # epoch 0 is re-delivered, then epoch 1
     out = table.read()
     assert out.count() == 25 and out.select("n_nationkey").distinct().count() == 25

@@ -10,7 +10,7 @@ source predicate, which is what lets the predicate reach the source scan.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +34,10 @@ class Mark:
 
 
 def to_mark_day(c: Column) -> Column:
-    """First ten characters as a date; text that is not a date gives NULL."""
-    return c.cast("string").substr(1, 10).try_cast("date")
+    """First ten characters as a date, also written ``20240105``; text that is not a date gives NULL."""
+    text = c.cast("string").substr(1, 10)
+    dashed = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    return F.when(dashed.rlike(r"^\d{4}-\d{2}-\d{2}$"), dashed.try_cast("date"))
 
 
 def composite_mark_frame(raw: DataFrame, date_col: str, time_col: str) -> DataFrame:
@@ -72,12 +74,6 @@ def top_value(df: DataFrame, date_col: str, time_col: str | None = None):
     return None if m is None else (m["d"], m["t"])
 
 
-def top_expr(date_col: str, time_col: str | None = None) -> Column:
-    """The same newest ``(d, t)`` as an aggregate expression (for an Observation)."""
-    t = F.col(time_col) if time_col else F.lit(None).cast("int")
-    return F.max(F.when(F.col(date_col).isNotNull(), F.struct(F.col(date_col).alias("d"), t.alias("t"))))
-
-
 def mark_from_top(top, composite: bool) -> Mark:
     """T1/A1 from a raw top value: day = first ten characters as a date (a
     value that is not a date raises), time = ``t`` with NULL as 0."""
@@ -91,29 +87,6 @@ def mark_from_top(top, composite: bool) -> Mark:
     return Mark(day, int(t or 0), True) if composite else Mark(day, None, False)
 
 
-def top_to_json(top) -> dict | None:
-    if top is None:
-        return None
-    d, t = top
-    kind = "datetime" if isinstance(d, datetime) else "date" if isinstance(d, date) else "str"
-    return {"d": d.isoformat() if kind != "str" else str(d), "kind": kind, "t": None if t is None else int(t)}
-
-
-def top_from_json(v: dict | None):
-    if v is None:
-        return None
-    d = {"datetime": datetime.fromisoformat, "date": date.fromisoformat}.get(v["kind"], str)(v["d"])
-    return d, v["t"]
-
-
-def top_max(a, b):
-    """Newer of two raw tops (NULL ``t`` ranks lowest, like ``max(struct)``)."""
-    if a is None or b is None:
-        return a if b is None else b
-    key = lambda x: (x[0], x[1] is not None, x[1] or 0)
-    return a if key(a) >= key(b) else b
-
-
 def read_composite_mark(raw: DataFrame, date_col: str, time_col: str) -> Mark:
     """Run T1 and return it; an empty raw side gives an empty mark."""
     row = composite_mark_frame(raw, date_col, time_col).first()

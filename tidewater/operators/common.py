@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.predicates import INGEST_COL
 
+#: A batch's column that holds the number of a row's history window; it is never stored.
+WINDOW_COL = "__window_no"
+
 
 def ts_literal(ts: datetime | str) -> Column:
     """A TIMESTAMP_NTZ literal, exact to the microsecond and zone-free."""
@@ -129,12 +132,11 @@ class LoadPlan:
     # ``column`` day in this range -- lets a day-partitioned sink rewrite only
     # those days instead of scanning the table.
     delete_days: tuple | None = None
-    # (date column, time column or None, mark that selected the batch): lets
-    # the sink keep the table's newest mark up to date without a scan
-    mark: tuple | None = None
+    # numbers of the history windows that the batch's ``WINDOW_COL`` holds: the
+    # sink counts the rows of each while it writes them
+    windows: list[int] = field(default_factory=list)
 
     def result(self) -> DataFrame:
         """The new raw table as one DataFrame (kept UNION ALL batch)."""
-        if self.kind == "overwrite":
-            return self.batch
-        return union_all(self.kept, self.batch)
+        batch = self.batch.drop(WINDOW_COL)
+        return batch if self.kind == "overwrite" else union_all(self.kept, batch)

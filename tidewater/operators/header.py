@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.marks import Mark, read_composite_mark, read_day_mark
 from tidewater.functions.predicates import newer_than
-from tidewater.operators.common import LoadPlan, delete_by_key, semi_by_key, stamp
+from tidewater.operators.common import WINDOW_COL, LoadPlan, delete_by_key, maybe_broadcast, semi_by_key, stamp
 from tidewater.operators.windows import Window, assign_windows
 
 
@@ -65,6 +65,28 @@ def capture_header_marks(
     return marks
 
 
+def id_ranges(ids: DataFrame, key: str, most: int = 16, blocks: int = 4096) -> list[tuple]:
+    """Up to ``most`` closed ranges that hold every value of ``key``, cut at its widest gaps.
+
+    One aggregate finds the bounds, a second the least and greatest value in
+    each of ``blocks`` equal parts between them (that many rows at most come
+    back); the ranges end at the widest gaps between neighbouring parts. A late
+    change to an old document so gets a range of its own. Keys that are not
+    integers get one range. Without a value there is no range.
+    """
+    values = ids.select(F.col(key).alias("k")).where(F.col("k").isNotNull())
+    lo, hi = values.agg(F.min("k"), F.max("k")).first()
+    if lo is None:
+        return []
+    if not isinstance(lo, int) or hi - lo < 2:
+        return [(lo, hi)]
+    part = F.floor((F.col("k").cast("double") - F.lit(float(lo))) / F.lit(max(1.0, (hi - lo) / blocks)))
+    found = sorted(tuple(r) for r in values.groupBy(part.alias("part")).agg(F.min("k").alias("a"), F.max("k").alias("b")).select("a", "b").collect())
+    gaps = sorted(range(1, len(found)), key=lambda i: found[i - 1][1] - found[i][0])[: most - 1]
+    cuts = [0, *sorted(i for i in gaps if found[i][0] - found[i - 1][1] > 1), len(found)]
+    return [(found[i][0], found[j - 1][1]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 def replace_by_header(
     raw_lines: DataFrame,
     source_lines: DataFrame,
@@ -90,11 +112,11 @@ def replace_by_header(
     from the fetched lines, so a changed document that now has no line keeps
     its old lines; ``"headers"`` deletes by changed header instead.
 
-    ``id_range_prefilter`` first reads the changed headers' lowest and highest
-    document id (one small aggregate) and adds ``doc BETWEEN lo AND hi`` to
-    the line scan: a literal range reaches the Parquet scan, whose row-group
-    statistics then skip lines outside it. It only narrows what the semi-join
-    keeps anyway, so the result is unchanged.
+    ``id_range_prefilter`` first reads a bounded list of ranges that hold the
+    changed headers' document ids (``id_ranges``) and adds them to the line
+    scan: literal ranges reach the Parquet scan, whose row-group statistics then
+    skip lines outside them. They only narrow what the semi-join keeps anyway,
+    so the result is unchanged.
     """
     header_key = header_key or doc_key
     pred = newer_than(header_mark, header_date_col, header_time_col)
@@ -105,11 +127,10 @@ def replace_by_header(
         changed = source_headers.where(pred)
         lines = source_lines
         if id_range_prefilter:
-            lo_hi = changed.agg(F.min(header_key).alias("lo"), F.max(header_key).alias("hi")).first()
-            if lo_hi is None or lo_hi["lo"] is None:
-                lines = source_lines.where(F.lit(False))  # no changed header: no line
-            else:
-                lines = source_lines.where(F.col(doc_key).between(F.lit(lo_hi["lo"]), F.lit(lo_hi["hi"])))
+            inside = F.lit(False)  # no changed header: no line
+            for lo, hi in id_ranges(changed, header_key):
+                inside = inside | F.col(doc_key).between(F.lit(lo), F.lit(hi))
+            lines = source_lines.where(inside)
         batch = semi_by_key(lines, changed, doc_key, header_key, broadcast=broadcast)
     batch = stamp(batch, run_ts)
     if delete_from == "headers":
@@ -135,18 +156,26 @@ def load_window_by_header(
     header_key: str | None = None,
     replace: bool = True,
     broadcast: bool | None = None,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> LoadPlan:
     """Lines whose header mark lies in one of the windows (F4 on the
-    header), all windows in one pass.
+    header), all windows in one pass. A line keeps its header's window (the
+    first one, if the header stands in several), so the rows of each window are
+    counted as they are written (A2). ``stage`` may write the documents'
+    windows, one row each, somewhere: AQE splits a hot document of a join with
+    a stored side, not of one with an aggregate.
 
     ``replace=True`` (our fix) first removes raw lines of the loaded documents,
     so re-running a window never duplicates; ``replace=False`` is the
     reference's insert-only behaviour.
     """
     header_key = header_key or doc_key
-    in_win = assign_windows(source_headers, header_date_col, windows, months)
-    batch = stamp(semi_by_key(source_lines, in_win, doc_key, header_key, broadcast=broadcast), run_ts)
+    in_win = assign_windows(source_headers, header_date_col, windows, months, out=WINDOW_COL)
+    docs = in_win.groupBy(F.col(header_key).alias("__doc")).agg(F.min(WINDOW_COL).alias(WINDOW_COL))
+    docs = maybe_broadcast(stage(docs) if stage else docs, broadcast)
+    batch = stamp(source_lines.join(docs, source_lines[doc_key] == docs["__doc"]).drop("__doc"), run_ts)
+    numbers = [w.number for w in windows]
     if not replace:
-        return LoadPlan(kept=raw_lines, batch=batch, kind="append")
+        return LoadPlan(kept=raw_lines, batch=batch, kind="append", windows=numbers)
     kept = delete_by_key(raw_lines, batch, [doc_key], broadcast=broadcast)
-    return LoadPlan(kept=kept, batch=batch, kind="keyed", delete_keys=[doc_key], delete_ids=batch)
+    return LoadPlan(kept=kept, batch=batch, kind="keyed", delete_keys=[doc_key], delete_ids=batch, windows=numbers)

@@ -42,7 +42,6 @@ def upsert(
     kept = delete_by_key(raw, batch, keys, broadcast=broadcast)
     return LoadPlan(
         kept=kept, batch=batch, kind="keyed", delete_keys=list(keys), delete_ids=None if one_per_key else batch,
-        mark=(date_col, time_col, mark),
     )
 
 

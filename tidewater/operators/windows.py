@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.predicates import in_window
-from tidewater.operators.common import LoadPlan, stamp
+from tidewater.operators.common import WINDOW_COL, LoadPlan, stamp
 
 
 @dataclass(frozen=True)
@@ -111,12 +111,14 @@ def load_windows(
 ) -> LoadPlan:
     """L9 over any number of windows in one pass: raw rows inside a window are
     removed (F6; NULL stays), source rows inside a window are added (F4).
-    Re-running gives the same table."""
-    batch = stamp(assign_windows(source, col, windows, months).drop("window_no"), run_ts)
+    Re-running gives the same table. The batch keeps its window numbers, so
+    the rows of each window are counted as they are written (A2)."""
+    batch = stamp(assign_windows(source, col, windows, months, out=WINDOW_COL), run_ts)
     gone = F.coalesce(window_number(col, windows, months).isNotNull(), F.lit(False))
     days = (col, windows[0].start, windows[-1].end) if windows else None
     return LoadPlan(
-        kept=raw.where(~gone), batch=batch, kind="predicate", delete_pred=gone, delete_days=days
+        kept=raw.where(~gone), batch=batch, kind="predicate", delete_pred=gone, delete_days=days,
+        windows=[w.number for w in windows],
     )
 
 

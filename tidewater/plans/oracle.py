@@ -192,3 +192,23 @@ SQL |= {
     ),
 }
 SQL["run_window_rows"] = fx.with_ctes(fx.HEADER_CTES) + SQL["run_window_rows"]
+SQL |= {
+    "run_truncate": H + f"select h.*, {RUN} _ingested_at from hdr_all h",
+    "run_marks": H + "select t.* , wm.d mark_date, wm.t mark_time, dm.d mark_day from (values ('hdr'), ('keyed')) t(\"table\"), wm, dm",
+    "run_window_rows_by_header": HL + (
+        f"select w.window_no, cast(count(l.docentry) as bigint) \"rows\" from {_values(*HISTORY)} "
+        "left join hdr_all h on h.updatedate between w.window_start and w.window_end "
+        "left join lines_src l on l.docentry = h.docentry group by w.window_no"
+    ),
+    "run_until_today": H + (
+        f"select w.window_no, cast(count(h.docentry) as bigint) \"rows\" from {_values('1995-01-01', fx.RUN_TS[:10], 6)} "
+        "left join hdr_all h on h.updatedate between w.window_start and w.window_end group by w.window_no"
+    ),
+    "run_ids": (
+        "select 36 id_length, 2 \"tables\", (select count(*) from nation) + (select count(*) from region) total_rows, "
+        "0 errors, 'success' status from (values (1), (2)) runs(run)"
+    ),
+    "split_read": " union all ".join(
+        f"select '{t}' \"table\", count(*) \"rows\", 1 times, true even from {t}" for t in ("orders", "events", "lineitem")
+    ),
+}

@@ -1,9 +1,11 @@
 """Run drivers: initial load (R1) and incremental load (R2).
 
-The driver loop only sequences tables; every table's work is Spark jobs: a
-mark read (from the table's metadata, else one small aggregate), then one
-write, or a staging write plus a partition-scoped rewrite. A table that fails
-is logged and skipped; the others go on, and the result lists every failure.
+The drivers only say what runs after what; every table's work is Spark jobs: a
+mark read (file statistics, then one day's rows), then one write, or a staging
+write plus an overwrite of the partitions it touches. Tables load side by side,
+each in a scheduler pool of its own; line tables wait for the header they
+follow. A table that fails is logged, and only those that wait for it fail with
+it; the result lists every failure.
 """
 
 from __future__ import annotations
@@ -12,14 +14,17 @@ import time
 import traceback
 import uuid
 from collections.abc import Callable, Iterable
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.functions.marks import Mark, mark_from_top, top_value
-from tidewater.functions.predicates import INGEST_COL, mark_sql
+from tidewater.functions.predicates import mark_sql
 from tidewater.functions.typemap import cast_columns
 from tidewater.operators import (
     HeaderRef,
@@ -37,15 +42,16 @@ from tidewater.operators import (
     scan_projected,
     upsert,
 )
-from tidewater.operators.common import ts_literal
 from tidewater.operators.upsert import merge_into
-from tidewater.operators.windows import Window, assign_windows
+from tidewater.operators.windows import Window
 from tidewater.plans.settings import APPEND, BY_HEADER, FULL_RELOAD, SNAPSHOT, UPSERT, TableSpec
 from tidewater.sources.audit_log import AuditLog
 from tidewater.sources.readers import window_predicates
-from tidewater.sources.sink import DAY_COL, RawTable, ensure_root
+from tidewater.sources.layout import DAY_COL
+from tidewater.sources.sink import RawTable, ensure_schema
 
 SourceReader = Callable[[str], DataFrame]
+PARALLEL_TABLES = 4  # tables that load at the same time, unless the caller says otherwise
 
 
 @dataclass
@@ -70,30 +76,31 @@ def by_frequency(specs: Iterable[TableSpec], frequency: str | None) -> list[Tabl
     return [s for s in specs if frequency is None or s.frequency == frequency]
 
 
-def mark_scope(table: RawTable, col: str) -> DataFrame:
-    """The part of a raw table that holds its newest mark.
+def newest_values(table: RawTable, col: str) -> DataFrame:
+    """``max(col)`` of a raw table, answered from the footers of its files.
 
-    When the table is day-partitioned on the mark column, the newest mark lies
-    in the newest day directory: read only that one (a listing finds it),
-    instead of aggregating the whole table.
+    Spark's V2 Parquet reader pushes the aggregate down (``PushedAggregation``),
+    so no row is read; in a table partitioned by ``col`` only the newest period's
+    footers are. Types without usable statistics (text, timestamps) are scanned.
     """
-    raw = table.read()
-    lay = table.layout
-    if lay.kind == "day" and lay.day_col and lay.day_col.upper() == col.upper():
-        days = [d for d in table._partition_values() if d is not None]
-        if days:
-            return table.read(with_partition=True).where(F.col(DAY_COL) == F.lit(max(days))).drop(DAY_COL)
-    return raw
+    rows, lay = table.by_footers(), table.layout
+    periods = [p for p in table.partitions() if p is not None] if lay.kind == "day" and lay.day_col.upper() == col.upper() else []
+    if periods:
+        rows = rows.where(F.col(DAY_COL) == F.lit(periods[-1]))
+    return rows.agg(F.max(col).alias("d"))
 
 
 def read_mark(table: RawTable, date_col: str, time_col: str | None) -> Mark:
-    """The table's newest mark: kept in its metadata by earlier publishes when
-    they could keep it exact, else one aggregate over ``mark_scope`` (then kept)."""
-    found, top = table.cached_top(date_col, time_col)
-    if not found:
-        top = top_value(mark_scope(table, date_col), date_col, time_col)
-        table.cache_top(date_col, time_col, top)
-    return mark_from_top(top, time_col is not None)
+    """The newest day from file statistics, then the newest time of that day, whose filter skips all other row groups."""
+    day = newest_values(table, date_col).first()["d"]
+    if day is None or time_col is None:
+        return mark_from_top(None if day is None else (day, None), time_col is not None)
+    kind = table.schema[next(n for n in table.schema.names if n.upper() == date_col.upper())].dataType
+    on_day = F.col(date_col) == F.lit(str(day)).cast(kind) if isinstance(kind, (T.DateType, T.StringType)) else F.col(date_col).isNotNull()
+    rows, lay = table.read(with_partition=True), table.layout
+    if isinstance(kind, T.DateType) and lay.kind == "day" and lay.day_col.upper() == date_col.upper():
+        rows = rows.where(F.col(DAY_COL) == F.lit(lay.period(day)))
+    return mark_from_top(top_value(rows.where(on_day), date_col, time_col), True)
 
 
 def _source(spec: TableSpec, read_source: SourceReader) -> DataFrame:
@@ -165,9 +172,10 @@ def incremental_load(
     frequency: str | None = None,
     run_ts: datetime | None = None,
     header_marks: dict | None = None,
+    parallel: int = PARALLEL_TABLES,
 ) -> RunResult:
-    """R2: frequency filter, header marks captured first (P1), then each table
-    in order: evolve schema, log start, load, log result.
+    """R2: frequency filter, header marks captured first (P1), then the tables,
+    ``parallel`` at a time: evolve schema, log start, load, log result.
 
     ``header_marks`` lets the caller supply a line table's header mark (for
     example the one its last successful load used), so header changes made
@@ -175,6 +183,7 @@ def incremental_load(
     """
     run_ts = run_ts or datetime.now()
     selected = by_frequency(specs, frequency)
+    layouts = {s.name: s.layout() for s in selected}
     result = RunResult(str(uuid.uuid4()), run_ts)
     refs = [
         HeaderRef(s.header_table, s.header_mark_col, s.header_mark_time_col)
@@ -183,22 +192,56 @@ def incremental_load(
     supplied = dict(header_marks or {})
     header_marks = capture_header_marks(
         [r for r in refs if r not in supplied],
-        mark_of=lambda ref: read_mark(_existing(RawTable(spark, root, ref.table)), ref.date_col, ref.time_col),
+        mark_of=lambda ref: read_mark(_existing(RawTable(spark, root, ref.table), layouts.get(ref.table)), ref.date_col, ref.time_col),
     )
     header_marks.update(supplied)
-    for spec in selected:
-        _run_one(spark, spec, root, audit, result, run_ts, lambda t, s: incremental_plan(
-            spec, t, s, read_source, run_ts, header_marks), read_source, create=False)
-    result.finished_at = datetime.now()
+    _run_all(spark, selected, audit, result, parallel, lambda spec: _run_one(
+        spark, spec, root, audit, result, read_source, create=False,
+        make_plan=lambda t, s: incremental_plan(spec, t, s, read_source, run_ts, header_marks),
+    ))
     return result
 
 
-def _existing(table: RawTable) -> RawTable:
-    if not table.exists():
-        raise FileNotFoundError(f"raw table {table.name} does not exist")
+def _existing(table: RawTable, layout=None) -> RawTable:
+    if not (table.exists() or layout is not None and table.adopt(layout)):
+        raise FileNotFoundError(f"raw table {table.name} does not exist; run the initial load first")
     return table
 
 
+def _run_all(spark, specs: list[TableSpec], audit, result: RunResult, parallel: int, load: Callable[[TableSpec], None]) -> None:
+    """Load every table, ``parallel`` at a time; a line table after the header it follows, if that loads in this run.
+
+    Headers are handed out first, so a waiting table never holds the thread
+    that its header needs.
+    """
+    names = {s.name for s in specs}
+    waits = {s.name: s.header_table for s in specs if s.strategy == BY_HEADER and s.header_table in names - {s.name}}
+    done: dict[str, Future] = {}
+
+    def run(spec: TableSpec) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"tidewater-{spec.name}")
+        header = waits.get(spec.name)
+        if header is not None:
+            done[header].result()
+            if header in result.failures:
+                result.failures[spec.name] = f"{header}, which it follows, failed"
+                if audit:
+                    audit.error(result.run_id, spec.name, spec.strategy, spec.frequency, message=result.failures[spec.name])
+                return
+        load(spec)
+
+    with ThreadPoolExecutor(max(1, parallel)) as pool:
+        for spec in sorted(specs, key=lambda s: s.name in waits):
+            done[spec.name] = pool.submit(inheritable_thread_target(spark)(run), spec)
+    for f in done.values():
+        f.result()
+    for part in (result.rows, result.failures, result.seconds, result.windows):  # in the order of the settings
+        ordered = {s.name: part[s.name] for s in specs if s.name in part}
+        part.clear()
+        part.update(ordered)
+    result.finished_at = datetime.now()
+
+
 def initial_plan(
     spec: TableSpec, table: RawTable, source: DataFrame, read_source: SourceReader,
     run_ts: datetime, today: date,
@@ -228,7 +271,7 @@ def initial_plan(
                         src = _lines_in(spec, read_source, where)
                     yield load_window_by_header(
                         table.read(), src, read_source(spec.header_table), spec.doc_key,
-                        spec.header_mark_col, part, ini.months, run_ts, header_key=spec.header_key,
+                        spec.header_mark_col, part, ini.months, run_ts, header_key=spec.header_key, stage=table.staged,
                     )
 
         return plans()
@@ -255,57 +298,43 @@ def initial_load(
     audit: AuditLog | None = None,
     run_ts: datetime | None = None,
     today: date | None = None,
+    parallel: int = PARALLEL_TABLES,
 ) -> RunResult:
-    """Per table in order: create if missing, evolve, log start, load, log result."""
+    """The tables, ``parallel`` at a time: create if missing, evolve, log start, load, log result."""
     run_ts = run_ts or datetime.now()
     today = today or run_ts.date()
-    ensure_root(spark, root)
+    ensure_schema(spark, root)
     result = RunResult(str(uuid.uuid4()), run_ts)
-    for spec in specs:
-        _run_one(spark, spec, root, audit, result, run_ts, lambda t, s: initial_plan(
-            spec, t, s, read_source, run_ts, today), read_source, create=True, today=today)
-    result.finished_at = datetime.now()
+    _run_all(spark, list(specs), audit, result, parallel, lambda spec: _run_one(
+        spark, spec, root, audit, result, read_source, create=True,
+        make_plan=lambda t, s: initial_plan(spec, t, s, read_source, run_ts, today),
+    ))
     return result
 
 
-def window_rows(spec: TableSpec, table: RawTable, read_source: SourceReader, run_ts: datetime, today: date) -> dict[int, int]:
-    """A2: rows that this run loaded in each history window, by one grouped
-    count over the mark column it wrote (for line tables, over document ids
-    joined to their headers' windows). At most one row per window comes back."""
-    ini = spec.initial
-    wins = make_windows(ini.start, ini.end or today, ini.months)
-    mine = table.read().where(F.col(INGEST_COL) == ts_literal(run_ts))
-    if spec.mark_col:
-        counted = assign_windows(mine, spec.mark_col, wins, ini.months).groupBy("window_no").agg(F.count("*").alias("n"))
-    else:
-        headers = assign_windows(read_source(spec.header_table), spec.header_mark_col, wins, ini.months)
-        headers = headers.select(F.col(spec.header_key or spec.doc_key).alias("doc"), "window_no").distinct()
-        docs = mine.groupBy(F.col(spec.doc_key).alias("doc")).agg(F.count("*").alias("n"))
-        counted = docs.join(headers, "doc").groupBy("window_no").agg(F.sum("n").alias("n"))
-    return dict.fromkeys((w.number for w in wins), 0) | {r["window_no"]: r["n"] for r in counted.collect()}
-
-
-def _run_one(spark, spec, root, audit, result, run_ts, make_plan, read_source, create: bool, today=None) -> None:
+def _run_one(spark, spec, root, audit, result, read_source, create: bool, make_plan) -> None:
     if spec.merge_table:
-        return _merge_one(spark, spec, audit, result, run_ts, read_source)
+        return _merge_one(spark, spec, audit, result, result.started_at, read_source)
     table = RawTable(spark, root, spec.name)
-    table.recover()  # this run writes the table next
     args = (result.run_id, spec.name, spec.strategy, spec.frequency)
     t0 = time.perf_counter()
     try:
         source = _source(spec, read_source)
         if create:
             table.create_if_missing(source.schema, spec.layout())
-        elif not table.exists():
-            raise FileNotFoundError(f"raw table {spec.name} does not exist; run the initial load first")
+        else:
+            _existing(table, spec.layout())
         table.add_missing_columns(source.schema)
         if audit:
             audit.start(*args)
         planned = make_plan(table, source)
-        plans = [planned] if isinstance(planned, LoadPlan) else planned
-        result.rows[spec.name] = sum(table.publish(p) for p in plans)
-        if plans is planned:  # a history load by windows
-            result.windows[spec.name] = window_rows(spec, table, read_source, run_ts, today)
+        rows, windows = 0, {}
+        for plan in [planned] if isinstance(planned, LoadPlan) else planned:
+            rows += table.publish(plan)
+            windows |= table.window_rows
+        result.rows[spec.name] = rows
+        if windows:  # A2 of a history load
+            result.windows[spec.name] = windows
         if audit:
             audit.success(*args, rows=result.rows[spec.name])
     except Exception as exc:  # noqa: BLE001 - one table's failure must not stop the run

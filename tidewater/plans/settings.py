@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from datetime import date
 
 from tidewater.functions.typemap import SourceColumn
-from tidewater.sources.sink import Layout
+from tidewater.sources.layout import Layout
 
 APPEND, UPSERT, BY_HEADER, FULL_RELOAD, SNAPSHOT = (
     "append", "upsert", "replace_by_header", "full_reload", "daily_snapshot",

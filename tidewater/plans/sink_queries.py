@@ -2,7 +2,7 @@
 
 Each loads into a fresh raw layer under the shared checkpoint folder and
 returns what the raw table then holds, so that the rows compared are those on
-storage: staging, commits, marks, audit and recovery are part of the result.
+storage: the catalog, staging, Spark's commits, marks and audit are part of the result.
 """
 
 from __future__ import annotations
@@ -14,12 +14,12 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators.common import LoadPlan, stamp
 from tidewater.plans import fixtures as fx
-from tidewater.plans.runs import RunResult, incremental_load, initial_load
+from tidewater.plans.runs import RunResult, incremental_load, initial_load, read_mark
 from tidewater.plans.settings import InitialLoad, TableSpec
 from tidewater.session import ensure_checkpoint_dir
 from tidewater.sources.audit_log import AuditLog
+from tidewater.sources.readers import split_predicates
 from tidewater.sources.sink import RawTable
 
 SINK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,11 +133,80 @@ def run_evolve(spark: SparkSession, sf: str) -> DataFrame:
         F.col("docentry").alias("DOCENTRY"), F.col("cardcode").alias("CardCode"), F.col("doctotal").alias("DocTotal"),
         F.col("updatedate").alias("UpdateDate"), F.col("updatets").alias("UpdateTS"),
     )
-    root = _loads(spark, [HEADER], {"hdr": old.drop("doctotal")})
-    table = RawTable(spark, root, "hdr")
-    table.add_missing_columns(new.schema)
-    table.publish(LoadPlan(kept=table.read(), batch=stamp(new, fx.RUN_TS), kind="append"))
-    return table.read()
+    root = _loads(spark, [HEADER], {"hdr": old.drop("doctotal")}, ({"hdr": new}, fx.RUN_TS))
+    return RawTable(spark, root, "hdr").read()
+
+
+@_query
+def run_truncate(spark: SparkSession, sf: str) -> DataFrame:
+    """An emptied table has no mark, so the next run reads the whole source."""
+    old, new = _headers(spark, sf)
+    root = _loads(spark, [HEADER], {"hdr": old})
+    RawTable(spark, root, "hdr").truncate()
+    _done(incremental_load(spark, [HEADER], {"hdr": new}.__getitem__, root, run_ts=_at(fx.RUN_TS)))
+    return RawTable(spark, root, "hdr").read()
+
+
+@_query
+def run_marks(spark: SparkSession, sf: str) -> DataFrame:
+    """The marks of a stored table, the day from file statistics."""
+    old, _ = _headers(spark, sf)
+    by_key = TableSpec("keyed", "upsert", keys=("docentry",), mark_col="updatedate", mark_time_col="updatets", buckets=8)
+    root = _loads(spark, [HEADER, by_key], {"hdr": old, "keyed": old})
+    marks = []
+    for name in ("hdr", "keyed"):
+        table = RawTable(spark, root, name)
+        newest, day = read_mark(table, "updatedate", "updatets"), read_mark(table, "updatedate", None)
+        marks.append((name, newest.day, newest.time, day.day))
+    return spark.createDataFrame(marks, "table string, mark_date date, mark_time int, mark_day date")
+
+
+@_query
+def run_window_rows_by_header(spark: SparkSession, sf: str) -> DataFrame:
+    """A2 of a line table: rows of each history window of its header."""
+    start, end, months = date(1995, 1, 1), date(2001, 8, 1), 3
+    spec = TableSpec("lines", "replace_by_header", header_table="hdr", header_mark_col="updatedate", doc_key="docentry",
+                     buckets=8, initial=InitialLoad(start, end, months))
+    sources = {"hdr": fx.header_source(spark, sf), "lines": fx.lines_source(spark, sf)}
+    result = _done(initial_load(spark, [spec], sources.__getitem__, _root(spark), run_ts=_at(fx.RUN_TS)))
+    return spark.createDataFrame([*result.windows["lines"].items()], "window_no int, rows long")
+
+
+@_query
+def run_until_today(spark: SparkSession, sf: str) -> DataFrame:
+    """X11: a history load without an end goes to the day of the run."""
+    spec = TableSpec("hdr", "append", mark_col="updatedate", initial=InitialLoad(date(1995, 1, 1), None, 6))
+    source = fx.header_source(spark, sf)
+    result = _done(initial_load(spark, [spec], {"hdr": source}.__getitem__, _root(spark), run_ts=_at(fx.RUN_TS)))
+    return spark.createDataFrame([*result.windows["hdr"].items()], "window_no int, rows long")
+
+
+@_query
+def run_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Each run writes its tables' audit rows under one new id."""
+    root, specs, read = _root(spark), [TableSpec("nation"), TableSpec("region")], lambda name: fx.table(spark, sf, name)
+    audit = AuditLog(spark, f"{root}/_audit")
+    _done(initial_load(spark, specs, read, root, audit=audit))
+    _done(incremental_load(spark, specs, read, root, audit=audit))
+    runs = audit.history().join(audit.state().groupBy("run_id").agg(F.max("status").alias("status")), "run_id")
+    return runs.select(F.length("run_id").alias("id_length"), "tables", "total_rows", "errors", "status")
+
+
+@_query
+def split_read(spark: SparkSession, sf: str) -> DataFrame:
+    """A table read by predicates of equal depth holds each row once, and no split is over twice the mean."""
+    out = None
+    for name, column in (("orders", "o_custkey"), ("events", "ts"), ("lineitem", "l_extendedprice")):
+        source = fx.table(spark, sf, name)
+        number = F.lit(-1)
+        for k, p in enumerate(predicates := split_predicates(source, column, 8, quote="`")):
+            number = F.when(F.expr(p), k).otherwise(number)
+        taken = sum(F.expr(p).cast("int") for p in predicates)
+        per = source.select(number.alias("split"), taken.alias("taken")).groupBy("split").agg(F.count("*").alias("n"), F.max("taken").alias("taken"))
+        one = per.agg(F.sum("n").alias("rows"), F.max("taken").alias("times"), (F.max("n") * F.count("*") <= 2 * F.sum("n")).alias("even"))
+        one = one.select(F.lit(name).alias("table"), "rows", F.col("times").cast("int").alias("times"), "even")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @_query

@@ -104,6 +104,12 @@ class JdbcSource:
         preds = window_predicates(col, windows, self.quote)
         return self.spark.read.jdbc(self.url, self.relation(name), predicates=preds, properties=props)
 
+    def read_split(self, name: str, column: str, parts: int) -> DataFrame:
+        """A whole read in parts of like size: the source's own percentiles of ``column`` decide the predicates."""
+        props = {"fetchsize": str(FETCH_SIZE), **{k: str(v) for k, v in self.options.items()}}
+        preds = split_predicates(self._reader(self.relation(name), None).load().select(column), column, parts, self.quote)
+        return self.spark.read.jdbc(self.url, self.relation(name), predicates=preds, properties=props)
+
     def lines_in(self, name: str, doc_key: str, header: str, header_key: str, header_where: str) -> DataFrame:
         """Lines whose document id is among the headers matching ``header_where``."""
         sub = (
@@ -134,6 +140,29 @@ def window_predicates(col: str, windows: list[Window], quote: str = '"') -> list
     return [f"{c} >= '{w.start.isoformat()}' AND {c} <= '{w.end.isoformat()}'" for w in windows]
 
 
+def split_predicates(df: DataFrame, column: str, parts: int, quote: str = '"', accuracy: int = 10_000) -> list[str]:
+    """Predicates that split a read by ``column`` into up to ``parts`` parts of like size.
+
+    The bounds are percentiles of the column (one aggregate, a bounded sketch per
+    task), so a skewed column gives narrow ranges where its rows are. Every
+    row satisfies exactly one predicate: NULL and what is below the first bound
+    the first, what is at or above the last bound the last. A value with more
+    rows than a part has is a part of its own. Bounds are numbers, days or
+    timestamps, written as SQL literals.
+    """
+    kind = next(f.dataType for f in df.schema.fields if f.name.upper() == column.upper())
+    shares = [i / parts for i in range(1, parts)]
+    sketch = F.percentile_approx(F.col(column), shares, accuracy)
+    found = df.agg(F.transform(sketch, lambda v: v.cast("string")).alias("b")).first()["b"] or []
+    prefix = {"DateType": "DATE ", "TimestampType": "TIMESTAMP ", "TimestampNTZType": "TIMESTAMP "}.get(type(kind).__name__)
+    text = (lambda v: f"{prefix}'{v}'") if prefix else str
+    c, bounds = f"{quote}{column}{quote}", list(dict.fromkeys(found))
+    if not bounds:
+        return ["1 = 1"]
+    inner = [f"{c} >= {text(a)} AND {c} < {text(b)}" for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    return [f"({c} IS NULL OR {c} < {text(bounds[0])})", *(f"({p})" for p in inner), f"({c} >= {text(bounds[-1])})"]
+
+
 def jdbc_append(df: DataFrame, url: str, table: str, options: dict[str, str] | None = None) -> None:
     """Append into a JDBC target in ``BATCH_SIZE``-row batches (S3 over JDBC)."""
     w = df.write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", BATCH_SIZE)

@@ -1,506 +1,311 @@
-"""The raw table: a partitioned Parquet directory plus a small metadata file.
-
-A publish has two steps. Spark first writes the new files of the load to a
-fresh folder beside the table, counted on the way by an ``Observation``. A
-commit file in that folder then lists what is to be moved where, and the
-metadata that follows; from then on the load is decided. The moves are renames
-on the driver that can be repeated, so a run that died is completed by the next
-publish (or ``recover``), and one that died before its commit file leaves the
-table as it was. Opening a table changes nothing.
-
-* ``append``     -> the batch's files are added;
-* ``overwrite``  -> the whole content is replaced;
+"""The raw table: a Parquet table of the session catalog, published by Spark's own writer.
+
+A raw layer is a schema of the catalog, a raw table one of its tables,
+partitioned so that a load rewrites only what it touches:
+
+* ``append``     -> ``INSERT INTO``;
+* ``overwrite``  -> ``INSERT OVERWRITE`` of the whole table;
 * ``keyed``      -> the batch is staged once under the shared
-                    ``spark.checkpoint.dir``; only the hash buckets it touches
-                    are read and replaced, the keyed delete being an anti-join
+                    ``spark.checkpoint.dir``; the hash buckets it touches are
+                    read and overwritten, the keyed delete being an anti-join
                     against the staged keys, broadcast when their measured
                     bytes allow;
-* ``predicate``  -> only the periods the delete can reach are replaced, found
-                    by a directory listing, not a scan; nothing is staged.
-
-Into an empty table every load is one plain write. Renames of directories must
-be cheap and atomic (HDFS, or a local or network file system); an object store
-needs a table format instead. One writer per table at a time; a reader that
-lists the table between two moves can see part of them.
-
-The metadata file holds the declared schema (it only grows), the layout, and
-the table's newest mark where the publishes could keep it exact. It is replaced
-by rename. Rows that someone else writes into the folder leave a kept mark
-stale: call ``truncate`` or ``drop_marks`` after such a change.
+* ``predicate``  -> the periods that the delete can reach are overwritten; the
+                    catalog lists them, nothing is scanned or staged for it.
+
+Partitions are overwritten dynamically (an option of the table, whatever the
+session says): Spark writes all files to a staging folder and puts the
+partitions in place when the job commits. A job that fails before changes
+nothing. The commit itself goes partition by partition: a driver lost during
+it leaves some partitions new and some old, and the load is to be run again.
+A table without partitions is emptied before it is overwritten. One writer per
+table at a time.
+
+The catalog should outlive the session (a metastore). Where it does not, a layer
+that is named by its folder finds its tables again: ``create_if_missing``
+and ``adopt`` register a table over the files that are there.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import asdict
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.functions.marks import mark_from_top, top_expr, top_from_json, top_max, top_to_json
 from tidewater.functions.predicates import INGEST_COL
-from tidewater.operators.common import LoadPlan, delete_by_key, empty_like
+from tidewater.operators.common import WINDOW_COL, LoadPlan, delete_by_key
 from tidewater.operators.schema import align_to, missing_columns
 from tidewater.session import ensure_checkpoint_dir
+from tidewater.sources.layout import BUCKET_COL, DAY_COL, Layout
 
-META_FILE = "_tidewater.json"
-COMMIT_FILE = "_commit.json"
-BUCKET_COL = "_bucket"
-DAY_COL = "_period"
+LAYOUT = "tidewater.layout"  # the table property that holds it
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-@dataclass
-class Layout:
-    """How a raw table is partitioned.
-
-    ``bucket``: ``_bucket = pmod(xxhash64(keys), buckets)`` for keyed loads.
-    ``day``: ``_period`` = the day (``grain="day"``) or the first day of the
-    month (``grain="month"``) of ``day_col``, for day / window / snapshot
-    loads. Monthly periods keep the partition count low for tables that
-    span years; daily periods suit snapshots, where one day is a whole copy.
-    ``none``: a single unpartitioned directory.
-    """
-
-    kind: str = "none"
-    keys: list[str] = field(default_factory=list)
-    buckets: int = 64
-    day_col: str | None = None
-    grain: str = "day"
-
-    @property
-    def column(self) -> str | None:
-        return {"bucket": BUCKET_COL, "day": DAY_COL}.get(self.kind)
+_NEW = "__new"
 
-    def to_json(self) -> dict:
-        return {"kind": self.kind, "keys": self.keys, "buckets": self.buckets, "day_col": self.day_col,
-                "grain": self.grain}
-
-    def period(self, d: date) -> date:
-        """Partition value of a day."""
-        return d.replace(day=1) if self.grain == "month" else d
-
-    @staticmethod
-    def from_json(d: dict) -> "Layout":
-        return Layout(
-            d.get("kind", "none"), list(d.get("keys") or []), int(d.get("buckets") or 64), d.get("day_col"),
-            d.get("grain") or "day",
-        )
 
+def _name(text: str) -> str:
+    return "`" + text.replace("`", "``") + "`"
 
-def _jvm_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs, jpath, jvm
 
+def _text(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p, _ = _jvm_fs(spark, path)
-    return bool(fs.exists(p))
 
+def _plain(text: str, stem: str) -> str:
+    """``text`` if a catalog takes it as a name, else ``stem`` and a hash of it."""
+    return text if re.fullmatch(r"[A-Za-z0-9_]+", text) else f"{stem}_{hashlib.sha256(text.encode()).hexdigest()[:16]}"
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write beside ``path``, then rename over it: a reader finds the old text or the new."""
-    part = f"{path}.{uuid.uuid4().hex}.part"
-    fs, p, jvm = _jvm_fs(spark, part)
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
-    context.rename(fs.makeQualified(p), fs.makeQualified(jvm.org.apache.hadoop.fs.Path(path)), over)
 
+def schema_name(root: str) -> str:
+    """The catalog schema of a raw layer: ``root`` itself, or a name that stands for the folder ``root``."""
+    return _plain(root, "raw")
 
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, p, jvm = _jvm_fs(spark, path)
-    stream = fs.open(p)
-    try:
-        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
 
+def table_name(name: str) -> str:
+    """The catalog name of a raw table: the source's name in lower case, or one that stands for it if it has other characters."""
+    return _plain(name, re.sub(r"\W+", "_", name)).lower()
 
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, p, _ = _jvm_fs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
 
-
-def _rename(spark: SparkSession, src: str, dst: str) -> None:
-    fs, s, jvm = _jvm_fs(spark, src)
-    target = jvm.org.apache.hadoop.fs.Path(dst)
-    fs.mkdirs(target.getParent())
-    if not fs.rename(s, target):
-        raise OSError(f"rename {src} -> {dst} failed")
-
-
-def _children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
-    """(name, is a directory) of the entries that hold data."""
-    fs, p, _ = _jvm_fs(spark, path)
-    if not fs.exists(p):
-        return []
-    found = [(st.getPath().getName(), bool(st.isDirectory())) for st in fs.listStatus(p)]
-    return [(n, d) for n, d in found if not n.startswith(("_", ".")) or n.startswith((f"{BUCKET_COL}=", f"{DAY_COL}="))]
-
-
-def ensure_root(spark: SparkSession, root: str) -> str:
-    """Create the raw layer's root folder if absent (idempotent)."""
-    fs, p, _ = _jvm_fs(spark, root)
-    if not fs.exists(p):
-        fs.mkdirs(p)
-    return root
+def ensure_schema(spark: SparkSession, root: str) -> str:
+    """Create the raw layer's schema if absent (idempotent)."""
+    root = root.rstrip("/")
+    name = schema_name(root)
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_name(name)}" + ("" if name == root else f" LOCATION {_text(root)}"))
+    return name
 
 
 class RawTable:
-    """One raw table at ``root/name``."""
+    """The raw table ``name`` of the layer ``root`` (a schema's name or a folder)."""
 
     def __init__(self, spark: SparkSession, root: str, name: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.name = name
-        self.path = f"{self.root}/{name}"
+        self.spark, self.root, self.name = spark, root.rstrip("/"), name
+        self.table = f"{_name(schema_name(self.root))}.{_name(table_name(name))}"
         self.broadcast_bytes = DEFAULT_BROADCAST_BYTES
-        self._staged_paths: list[str] = []
-        self.last_write: DataFrame | None = None
-        self._got: dict = {}
-
-    # -- commits ------------------------------------------------------------
-    def recover(self) -> None:
-        """Complete a commit that was cut short and remove what undecided writes left.
-
-        Called by whoever is about to write (``publish``, ``create_if_missing``,
-        ``truncate``), never on open: another job's running write is not touched
-        by readers.
-        """
-        names = [n for n in self._beside() if n.startswith(f".{self.name}.txn-")]
-        for n in sorted(names):
-            fresh = f"{self.root}/{n}"
-            if _path_exists(self.spark, f"{fresh}/{COMMIT_FILE}"):
-                self._apply(fresh)
-            else:
-                _delete(self.spark, fresh)
-
-    def _beside(self) -> list[str]:
-        fs, p, _ = _jvm_fs(self.spark, self.root)
-        return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
-
-    def _apply(self, fresh: str) -> None:
-        """Carry out a commit file. Every step can be repeated: what has moved already is left."""
-        todo = json.loads(_read_text(self.spark, f"{fresh}/{COMMIT_FILE}"))
-        exists = lambda path: _path_exists(self.spark, path)
-        for name in todo["old"]:
-            if not exists(f"{fresh}/.old/{name}") and exists(f"{self.path}/{name}"):
-                _rename(self.spark, f"{self.path}/{name}", f"{fresh}/.old/{name}")
-        for name in todo["new"]:
-            if exists(f"{fresh}/{name}"):
-                _rename(self.spark, f"{fresh}/{name}", f"{self.path}/{name}")
-        self._write_meta(todo["meta"])
-        _delete(self.spark, fresh)
-
-    def _commit(self, fresh: str, replaced: list[str], meta: dict) -> None:
-        """Decide the load in ``fresh``: entries of the table named in ``replaced`` give way, others gain files."""
-        old = [n for n, _ in _children(self.spark, self.path) if n in set(replaced)]
-        new = []
-        for name, is_dir in _children(self.spark, fresh):
-            if name in replaced or not is_dir or not _path_exists(self.spark, f"{self.path}/{name}"):
-                new.append(name)
-            else:  # a partition that keeps its files: add the new ones to it
-                new += [f"{name}/{f}" for f, _ in _children(self.spark, f"{fresh}/{name}")]
-        _write_text(self.spark, f"{fresh}/{COMMIT_FILE}", json.dumps({"old": old, "new": new, "meta": meta}))
-        self._apply(fresh)
-
-    def _write_fresh(self, df: DataFrame, count: bool) -> str:
-        """Write ``df`` beside the table; with ``count`` its rows and marks are observed."""
-        fresh = f"{self.root}/.{self.name}.txn-{uuid.uuid4().hex}"
-        col = self.layout.column
-        # rebalance: AQE cuts the output into advisory-size partitions per
-        # period/bucket (a hot one is split), so few files per partition
-        out = df.hint("rebalance", col) if col else df
-        obs = Observation(f"write_{uuid.uuid4().hex[:8]}") if count else None
-        if obs is not None:
-            out = out.observe(obs, *self._metrics(df))
-        self.last_write = out  # kept for plan inspection (explain)
-        w = out.write.mode("overwrite")
-        (w.partitionBy(col) if col else w).parquet(fresh)
-        if obs is not None:
-            self._got = dict(obs.get)
-        return fresh
+        self.last_write: DataFrame | None = None  # for plan inspection (explain)
+        self.window_rows: dict[int, int] = {}  # rows per history window of the last publish
+        self._staged: list[str] = []
+        self._layout: Layout | None = None
 
     # -- catalog ------------------------------------------------------------
     def exists(self) -> bool:
-        return _path_exists(self.spark, f"{self.path}/{META_FILE}")
-
-    def _meta(self) -> dict:
-        """The table's metadata, read once and then kept until this object
-        writes it again (``publish`` refreshes it first)."""
-        if getattr(self, "_meta_cache", None) is None:
-            self._meta_cache = json.loads(_read_text(self.spark, f"{self.path}/{META_FILE}"))
-        return json.loads(json.dumps(self._meta_cache))
-
-    def _write_meta(self, meta: dict) -> None:
-        _write_text(self.spark, f"{self.path}/{META_FILE}", json.dumps(meta))
-        self._meta_cache = meta
-
-    def _save_meta(self, schema: T.StructType, layout: Layout) -> None:
-        values = self._meta().get("values", {}) if self.exists() else {}
-        self._write_meta({"schema": json.loads(schema.json()), "layout": layout.to_json(), "values": values})
-
-    def meta_value(self, key: str):
-        """A small value kept with the table (e.g. a stream's last epoch)."""
-        return self._meta().get("values", {}).get(key)
-
-    def set_meta_value(self, key: str, value) -> None:
-        meta = self._meta()
-        meta.setdefault("values", {})[key] = value
-        self._write_meta(meta)
-
-    @property
-    def schema(self) -> T.StructType:
-        """Data columns including ``_ingested_at`` (not the partition column)."""
-        return T.StructType.fromJson(self._meta()["schema"])
-
-    @property
-    def layout(self) -> Layout:
-        return Layout.from_json(self._meta()["layout"])
+        return self.spark.catalog.databaseExists(schema_name(self.root)) and self.spark.catalog.tableExists(self.table)
 
     def create_if_missing(self, data_schema: T.StructType, layout: Layout | None = None) -> bool:
         """Create with every column nullable plus ``_ingested_at``; leave an
         existing table alone. Returns True when created."""
-        self.recover()
-        if self.exists():
+        layout = layout or Layout()
+        if self.exists() or self.adopt(layout):
             return False
-        fields = [T.StructField(f.name, f.dataType, True) for f in data_schema.fields if f.name != INGEST_COL]
-        fields.append(T.StructField(INGEST_COL, T.TimestampNTZType(), True))
-        self._save_meta(T.StructType(fields), layout or Layout())
+        fields = [f for f in data_schema.fields if f.name != INGEST_COL]
+        self._create([*fields, T.StructField(INGEST_COL, T.TimestampNTZType())], layout)
         return True
 
+    def adopt(self, layout: Layout) -> bool:
+        """Register the files of a layer named by its folder, which a catalog of this session does not know yet."""
+        if self.exists() or schema_name(self.root) == self.root:
+            return False
+        path = f"{self.root}/{table_name(self.name)}"
+        try:
+            found = self.spark.read.option("mergeSchema", "true").parquet(path).schema
+        except AnalysisException:  # no folder, or no file in it
+            return False
+        self._create([f for f in found.fields if f.name != layout.column], layout, path)
+        if layout.column:
+            self.spark.sql(f"ALTER TABLE {self.table} RECOVER PARTITIONS")
+        return True
+
+    def _create(self, fields: list[T.StructField], layout: Layout, path: str | None = None) -> None:
+        ensure_schema(self.spark, self.root)
+        kind = {BUCKET_COL: "INT", DAY_COL: "DATE"}
+        columns = [f"{_name(f.name)} {f.dataType.simpleString()}" for f in fields]
+        columns += [f"{c} {kind[c]}" for c in [layout.column] if c]
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.table} ({', '.join(columns)}) USING parquet OPTIONS (partitionOverwriteMode 'dynamic')"
+            + (f" PARTITIONED BY ({layout.column})" if layout.column else "")
+            + (f" LOCATION {_text(path)}" if path else "")
+            + f" TBLPROPERTIES ('{LAYOUT}' = {_text(json.dumps(asdict(layout)))})"
+        )
+
     def add_missing_columns(self, source_schema: T.StructType) -> list[str]:
         """Add source columns missing here (case-insensitive); old rows read
-        them as NULL. Metadata only: no data file is rewritten."""
+        them as NULL. No data file is rewritten."""
         extra = missing_columns(self.schema, source_schema)
         if extra:
-            fields = [f for f in self.schema.fields if f.name != INGEST_COL] + extra
-            fields.append(T.StructField(INGEST_COL, T.TimestampNTZType(), True))
-            self._save_meta(T.StructType(fields), self.layout)
+            columns = ", ".join(f"{_name(f.name)} {f.dataType.simpleString()}" for f in extra)
+            self.spark.sql(f"ALTER TABLE {self.table} ADD COLUMNS ({columns})")
         return [f.name for f in extra]
 
-    def _full_schema(self) -> T.StructType:
-        s, lay = self.schema, self.layout
-        if lay.kind == "bucket":
-            return T.StructType(s.fields + [T.StructField(BUCKET_COL, T.IntegerType(), True)])
-        if lay.kind == "day":
-            return T.StructType(s.fields + [T.StructField(DAY_COL, T.DateType(), True)])
-        return s
+    @property
+    def layout(self) -> Layout:
+        if self._layout is None:
+            row = self.spark.sql(f"SHOW TBLPROPERTIES {self.table} ('{LAYOUT}')").first()
+            self._layout = Layout(**json.loads(row["value"]))
+        return self._layout
 
-    def create_view(self, name: str | None = None) -> None:
-        """A temp view over the table, for SQL users."""
-        self.read().createOrReplaceTempView(name or self.name)
+    @property
+    def schema(self) -> T.StructType:
+        """Data columns, ``_ingested_at`` last, without the partition column."""
+        fields = [f for f in self.spark.table(self.table).schema.fields if f.name not in (BUCKET_COL, DAY_COL)]
+        return T.StructType(sorted(fields, key=lambda f: f.name == INGEST_COL))
 
-    def read(self, with_partition: bool = False) -> DataFrame:
-        """The table as a DataFrame, declared schema applied (new columns NULL
-        on old files); partition filters prune directories."""
-        df = self.spark.read.schema(self._full_schema()).parquet(self.path)
-        col = self.layout.column
-        return df if with_partition or col is None else df.drop(col)
+    def described(self, key: str) -> str:
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table}").where(F.col("col_name") == key)
+        return rows.collect()[-1]["data_type"]  # columns of that name come first
 
-    # -- writing ------------------------------------------------------------
-    def _partition_expr(self, layout: Layout, keys_from: list[str] | None = None) -> Column | None:
-        if layout.kind == "bucket":
-            cols = [F.col(k).cast(self.schema[k].dataType) for k in (keys_from or layout.keys)]
-            return F.pmod(F.xxhash64(*cols), F.lit(layout.buckets)).cast("int")
-        if layout.kind == "day":
-            day = F.to_date(F.col(layout.day_col))
-            return F.trunc(day, "MM") if layout.grain == "month" else day
-        return None
-
-    def _conform(self, df: DataFrame) -> DataFrame:
-        """Batch columns in the table's spelling and order, table types."""
-        df = align_to(self.schema, df)
-        have = {c for c in df.columns}
-        return df.select(
-            *[
-                (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-                for f in self.schema.fields
-            ]
-        )
+    def partitions(self) -> list:
+        """Partition values that the catalog lists, ordered; None is the period of rows without a day."""
+        col = self.layout.column
+        if not col:
+            return []
+        texts = (r["partition"].split("=", 1)[1] for r in self.spark.sql(f"SHOW PARTITIONS {self.table}").collect())
+        value = int if col == BUCKET_COL else date.fromisoformat
+        found = [None if t in ("__HIVE_DEFAULT_PARTITION__", "null") else value(t) for t in texts]
+        return sorted(found, key=lambda v: (v is not None, v))
 
-    def _stage(self, df: DataFrame, extra: dict[str, Column] | None = None) -> tuple[DataFrame, dict]:
-        """Materialise ``df`` once in the shared checkpoint folder; return the
-        re-read frame and what was observed: rows, partition values, bytes of the keys."""
-        base = ensure_checkpoint_dir(self.spark)
-        path = f"{base}/tidewater-stage/{self.name}-{uuid.uuid4().hex}"
-        for k, v in (extra or {}).items():
-            df = df.withColumn(k, v)
-        obs = Observation(f"stage_{uuid.uuid4().hex[:8]}")
+    # -- reading ------------------------------------------------------------
+    def read(self, with_partition: bool = False) -> DataFrame:
+        """The table as it is now, also where another session wrote it; filters on its partition column prune folders."""
         col = self.layout.column
-        key_bytes = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in self.layout.keys), F.lit(32))
-        df.observe(
-            obs, *self._metrics(df), F.collect_set(col).alias("parts"), F.sum(key_bytes.cast("long")).alias("key_bytes")
-        ).write.mode("overwrite").parquet(path)
-        self._staged_paths.append(path)
-        return self.spark.read.schema(df.schema).parquet(path), dict(obs.get)
+        self.spark.catalog.refreshTable(self.table)
+        return self.spark.table(self.table).select(*self.schema.names, *([col] if with_partition and col else []))
 
+    def by_footers(self) -> DataFrame:
+        """The same rows by Spark's V2 Parquet reader, which answers MIN, MAX and COUNT from the files' footers."""
+        session = self.spark.newSession()
+        session.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+        session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        return session.read.schema(self.spark.table(self.table).schema).parquet(self.described("Location"))
+
+    # -- writing ------------------------------------------------------------
     def publish(self, plan: LoadPlan) -> int:
         """Apply a load plan to the table; return the rows inserted."""
-        self.recover()
-        self._meta_cache = None  # re-read: another job may have changed the table
-        self._mark_cols = plan.mark[:2] if plan.mark is not None else None
-        self._got = {}
+        layout, schema = self.layout, self.schema
+        col, self.window_rows = layout.column, dict.fromkeys(plan.windows, 0)
+        batch = self._conform(plan.batch, schema)
+        batch = batch.withColumn(col, layout.value(schema)) if col else batch
+        counts = self._counts(plan)
         try:
-            fresh, replaced = self._written(plan)
-            self._commit(fresh, replaced, self._meta_after(plan, self._got))
-            return int(self._got.get("rows", 0))
+            got = self._apply(plan, batch, layout, counts)
         finally:
-            self._mark_cols = None
-            for p in self._staged_paths:
-                _delete(self.spark, p)
-            self._staged_paths.clear()
-
-    def _written(self, plan: LoadPlan) -> tuple[str, list[str]]:
-        """Write what the load adds or replaces; return the folder and the entries it replaces."""
-        layout, col = self.layout, self.layout.column
-        batch = self._conform(plan.batch)
-        part = {col: self._partition_expr(layout)} if col else {}
-        parted = batch.withColumn(col, part[col]) if col else batch
-        there = [n for n, _ in _children(self.spark, self.path)]
-        if plan.kind in ("append", "overwrite") or not there:
-            return self._write_fresh(parted, count=True), there if plan.kind == "overwrite" else []
-
+            for path in self._staged:
+                self._delete(path)
+            self._staged.clear()
+        self.window_rows = {w: int(got.get(f"w{w}") or 0) for w in plan.windows}
+        return int(got.get("rows") or 0)
+
+    def _apply(self, plan: LoadPlan, batch: DataFrame, layout: Layout, counts: list[Column]) -> dict:
+        col, there = layout.column, self.partitions()
+        if plan.kind == "append" or plan.kind != "overwrite" and not (there if col else self.read().take(1)):
+            return self._insert(batch, counts)
+        if plan.kind == "overwrite":
+            return self._insert(batch, counts, there)
+        same_keys = [k.upper() for k in plan.delete_keys] == [k.upper() for k in layout.keys]
+        if plan.kind == "keyed" and layout.kind == "bucket" and same_keys:
+            return self._replace_keys(plan, batch, layout, counts)
         current = self.read(with_partition=True)
-        if plan.kind == "keyed" and layout.kind == "bucket" and [k.upper() for k in plan.delete_keys] == [
-            k.upper() for k in layout.keys
-        ]:
-            staged, got = self._stage(batch, part)
-            self._got = got
-            ids, seen = staged, got
-            if plan.delete_ids is not None:  # other keys than the batch's, or keys that repeat in it: once each
-                ids = align_to(self.schema, plan.delete_ids) if plan.delete_ids is not plan.batch else staged
-                ids, seen = self._stage(ids.select(*layout.keys).distinct(), {BUCKET_COL: self._partition_expr(layout)})
-            touched = sorted({*(got.get("parts") or []), *(seen.get("parts") or [])})
-            scope = current.where(F.col(BUCKET_COL).isin(touched)) if touched else empty_like(current)
-            small = int(seen.get("key_bytes") or 0) <= self.broadcast_bytes
-            kept = delete_by_key(scope, ids, layout.keys, broadcast=small or None)
-            new = kept.unionByName(staged)
-            return self._write_fresh(new, count=False), [f"{col}={p}" for p in touched]
-
-        if plan.kind == "predicate" and layout.kind == "day" and plan.delete_days is not None:
-            dcol, lo, hi = plan.delete_days
-            if dcol.upper() == layout.day_col.upper():
-                lo_p, hi_p = layout.period(lo), layout.period(hi)
-                reach = sorted(p for p in self._partition_values() if p is not None and lo_p <= p <= hi_p)
-                scope = current.where(F.col(DAY_COL).isin(reach)) if reach else empty_like(current)
-                return self._write_merged(scope.where(~plan.delete_pred), parted), [f"{col}={p}" for p in reach]
-
-        # Any other combination: recompute the whole table and replace it.
-        bare = current.drop(col) if col else current
-        if plan.kind == "keyed":
-            ids = align_to(self.schema, plan.delete_ids if plan.delete_ids is not None else batch)
-            kept = delete_by_key(bare, ids, plan.delete_keys)
+        reach = there
+        if plan.kind == "predicate" and layout.kind == "day" and plan.delete_days and plan.delete_days[0].upper() == layout.day_col.upper():
+            lo, hi = map(layout.period, plan.delete_days[1:])
+            reach = [p for p in there if p is not None and lo <= p <= hi]
+            current = current.where(F.col(DAY_COL).isin(reach))
+        if plan.kind == "predicate":
+            kept = current.where(~plan.delete_pred)
         else:
-            kept = bare.where(~plan.delete_pred)
-        return self._write_merged(kept.withColumn(col, part[col]) if col else kept, parted), there
-
-    def _write_merged(self, kept: DataFrame, batch: DataFrame) -> str:
-        """Write kept and new rows together; only the new ones are counted."""
-        own = "__new"
-        both = kept.withColumn(own, F.lit(False)).unionByName(batch.withColumn(own, F.lit(True)))
-        fresh = f"{self.root}/.{self.name}.txn-{uuid.uuid4().hex}"
-        col = self.layout.column
-        obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")
-        out = (both.hint("rebalance", col) if col else both).observe(obs, *self._metrics(both, F.col(own))).drop(own)
-        self.last_write = out
-        w = out.write.mode("overwrite")
-        (w.partitionBy(col) if col else w).parquet(fresh)
-        self._got = dict(obs.get)
-        return fresh
-
-    def _metrics(self, df: DataFrame, only: Column | None = None) -> list[Column]:
-        """Row count, and the newest mark of the load, of all rows or of those where ``only`` holds."""
-        out = [F.count(F.lit(1) if only is None else F.when(only, 1)).alias("rows")]
-        mc = self._mark_cols
-        if only is None and mc and mc[0] in df.columns and (mc[1] is None or mc[1] in df.columns):
-            out.append(top_expr(mc[0], mc[1]).alias("top"))
-        return out
-
-    # -- newest mark kept with the table ----------------------------------------
-    _mark_cols: tuple | None = None
-
-    @staticmethod
-    def _mark_key(date_col: str, time_col: str | None) -> str:
-        return f"mark:{date_col.upper()}|{(time_col or '').upper()}"
-
-    def cached_top(self, date_col: str, time_col: str | None):
-        """(found, raw newest (d, t)) kept by earlier publishes."""
-        values = self._meta().get("values", {})
-        key = self._mark_key(date_col, time_col)
-        return (key in values), top_from_json(values.get(key))
-
-    def cache_top(self, date_col: str, time_col: str | None, top) -> None:
-        self.set_meta_value(self._mark_key(date_col, time_col), top_to_json(top))
-
-    def drop_marks(self) -> None:
-        """Forget the kept marks: the next run scans for them."""
-        meta = self._meta()
-        meta["values"] = {k: v for k, v in meta.get("values", {}).items() if not k.startswith("mark:")}
-        self._write_meta(meta)
-
-    def _meta_after(self, plan: LoadPlan, got: dict) -> dict:
-        """The metadata once the load is in: its newest mark is kept exact where
-        the load allows it without a scan; every other kept mark may have moved and is dropped."""
-        meta = self._meta()
-        values = {k: v for k, v in meta.get("values", {}).items() if not k.startswith("mark:")}
-        if plan.mark is not None and "top" in got:
-            d, t, basis = plan.mark
-            key = self._mark_key(d, t)
-            old_known = key in meta.get("values", {})
-            old = top_from_json(meta.get("values", {}).get(key))
-            batch_top = got.get("top")
-            batch_top = None if batch_top is None else (batch_top["d"], batch_top["t"])
-            new = None
-            if plan.kind == "overwrite":
-                new = (True, batch_top)
-            elif plan.kind == "append" and old_known:
-                new = (True, top_max(old, batch_top))
-            elif plan.kind == "keyed" and old_known and basis is not None and not basis.empty \
-                    and mark_from_top(old, t is not None) == basis:
-                # every batch row is at or past the old newest mark, so deleting
-                # rows of batch keys cannot leave an older newest row behind
-                new = (True, top_max(old, batch_top))
-            if new is not None:
-                values[key] = top_to_json(new[1])
-        meta["values"] = values
-        return meta
-
-    def _partition_values(self) -> list:
-        """Partition values present on storage (a directory listing, no scan)."""
+            kept = delete_by_key(current, align_to(self.schema, plan.delete_ids if plan.delete_ids is not None else plan.batch), plan.delete_keys)
+        if WINDOW_COL in batch.columns:
+            kept = kept.withColumn(WINDOW_COL, F.lit(None).cast("int"))
+        new = kept.withColumn(_NEW, F.lit(False)).unionByName(batch.withColumn(_NEW, F.lit(True)))
+        if not col:  # the table is emptied before it is written, so its rows must not be read from it
+            new = self.staged(new)
+        return self._insert(new, self._counts(plan, F.col(_NEW)), reach)
+
+    def _replace_keys(self, plan: LoadPlan, batch: DataFrame, layout: Layout, counts: list[Column]) -> dict:
+        """Overwrite the buckets that the batch's or the deleted keys touch."""
+        key_bytes = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in layout.keys), F.lit(32))
+        facts = [F.collect_set(BUCKET_COL).alias("parts"), F.sum(key_bytes.cast("long")).alias("key_bytes")]  # a value per bucket at most
+        staged, got = self._stage(batch, [*counts, *facts])
+        ids, seen = staged, got
+        if plan.delete_ids is not None:  # other keys than the batch's, or keys that repeat in it: once each
+            ids = staged if plan.delete_ids is plan.batch else align_to(self.schema, plan.delete_ids)
+            ids, seen = self._stage(ids.select(*layout.keys).distinct().withColumn(BUCKET_COL, layout.value(self.schema)), facts)
+        touched = sorted({*(got.get("parts") or []), *(seen.get("parts") or [])})
+        scope = self.read(with_partition=True).where(F.col(BUCKET_COL).isin(touched))
+        small = int(seen.get("key_bytes") or 0) <= self.broadcast_bytes
+        kept = delete_by_key(scope, ids, layout.keys, broadcast=small or None)
+        self._insert(kept.unionByName(staged.drop(WINDOW_COL)), [], touched)
+        return got
+
+    def _counts(self, plan: LoadPlan, new: Column | None = None) -> list[Column]:
+        """A2: rows of the batch (those that are ``new``, where others go along), and of each of its history windows."""
+        rows = F.lit(1) if new is None else F.when(new, 1)
+        return [F.count(rows).alias("rows"), *(F.count(F.when(F.col(WINDOW_COL) == w, 1)).alias(f"w{w}") for w in plan.windows)]
+
+    def _insert(self, df: DataFrame, counts: list[Column], replaced: list | None = None) -> dict:
+        """S3: insert ``df``, counted on the way; with ``replaced`` over the partitions named there.
+
+        Rows are rebalanced by partition: AQE cuts the output into few files a
+        partition and splits a hot one.
+        """
         col = self.layout.column
-        fs, p, jvm = _jvm_fs(self.spark, self.path)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(col + "="):
-                v = name.split("=", 1)[1]
-                if v == "__HIVE_DEFAULT_PARTITION__":
-                    out.append(None)
-                elif col == DAY_COL:
-                    out.append(date.fromisoformat(v))
-                else:
-                    out.append(int(v))
-        return out
+        parts = [F.collect_set(col).alias("parts"), F.count(F.when(F.col(col).isNull(), 1)).alias("nulls")] if col and replaced else []
+        metrics = [*counts, *parts]
+        observed = Observation(f"write_{uuid.uuid4().hex[:8]}")
+        out = df.hint("rebalance", col) if col else df
+        out = out.observe(observed, *metrics) if metrics else out
+        self.last_write = out.select(*self.spark.table(self.table).columns)
+        self.last_write.write.insertInto(self.table, overwrite=replaced is not None)
+        got = dict(observed.get) if metrics else {}
+        if parts:
+            written = {*(got.get("parts") or []), *([None] if got.get("nulls") else [])}
+            self._drop([p for p in replaced if p not in written])
+        return got
+
+    def _drop(self, values: list) -> None:
+        """Remove partitions that a load left without a row."""
+        if not values:
+            return
+        col, columns = self.layout.column, self.spark.table(self.table).schema.fields
+        spec = [f"PARTITION ({col} = {'NULL' if v is None else v if col == BUCKET_COL else f'DATE {_text(v.isoformat())}'})" for v in values]
+        if self.described("Type") != "MANAGED":  # dropping would leave the files
+            nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {_name(f.name)}" for f in columns if f.name != col)
+            for part in spec:
+                self.spark.sql(f"INSERT OVERWRITE TABLE {self.table} {part} SELECT {nothing} WHERE false")
+        self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS {', '.join(spec)}")
 
     def truncate(self) -> None:
-        """Empty the table (schema and layout kept, kept marks dropped)."""
-        self.recover()
-        self._meta_cache = None
-        meta = self._meta()
-        meta["values"] = {k: v for k, v in meta.get("values", {}).items() if not k.startswith("mark:")}
-        fresh = f"{self.root}/.{self.name}.txn-{uuid.uuid4().hex}"
-        self._commit(fresh, [n for n, _ in _children(self.spark, self.path)], meta)
+        """Empty the table."""
+        if self.layout.column:
+            self._drop(self.partitions())
+        else:
+            self.spark.createDataFrame([], self.spark.table(self.table).schema).write.insertInto(self.table, overwrite=True)
+
+    @staticmethod
+    def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+        """Batch columns in the table's spelling and types, and the window number if there is one."""
+        df = align_to(schema, df)
+        cells = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+        return df.select(*cells, *(c for c in df.columns if c == WINDOW_COL))
+
+    def staged(self, df: DataFrame) -> DataFrame:
+        """``df`` written to the shared checkpoint folder and read again, until the next publish ends."""
+        path = f"{ensure_checkpoint_dir(self.spark)}/tidewater-stage/{table_name(self.name)}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        self._staged.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _stage(self, df: DataFrame, metrics: list[Column]) -> tuple[DataFrame, dict]:
+        """``df`` staged once, and what was observed on the way."""
+        observed = Observation(f"stage_{uuid.uuid4().hex[:8]}")
+        return self.staged(df.observe(observed, *metrics)), dict(observed.get)
+
+    def _delete(self, path: str) -> None:
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

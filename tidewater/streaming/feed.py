@@ -6,11 +6,10 @@ rows", applied to the raw table through ``foreachBatch`` with the same
 strategy functions and the same sink as the batch runs. ``availableNow``
 processes what is there and stops, so a scheduled job keeps batch semantics.
 
-Exactly once: a micro-batch can be re-delivered after a failure. Epochs are
-kept under the id that Spark gives the query in its checkpoint, so a stream
-started on another checkpoint counts its epochs anew. Before a
-publish the epoch and its ingest timestamp are recorded as *pending* in the
-table's metadata; after it the epoch is recorded as *done*. A done epoch is
+Exactly once: a micro-batch can be re-delivered after a failure. Beside Spark's
+own progress the checkpoint keeps, under the query's id, what was done with
+each epoch: before a publish its ingest timestamp as *pending*, after it *done*.
+A stream started on another checkpoint counts its epochs anew. A done epoch is
 skipped. A pending epoch seen again may or may not have landed, so an append
 replaces the rows stamped with that exact timestamp instead of adding them
 again (a whole-table rewrite, but only on this rare replay); an upsert simply
@@ -22,7 +21,8 @@ from __future__ import annotations
 import json
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,7 +30,7 @@ from tidewater.functions.marks import Mark
 from tidewater.functions.predicates import INGEST_COL
 from tidewater.operators import LoadPlan, stamp, upsert
 from tidewater.operators.common import ts_literal
-from tidewater.sources.sink import RawTable, _read_text
+from tidewater.sources.sink import RawTable
 
 
 def _plan(table: RawTable, batch: DataFrame, strategy: str, keys, mark_col, mark_time_col, run_ts) -> LoadPlan:
@@ -44,6 +44,18 @@ def _plan(table: RawTable, batch: DataFrame, strategy: str, keys, mark_col, mark
     raise ValueError(f"streaming supports 'append' and 'upsert', not {strategy!r}")
 
 
+def _seen(spark: SparkSession, path: str) -> dict[str, str]:
+    """status -> ingest timestamp that the checkpoint holds for an epoch (two rows at most)."""
+    try:
+        return {r.status: r.run_ts for r in spark.read.schema("status string, run_ts string").json(path).collect()}
+    except AnalysisException:  # a new epoch
+        return {}
+
+
+def _record(spark: SparkSession, path: str, status: str, run_ts: str) -> None:
+    spark.createDataFrame([(status, run_ts)], "status string, run_ts string").coalesce(1).write.mode("append").json(path)
+
+
 def stream_into(
     stream: DataFrame,
     table: RawTable,
@@ -66,27 +78,25 @@ def stream_into(
 
     def apply(batch: DataFrame, epoch: int) -> None:
         # the query id, which Spark writes to the checkpoint before the first batch
-        query_id = json.loads(_read_text(table.spark, f"{ckpt}/metadata"))["id"]
-        key = f"epoch:{name}:{query_id}"
-        table.recover()  # an earlier attempt may have been cut short after its commit file
-        table._meta_cache = None
-        state = table.meta_value(key) or {}
-        if state.get("done") is not None and epoch <= int(state["done"]):
+        spark = table.spark
+        query_id = json.loads(spark.read.text(f"{ckpt}/metadata").first()["value"])["id"]
+        path = f"{ckpt}/loads/{query_id}/{epoch}"
+        seen = _seen(spark, path)
+        if "done" in seen:
             return
         table.add_missing_columns(batch.schema)
-        pending = state.get("pending")
-        if strategy == "append" and pending and pending["epoch"] == epoch:
+        if strategy == "append" and "pending" in seen:
             # a replay: the earlier attempt may have landed; replace its rows
-            run_ts = pending["ts"]
+            run_ts = seen["pending"]
             gone = F.coalesce(F.col(INGEST_COL) == ts_literal(run_ts), F.lit(False))
             raw = table.read()
             plan = LoadPlan(kept=raw.where(~gone), batch=stamp(batch, run_ts), kind="predicate", delete_pred=gone)
         else:
             run_ts = datetime.now().isoformat(sep=" ")
-            table.set_meta_value(key, {"done": state.get("done"), "pending": {"epoch": epoch, "ts": run_ts}})
+            _record(spark, path, "pending", run_ts)
             plan = _plan(table, batch, strategy, keys, mark_col, mark_time_col, run_ts)
         table.publish(plan)
-        table.set_meta_value(key, {"done": epoch, "pending": None})
+        _record(spark, path, "done", run_ts)
 
     w = stream.writeStream.queryName(name).option("checkpointLocation", ckpt).foreachBatch(apply)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
