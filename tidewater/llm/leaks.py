@@ -1,7 +1,8 @@
 """Benchmark items inside documents: MinHash containment search by size classes (operator 5).
 
-An item's set is its distinct shingles of five lower-cased words. Items are
-partitioned by set size into classes (powers of two). An item's sketch is its
+An item's set is its distinct shingles of five lower-cased words; an item of
+fewer words is one shingle, and documents are probed with windows of that
+length too. Items are partitioned by set size into classes (powers of two). An item's sketch is its
 k smallest hash values, with k set by its own size: a document that holds at
 least ``percent`` of n shingles lacks at most n - ceil(n * percent / 100), so
 one more minimum than that is sure to include a shared one. Short items thus
@@ -63,22 +64,23 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = 80, words: int = 5)
     """Pairs (doc_id, item_id) with 100 * |item and document| >= percent * |item|.
 
     Columns: doc_id, item_id, n_item (shingles of the item), n_shared. A null
-    or empty text, and a null id, match nothing. A text of fewer than ``words``
-    words is one shingle, its whole sequence; such an item is found only in a
-    document that equals it, not inside a longer one. Rows that repeat an id count
-    once per pair. Other columns are not read. Without documents or items the
-    result is empty.
+    or empty text, and a null id, match nothing. An item of fewer than ``words``
+    words is one shingle, its whole sequence, which is looked for anywhere in a
+    document. Rows that repeat an id count once per pair, with the text that
+    shares most. Other columns are not read. Without documents or items the result
+    is empty.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text")
     sketches = staged(_sketches(items, percent, words))
     bits, shift = _bit_filter(sketches)
     cast = docs.sparkSession.sparkContext.broadcast(bits)  # bounded by MOST_BITS
+    exact = staged(_exact_shingles(items.where("item_id is not null"), "item_id", words))
+    lengths = [words, *sorted(r["length"] for r in exact.where(F.col("length") < words).select("length").distinct().collect())]  # ``words`` at most
 
     def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_parts(batches):
-            sets = _probe_sets(*word_hashes(data, offsets, lower=True), words)
-            keys, at, sizes = sets
+            keys, at, sizes = _probe_sets(*word_hashes(data, offsets, lower=True), lengths)
             slot = (keys >> np.uint64(shift)).astype(np.int64)
             own = (cast.value[slot // 63] >> (slot % 63)) & 1 == 1
             ids = rows.column("doc_id").to_numpy()
@@ -89,53 +91,68 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = 80, words: int = 5)
     fits = F.col("n_windows") * 100 >= F.pow(F.lit(2), "size_class") * percent
     pairs = staged(hits.join(sketches, "v").where(fits).select("doc_id", "item_id").distinct())
 
-    # exact shingle containment on the words
+    # exact shingle containment on the words: rows (document, item, shingle), counted per pair
     found = docs.join(within(pairs.select("doc_id").distinct(), 2_000_000), "doc_id", "left_semi")
-    shingles = _exact_shingles(items.where("item_id is not null"), "item_id", words).dropDuplicates()
-    wanted = pairs.join(shingles, "item_id").groupBy("doc_id", "item_id").agg(F.collect_set("shingle").alias("need"))
-    wanted = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "need")).alias("wanted"))
-
-    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple[int, int, int, int]] = []
-            for doc, text, wants in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "wanted")), strict=True):
-                have = _shingles(text, words)
-                for w in wants:
-                    shared = sum(s in have for s in w["need"])
-                    if 100 * shared >= percent * len(w["need"]):
-                        out.append((doc, w["item_id"], len(w["need"]), shared))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)] if out else [pa.array([], pa.int64())] * 4, ["doc_id", "item_id", "n_item", "n_shared"])
-
-    out = found.join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(check, "doc_id long, item_id long, n_item long, n_shared long")
+    have = _document_shingles(found.withColumn("row", F.monotonically_increasing_id()), lengths)
+    sizes = exact.groupBy("item_id").agg(F.count("*").alias("n_item"))
+    wanted = pairs.join(exact.select("item_id", "shingle"), "item_id")
+    shared = staged(have).join(wanted, ["doc_id", "shingle"]).groupBy("row", "doc_id", "item_id").agg(F.count("*").alias("n_shared"))
+    out = shared.join(sizes, "item_id").where(F.col("n_shared") * 100 >= F.col("n_item") * percent)
     return out.groupBy("doc_id", "item_id").agg(F.max("n_item").alias("n_item"), F.max("n_shared").alias("n_shared"))
 
 
-def _probe_sets(hashes: np.ndarray, counts: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, row) of every shingle, and each row's number of them."""
-    keys, rows, _ = windows(hashes, counts, words)
-    sizes = np.maximum(counts - words + 1, np.minimum(counts, 1))
-    first = np.concatenate(([0], np.cumsum(counts)))
-    short = [(windows(hashes[first[r] : first[r + 1]], np.array([n]), int(n))[0], r) for r, n in enumerate(counts) if 0 < n < words]
-    keys = np.concatenate([keys, *(k for k, _ in short)])
-    rows = np.concatenate([rows, np.array([r for _, r in short], np.int64)])
-    return keys, rows, sizes
+def _probe_sets(hashes: np.ndarray, counts: np.ndarray, lengths: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, row) of every shingle of each of ``lengths`` words, and each row's number of those of the first, the longest, one at least.
+
+    Short shingles repeat often in a text and are given once a row.
+    """
+    keys, rows, _ = windows(hashes, counts, lengths[0])
+    for n in lengths[1:]:
+        k, r, _ = windows(hashes, counts, n)
+        order = np.lexsort((k, r))
+        k, r = k[order], r[order]
+        new = np.ones(len(k), bool)
+        new[1:] = (k[1:] != k[:-1]) | (r[1:] != r[:-1])
+        keys, rows = np.concatenate((keys, k[new])), np.concatenate((rows, r[new]))
+    return keys, rows, np.maximum(counts - lengths[0] + 1, 1)
 
 
 _LOWER = bytes(range(256)).lower()
 
 
-def _shingles(text: str | None, words: int) -> set[bytes]:
-    w = (text or "").encode().translate(_LOWER).split()  # A-Z to a-z; split() at 0x20 and 0x09-0x0D
-    if len(w) < words:
-        return {b" ".join(w)} if w else set()
-    return {b" ".join(w[i : i + words]) for i in range(len(w) - words + 1)}
+def _words(text: str | None) -> list[bytes]:
+    return (text or "").encode().translate(_LOWER).split()  # A-Z to a-z; split() at 0x20 and 0x09-0x0D
+
+
+def _shingles(w: list[bytes], length: int) -> set[bytes]:
+    return {b" ".join(w[i : i + length]) for i in range(len(w) - length + 1)}
 
 
-def _exact_shingles(rows: DataFrame, key: str, words: int) -> DataFrame:
+def _document_shingles(rows: DataFrame, lengths: list[int]) -> DataFrame:
+    """row, doc_id and each distinct shingle of the text."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [_shingles(t, words) for t in batch.column("text").to_pylist()]
-            ids = np.repeat(batch.column(key).to_numpy(), [len(s) for s in sets])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), binary_column([x for s in sets for x in s])], [key, "shingle"])
+            for i in range(0, batch.num_rows, 64):
+                part = batch.slice(i, 64)
+                sets = [set().union(*(_shingles(w, n) for n in lengths)) for w in map(_words, part.column("text").to_pylist())]
+                at = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+                yield pa.RecordBatch.from_arrays([part.column("row").take(at), part.column("doc_id").take(at), binary_column([x for s in sets for x in s])], ["row", "doc_id", "shingle"])
+
+    return rows.select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, shingle binary")
+
 
-    return rows.select(key, "text").mapInArrow(run, f"{key} long, shingle binary")
+def _exact_shingles(items: DataFrame, key: str, words: int) -> DataFrame:
+    """The key, each distinct shingle of its texts and the words in it: ``words``, or all of a shorter text."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [_words(t) for t in batch.column("text").to_pylist()]
+            lengths = [min(words, len(w)) for w in texts]
+            sets = [_shingles(w, n) if n else set() for w, n in zip(texts, lengths, strict=True)]
+            sizes = [len(s) for s in sets]
+            ids = np.repeat(batch.column(key).to_numpy(), sizes)
+            cols = [pa.array(ids, pa.int64()), binary_column([x for s in sets for x in s]), pa.array(np.repeat(lengths, sizes), pa.int32())]
+            yield pa.RecordBatch.from_arrays(cols, [key, "shingle", "length"])
+
+    return items.select(key, "text").mapInArrow(run, f"{key} long, shingle binary, length int").dropDuplicates()

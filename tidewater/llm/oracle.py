@@ -23,9 +23,12 @@ SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM
 """
 
 _OP5 = f"""
-WITH d AS MATERIALIZED (SELECT doc_id, unnest(s) AS x FROM {_sets("documents", "doc_id")}),
-i AS MATERIALIZED (SELECT item_id, len(s) AS n, unnest(s) AS x FROM {_sets("benchmark", "item_id")})
-SELECT doc_id, item_id, max(n) AS n_item, count(*) AS n_shared FROM d JOIN i USING (x)
+WITH i AS MATERIALIZED (SELECT item_id, k, len(s) AS n, unnest(s) AS x FROM (SELECT item_id, least(len(w), 5) AS k, {_SHINGLES} AS s
+    FROM (SELECT item_id, {_WORDS.format(text=_LOWER)} AS w FROM benchmark))),
+w AS MATERIALIZED (SELECT doc_id, {_WORDS.format(text=_LOWER)} AS w FROM documents),
+d AS MATERIALIZED (SELECT doc_id, k, unnest(list_distinct(list_transform(range(1, len(w) - k + 2), lambda j: array_to_string(w[j:j + k - 1], ' ')))) AS x
+  FROM w, (SELECT DISTINCT k FROM i) WHERE len(w) >= k)
+SELECT doc_id, item_id, max(n) AS n_item, count(*) AS n_shared FROM d JOIN i USING (k, x)
 GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * max(n)
 """
 
