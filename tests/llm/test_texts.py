@@ -203,6 +203,37 @@ def test_segmentation():
     assert s.split("cheappills") == ("cheap", "pills") and s.split("therein") == ("there", "in") and s.split("qqq") == ("qqq",)
 
 
+def test_segmentation_equals_brute_force():
+    """The cheapest of all ways to cut a name, unknown stretches included; words of one letter and of many are words."""
+    rng = random.Random(2)
+    counts = {"a": 50, "i": 40, "ab": 30, "bca": 20, "cab": 9, "b" * 25: 3, "abcabcabcabcabcabcabcabc": 2}
+    s = url_filter.Segmenter(counts)
+
+    def cost(part):
+        return s.cost.get(part, s.total + 2.5 * len(part))
+
+    def cuts(name):
+        return [[name[:i], *rest] for i in range(1, len(name)) for rest in cuts(name[i:])] + [[name]]
+
+    for _ in range(60):
+        name = "".join(rng.choice("abci") for _ in range(rng.randrange(1, 10)))
+        assert sum(map(cost, s.split(name))) == pytest.approx(min(sum(map(cost, c)) for c in cuts(name)))
+        assert "".join(s.split(name)) == name
+    assert s.split("b" * 25 + "abcabcabcabcabcabcabcabc") == ("b" * 25, "abcabcabcabcabcabcabcabc")
+    assert s.split("q" * 3000) == ("q" * 3000,)
+
+
+def test_urls_without_a_host_and_very_long_ones_are_judged(spark):
+    urls = ["http://h.example.org/casino/poker", "http:///casino/poker", "file:///casino/poker", "http:///reading/room", "http://", None, "http://h.org/" + "ab" * 3000]
+    rows = [(i, u) for i, u in enumerate(urls)] + [(100 + k, f"https://reading{k}.example.com/room/{k}") for k in range(40)]
+    rows += [(200 + k, f"http://win{k}casino.example.com/casino/poker") for k in range(10)]  # the company that the path's words keep
+    counts = {"reading": 90, "room": 300, "example": 40, "com": 40}
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r.page_id: (r.host, r.path, r.verdict) for r in url_filter.judge_urls(pages, (), counts).collect()}
+    assert [got[i][2] for i in range(6)] == ["block", "block", "block", "allow", "allow", "allow"]
+    assert got[2][:2] == ("", "/casino/poker") and len(got) == len(rows)
+
+
 def test_rare_words_of_a_large_vocabulary_count(spark):
     letters = "bcdfghjklm"
     words = ["".join(letters[int(c)] for c in f"{i:05d}") for i in range(25_000)]

@@ -24,7 +24,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCK_WORDS = frozenset("ads adserver adult bets betting casino cialis malware phishing pills poker porn sex spam tracker track viagra warez xxx".split())
 # words of site names that texts may lack, so that names made of them come apart
 NAME_WORDS = frozenset("best bet blog buy cdn cheap farm free game games home mail mobile news online play shop site store video web win wiki www".split())
-LONGEST = 20
 BROADCAST_ROWS = 300_000  # words, names and URLs are broadcast up to this many rows, else joined by a shuffle
 
 
@@ -49,10 +48,10 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tup
 
 
 def word_counts(texts: DataFrame, column: str) -> DataFrame:
-    """(w, n): how often each word of 2 to LONGEST letters stands in a text column, over all its rows. No word is dropped."""
+    """(w, n): how often each word stands in a text column, over all its rows. No word is dropped."""
     plain = F.regexp_replace(F.regexp_replace(F.lower(F.col(column)), r"(?s)<(script|style)\b.*?</\1>", " "), "<[^>]*>", " ")
     words = texts.select(F.explode(F.regexp_extract_all(plain, F.lit(r"[a-z]+"), F.lit(0))).alias("w"))
-    return staged(words.where(F.length("w").between(2, LONGEST)).groupBy("w").agg(F.count("*").alias("n")))
+    return staged(words.groupBy("w").agg(F.count("*").alias("n")))
 
 
 def unigrams(texts: DataFrame, column: str) -> dict[str, int]:
@@ -74,13 +73,21 @@ class Segmenter:
             counts = {**counts, **{w: max(counts.get(w, 0), extra) for w in BLOCK_WORDS | NAME_WORDS}}
             total = sum(counts.values())
         self.cost = {w: -math.log(n / total) for w, n in counts.items()}
-        # an unknown stretch is cheaper whole than in parts, but dearer than known words
-        self.unknown = [0.0, *(math.log(total) + 2.5 * n for n in range(1, LONGEST + 1))]
+        self.lengths = sorted({len(w) for w in counts}, reverse=True)
+        self.total = math.log(total)
 
     def split(self, name: str) -> tuple[str, ...]:
+        # an unknown stretch is cheaper whole than in parts, but dearer than known words: it costs
+        # a start and 2.5 a letter, so the best start of one that ends here is kept as i moves on
         best: list[tuple[float, int]] = [(0.0, 0)]
+        start = (0.0, 0)  # least best[j] - 2.5 * j
         for i in range(1, len(name) + 1):
-            best.append(min((best[j][0] + self.cost.get(name[j:i], self.unknown[i - j]), -j) for j in range(max(0, i - LONGEST), i)))
+            start = min(start, (best[i - 1][0] - 2.5 * (i - 1), -(i - 1)))
+            found = [(start[0] + 2.5 * i + self.total, start[1])]
+            for n in self.lengths:
+                if n <= i and (cost := self.cost.get(name[i - n : i])) is not None:
+                    found.append((best[i - n][0] + cost, n - i))
+            best.append(min(found))
         out, i = [], len(name)
         while i:
             j = -best[i][1]
@@ -104,8 +111,11 @@ def _splits(names: DataFrame, counts: DataFrame) -> DataFrame:
     listed = names.sparkSession.createDataFrame([(w, extra) for w in sorted(BLOCK_WORDS | NAME_WORDS)], "w string, n long")
     model = counts.unionByName(listed).groupBy("w").agg(F.max("n").alias("n"))
     total = model.agg(F.sum("n")).first()[0]
-    inside = f"flatten(transform(sequence(1, length(run) - 1), i -> transform(sequence(2, least({LONGEST}, length(run) - i + 1)), l -> substring(run, i, l))))"
-    parts = names.where(F.length("run") > 1).select("run", F.explode(F.array_distinct(F.expr(inside))).alias("w"))
+    # of a name only the stretches of a length that some word has are looked up
+    lengths = sorted(r[0] for r in model.select(F.length("w")).distinct().collect())
+    places = "transform(sequence(1, greatest(length(run) - l + 1, 1)), i -> substring(run, i, l))"
+    inside = f"flatten(transform(filter(array({', '.join(map(str, lengths))}), l -> l <= length(run)), l -> {places}))"
+    parts = names.select("run", F.explode(F.array_distinct(F.expr(inside))).alias("w"))
     needed = staged(parts.select("w").distinct().join(model, "w"))
     known = parts.join(within(needed, BROADCAST_ROWS), "w").select("run", F.struct("w", "n").alias("known"))
     known = known.unionByName(names.select("run", F.lit(None).cast("struct<w:string,n:bigint>").alias("known")))
@@ -144,7 +154,7 @@ def _odds(urls: DataFrame) -> DataFrame:
     weight = F.log((F.col("marked") + 1) / float(marked)) - F.log((F.col("good") + 1) / float(good))
     weights = within(counts.select("token", weight.alias("weight")), BROADCAST_ROWS)
     prior = math.log((docs["marked"] + 1) / (docs["good"] + 1))
-    parts = urls.where("host <> ''").select("host", "path", F.posexplode_outer("tokens").alias("at", "token")).join(weights, "token", "left")
+    parts = urls.where("host <> '' or path <> ''").select("host", "path", F.posexplode_outer("tokens").alias("at", "token")).join(weights, "token", "left")
     # added in the order of the tokens, so that a URL always has the same odds
     lists = parts.groupBy("host", "path").agg(F.sort_array(F.collect_list(F.when(F.col("token").isNotNull(), F.struct("at", "weight")))).alias("l"))
     return staged(lists.select("host", "path", F.aggregate("l", F.lit(prior), lambda a, x: a + x["weight"]).alias("odds")))
@@ -156,7 +166,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], counts: dict[
     ``rules`` are ("domain/path", verdict): a rule fits its domain and all
     subdomains if the path starts with the rule's; the longest wins, and its
     verdict holds. Otherwise naive Bayes decides, and odds has its log odds of
-    block. ``counts`` is the unigram model, words of 2 to LONGEST letters: a table
+    block, also for a path without a host. ``counts`` is the unigram model: a table
     (w, n), or a dict of a small one. A null url, or one without "://",
     has an empty host and path, fits no rule and is allowed. Rows that repeat
     a page_id are judged each. Other columns are not read. An empty table gives
