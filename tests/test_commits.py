@@ -9,7 +9,8 @@ from tidewater.operators import append_composite, full_reload, load_windows, mak
 from tidewater.operators.common import LoadPlan, stamp
 from tidewater.sources.audit_log import AuditLog
 from tidewater.sources.layout import Layout
-from tidewater.sources.sink import RawTable, table_name
+from tidewater.sources.names import schema_name, table_name
+from tidewater.sources.sink import RawTable
 
 T1, T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
 
@@ -127,8 +128,6 @@ def test_tables_are_in_the_catalog(spark, scratch):
 @pytest.mark.parametrize("kind", list(LOADS))
 def test_a_folder_s_tables_are_found_again(spark, scratch, kind):
     """A catalog that forgot a layer (here: dropped entries over kept files) takes its tables up, and loads go on."""
-    from tidewater.sources.sink import schema_name
-
     whole = _table(spark, f"{scratch}/whole", kind)
     _load(whole, kind, _source(spark, 90), T1)
     whole.spark.sql(f"DROP SCHEMA IF EXISTS {schema_name(f'{scratch}/again')} CASCADE")

@@ -48,7 +48,8 @@ from tidewater.plans.settings import APPEND, BY_HEADER, FULL_RELOAD, SNAPSHOT, U
 from tidewater.sources.audit_log import AuditLog
 from tidewater.sources.readers import window_predicates
 from tidewater.sources.layout import DAY_COL
-from tidewater.sources.sink import RawTable, ensure_schema
+from tidewater.sources.names import ensure_schema
+from tidewater.sources.sink import RawTable
 
 SourceReader = Callable[[str], DataFrame]
 PARALLEL_TABLES = 4  # tables that load at the same time, unless the caller says otherwise

@@ -28,9 +28,7 @@ and ``adopt`` register a table over the files that are there.
 
 from __future__ import annotations
 
-import hashlib
 import json
-import re
 import uuid
 from dataclasses import asdict
 from datetime import date
@@ -45,49 +43,19 @@ from tidewater.operators.common import WINDOW_COL, LoadPlan, delete_by_key
 from tidewater.operators.schema import align_to, missing_columns
 from tidewater.session import ensure_checkpoint_dir
 from tidewater.sources.layout import BUCKET_COL, DAY_COL, Layout
+from tidewater.sources.names import ensure_schema, literal, quoted, schema_name, table_name
 
 LAYOUT = "tidewater.layout"  # the table property that holds it
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 _NEW = "__new"
 
 
-def _name(text: str) -> str:
-    return "`" + text.replace("`", "``") + "`"
-
-
-def _text(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _plain(text: str, stem: str) -> str:
-    """``text`` if a catalog takes it as a name, else ``stem`` and a hash of it."""
-    return text if re.fullmatch(r"[A-Za-z0-9_]+", text) else f"{stem}_{hashlib.sha256(text.encode()).hexdigest()[:16]}"
-
-
-def schema_name(root: str) -> str:
-    """The catalog schema of a raw layer: ``root`` itself, or a name that stands for the folder ``root``."""
-    return _plain(root, "raw")
-
-
-def table_name(name: str) -> str:
-    """The catalog name of a raw table: the source's name in lower case, or one that stands for it if it has other characters."""
-    return _plain(name, re.sub(r"\W+", "_", name)).lower()
-
-
-def ensure_schema(spark: SparkSession, root: str) -> str:
-    """Create the raw layer's schema if absent (idempotent)."""
-    root = root.rstrip("/")
-    name = schema_name(root)
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_name(name)}" + ("" if name == root else f" LOCATION {_text(root)}"))
-    return name
-
-
 class RawTable:
     """The raw table ``name`` of the layer ``root`` (a schema's name or a folder)."""
 
     def __init__(self, spark: SparkSession, root: str, name: str):
         self.spark, self.root, self.name = spark, root.rstrip("/"), name
-        self.table = f"{_name(schema_name(self.root))}.{_name(table_name(name))}"
+        self.table = f"{quoted(schema_name(self.root))}.{quoted(table_name(name))}"
         self.broadcast_bytes = DEFAULT_BROADCAST_BYTES
         self.last_write: DataFrame | None = None  # for plan inspection (explain)
         self.window_rows: dict[int, int] = {}  # rows per history window of the last publish
@@ -125,13 +93,13 @@ class RawTable:
     def _create(self, fields: list[T.StructField], layout: Layout, path: str | None = None) -> None:
         ensure_schema(self.spark, self.root)
         kind = {BUCKET_COL: "INT", DAY_COL: "DATE"}
-        columns = [f"{_name(f.name)} {f.dataType.simpleString()}" for f in fields]
+        columns = [f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields]
         columns += [f"{c} {kind[c]}" for c in [layout.column] if c]
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table} ({', '.join(columns)}) USING parquet OPTIONS (partitionOverwriteMode 'dynamic')"
             + (f" PARTITIONED BY ({layout.column})" if layout.column else "")
-            + (f" LOCATION {_text(path)}" if path else "")
-            + f" TBLPROPERTIES ('{LAYOUT}' = {_text(json.dumps(asdict(layout)))})"
+            + (f" LOCATION {literal(path)}" if path else "")
+            + f" TBLPROPERTIES ('{LAYOUT}' = {literal(json.dumps(asdict(layout)))})"
         )
 
     def add_missing_columns(self, source_schema: T.StructType) -> list[str]:
@@ -139,7 +107,7 @@ class RawTable:
         them as NULL. No data file is rewritten."""
         extra = missing_columns(self.schema, source_schema)
         if extra:
-            columns = ", ".join(f"{_name(f.name)} {f.dataType.simpleString()}" for f in extra)
+            columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in extra)
             self.spark.sql(f"ALTER TABLE {self.table} ADD COLUMNS ({columns})")
         return [f.name for f in extra]
 
@@ -273,9 +241,9 @@ class RawTable:
         if not values:
             return
         col, columns = self.layout.column, self.spark.table(self.table).schema.fields
-        spec = [f"PARTITION ({col} = {'NULL' if v is None else v if col == BUCKET_COL else f'DATE {_text(v.isoformat())}'})" for v in values]
+        spec = [f"PARTITION ({col} = {'NULL' if v is None else v if col == BUCKET_COL else f'DATE {literal(v.isoformat())}'})" for v in values]
         if self.described("Type") != "MANAGED":  # dropping would leave the files
-            nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {_name(f.name)}" for f in columns if f.name != col)
+            nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in columns if f.name != col)
             for part in spec:
                 self.spark.sql(f"INSERT OVERWRITE TABLE {self.table} {part} SELECT {nothing} WHERE false")
         self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS {', '.join(spec)}")
