@@ -7,7 +7,7 @@ costs no more than a stage's own work. All stages but the last return the
 columns of ``docs``, whatever these are.
 
 1. quality rules: documents that a rule rejects go.
-2. near dedup: of each group of near copies the smallest doc_id stays.
+2. near dedup: of each group of near copies the row of the smallest doc_id stays.
 3. decontamination: documents that hold a benchmark item go.
 4. secret scan: secrets in the texts are replaced by a mark.
 5. byte bpe: the texts are encoded, and decoded again as a check.
@@ -16,6 +16,7 @@ columns of ``docs``, whatever these are.
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,24 +36,45 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.where(failed_rule(text_of(), order).isNull())
 
 
-#: A list of ids is broadcast up to this many rows (16 MB of numbers), else joined by a shuffle.
-BROADCAST_IDS = 2_000_000
+#: A list of row keys is broadcast up to this many rows (16 MB of numbers), else joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
+ROW = "_pipeline_row"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` plus ROW, a key of each row, so that what is decided of a row does not hang on doc_id.
+
+    The key is the row's place in the Parquet files, the same in every scan;
+    rows that come from elsewhere are written once with a key.
+    """
+    try:
+        place = docs.metadataColumn("_metadata")
+        return docs.withColumn(ROW, F.xxhash64(place["file_path"], place["row_index"]))
+    except AnalysisException:
+        return staged(docs.withColumn(ROW, F.monotonically_increasing_id()))
+
+
+def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    return docs.join(within(rows, BROADCAST_ROWS), ROW, "left_anti").drop(ROW)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies: that of the smallest doc_id, and of rows that repeat a doc_id one. A null doc_id stays."""
-    judged = staged(near_duplicates(docs).where("doc_id is not null").select(F.col("doc_id").alias("_id"), "kept"))
-    dropped = judged.where("not kept").select("_id").distinct()
-    repeated = staged(judged.where("kept").groupBy("_id").count().where("count > 1").select("_id"))
-    once = docs.join(within(dropped.union(repeated), BROADCAST_IDS), F.col("doc_id") == F.col("_id"), "left_anti")
-    again = docs.join(within(repeated, BROADCAST_IDS), F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(again)
+    """One row of each group of near copies: that of the smallest doc_id, of equal or null ones any. Rows that repeat a doc_id with other texts stay."""
+    keyed = _keyed(docs)
+    judged = staged(near_duplicates(keyed.select(F.col(ROW).alias("doc_id"), "text")).select(F.col("doc_id").alias(ROW), "component_id"))
+    many = staged(judged.groupBy("component_id").count().where("count > 1").select("component_id"))
+    copies = judged.join(within(many, BROADCAST_ROWS), "component_id").join(keyed.select(ROW, "doc_id"), ROW)
+    copies = staged(copies.select("component_id", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW).alias("row")))
+    first = staged(copies.groupBy("component_id").agg(F.min("row").alias("first")))
+    dropped = copies.join(within(first, BROADCAST_ROWS), "component_id").where(F.col(f"row.{ROW}") != F.col(f"first.{ROW}"))
+    return _without(keyed, staged(dropped.select(F.col(f"row.{ROW}").alias(ROW))))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose text holds no benchmark item; rows without a doc_id stay."""
-    found = staged(leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct())
-    return docs.join(within(found, BROADCAST_IDS), F.col("doc_id") == F.col("_leak"), "left_anti")
+    """Rows whose text holds no benchmark item."""
+    keyed = _keyed(docs)
+    found = leaks(keyed.select(F.col(ROW).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return _without(keyed, staged(found.select(F.col("doc_id").alias(ROW)).distinct()))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

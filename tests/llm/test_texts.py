@@ -321,6 +321,26 @@ def test_pipeline_equals_brute_force(spark, pipeline_dir):
         assert r.decoded_sha256 == hashlib.sha256(left[r.doc_id].encode()).hexdigest()
 
 
+def test_rows_go_by_their_own_text(spark, tmp_path):
+    """Ids that repeat, with the same or other texts, and null ids: copies and leaks go, whatever their id, and nothing else."""
+    import corpus_pipeline as P
+
+    rng = random.Random(9)
+    one, two, three, leak = (prose(rng, 80) for _ in range(4))
+    rows = [(5, one), (5, two), (3, two + " end"), (None, one), (None, three), (7, three + " end"), (7, "a leak " + leak), (None, leak), (8, None), (None, ""), (9, "")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, _metadata string").repartition(3)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for source in (spark.read.parquet(f"{tmp_path}/documents.parquet"), docs):
+        kept = sorted(((r.doc_id, r.text) for r in P.near_dedup(spark, source, str(tmp_path)).collect()), key=repr)
+        want = [(5, one), (3, two + " end"), (7, three + " end"), (8, None), (None, ""), (9, "")]
+        leaky = [r for r in kept if r[1] and leak in r[1]]
+        assert sorted((r for r in kept if r not in leaky), key=repr) == sorted(want, key=repr)
+        assert leaky == [(7, "a leak " + leak)]
+        clean = sorted(((r.doc_id, r.text) for r in P.decontaminate(spark, source, str(tmp_path)).collect()), key=repr)
+        assert clean == sorted((r for r in rows if not (r[1] and leak in r[1])), key=repr)
+
+
 def test_stages_keep_the_columns(spark, pipeline_dir):
     import corpus_pipeline as P
 
