@@ -84,11 +84,9 @@ def newest_values(table: RawTable, col: str) -> DataFrame:
     so no row is read; in a table partitioned by ``col`` only the newest period's
     footers are. Types without usable statistics (text, timestamps) are scanned.
     """
-    rows, lay = table.by_footers(), table.layout
+    lay = table.layout
     periods = [p for p in table.partitions() if p is not None] if lay.kind == "day" and lay.day_col.upper() == col.upper() else []
-    if periods:
-        rows = rows.where(F.col(DAY_COL) == F.lit(periods[-1]))
-    return rows.agg(F.max(col).alias("d"))
+    return table.by_footers(periods[-1] if periods else None).agg(F.max(col).alias("d"))
 
 
 def read_mark(table: RawTable, date_col: str, time_col: str | None) -> Mark:

@@ -145,12 +145,14 @@ class RawTable:
         self.spark.catalog.refreshTable(self.table)
         return self.spark.table(self.table).select(*self.schema.names, *([col] if with_partition and col else []))
 
-    def by_footers(self) -> DataFrame:
-        """The same rows by Spark's V2 Parquet reader, which answers MIN, MAX and COUNT from the files' footers."""
+    def by_footers(self, partition: int | date | None = None) -> DataFrame:
+        """The rows (of one partition) by Spark's V2 Parquet reader, which answers MIN, MAX and COUNT from the files' footers."""
+        base = self.described("Location")
+        path = base if partition is None else f"{base}/{self.layout.column}={partition}"  # no other folder is listed
         session = self.spark.newSession()
         session.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
         session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-        return session.read.schema(self.spark.table(self.table).schema).parquet(self.described("Location"))
+        return session.read.schema(self.spark.table(self.table).schema).option("basePath", base).parquet(path)
 
     # -- writing ------------------------------------------------------------
     def publish(self, plan: LoadPlan) -> int:
