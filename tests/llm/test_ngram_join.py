@@ -88,9 +88,9 @@ def test_random_near_copies(spark, seed, percent, words):
 
 
 def test_large_neighbourhoods(spark, monkeypatch, sets=9, lot=5):
-    """More near copies than a tree holds, most of them linked by one original only, and look-alikes below the bound."""
-    monkeypatch.setattr(N, "TREE_SETS", sets)
-    monkeypatch.setattr(N, "LOT_SETS", lot)
+    """More near copies than a tree holds, most of them linked by one original only, and look-alikes below the bound; nothing is broadcast."""
+    for name, value in (("TREE_SETS", sets), ("LOT_SETS", lot), ("BROADCAST_ROWS", 0)):
+        monkeypatch.setattr(N, name, value)
     rng = random.Random(5)
     base = [f"b{i}" for i in range(100)]
     texts = [" ".join(base)]
@@ -118,12 +118,6 @@ def test_rows_that_repeat_an_id(spark):
     assert joined(spark, texts, ids) == wanted(texts, ids)
 
 
-def test_every_list_joined_by_a_shuffle(spark, monkeypatch):
-    monkeypatch.setattr(N, "BROADCAST_ROWS", 0)
-    texts = corpus(8, 60)
-    assert joined(spark, texts) == wanted(texts)
-
-
 @pytest.mark.parametrize("seed", range(6))
 def test_trees_find_what_is_linked(seed):
     """One tree, in Python only: components of random sets over few grams, at several bounds."""
