@@ -223,7 +223,9 @@ def test_segmentation_equals_brute_force():
     assert s.split("q" * 3000) == ("q" * 3000,)
 
 
-def test_urls_without_a_host_and_very_long_ones_are_judged(spark):
+@pytest.mark.parametrize("most", [1 << 20, 0])
+def test_urls_without_a_host_and_very_long_ones_are_judged(spark, monkeypatch, most):
+    monkeypatch.setattr(url_filter, "BROADCAST_BYTES", most)  # 0: every join is a shuffle
     urls = ["http://h.example.org/casino/poker", "http:///casino/poker", "file:///casino/poker", "http:///reading/room", "http://", None, "http://h.org/" + "ab" * 3000]
     rows = [(i, u) for i, u in enumerate(urls)] + [(100 + k, f"https://reading{k}.example.com/room/{k}") for k in range(40)]
     rows += [(200 + k, f"http://win{k}casino.example.com/casino/poker") for k in range(10)]  # the company that the path's words keep

@@ -17,14 +17,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import staged, within
+from tidewater.llm.shared import staged
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # words that mark unwanted sites, the seed of the labels
 BLOCK_WORDS = frozenset("ads adserver adult bets betting casino cialis malware phishing pills poker porn sex spam tracker track viagra warez xxx".split())
 # words of site names that texts may lack, so that names made of them come apart
 NAME_WORDS = frozenset("best bet blog buy cdn cheap farm free game games home mail mobile news online play shop site store video web win wiki www".split())
-BROADCAST_ROWS = 300_000  # words, names and URLs are broadcast up to this many rows, else joined by a shuffle
+BROADCAST_BYTES = 24 << 20  # words, names and URLs are broadcast up to this many bytes as measured, else joined by a shuffle
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -47,6 +47,12 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tup
     return (none, none) if rule is None else (rule, verdict)
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast only if its rows, measured as text and 16 bytes a column, have at most BROADCAST_BYTES."""
+    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(16))
+    return F.broadcast(df) if (df.agg(F.sum(size.cast("long"))).first()[0] or 0) <= BROADCAST_BYTES else df
+
+
 def word_counts(texts: DataFrame, column: str) -> DataFrame:
     """(w, n): how often each word stands in a text column, over all its rows. No word is dropped."""
     plain = F.regexp_replace(F.regexp_replace(F.lower(F.col(column)), r"(?s)<(script|style)\b.*?</\1>", " "), "<[^>]*>", " ")
@@ -117,7 +123,7 @@ def _splits(names: DataFrame, counts: DataFrame) -> DataFrame:
     inside = f"flatten(transform(filter(array({', '.join(map(str, lengths))}), l -> l <= length(run)), l -> {places}))"
     parts = names.select("run", F.explode(F.array_distinct(F.expr(inside))).alias("w"))
     needed = staged(parts.select("w").distinct().join(model, "w"))
-    known = parts.join(within(needed, BROADCAST_ROWS), "w").select("run", F.struct("w", "n").alias("known"))
+    known = parts.join(_small(needed), "w").select("run", F.struct("w", "n").alias("known"))
     known = known.unionByName(names.select("run", F.lit(None).cast("struct<w:string,n:bigint>").alias("known")))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +144,7 @@ def _tokens(pairs: DataFrame, counts: DataFrame) -> DataFrame:
     number = F.col("run").rlike("^[0-9]")
     names = staged(parts.where(~number).select("run").distinct())
     words = F.when(number, F.array(F.lit("<number>"))).otherwise(F.col("words"))
-    parts = parts.join(within(_splits(names, counts), BROADCAST_ROWS), "run", "left").select("host", "path", "n", "at", F.transform(words, lambda w: F.concat("mark", w)).alias("t"))
+    parts = parts.join(_small(_splits(names, counts)), "run", "left").select("host", "path", "n", "at", F.transform(words, lambda w: F.concat("mark", w)).alias("t"))
     lists = parts.groupBy("host", "path", "n").agg(F.sort_array(F.collect_list(F.when(F.col("t").isNotNull(), F.struct("at", "t")))).alias("l"))
     return staged(lists.select("host", "path", "n", F.flatten(F.col("l.t")).alias("tokens")))
 
@@ -152,7 +158,7 @@ def _odds(urls: DataFrame) -> DataFrame:
     total = counts.agg(F.count("*").alias("k"), F.sum("good").alias("good"), F.sum("marked").alias("marked")).first()
     good, marked = ((total[c] or 0) + total["k"] + 1 for c in ("good", "marked"))
     weight = F.log((F.col("marked") + 1) / float(marked)) - F.log((F.col("good") + 1) / float(good))
-    weights = within(counts.select("token", weight.alias("weight")), BROADCAST_ROWS)
+    weights = _small(counts.select("token", weight.alias("weight")))
     prior = math.log((docs["marked"] + 1) / (docs["good"] + 1))
     parts = urls.where("host <> '' or path <> ''").select("host", "path", F.posexplode_outer("tokens").alias("at", "token")).join(weights, "token", "left")
     # added in the order of the tokens, so that a URL always has the same odds
@@ -177,7 +183,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], counts: dict[
     if isinstance(counts, dict):
         counts = pages.sparkSession.createDataFrame([*counts.items()], "w string, n long")
     pairs = staged(urls.groupBy("host", "path").agg(F.count("*").alias("n")))
-    scored = urls.join(within(_odds(_tokens(pairs, counts)), BROADCAST_ROWS), ["host", "path"], "left")
+    scored = urls.join(_small(_odds(_tokens(pairs, counts))), ["host", "path"], "left")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     learned = F.when(F.col("odds") > 0, "block").otherwise("allow")
     return scored.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, learned).alias("verdict"), "odds")
