@@ -149,3 +149,33 @@ def test_keys_are_broadcast_by_their_bytes(spark, scratch):
                 plan = table.last_write.select("*")._jdf.queryExecution().executedPlan().toString()
         assert joined in plan, plan
         assert table.read().count() == 400
+
+
+def _plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _documents(spark, scratch):
+    """Headers and raw lines, of which document 0 has a third."""
+    raw = _raw(spark).select(F.col("k").alias("doc"), "v", F.lit(None).cast("timestamp_ntz").alias("_ingested_at"))
+    day = F.when(F.col("id") % 7 == 1, F.lit("2024-02-01")).otherwise(F.lit("2023-01-01")).cast("date")
+    return _stored(raw, f"{scratch}/raw"), _stored(spark.range(30000).select(F.col("id").alias("doc"), day.alias("d")), f"{scratch}/headers")
+
+
+def test_lines_of_changed_headers_are_not_sorted_in_memory(spark, scratch):
+    """Only document ids are held by a task, the lines stream past; a hot document is still split."""
+    from datetime import date
+
+    from tidewater.functions.marks import Mark
+    from tidewater.operators import replace_by_header
+
+    raw, headers = _documents(spark, scratch)
+    for delete_from in ("headers", "lines"):
+        with conf(spark, SKEW_CONF):
+            load = replace_by_header(raw, raw.drop("_ingested_at"), headers, Mark(date(2024, 1, 1)), "doc", "d", "2024-02-02 00:00:00", delete_from=delete_from)
+            plan = _plan(load.result())
+            kept, batch = load.kept.count(), load.batch.count()
+        assert (kept, batch) == (raw.where("doc % 7 <> 1").count(), raw.where("doc % 7 = 1").count())
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "Sort " not in plan, plan
+        assert delete_from == "lines" or "skew=true" in plan, plan

@@ -47,6 +47,17 @@ def maybe_broadcast(df: DataFrame, broadcast: bool | None) -> DataFrame:
     return F.broadcast(df) if broadcast else df
 
 
+def hashed(df: DataFrame, broadcast: bool | None) -> DataFrame:
+    """The key side of a join with lines: hashed by partition, or left to ``maybe_broadcast``.
+
+    A merge join sorts the lines, whole rows, in the memory of a task, and the
+    planner takes a key side for small by the bytes of its packed file. A hash
+    join of the shuffled sides holds only a partition's distinct keys (of an
+    inner join its rows); the lines stream past, and AQE still splits hot ones.
+    """
+    return df if broadcast else df.hint("shuffle_hash")
+
+
 def delete_by_key(
     raw: DataFrame,
     keys_from: DataFrame,
@@ -84,7 +95,7 @@ def semi_by_key(
     broadcast: bool | None = None,
 ) -> DataFrame:
     """Lines whose document id occurs in ``ids_from`` (``IN (subquery)``)."""
-    right = ids_from.select(F.col(id_col).alias("__id"))
+    right = hashed(ids_from.select(F.col(id_col).alias("__id")), broadcast)
     return lines.join(maybe_broadcast(right, broadcast), lines[line_key] == right["__id"], "left_semi")
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.marks import Mark, read_composite_mark, read_day_mark
 from tidewater.functions.predicates import newer_than
-from tidewater.operators.common import WINDOW_COL, LoadPlan, delete_by_key, maybe_broadcast, semi_by_key, stamp
+from tidewater.operators.common import WINDOW_COL, LoadPlan, delete_by_key, hashed, maybe_broadcast, semi_by_key, stamp
 from tidewater.operators.windows import Window, assign_windows
 
 
@@ -134,10 +134,10 @@ def replace_by_header(
         batch = semi_by_key(lines, changed, doc_key, header_key, broadcast=broadcast)
     batch = stamp(batch, run_ts)
     if delete_from == "headers":
-        kept = delete_by_key(raw_lines, changed, [header_key], broadcast=broadcast, raw_keys=[doc_key])
+        kept = delete_by_key(raw_lines, hashed(changed, broadcast), [header_key], broadcast=broadcast, raw_keys=[doc_key])
         ids = changed.select(changed[header_key].alias(doc_key))
     elif delete_from == "lines":
-        kept = delete_by_key(raw_lines, batch, [doc_key], broadcast=broadcast)
+        kept = delete_by_key(raw_lines, hashed(batch, broadcast), [doc_key], broadcast=broadcast)
         ids = batch
     else:
         raise ValueError(f"delete_from must be 'lines' or 'headers', not {delete_from!r}")

@@ -97,6 +97,7 @@ def lines_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw lines before: every line of the raw headers."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").where(F.col("o_orderdate") <= _ts(RAW_CUTOFF)).select("o_orderkey")
+    o = o.hint("shuffle_hash")  # the lines of the join are not sorted in memory
     return _lines(li.join(o, li["l_orderkey"] == o["o_orderkey"], "left_semi")).withColumn("_ingested_at", _ts(PREV_TS))
 
 
