@@ -179,3 +179,15 @@ def test_lines_of_changed_headers_are_not_sorted_in_memory(spark, scratch):
         assert (kept, batch) == (raw.where("doc % 7 <> 1").count(), raw.where("doc % 7 = 1").count())
         assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "Sort " not in plan, plan
         assert delete_from == "lines" or "skew=true" in plan, plan
+
+
+def test_lines_of_header_windows_are_not_sorted_in_memory(spark, scratch):
+    from tidewater.operators import load_window_by_header, make_windows
+
+    raw, headers = _documents(spark, scratch)
+    with conf(spark, SKEW_CONF):
+        load = load_window_by_header(raw, raw.drop("_ingested_at"), headers, "doc", "d", make_windows("2024-01-01", "2024-03-31", 1), 1, "2024-04-01 00:00:00")
+        plan = _plan(load.result())
+        kept, batch = load.kept.count(), load.batch.count()
+    assert (kept, batch) == (raw.where("doc % 7 <> 1").count(), raw.where("doc % 7 = 1").count())
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "Sort " not in plan, plan

@@ -172,10 +172,11 @@ def load_window_by_header(
     header_key = header_key or doc_key
     in_win = assign_windows(source_headers, header_date_col, windows, months, out=WINDOW_COL)
     docs = in_win.groupBy(F.col(header_key).alias("__doc")).agg(F.min(WINDOW_COL).alias(WINDOW_COL))
-    docs = maybe_broadcast(stage(docs) if stage else docs, broadcast)
+    docs = stage(docs) if stage else docs
+    docs = maybe_broadcast(hashed(docs, broadcast), broadcast)
     batch = stamp(source_lines.join(docs, source_lines[doc_key] == docs["__doc"]).drop("__doc"), run_ts)
     numbers = [w.number for w in windows]
     if not replace:
         return LoadPlan(kept=raw_lines, batch=batch, kind="append", windows=numbers)
-    kept = delete_by_key(raw_lines, batch, [doc_key], broadcast=broadcast)
+    kept = delete_by_key(raw_lines, hashed(batch, broadcast), [doc_key], broadcast=broadcast)
     return LoadPlan(kept=kept, batch=batch, kind="keyed", delete_keys=[doc_key], delete_ids=batch, windows=numbers)
