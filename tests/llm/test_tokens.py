@@ -91,3 +91,12 @@ def test_special_strings_in_a_table(spark):
     tokenizer = Tokenizer.from_file(JSON)
     got = {r.doc_id: r.n_tokens for r in T.count_tokens(docs, JSON, public_tokenizers.PATTERN).collect()}
     assert got == {1: len(tokenizer.encode("a<|endoftext|> b").ids), 2: 1, 3: 0}
+
+
+def test_the_memory_of_token_pairs_is_bounded(library):
+    """A worker lives on after its task, so what it remembers must stay small; forgetting changes no id."""
+    coder, rng = T.PrefixCoder(T.read_ranks(RANKS)), random.Random(5)
+    coder.apart = dict.fromkeys(range(-200_000, 0), True)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5_000))
+    assert coder.encode(text.encode()) == library.encode_ordinary(text)
+    assert len(coder.apart) <= 100_000

@@ -29,6 +29,7 @@ _WHITE = "\t-\r \x85\xa0  -     　"
 _RARE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")  # the same, beyond ASCII
 _MARKS = frozenset(".,;:!?()-")
 MEMORY = 500_000  # units kept
+PAIRS = 100_000  # token pairs kept; a worker holds them for as long as it lives
 
 
 class Memory:
@@ -223,7 +224,7 @@ class PrefixCoder:
                 x_until, x = x, self._split(x)[1]
             else:
                 y_until, y = y, self._split(y)[0]
-        if len(self.apart) >= 1_000_000:
+        if len(self.apart) >= PAIRS:
             self.apart.clear()
         self.apart[key] = out
         return out
